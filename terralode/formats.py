@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terralode.session import local_rows
+
 # Extension dictionary (category, extension, type, description).
 FORMATS = [
     ("tabular", "csv", "tableau", "Comma-Separated Values, texte séparé par des virgules"),
@@ -64,4 +66,4 @@ DOCUMENT_EXTENSIONS = ("pdf", "docx", "odt")
 
 def formats_table(spark: SparkSession) -> DataFrame:
     """The dictionary as a lookup table of fixed, tiny size."""
-    return spark.createDataFrame(FORMATS, "category string, ext string, type string, description string")
+    return local_rows(spark, FORMATS, "category string, ext string, type string, description string")

@@ -7,10 +7,8 @@ from pyspark.sql import Column, functions as F
 # Units of a readable size, each 1024 times the one before.
 SIZE_UNITS = ["B", "KB", "MB", "GB", "TB", "PB"]
 
-# Runs of anything but whitespace, the Unicode spaces and separators included.
-WORD_PATTERN = (
-    r"[^\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
-)
+# Runs of anything but Unicode whitespace and the four information separators.
+WORD_PATTERN = r"(?U)[^\s\x1C-\x1F]+"
 
 
 def bytes_human(n: Column) -> Column:
@@ -41,6 +39,11 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD_PATTERN))
 
 
+def is_blank(text: Column) -> Column:
+    """Whether a text holds no word; stops at the first one."""
+    return ~text.rlike(WORD_PATTERN)
+
+
 def timestamp_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from terralode.functions.cleaning import cast_dates, cast_numbers, clean_booleans, clean_strings, named
+from terralode.session import local_rows
 
 IMPUTED_TYPES = (T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 WIDER_IMPUTED_TYPES = IMPUTED_TYPES + (T.ByteType, T.DecimalType)
@@ -78,7 +79,7 @@ def drop_technical_columns(df: DataFrame) -> DataFrame:
 def describe_columns(df: DataFrame) -> DataFrame:
     """One row per column: position, name, type."""
     rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]
-    return SparkSession.active().createDataFrame(rows, "position int, column_name string, data_type string")
+    return local_rows(df.sparkSession, rows, "position int, column_name string, data_type string")
 
 
 def deduplicate(

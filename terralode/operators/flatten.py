@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terralode.functions.cleaning import named
-from terralode.functions.measures import char_count, pixel_centre, word_count
+from terralode.functions.measures import char_count, is_blank, pixel_centre, word_count
 from terralode.functions.nested import coordinates
 from terralode.operators.clean import attach_constants
 
@@ -22,13 +22,13 @@ def paragraphs(df: DataFrame, text: str = "text", keep: Sequence[str] = (), sep:
 
 def paragraph_columns(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Number, text and counts from ``pos`` (0-based) and ``text``, blank paragraphs dropped."""
-    return rows.select(
+    return rows.filter(~is_blank(F.col("text"))).select(
         *[named(k) for k in keep],
         (F.col("pos") + 1).alias("paragraph_number"),
         "text",
         char_count(F.col("text")).alias("char_count"),
         word_count(F.col("text")).alias("word_count"),
-    ).filter(F.col("word_count") > 0)
+    )
 
 
 def pages(df: DataFrame, text: str = "text", keep: Sequence[str] = (), sep: str = "\f") -> DataFrame:

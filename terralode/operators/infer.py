@@ -10,48 +10,63 @@ from terralode.functions.cleaning import NA_TOKENS, na_to_null, named
 
 # How integers, decimals and booleans are spelt in a text file.
 INTEGER_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
-DECIMAL_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-INFINITY_PATTERN = r"(?i)^[+-]?(inf|infinity)$"
+DECIMAL_PATTERN = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
 BOOLEAN_TEXTS = ["True", "TRUE", "true", "False", "FALSE", "false"]
 TRUE_TEXTS = ["True", "TRUE", "true"]
 
 
-def _as_bigint(col: Column) -> Column:
-    return F.when(col.rlike(INTEGER_PATTERN), F.trim(col).try_cast("bigint"))
+# Type of a column of booleans with gaps: a text column with two spellings.
+BOOLEAN_TEXT = "boolean text"
 
+# Kinds of value, as column_profile counts them.
+BIGINT, LONG_DIGITS, DOUBLE, BOOLEAN, TEXT = range(1, 6)
 
-def _as_double(col: Column) -> Column:
-    number = col.rlike(DECIMAL_PATTERN) | col.rlike(INFINITY_PATTERN)
-    return F.when(number, F.trim(col).try_cast("double"))
+
+def value_kind(col: Column) -> Column:
+    """What a text reads as; null for a missing one."""
+    # Blanks, signs, dots and digits all sort before the colon: other texts skip the patterns.
+    number_like = col < ":"
+    infinity_like = col.startswith("i") | col.startswith("I")
+    # 18 digits always fit, so only longer ones are tried.
+    fits = (F.length(col) <= 18) | F.trim(col).try_cast("bigint").isNotNull()
+    return (
+        F.when(number_like & col.rlike(INTEGER_PATTERN), F.when(fits, BIGINT).otherwise(LONG_DIGITS))
+        .when((number_like | infinity_like) & col.rlike(DECIMAL_PATTERN), DOUBLE)
+        .when(col.isin(BOOLEAN_TEXTS), BOOLEAN)
+        .when(col.isNotNull(), TEXT)
+    )
 
 
 def column_profile(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """One row per text column: how many values there are and how many read as each type.
 
-    One aggregate over one scan, combined before its shuffle.
+    Each value is looked at once, then one aggregate over one scan counts the
+    kinds, combined before its shuffle.
     """
     names = list(df.columns if names is None else names)
+    kinds = df.select([value_kind(named(name)).alias(f"k{i}") for i, name in enumerate(names)])
     counts = [
         F.struct(
             F.lit(name).alias("column_name"),
             F.count(F.lit(1)).alias("n_rows"),
-            F.count(named(name)).alias("n_values"),
-            F.count(_as_bigint(named(name))).alias("n_bigint"),
-            F.count_if(named(name).rlike(INTEGER_PATTERN)).alias("n_digits"),
-            F.count(_as_double(named(name))).alias("n_double"),
-            F.count_if(named(name).isin(BOOLEAN_TEXTS)).alias("n_boolean"),
+            F.count(f"k{i}").alias("n_values"),
+            F.count_if(F.col(f"k{i}") == BIGINT).alias("n_bigint"),
+            F.count_if(F.col(f"k{i}") <= LONG_DIGITS).alias("n_digits"),
+            F.count_if(F.col(f"k{i}") <= DOUBLE).alias("n_double"),
+            F.count_if(F.col(f"k{i}") == BOOLEAN).alias("n_boolean"),
         )
-        for name in names
+        for i, name in enumerate(names)
     ]
-    return df.agg(F.array(*counts).alias("columns")).select(F.inline("columns"))
+    return kinds.agg(F.array(*counts).alias("columns")).select(F.inline("columns"))
 
 
 def inferred_type() -> Column:
     """The type a profile row stands for.
 
-    Whole numbers are bigint unless a value is missing, which makes them double;
-    booleans need every value present; a column without any value is double; an
-    integer too long for bigint keeps the column as text; dates stay text.
+    Whole numbers are bigint unless a value is missing, which makes them double.
+    Booleans with a gap are the texts ``True`` and ``False``. A column without any
+    value is double. An integer too long for bigint keeps the column as text, and
+    so does a date.
     """
     n = F.col("n_values")
     return (
@@ -60,7 +75,7 @@ def inferred_type() -> Column:
         .when((F.col("n_bigint") == n) & (n == F.col("n_rows")), "bigint")
         .when((F.col("n_digits") == n) & (F.col("n_bigint") < n), "string")
         .when(F.col("n_double") == n, "double")
-        .when((F.col("n_boolean") == n) & (n == F.col("n_rows")), "boolean")
+        .when(F.col("n_boolean") == n, F.when(n == F.col("n_rows"), "boolean").otherwise(BOOLEAN_TEXT))
         .otherwise("string")
     )
 
@@ -81,6 +96,8 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
             col = F.trim(col).cast("double")
         elif kind == "boolean":
             col = F.when(col.isNotNull(), col.isin(TRUE_TEXTS))
+        elif kind == BOOLEAN_TEXT:
+            col = F.when(col.isin(TRUE_TEXTS), "True").when(col.isNotNull(), "False")
         return col.alias(name)
 
     return df.select([typed(n) for n in df.columns])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from terralode.functions.measures import bytes_human, duration_seconds, labels
 from terralode.functions.names import has_suffix, top_folder
+from terralode.session import local_rows
 
 
 def capped_listing(listing: DataFrame, max_keys: int = 5000) -> DataFrame:
@@ -95,7 +96,7 @@ def last_state(runs: DataFrame, missing: str = "—") -> DataFrame:
 
 def last_state_of(runs: DataFrame, dag_ids: Sequence[str], missing: str = "—") -> DataFrame:
     """Latest state of each asked workflow, also of one that never ran."""
-    asked = runs.sparkSession.createDataFrame([(d,) for d in dag_ids], "dag_id string")
+    asked = local_rows(runs.sparkSession, [(d,) for d in dag_ids], "dag_id string")
     found = last_state(runs.filter(F.col("dag_id").isin(list(dag_ids))), missing)
     return asked.join(found, "dag_id", "left").select(
         "dag_id", F.coalesce("state", F.lit(missing)).alias("state"), F.coalesce("run_id", F.lit(missing)).alias("run_id")

@@ -10,6 +10,7 @@ from terralode.plans.runner import run_each
 from terralode.sinks.parquet import append_to_ledger, write_table
 from terralode.sources.listing import if_exists, list_keys
 from terralode.sources.registry import read_tables, stem_of
+from terralode.session import local_rows
 
 LEDGER_SCHEMA = "key string"
 
@@ -17,7 +18,7 @@ LEDGER_SCHEMA = "key string"
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Keys processed so far; empty before the first run."""
     held = if_exists(lambda: spark.read.schema(LEDGER_SCHEMA).parquet(path))
-    return spark.createDataFrame([], LEDGER_SCHEMA) if held is None else held
+    return local_rows(spark, [], LEDGER_SCHEMA) if held is None else held
 
 
 def convert_file(spark: SparkSession, source: str, target: str, prefix_with_stem: bool = False) -> list[str]:

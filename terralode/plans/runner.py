@@ -8,6 +8,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from terralode.session import local_rows
+
 RESULT_SCHEMA = "key string, table string, ok boolean, error string"
 
 
@@ -27,4 +29,4 @@ def run_each(
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         rows = [row for found in pool.map(inheritable_thread_target(spark)(attempt), items) for row in found]
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+    return local_rows(spark, rows, RESULT_SCHEMA)

@@ -291,7 +291,7 @@ select column_name, n_rows, n_values, n_bigint, n_double, n_boolean,
        case when n_values = 0 then 'double'
             when n_bigint = n_values and n_values = n_rows then 'bigint'
             when n_double = n_values then 'double'
-            when n_boolean = n_values and n_values = n_rows then 'boolean'
+            when n_boolean = n_values then case when n_values = n_rows then 'boolean' else 'boolean text' end
             else 'string' end as data_type
 from p
 """,

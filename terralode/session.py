@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -27,6 +29,14 @@ def build_session(app_name: str = "terralode", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small literal table, part of the plan itself so that its size is known."""
+    fields = T.StructType.fromDDL(schema).fields
+    columns = list(zip(*rows)) or [()] * len(fields)
+    arrays = [pa.array(list(c), type=to_arrow_type(f.dataType)) for c, f in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=[f.name for f in fields]), schema)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

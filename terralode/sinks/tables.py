@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralode.functions.names import safe_identifier
 from terralode.operators.clean import stringify_objects
+from terralode.session import local_rows
 
 
 # Labels of the folders that hold rows without a value and rows with the empty one.
@@ -86,7 +87,7 @@ def _escaped(value: str) -> str:
 
 def manifest(spark: SparkSession, tables: Sequence[str], source: str = "raw") -> DataFrame:
     """The source manifest: one row per table."""
-    return spark.createDataFrame([(source, t) for t in tables], "source string, table string")
+    return local_rows(spark, [(source, t) for t in tables], "source string, table string")
 
 
 def save_manifest(sources: DataFrame, path: str) -> str:

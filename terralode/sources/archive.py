@@ -10,7 +10,7 @@ import tarfile
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralode.functions.names import basename, file_extension
@@ -18,6 +18,12 @@ from terralode.session import shared_dir
 from terralode.sources.listing import read_files
 
 MEMBER_SCHEMA = "archive string, member string, size bigint, content binary, error string"
+ARROW_SCHEMA = pa.schema(
+    [("archive", pa.string()), ("member", pa.string()), ("size", pa.int64()), ("content", pa.binary()), ("error", pa.string())]
+)
+# Members are handed back once they come to this many bytes or rows.
+BATCH_BYTES = 32 * 1024 * 1024
+BATCH_ROWS = 4096
 
 # Archive kinds by extension, and what one compressed file is read with.
 CONTAINERS = ("zip", "kmz", "tar", "tgz")
@@ -53,24 +59,38 @@ def _members(name: str, content: bytes) -> Iterator[tuple[str, bytes]]:
             yield member, data
 
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _rows(path: str, content: bytes) -> Iterator[tuple]:
+    try:
+        for member, data in _members(path, content):
+            yield path, member, len(data), data, None
+    except Exception as problem:  # a broken archive is reported, not fatal
+        yield path, None, None, None, repr(problem)
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members in batches of bounded size, so a task holds one archive and a few members."""
+    held, held_bytes = [], 0
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            # One member at a time, so a task holds one archive and one member.
-            try:
-                for member, data in _members(path, content):
-                    yield pd.DataFrame(
-                        {"archive": [path], "member": [member], "size": [len(data)], "content": [data], "error": [None]}
-                    )
-            except Exception as problem:  # a broken archive is reported, not fatal
-                yield pd.DataFrame(
-                    {"archive": [path], "member": [None], "size": [None], "content": [None], "error": [repr(problem)]}
-                )
+            for row in _rows(path.as_py(), content.as_py()):
+                held.append(row)
+                held_bytes += row[2] or 0
+                if held_bytes >= BATCH_BYTES or len(held) >= BATCH_ROWS:
+                    yield _batch(held)
+                    held, held_bytes = [], 0
+    if held:
+        yield _batch(held)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(column), type=field.type) for column, field in zip(zip(*rows), ARROW_SCHEMA)], schema=ARROW_SCHEMA
+    )
 
 
 def unpack(archives: DataFrame) -> DataFrame:
     """Members of archives given as ``(path, content)`` rows; a broken archive gives an error row."""
-    members = archives.select("path", "content").mapInPandas(_unpack, MEMBER_SCHEMA)
+    members = archives.select("path", "content").mapInArrow(_unpack, MEMBER_SCHEMA)
     return members.withColumn("ext", file_extension(basename(F.col("member"))))
 
 

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralode.functions.names import basename, is_folder_key
+from terralode.session import local_rows
 
 
 def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -70,7 +71,7 @@ def tail_lines(spark: SparkSession, path: str, n: int = 200) -> DataFrame:
     text = if_exists(lambda: spark.read.text(path))
     if text is None:
         missing = [(path, 0, 0, f"[missing] {path}")]
-        return spark.createDataFrame(missing, "part string, block bigint, nth bigint, line string")
+        return local_rows(spark, missing, "part string, block bigint, nth bigint, line string")
     lines = text.select(
         F.col("_metadata.file_path").alias("part"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -92,7 +93,7 @@ def probe_tables(spark: SparkSession, schema: str, limit: int = 50) -> DataFrame
     The files of a table give its size and age, Parquet footers its row count; no column is read.
     """
     names = [r["tableName"] for r in list_tables(spark, schema).collect()]
-    empty = spark.createDataFrame([], "table_name string, row_count bigint, bytes bigint, created timestamp, last_altered timestamp")
+    empty = local_rows(spark, [], "table_name string, row_count bigint, bytes bigint, created timestamp, last_altered timestamp")
     probes = [probe_table(spark, schema, name) for name in names]
     for probe in probes:
         empty = empty.unionByName(probe)

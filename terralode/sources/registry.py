@@ -83,7 +83,7 @@ def read_staged_tables(spark: SparkSession, staged: str) -> dict[str, DataFrame]
 
 def read_script_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The tables a SQL script makes, in a schema of its own under the shared folder."""
-    script = spark.read.option("wholetext", True).text(path).first()["value"]
+    script = spark.read.text(path, wholetext=True).first()["value"]
     location = shared_dir(spark, "script")
     schema = create_schema(spark, re.sub(r"\W", "_", location.rsplit("/", 1)[-1]), location)
     run_sql_script(spark, script, schema)

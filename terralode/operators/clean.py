@@ -18,18 +18,23 @@ TECHNICAL_PREFIX = "_"
 TECHNICAL_COLUMNS = ("created_at_raw", "updated_at_raw")
 
 
-def column_means(df: DataFrame, names: Sequence[str]) -> dict[str, Column]:
-    """Mean of each column, as scalar-subquery columns.
+# Name of the column that carries the means past each row; dropped again at once.
+MEANS = "__column_means"
 
-    All means come out of one aggregate whose single row holds one struct, so
-    however many columns use them the extra cost is one scan of those columns.
+
+def with_means(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """The frame next to the mean of each named column, and how to refer to each mean.
+
+    All means come out of one aggregate read as one scalar: however many columns
+    are filled, the extra cost is one scan of those columns, and no row is joined.
     """
     if not names:
-        return {}
+        return df, {}
     # Struct fields go by position: column names may hold any character.
     fields = {name: f"m{i}" for i, name in enumerate(names)}
-    means = df.agg(F.struct(*[F.avg(named(n)).alias(f) for n, f in fields.items()]).alias("means")).scalar()
-    return {name: means.getField(field) for name, field in fields.items()}
+    means = df.agg(F.struct(*[F.avg(named(n)).alias(f) for n, f in fields.items()]).alias("means"))
+    carried = df.withColumn(MEANS, means.scalar())
+    return carried, {name: F.col(MEANS).getField(field) for name, field in fields.items()}
 
 
 def auto_clean(df: DataFrame, include_decimal: bool = False) -> DataFrame:
@@ -40,7 +45,7 @@ def auto_clean(df: DataFrame, include_decimal: bool = False) -> DataFrame:
     booleans are cast safely; every other type passes through.
     """
     imputed = WIDER_IMPUTED_TYPES if include_decimal else IMPUTED_TYPES
-    means = column_means(df, [f.name for f in df.schema if isinstance(f.dataType, imputed)])
+    carried, means = with_means(df, [f.name for f in df.schema if isinstance(f.dataType, imputed)])
 
     def cleaned(field: T.StructField) -> Column:
         col, kind = named(field.name), field.dataType
@@ -54,18 +59,14 @@ def auto_clean(df: DataFrame, include_decimal: bool = False) -> DataFrame:
             return clean_booleans(col)
         return col
 
-    return df.select([cleaned(f).alias(f.name) for f in df.schema])
+    return carried.select([cleaned(f).alias(f.name) for f in df.schema])
 
 
 def impute_numeric_mean(df: DataFrame) -> DataFrame:
     """Replace missing numbers by the column mean; leave all else alone."""
-    means = column_means(df, [f.name for f in df.schema if isinstance(f.dataType, IMPUTED_TYPES)])
-    return df.select(
-        [
-            (F.coalesce(named(n), means[n]) if n in means else named(n)).alias(n)
-            for n in df.columns
-        ]
-    )
+    carried, means = with_means(df, [f.name for f in df.schema if isinstance(f.dataType, IMPUTED_TYPES)])
+    filled = [F.coalesce(named(n), means[n]) if n in means else named(n) for n in df.columns]
+    return carried.select([col.alias(n) for col, n in zip(filled, df.columns)])
 
 
 def is_technical(name: str) -> bool:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import io
 import lzma
+import sys
 import tarfile
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralode.queries.registry import query, table
@@ -21,6 +23,8 @@ from terralode.sources.structured import read_geojson_lines, read_json, read_kml
 from terralode.sources.tabular import read_csv, read_delimited, read_parquet, read_tsv, read_txt
 from terralode.streaming.incremental import incremental_ingest, on_new_files
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ORDERS_SQL = """
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') as o_orderdate, o_orderpriority
 from orders

@@ -127,18 +127,14 @@ def widen_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "ragged_union",
     """
-select event_id, props, null as value from events where event_type = 'view'
-union all select event_id, null, value from events where event_type <> 'view'
+select c_name as name, c_mktsegment as segment, cast(null as double) as balance from customer
+union all select s_name, null, s_acctbal from supplier
 """,
 )
 def ragged_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return flatten.union_ragged(
-        [
-            events.filter(F.col("event_type") == "view").select("event_id", "props"),
-            events.filter(F.col("event_type") != "view").select("event_id", "value"),
-        ]
-    )
+    customers = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_acctbal").alias("balance"), F.col("s_name").alias("name"))
+    return flatten.union_ragged([customers, suppliers])
 
 
 @query(

@@ -107,14 +107,27 @@ def processed_totals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "processed_concat",
-    " union all ".join(
-        f"select key, '{bucket}' as bucket from ({DESCRIBED_SQL}) where {BUCKET_SQL} = '{bucket}'" for bucket in ROUTES
-    ),
+    """
+select source || '/' || doc_id as key, 'documents' as bucket from documents
+union all select url, 'others' from pages union all select cast(vec_id as varchar), 'geospatial_raster' from embeddings
+""",
 )
 def processed_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = [
+        table(spark, sf_dir, "documents").select(F.concat_ws("/", "source", "doc_id").alias("key"), F.lit("documents").alias("bucket")),
+        table(spark, sf_dir, "pages").select(F.lit("others").alias("bucket"), F.col("url").alias("key")),
+        table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("key"), F.lit("geospatial_raster").alias("bucket")),
+    ]
+    return catalog.concat_results(results)
+
+
+@query(
+    "routed_files",
+    f"select key, category from ({DESCRIBED_SQL}) where {BUCKET_SQL} = 'geospatial_vector'",
+)
+def routed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = catalog.describe_files(files_of(table(spark, sf_dir, "documents")).select("key"))
-    branches = [df.select("key", "bucket") for df in catalog.routed(described).values()]
-    return catalog.concat_results(branches)
+    return catalog.routed(described)["geospatial_vector"].select("key", "category")
 
 
 @query("semi_supported", f"select key, extension from (select *, {EXTENSION_SQL} as extension from ({FILES_SQL})) semi join (select ext as extension from {FORMATS_SQL}) using (extension)")

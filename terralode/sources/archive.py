@@ -6,17 +6,22 @@ import bz2
 import gzip
 import io
 import lzma
+import sys
 import tarfile
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralode.functions.names import basename, file_extension
 from terralode.session import shared_dir
 from terralode.sources.listing import read_files
 
+# The functions run in tasks travel with the job: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MEMBER_SCHEMA = "archive string, member string, size bigint, content binary, error string"
 ARROW_SCHEMA = pa.schema(
     [("archive", pa.string()), ("member", pa.string()), ("size", pa.int64()), ("content", pa.binary()), ("error", pa.string())]

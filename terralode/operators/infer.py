@@ -37,6 +37,25 @@ def value_kind(col: Column) -> Column:
     )
 
 
+def kind_counts(names: Sequence[str], n_rows: Column | None = None) -> Column:
+    """Aggregate over kind columns ``k0``, ``k1``...: one struct of counts per named column."""
+    n_rows = F.count(F.lit(1)) if n_rows is None else n_rows
+    return F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("column_name"),
+                n_rows.alias("n_rows"),
+                F.count(f"k{i}").alias("n_values"),
+                F.count_if(F.col(f"k{i}") == BIGINT).alias("n_bigint"),
+                F.count_if(F.col(f"k{i}") <= LONG_DIGITS).alias("n_digits"),
+                F.count_if(F.col(f"k{i}") <= DOUBLE).alias("n_double"),
+                F.count_if(F.col(f"k{i}") == BOOLEAN).alias("n_boolean"),
+            )
+            for i, name in enumerate(names)
+        ]
+    )
+
+
 def column_profile(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """One row per text column: how many values there are and how many read as each type.
 
@@ -45,19 +64,7 @@ def column_profile(df: DataFrame, names: Sequence[str] | None = None) -> DataFra
     """
     names = list(df.columns if names is None else names)
     kinds = df.select([value_kind(named(name)).alias(f"k{i}") for i, name in enumerate(names)])
-    counts = [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count(f"k{i}").alias("n_values"),
-            F.count_if(F.col(f"k{i}") == BIGINT).alias("n_bigint"),
-            F.count_if(F.col(f"k{i}") <= LONG_DIGITS).alias("n_digits"),
-            F.count_if(F.col(f"k{i}") <= DOUBLE).alias("n_double"),
-            F.count_if(F.col(f"k{i}") == BOOLEAN).alias("n_boolean"),
-        )
-        for i, name in enumerate(names)
-    ]
-    return kinds.agg(F.array(*counts).alias("columns")).select(F.inline("columns"))
+    return kinds.agg(kind_counts(names).alias("columns")).select(F.inline("columns"))
 
 
 def inferred_type() -> Column:
@@ -103,6 +110,12 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.select([typed(n) for n in df.columns])
 
 
+def null_tokens_to_null(df: DataFrame, tokens: list[str], names: Sequence[str] | None = None) -> DataFrame:
+    """Missing-value texts of the named columns to null."""
+    names = df.columns if names is None else names
+    return df.select([(na_to_null(named(n), tokens) if n in names else named(n)).alias(n) for n in df.columns])
+
+
 def type_columns(df: DataFrame, na_tokens: list[str] = NA_TOKENS) -> DataFrame:
     """Missing-value texts to null, then every text column to the type its values have.
 
@@ -110,9 +123,7 @@ def type_columns(df: DataFrame, na_tokens: list[str] = NA_TOKENS) -> DataFrame:
     one small row per column reaches the driver.
     """
     texts = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
-    nulled = df.select(
-        [(na_to_null(named(n), na_tokens) if n in texts else named(n)).alias(n) for n in df.columns]
-    )
+    nulled = null_tokens_to_null(df, na_tokens, texts)
     if not texts:
         return nulled
     found = {r["column_name"]: r["data_type"] for r in infer_types(nulled, texts).collect()}

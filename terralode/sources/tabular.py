@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import csv
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from terralode.functions.cleaning import NA_TOKENS, na_to_null, named
-from terralode.operators.infer import type_columns
+from terralode.operators.infer import (
+    apply_types,
+    inferred_type,
+    kind_counts,
+    null_tokens_to_null,
+    type_columns,
+    value_kind,
+)
 
 # Separators looked for in a header line, the likeliest first.
 SEPARATORS = [",", "\t", ";", " ", ":", "|"]
@@ -27,54 +36,97 @@ def unique_names(names: list[str | None], case_sensitive: bool = False) -> list[
     return out
 
 
-def has_split_records(spark: SparkSession, path: str, encoding: str = "UTF-8") -> bool:
-    """Whether some quoted field holds a line break.
+def odd_quotes(line: Column) -> Column:
+    """Whether a line ends inside a quoted field, so that its record goes on in the next."""
+    return (F.length(line) - F.length(F.translate(line, '"', ""))) % 2 == 1
+
+
+def text_lines(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
+    """Lines that are not blank; a delimited reader skips the others too."""
+    return spark.read.option("encoding", encoding).text(path).filter(F.trim("value") != "")
 
-    Such a field leaves an odd number of quotes on a line. The lines are read in
-    parallel, and only a file that has such a line must be read as a whole.
-    """
-    lines = spark.read.option("encoding", encoding).text(path)
-    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
-    return not lines.filter(quotes % 2 == 1).isEmpty()
 
+def first_line(spark: SparkSession, path: str | list[str], encoding: str) -> str | None:
+    row = text_lines(spark, path, encoding).first()
+    return row["value"] if row else None
 
-def sniff_separator(spark: SparkSession, path: str) -> str:
+
+def sniff_separator(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
     """The separator of a text file, from its header line."""
-    first = spark.read.text(path).filter(F.trim("value") != "").first()
-    if first is None:
-        return ","
-    outside_quotes = "".join(first["value"].split('"')[::2])
+    outside_quotes = "".join((first_line(spark, path, encoding) or "").split('"')[::2])
     return next((s for s in SEPARATORS if s in outside_quotes), ",")
 
 
+def csv_options(sep: str, encoding: str, multi_line: bool) -> dict[str, object]:
+    return {
+        "sep": sep,
+        "quote": '"',
+        "escape": '"',
+        "multiLine": multi_line,
+        "encoding": encoding,
+        "nullValue": "",
+        "emptyValue": "",
+    }
+
+
+def header_names(spark: SparkSession, path: str | list[str], sep: str, encoding: str) -> tuple[str | None, list[str]]:
+    """The header line and the names in it; no line when the header itself holds a line break."""
+    line = first_line(spark, path, encoding)
+    case_sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
+    if line is None:
+        return None, []
+    if line.count('"') % 2 == 0:
+        return line, unique_names(next(csv.reader([line], delimiter=sep)), case_sensitive)
+    record = spark.read.options(**csv_options(sep, encoding, True)).csv(path).first()
+    return None, unique_names(list(record), case_sensitive)
+
+
+def text_schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
 def read_delimited_text(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     sep: str = ",",
-    multi_line: bool | None = None,
+    multi_line: bool = True,
     encoding: str = "UTF-8",
+    names: list[str] | None = None,
 ) -> DataFrame:
-    """Every column as text, named by the header.
-
-    ``multi_line`` left out is settled by the data, so a file without line breaks
-    inside its fields stays splittable.
-    """
-    if multi_line is None:
-        multi_line = has_split_records(spark, path, encoding)
-    reader = spark.read.options(
-        sep=sep, quote='"', escape='"', multiLine=multi_line, encoding=encoding, header=False, nullValue="", emptyValue=""
+    """Every column as text, named by the header. Only without ``multi_line`` can a file be split."""
+    if names is None:
+        names = header_names(spark, path, sep, encoding)[1]
+    reader = spark.read.options(**csv_options(sep, encoding, multi_line)).options(header=True, enforceSchema=True)
+    return reader.schema(text_schema(names)).csv(path)
+
+
+def line_profile(
+    spark: SparkSession, path: str | list[str], sep: str, encoding: str, header: str, names: list[str], na_tokens: list[str]
+) -> tuple[dict[str, str], int, int]:
+    """Column types, lines that end inside quotes, and header lines, from one splittable pass."""
+    options = {k: str(v) for k, v in csv_options(sep, encoding, False).items() if k not in ("multiLine", "encoding")}
+    lines = text_lines(spark, path, encoding).select("value", (F.col("value") == header).alias("is_header"))
+    parsed = lines.withColumn("r", F.from_csv("value", text_schema(names).toDDL(), options))
+    kinds = parsed.select(
+        "is_header",
+        odd_quotes(F.col("value")).alias("odd"),
+        *[
+            F.when(~F.col("is_header"), value_kind(na_to_null(F.col("r").getField(n), na_tokens))).alias(f"k{i}")
+            for i, n in enumerate(names)
+        ],
     )
-    header = reader.csv(path).first()
-    if header is None:
-        return spark.createDataFrame([], T.StructType())
-    names = unique_names(list(header), spark.conf.get("spark.sql.caseSensitive") == "true")
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return reader.option("header", True).option("enforceSchema", True).schema(schema).csv(path)
+    found = kinds.agg(
+        kind_counts(names, F.count_if(~F.col("is_header"))).alias("columns"),
+        F.count_if("odd").alias("odd"),
+        F.count_if("is_header").alias("headers"),
+    )
+    rows = found.select(F.inline("columns"), "odd", "headers").withColumn("data_type", inferred_type()).collect()
+    return {r["column_name"]: r["data_type"] for r in rows}, rows[0]["odd"], rows[0]["headers"]
 
 
 def read_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     sep: str | None = ",",
     schema: str | T.StructType | None = None,
     na_tokens: list[str] = NA_TOKENS,
@@ -83,17 +135,29 @@ def read_delimited(
 ) -> DataFrame:
     """Delimited text with typed columns; ``sep=None`` looks for the separator.
 
-    A given ``schema`` saves the pass that settles the types.
+    One pass over the lines settles the types and whether any record goes over
+    several lines; only then must a file be read as a whole. A given ``schema``
+    with ``multi_line`` saves that pass.
     """
     if sep is None:
-        sep = sniff_separator(spark, path)
-    text = read_delimited_text(spark, path, sep, multi_line, encoding)
-    if schema is None:
+        sep = sniff_separator(spark, path, encoding)
+    header, names = header_names(spark, path, sep, encoding)
+    if not names:
+        return spark.createDataFrame([], T.StructType() if schema is None else schema)
+    if schema is not None:
+        if multi_line is None:
+            multi_line = not text_lines(spark, path, encoding).filter(odd_quotes(F.col("value"))).isEmpty()
+        text = read_delimited_text(spark, path, sep, multi_line, encoding, names)
+        wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        return text.select([na_to_null(named(f.name), na_tokens).try_cast(f.dataType).alias(f.name) for f in wanted])
+    if multi_line is None and header is not None:
+        types, odd, headers = line_profile(spark, path, sep, encoding, header, names, na_tokens)
+        text = read_delimited_text(spark, path, sep, odd > 0, encoding, names)
+        # A line equal to the header further down is data the profile has left out.
+        if odd == 0 and headers == len(text.inputFiles()):
+            return apply_types(null_tokens_to_null(text, na_tokens), types)
         return type_columns(text, na_tokens)
-    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    return text.select(
-        [na_to_null(named(f.name), na_tokens).try_cast(f.dataType).alias(f.name) for f in wanted]
-    )
+    return type_columns(read_delimited_text(spark, path, sep, multi_line is not False, encoding, names), na_tokens)
 
 
 def read_csv(spark: SparkSession, path: str, **options) -> DataFrame:

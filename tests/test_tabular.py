@@ -9,7 +9,6 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 
 from terralode.operators.infer import type_columns
 from terralode.sources.tabular import (
-    has_split_records,
     read_csv,
     read_delimited,
     read_parquet,
@@ -98,9 +97,41 @@ def test_quoted_separator_does_not_count(spark, tmp_path):
     assert sniff_separator(spark, put(tmp_path, "data.txt", '"a,b";c\n1;2\n')) == ";"
 
 
-def test_only_files_with_split_records_are_read_whole(spark, tmp_path):
-    assert not has_split_records(spark, put(tmp_path, "plain.csv", CASES["sample"]))
-    assert has_split_records(spark, put(tmp_path, "broken.csv", CASES["line_breaks"]))
+def test_a_plain_file_is_read_in_splits(spark, tmp_path):
+    path = put(tmp_path, "plain.csv", "id,s\n" + "".join(f"{i},x{i}\n" for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = read_csv(spark, path)
+        assert df.rdd.getNumPartitions() > 5
+        assert df.count() == 20_000 and df.agg({"id": "sum"}).first()[0] == sum(range(20_000))
+        broken = put(tmp_path, "broken.csv", "id,s\n" + "".join(f'{i},"x\n{i}"\n' for i in range(5_000)))
+        whole = read_csv(spark, broken)
+        assert whole.rdd.getNumPartitions() == 1
+        assert whole.count() == 5_000 and whole.filter("s like '%\n%'").count() == 5_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_header_line_further_down_is_data(spark, tmp_path):
+    text = "a,b\n1,2\na,b\n3,4\n"
+    same_as_pandas(read_csv(spark, put(tmp_path, "data.csv", text)), pd.read_csv(io.StringIO(text)))
+
+
+def test_header_with_a_line_break(spark, tmp_path):
+    text = '"a\nb",c\n1,2\n'
+    same_as_pandas(read_csv(spark, put(tmp_path, "data.csv", text)), pd.read_csv(io.StringIO(text)))
+
+
+def test_folder_of_parts(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    for i in range(3):
+        put(tmp_path / "d", f"p{i}.csv", f"id,x\n{i},{i}.5\n")
+    df = read_csv(spark, str(tmp_path / "d"))
+    assert sorted(tuple(r) for r in df.collect()) == [(0, 0.5), (1, 1.5), (2, 2.5)]
+
+
+def test_file_without_any_line(spark, tmp_path):
+    assert read_csv(spark, put(tmp_path, "data.csv", "")).columns == []
 
 
 def test_schema_given(spark, tmp_path):

@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terralode.functions.names import file_extension, table_name
+from terralode.functions.names import table_name
 from terralode.operators.catalog import ledger_additions, new_files
-from terralode.plans.runner import run_each
+from terralode.plans.runner import RESULT_SCHEMA, run_each
+from terralode.session import local_rows, shared_dir
 from terralode.sinks.parquet import append_to_ledger, write_table
-from terralode.sources.listing import if_exists, list_keys
-from terralode.sources.registry import read_tables, stem_of
-from terralode.session import local_rows
+from terralode.sources.archive import read_archives, save_members, stage_members
+from terralode.sources.listing import if_exists, list_keys, relative_key, source_path
+from terralode.sources.registry import (
+    PARQUET_EXTENSIONS,
+    TABLE_READERS,
+    TEXT_EXTENSIONS,
+    must_unpack,
+    read_staged,
+    read_tables,
+    stem_of,
+)
+from terralode.sources.tabular import read_csv
 
 LEDGER_SCHEMA = "key string"
 
@@ -36,27 +48,64 @@ def convert_file(spark: SparkSession, source: str, target: str, prefix_with_stem
     return written
 
 
+def convert_archives(spark: SparkSession, source: str, keys: list[str], target: str, workers: int = 7) -> DataFrame:
+    """Convert the members of the archives with the given keys under a source.
+
+    All archives are opened by one job. Each gives a row for itself and one per
+    member, whose key is the archive's and the member's.
+    """
+    archives = read_archives(spark, [f"{source.rstrip('/')}/{key}" for key in keys])
+    members = save_members(archives, shared_dir(spark, "members"))
+    staged = stage_members(members, TEXT_EXTENSIONS, PARQUET_EXTENSIONS)
+    key = relative_key(source, F.col("archive")).alias("key")
+    rows = members.select(key, "member", "ext", "table", "error").collect()
+    whole = {key: (key, None, True, None) for key in keys}
+    unread, todo = [], {}
+    for row in rows:
+        name = f"{row['key']}!{row['member']}"
+        if row["member"] is None:
+            whole[row["key"]] = (row["key"], None, False, row["error"])
+        elif row["error"] or row["ext"] not in TABLE_READERS:
+            unread.append((name, None, False, row["error"] or f"no reader for .{row['ext']}"))
+        else:
+            todo[name] = (row["ext"], row["table"])
+
+    def convert(name: str) -> list[str]:
+        ext, table = todo[name]
+        write_table(read_staged(spark, staged, ext, table), f"{target}/{stem_of(table)}.parquet")
+        return [stem_of(table)]
+
+    converted = run_each(spark, sorted(todo), convert, workers)
+    return converted.unionByName(local_rows(spark, [*whole.values(), *unread], RESULT_SCHEMA))
+
+
 def convert_new_files(spark: SparkSession, source: str, target: str, ledger: str, workers: int = 7) -> DataFrame:
-    """Convert what the ledger does not hold yet, then add to it what succeeded."""
-    known = read_ledger(spark, ledger)
-    todo = new_files(list_keys(spark, source), known).orderBy("key")
-    results = run_each(
-        spark,
-        (row["key"] for row in todo.toLocalIterator()),
-        lambda key: convert_file(spark, f"{source.rstrip('/')}/{key}", target),
-        workers,
-    )
-    done = results.filter("ok").select("key")
+    """Convert what the ledger does not hold yet, then add to it what succeeded.
+
+    Plain files are independent jobs run side by side; all archives are opened
+    together by one. An archive that opened is done, whatever its members hold.
+    """
+    todo = new_files(list_keys(spark, source), read_ledger(spark, ledger)).orderBy("key")
+    path_of = lambda key: f"{source.rstrip('/')}/{key}"
+    keys = [row["key"] for row in todo.toLocalIterator()]
+    plain = [key for key in keys if not must_unpack(key)]
+    archives = [key for key in keys if must_unpack(key)]
+    results = run_each(spark, plain, lambda key: convert_file(spark, path_of(key), target), workers)
+    if archives:
+        results = results.unionByName(convert_archives(spark, source, archives, target, workers))
+    done = results.filter("ok").select("key").join(local_rows(spark, [(k,) for k in keys], LEDGER_SCHEMA), "key", "left_semi")
     append_to_ledger(ledger_additions(read_ledger(spark, ledger), done), ledger)
-    return results.withColumn("extension", file_extension(F.col("key")))
+    return results
 
 
-def convert_same_layout(spark: SparkSession, paths: list[str], target: str, read, key: str = "table") -> str:
-    """Convert many files of one layout in one job, a folder per file.
+def convert_same_layout(
+    spark: SparkSession, paths: list[str], target: str, read: Callable[..., DataFrame] = read_csv
+) -> str:
+    """Convert many files of one layout in one job, a ``table=<name>`` folder per file.
 
-    ``read(spark, paths)`` reads them as one frame. One job takes the place of one
-    per file, and the rebalance splits a large file's rows over several tasks.
+    The files share their column types. One job takes the place of one per file,
+    and the rebalance splits the rows of a large file over several tasks.
     """
-    rows = read(spark, paths).withColumn(key, table_name(F.col("_metadata.file_path")))
-    rows.hint("rebalance", key).write.mode("overwrite").partitionBy(key).parquet(target)
+    rows = read(spark, paths).withColumn("table", table_name(source_path()))
+    rows.hint("rebalance", "table").write.mode("overwrite").partitionBy("table").parquet(target)
     return target

@@ -14,11 +14,18 @@ from terralode.sources.registry import stem_of
 
 
 def table_keys(listing: DataFrame, formats: Sequence[str] = (".parquet",)) -> DataFrame:
-    """Keys that are tables: files with a wanted suffix, or folders with it that hold the files."""
+    """Keys that are tables: files with a wanted suffix, or the folders that hold them.
+
+    Such a folder has the suffix itself, or is the ``table=<name>`` one of a shared write.
+    """
     suffix = "|".join(f.replace(".", r"\.") for f in formats)
-    folder = F.regexp_extract("key", rf"(?i)^(.*?(?:{suffix}))/", 1)
-    key = F.when(folder != "", folder).otherwise(F.col("key"))
-    return listing.select(key.alias("key")).filter(has_suffix(F.col("key"), list(formats))).distinct()
+    folder = F.regexp_extract("key", rf"(?i)^(.*?(?:{suffix})|(?:.*/)?table=[^/]+)/", 1)
+    wanted = listing.filter(has_suffix(F.col("key"), list(formats)))
+    return wanted.select(F.when(folder != "", folder).otherwise(F.col("key")).alias("key")).distinct()
+
+
+def table_of(key: str) -> str:
+    return stem_of(key).removeprefix("table=").upper()
 
 
 def load_parquets(
@@ -35,7 +42,7 @@ def load_parquets(
 
     def load(key: str) -> list[str]:
         df = spark.read.parquet(f"{source.rstrip('/')}/{key}")
-        return [save_table(df, schema, stem_of(key).upper())]
+        return [save_table(df, schema, table_of(key))]
 
     keys = table_keys(list_keys(spark, source), formats).orderBy("key")
     return run_each(spark, (row["key"] for row in keys.toLocalIterator()), load, workers)

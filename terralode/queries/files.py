@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from terralode.queries.registry import query, table
 from terralode.session import shared_dir
 from terralode.sinks.parquet import append_to_ledger, write_by_category, write_table
-from terralode.sources.archive import stage_members, unpack
+from terralode.sources.archive import save_members, stage_members, unpack
 from terralode.sources.listing import list_objects, tail_lines
 from terralode.sources.registry import TABLE_READERS, TEXT_EXTENSIONS
 from terralode.sources.structured import read_geojson_lines, read_json, read_kml, read_xml
@@ -226,7 +226,7 @@ def pack_orders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 @query("archive_tables", f"select *, 2 as copies from ({ORDERS_SQL})")
 def archive_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     zips = orders_as_text(spark, sf_dir).mapInPandas(pack_orders, "path string, content binary")
-    staged = stage_members(unpack(zips), TEXT_EXTENSIONS, ["parquet"])
+    staged = stage_members(save_members(unpack(zips), shared_dir(spark, "members")), TEXT_EXTENSIONS, ["parquet"])
     kept = "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     from_csv = TABLE_READERS["csv"](spark, f"{staged}/ext=csv/*").select(*kept)
     from_parquet = TABLE_READERS["parquet"](spark, f"{staged}/ext=parquet").select(*kept)

@@ -6,12 +6,15 @@ import bz2
 import gzip
 import io
 import lzma
+import re
 import sys
 import tarfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -29,10 +32,14 @@ ARROW_SCHEMA = pa.schema(
 # Members are handed back once they come to this many bytes or rows.
 BATCH_BYTES = 32 * 1024 * 1024
 BATCH_ROWS = 4096
+# Archives up to this size come as a value; a larger one is opened by the task and read in place.
+IN_MEMORY_BYTES = 512 * 1024 * 1024
+# A value of the engine's binary type ends here; a larger member is reported.
+MAX_MEMBER_BYTES = 2**31 - 1024
 
 # Archive kinds by extension, and what one compressed file is read with.
 CONTAINERS = ("zip", "kmz", "tar", "tgz")
-CODECS = {"gz": gzip.decompress, "bz2": bz2.decompress, "xz": lzma.decompress}
+CODECS = {"gz": gzip.open, "bz2": bz2.open, "xz": lzma.open}
 ARCHIVE_EXTENSIONS = CONTAINERS + tuple(CODECS)
 
 # Last bytes of every Parquet file.
@@ -44,30 +51,52 @@ def _extension(name: str) -> str:
     return last.rsplit(".", 1)[-1].lower() if "." in last else ""
 
 
-def _members(name: str, content: bytes) -> Iterator[tuple[str, bytes]]:
-    """Files of an archive, archives inside it opened in turn; member paths are kept."""
+def _contents(name: str, source: BinaryIO) -> Iterator[tuple[str, Callable[[], BinaryIO]]]:
+    """Names of the files in an archive, each with a way to open it."""
     kind = _extension(name)
     if kind in CODECS:
         inner = name[: -len(kind) - 1].rsplit("/", 1)[-1]
-        opened = [(inner if "." in inner else inner + ".txt", CODECS[kind](content))]
+        yield inner if "." in inner else inner + ".txt", lambda: CODECS[kind](source)
     elif kind in ("zip", "kmz"):
-        archive = zipfile.ZipFile(io.BytesIO(content))
-        opened = ((i.filename, archive.read(i)) for i in archive.infolist() if not i.is_dir())
+        archive = zipfile.ZipFile(source)
+        for info in archive.infolist():
+            if not info.is_dir():
+                yield info.filename, lambda info=info: archive.open(info)
     else:
-        archive = tarfile.open(fileobj=io.BytesIO(content), mode="r:*")
-        opened = ((m.name, archive.extractfile(m).read()) for m in archive if m.isfile())
-    for member, data in opened:
-        if _extension(member) in ARCHIVE_EXTENSIONS:
-            for deeper, found in _members(member, data):
-                yield f"{member}/{deeper}", found
+        archive = tarfile.open(fileobj=source, mode="r:*")
+        for info in archive:
+            if info.isfile():
+                yield info.name, lambda info=info: archive.extractfile(info)
+
+
+def _members(name: str, source: BinaryIO) -> Iterator[tuple[str, bytes | None, str | None]]:
+    """Files of an archive, archives inside it opened in turn; member paths are kept."""
+    for member, opened in _contents(name, source):
+        with opened() as stream:
+            if _extension(member) in ARCHIVE_EXTENSIONS:
+                # A decompressed stream is read through as it comes, a member is held.
+                inner = stream if _extension(name) in CODECS else io.BytesIO(stream.read())
+                for deeper, data, problem in _members(member, inner):
+                    yield f"{member}/{deeper}", data, problem
+                continue
+            data = stream.read(MAX_MEMBER_BYTES + 1)
+        if len(data) > MAX_MEMBER_BYTES:
+            yield member, None, "member too large for one value"
         else:
-            yield member, data
+            yield member, data, None
+
 
+def _open(path: str) -> BinaryIO:
+    """A file of any file system the session's paths name, read where it lies."""
+    filesystem, place = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    return filesystem.open_input_file(place)
 
-def _rows(path: str, content: bytes) -> Iterator[tuple]:
+
+def _rows(path: str, content: bytes | None) -> Iterator[tuple]:
     try:
-        for member, data in _members(path, content):
-            yield path, member, len(data), data, None
+        source = _open(path) if content is None else io.BytesIO(content)
+        for member, data, problem in _members(path, source):
+            yield path, member, None if data is None else len(data), data, problem
     except Exception as problem:  # a broken archive is reported, not fatal
         yield path, None, None, None, repr(problem)
 
@@ -78,11 +107,12 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             for row in _rows(path.as_py(), content.as_py()):
-                held.append(row)
-                held_bytes += row[2] or 0
-                if held_bytes >= BATCH_BYTES or len(held) >= BATCH_ROWS:
+                size = row[2] or 0
+                if held and held_bytes + size > BATCH_BYTES or len(held) >= BATCH_ROWS:
                     yield _batch(held)
                     held, held_bytes = [], 0
+                held.append(row)
+                held_bytes += size
     if held:
         yield _batch(held)
 
@@ -94,32 +124,52 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def unpack(archives: DataFrame) -> DataFrame:
-    """Members of archives given as ``(path, content)`` rows; a broken archive gives an error row."""
+    """Members of archives given as ``(path, content)`` rows.
+
+    A null content has the task open the path itself. A broken archive gives an
+    error row.
+    """
     members = archives.select("path", "content").mapInArrow(_unpack, MEMBER_SCHEMA)
     return members.withColumn("ext", file_extension(basename(F.col("member"))))
 
 
-def read_archives(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def unpack_files(files: DataFrame, in_memory: int = IN_MEMORY_BYTES) -> DataFrame:
+    """Members of listed archive files, whatever their size."""
+    small = files.filter(F.col("length") <= in_memory).select("path", "content")
+    large = files.filter(F.col("length") > in_memory).select("path", F.lit(None).cast("binary").alias("content"))
+    return unpack(small.unionByName(large))
+
+
+def read_archives(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """Members of every archive below a path."""
-    return unpack(read_files(spark, path, glob))
+    return unpack_files(read_files(spark, path, glob))
+
+
+def save_members(members: DataFrame, path: str) -> DataFrame:
+    """Members as a table by extension, so that archives are opened once however often it is read.
+
+    ``table`` names what a member becomes: archive and member, so that no two collide.
+    """
+    table = F.regexp_replace(F.concat_ws("/", basename(F.col("archive")), "member"), r"[^\w.\-]+", "_")
+    named = members.withColumn("table", table)
+    named.write.mode("overwrite").partitionBy("ext").parquet(path)
+    # The given schema keeps an extension such as 001 a text.
+    return members.sparkSession.read.schema(named.schema).parquet(path)
 
 
 def stage_members(members: DataFrame, texts: list[str], parquets: list[str] = ()) -> str:
-    """Write members out as files of their own, so the ordinary readers can take them.
+    """Write saved members out as files of their own, so the ordinary readers can take them.
 
     Files go to ``ext=<ext>/table=<name>`` under a fresh shared folder. The text
     sink writes the bytes as they are and ends a file with its line separator; a
     Parquet file gets its own last four bytes back that way.
     """
-    spark = members.sparkSession
-    staged = shared_dir(spark, "members")
+    staged = shared_dir(members.sparkSession, "staged")
     good = members.filter(F.col("error").isNull())
-    table = F.regexp_replace(F.concat_ws("/", basename(F.col("archive")), "member"), r"[^\w.\-]+", "_")
-    named = good.withColumn("table", table)
-    text = named.filter(F.col("ext").isin(list(texts))).select(F.col("content").cast("string").alias("value"), "ext", "table")
+    text = good.filter(F.col("ext").isin(list(texts))).select(F.col("content").cast("string").alias("value"), "ext", "table")
     text.write.mode("append").partitionBy("ext", "table").text(staged)
     if parquets:
         body = F.expr(f"cast(substring(content, 1, length(content) - {len(PARQUET_MAGIC)}) as string)")
-        binary = named.filter(F.col("ext").isin(list(parquets))).select(body.alias("value"), "ext", "table")
+        binary = good.filter(F.col("ext").isin(list(parquets))).select(body.alias("value"), "ext", "table")
         binary.write.mode("append").option("lineSep", PARQUET_MAGIC).partitionBy("ext", "table").text(staged)
     return staged

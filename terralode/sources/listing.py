@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terralode.functions.names import basename, is_folder_key
 from terralode.session import local_rows
 
 
-def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def read_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """The files below a path. Only the columns used are read, so a listing opens no file."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
@@ -19,10 +19,14 @@ def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return reader.load(path)
 
 
-def relative_key(path: str):
-    """Key of a listed file: its path below ``path``."""
-    root = path.rstrip("/").split(":", 1)[-1].lstrip("/")
-    return F.substring_index(F.col("path"), root + "/", -1)
+def relative_key(root: str, path: Column) -> Column:
+    """Key of a listed file: its path below the root listed."""
+    return F.substring_index(path, root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/", -1)
+
+
+def source_path() -> Column:
+    """Path of the file a row was read from, its escapes undone."""
+    return F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))
 
 
 def list_objects(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -30,7 +34,7 @@ def list_objects(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     return (
         read_files(spark, path, glob)
         .select(
-            relative_key(path).alias("key"),
+            relative_key(path, F.col("path")).alias("key"),
             F.col("length").alias("size_bytes"),
             F.col("modificationTime").alias("last_modified"),
         )

@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralode.session import shared_dir
 from terralode.sinks.tables import create_schema
-from terralode.sources.archive import read_archives, stage_members
+from terralode.sources.archive import read_archives, save_members, stage_members
 from terralode.sources.scripts import export_all_tables, run_sql_script
 from terralode.sources.structured import read_geojson, read_json, read_kml, read_xml
 from terralode.sources.tabular import read_csv, read_parquet, read_tsv, read_txt
@@ -52,12 +52,11 @@ def stem_of(path: str) -> str:
 def read_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The tables of a file by name."""
     ext = extension_of(path)
+    if must_unpack(path):
+        return read_archive_tables(spark, path)
     if ext in TRANSPARENT:
         inner = extension_of(stem_of(path)) or "txt"
-        if inner in TEXT_EXTENSIONS:
-            return {stem_of(stem_of(path)): TABLE_READERS[inner](spark, path)}
-    if ext in ARCHIVES:
-        return read_archive_tables(spark, path)
+        return {stem_of(stem_of(path)): TABLE_READERS[inner](spark, path)}
     if ext == "sql":
         return read_script_tables(spark, path)
     if ext not in TABLE_READERS:
@@ -67,20 +66,31 @@ def read_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 def read_archive_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """A table per readable member, named by archive and member so that no two collide."""
-    members = read_archives(spark, path)
+    members = save_members(read_archives(spark, path), shared_dir(spark, "members"))
     staged = stage_members(members, TEXT_EXTENSIONS, PARQUET_EXTENSIONS)
-    return read_staged_tables(spark, staged)
-
-
-def read_staged_tables(spark: SparkSession, staged: str) -> dict[str, DataFrame]:
-    """A table per staged member file."""
-    folders = spark.read.format("binaryFile").load(staged).select("ext", "table").distinct().collect()
     return {
-        stem_of(row["table"]): TABLE_READERS[row["ext"]](spark, f"{staged}/ext={row['ext']}/table={row['table']}")
-        for row in folders
+        stem_of(row["table"]): read_staged(spark, staged, row["ext"], row["table"])
+        for row in readable(members).select("ext", "table").collect()
     }
 
 
+def readable(members: DataFrame) -> DataFrame:
+    """Saved members some reader takes."""
+    return members.filter(F.col("error").isNull() & F.col("ext").isin(list(TABLE_READERS)))
+
+
+def read_staged(spark: SparkSession, staged: str, ext: str, table: str) -> DataFrame:
+    """The table of one staged member."""
+    return TABLE_READERS[ext](spark, f"{staged}/ext={ext}/table={table}")
+
+
+def must_unpack(key: str) -> bool:
+    """Whether a file is read by way of its members."""
+    ext = extension_of(key)
+    inner = extension_of(stem_of(key)) or "txt"
+    return ext in ARCHIVES and not (ext in TRANSPARENT and inner in TEXT_EXTENSIONS)
+
+
 def read_script_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The tables a SQL script makes, in a schema of its own under the shared folder."""
     script = spark.read.text(path, wholetext=True).first()["value"]

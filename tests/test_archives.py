@@ -10,7 +10,8 @@ import zipfile
 import pandas as pd
 import pytest
 
-from terralode.sources.archive import read_archives
+from terralode.sources.archive import read_archives, save_members, unpack_files
+from terralode.sources.listing import read_files
 from terralode.sources.registry import NoReader, read_tables
 
 CSV = b"id,name\n1,Alice\n2,Bob\n3,Charlie\n"
@@ -94,6 +95,20 @@ def test_many_members(spark, tmp_path):
     assert read_archives(spark, str(tmp_path)).select("member").distinct().count() == 5000
 
 
+@pytest.mark.parametrize("name", ONE_TABLE)
+def test_archives_too_large_for_a_value_are_opened_in_place(spark, tmp_path, name):
+    (tmp_path / name).write_bytes(ONE_TABLE[name])
+    (row,) = unpack_files(read_files(spark, str(tmp_path)), in_memory=0).collect()
+    assert row["error"] is None and bytes(row["content"]) == CSV
+
+
+def test_saved_members_are_read_by_extension(spark, tmp_path):
+    (tmp_path / "z.zip").write_bytes(zip_bytes({"a.csv": CSV, "b.bin": b"\x00", "c": b"x"}))
+    saved = save_members(read_archives(spark, str(tmp_path / "z.zip")), str(tmp_path / "members"))
+    assert sorted((r["table"], r["size"]) for r in saved.collect()) == [("z.zip_a.csv", len(CSV)), ("z.zip_b.bin", 1), ("z.zip_c", 1)]
+    assert saved.filter("ext = 'csv'").count() == 1
+
+
 def test_no_reader(spark, tmp_path):
     with pytest.raises(NoReader):
         read_tables(spark, str(tmp_path / "plan.dwg"))

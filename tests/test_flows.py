@@ -28,7 +28,6 @@ from terralode.sinks.tables import (
 from terralode.sources.listing import probe_tables
 from terralode.sources.registry import read_tables
 from terralode.sources.scripts import export_all_tables, run_sql_script, spark_statement, statements, user_tables
-from terralode.sources.tabular import read_delimited_text
 from terralode.streaming.incremental import incremental_ingest, on_new_files
 
 SCRIPT = """
@@ -132,6 +131,8 @@ def write_sources(folder):
     (folder / "archives").mkdir()
     with zipfile.ZipFile(folder / "archives" / "z.zip", "w") as z:
         z.writestr("m.csv", "k,v\n1,2\n")
+        z.writestr("n.dwg", "no reader")
+    (folder / "archives" / "broken.zip").write_text("not a zip")
 
 
 def test_convert_twice_takes_each_file_once(spark, tmp_path, rows):
@@ -140,7 +141,10 @@ def test_convert_twice_takes_each_file_once(spark, tmp_path, rows):
     first = rows(run(), "key", "table", "ok")
     assert first == sorted(
         [
-            ("archives/z.zip", "z.zip_m", True),
+            ("archives/broken.zip", None, False),
+            ("archives/z.zip", None, True),
+            ("archives/z.zip!m.csv", "z.zip_m", True),
+            ("archives/z.zip!n.dwg", None, False),
             ("others/bad.dwg", None, False),
             ("others/r.json", "r", True),
             ("tabular/UPPER.CSV", "UPPER", True),
@@ -149,7 +153,8 @@ def test_convert_twice_takes_each_file_once(spark, tmp_path, rows):
         ],
         key=repr,
     )
-    assert rows(run(), "key", "ok") == [("others/bad.dwg", False)]
+    assert rows(run(), "key", "ok") == [("archives/broken.zip", False), ("others/bad.dwg", False)]
+    assert rows(spark.read.parquet(str(tmp_path / "out" / "z.zip_m.parquet")), "k", "v") == [(1, 2)]
     assert read_ledger(spark, str(tmp_path / "ledger")).count() == 5
     assert rows(spark.read.parquet(str(tmp_path / "out" / "people.parquet")), "id", "nom") == [(1, "Éloïse"), (2, "Bob")]
 
@@ -186,17 +191,15 @@ def test_table_keys(spark, rows):
     assert rows(table_keys(listing)) == [("a.parquet",), ("b.PARQUET",)]
 
 
-def test_same_layout_in_one_job(spark, tmp_path, rows):
-    for name in ("jan", "feb"):
+def test_same_layout_in_one_job(spark, tmp_path, schema, rows):
+    for name in ("jan 24", "feb"):
         (tmp_path / f"{name}.csv").write_text(f"id,m\n1,{name}\n2,{name}\n")
-    read = lambda s, paths: read_delimited_text(s, paths, multi_line=False)
-    convert_same_layout(spark, [str(tmp_path / "jan.csv"), str(tmp_path / "feb.csv")], str(tmp_path / "out"), read)
-    assert rows(spark.read.parquet(str(tmp_path / "out")), "table", "id", "m") == [
-        ("feb", "1", "feb"),
-        ("feb", "2", "feb"),
-        ("jan", "1", "jan"),
-        ("jan", "2", "jan"),
-    ]
+    convert_same_layout(spark, [str(tmp_path / "jan 24.csv"), str(tmp_path / "feb.csv")], str(tmp_path / "out"))
+    got = rows(spark.read.parquet(str(tmp_path / "out")), "table", "id", "m")
+    assert got == [("feb", 1, "feb"), ("feb", 2, "feb"), ("jan 24", 1, "jan 24"), ("jan 24", 2, "jan 24")]
+    results = load_parquets(spark, str(tmp_path / "out"), schema)
+    assert rows(results, "table", "ok") == [("FEB", True), ("JAN_24", True)]
+    assert spark.table(quoted(schema, "FEB")).columns == ["id", "m"]
 
 
 def test_ingest_selection(spark, rows):

@@ -31,6 +31,14 @@ def paragraph_columns(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def styled_paragraphs(df: DataFrame, items: str = "paragraphs", keep: Sequence[str] = ()) -> DataFrame:
+    """Paragraph rows of documents given as arrays of ``(text, style)``, the style kept."""
+    rows = df.select(*[named(k) for k in keep], F.posexplode(named(items)).alias("pos", "item"))
+    flat = rows.select(*[named(k) for k in keep], "pos", "item.text", "item.style")
+    numbered = paragraph_columns(flat, [*keep, "style"])
+    return numbered.select(*[named(k) for k in keep], "paragraph_number", "text", "style", "char_count", "word_count")
+
+
 def pages(df: DataFrame, text: str = "text", keep: Sequence[str] = (), sep: str = "\f") -> DataFrame:
     """One row per page, blank pages included."""
     rows = df.select(*[named(k) for k in keep], F.posexplode(F.split(named(text), sep)).alias("pos", "text"))

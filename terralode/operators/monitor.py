@@ -20,6 +20,13 @@ def capped_listing(listing: DataFrame, max_keys: int = 5000) -> DataFrame:
     return first.withColumn("size", bytes_human(F.col("size_bytes"))).orderBy(F.col("last_modified").desc())
 
 
+def latest_with_suffix(listing: DataFrame, suffixes: Sequence[str] = (".parquet",), n: int = 200) -> DataFrame:
+    """The newest objects of a kind, as shown in a panel."""
+    kind = listing.filter(has_suffix(F.col("key"), list(suffixes)))
+    newest = kind.orderBy(F.col("last_modified").desc_nulls_last(), "key").limit(n)
+    return newest.select("key", bytes_human(F.col("size_bytes")).alias("size"), "last_modified")
+
+
 def volume_kpis(listing: DataFrame) -> DataFrame:
     """Number of objects, their total size and the latest change."""
     return listing.agg(
@@ -138,6 +145,15 @@ def model_counts(models: DataFrame, layer: str = "layer") -> DataFrame:
     return models.groupBy(layer).agg(F.count(F.lit(1)).alias("models"))
 
 
+def artifact_kpis(models: DataFrame, manifest: DataFrame | None, layer: str = "layer") -> DataFrame:
+    """Whether there is a manifest, and how many bronze and silver models."""
+    return models.agg(
+        F.lit(manifest is not None).alias("has_manifest"),
+        F.count_if(F.col(layer) == "bronze").alias("bronze_models"),
+        F.count_if(F.col(layer) == "silver").alias("silver_models"),
+    )
+
+
 def health(states: DataFrame, parquet_files: DataFrame, roles: dict[str, str]) -> DataFrame:
     """Alerts over the latest states; ``roles`` names the workflow of each step.
 

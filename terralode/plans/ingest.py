@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralode.functions.measures import now_text
 from terralode.operators.catalog import (
@@ -15,6 +15,19 @@ from terralode.operators.monitor import ingestion_totals
 from terralode.operators.quality import require_not_all_failed, require_positive, require_rows
 
 
+# Metadata of a dataset as the catalogue publishes it; other fields are not read.
+DATASET_SCHEMA = (
+    "slug string, title string, last_update timestamp_ntz, "
+    "resources array<struct<format string, url string, title string>>"
+)
+
+
+def landed_datasets(spark: SparkSession, path: str, slugs: list[str] = (), lines: bool = False) -> DataFrame:
+    """Dataset metadata landed as JSON, of all datasets or of the named ones."""
+    datasets = spark.read.schema(DATASET_SCHEMA).option("multiLine", not lines).json(path)
+    return datasets.filter(F.col("slug").isin(list(slugs))) if slugs else datasets
+
+
 def newest_datasets(datasets: DataFrame, n: int = 3) -> DataFrame:
     """The most recently updated datasets with their metadata; stops when there are none."""
     slugs = require_rows(last_updated(datasets, n), "no dataset listed")

@@ -34,6 +34,27 @@ def doc_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.paragraphs(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+@query(
+    "styled_paragraphs",
+    f"""
+with p as (
+  select doc_id, unnest(string_split(text, chr(10))) as text,
+         generate_subscripts(string_split(text, chr(10)), 1) as n from documents
+)
+select doc_id, cast(n as integer) as paragraph_number, text, case when n = 1 then 'Title' else 'Normal' end as style,
+       cast(length(text) as integer) as char_count, {words_sql('text')} as word_count
+from p where {words_sql('text')} > 0
+""",
+)
+def styled_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = F.transform(
+        F.split("text", "\n"),
+        lambda t, i: F.struct(t.alias("text"), F.when(i == 0, "Title").otherwise("Normal").alias("style")),
+    )
+    documents = table(spark, sf_dir, "documents").select("doc_id", items.alias("paragraphs"))
+    return flatten.styled_paragraphs(documents, keep=["doc_id"])
+
+
 @query(
     "doc_pages",
     f"""

@@ -241,6 +241,17 @@ def capped_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.capped_listing(listing_of(table(spark, sf_dir, "events")), 5000)
 
 
+@query(
+    "latest_parquet",
+    f"""
+select key, {human_sql('size_bytes')} as size, last_modified
+from (select * from ({LISTING_SQL}) where lower(key) like '%.parquet' order by last_modified desc, key limit 200)
+""",
+)
+def latest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitor.latest_with_suffix(listing_of(table(spark, sf_dir, "events")), [".parquet"], 200)
+
+
 @query(
     "count_parquet",
     f"select count(*) filter (where lower(key) like '%.parquet') as files from ({LISTING_SQL})",

@@ -81,6 +81,26 @@ def new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.new_files(listing, ledger_of(spark, sf_dir))
 
 
+SCANNED_SQL = f"""
+  select key, folder as source_folder, extension, coalesce(f.category, 'unknown') as category
+  from (select 'raw/' || case when lang = 'en' then 'tabular' when lang = 'fr' then 'geospatial_vector' else 'misc' end || '/' || key as key,
+               case when lang = 'en' then 'tabular' when lang = 'fr' then 'geospatial_vector' end as folder, {EXTENSION_SQL} as extension
+        from ({FILES_SQL}) where doc_id not in (select doc_id from labels))
+  left join {FORMATS_SQL} on f.ext = extension
+  where folder is not null
+"""
+
+
+@query("scan_new_files", SCANNED_SQL)
+def scan_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = F.when(F.col("lang") == "en", "tabular").when(F.col("lang") == "fr", "geospatial_vector").otherwise("misc")
+    filed = lambda files: files.select(F.concat(F.lit("raw/"), folder, F.lit("/"), "key").alias("key"), "doc_id")
+    files = filed(files_of(table(spark, sf_dir, "documents")))
+    ledger = files.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    found = catalog.scan_new_files(files.select("key"), ledger, "raw/")
+    return found.select("key", "source_folder", "extension", "category")
+
+
 EN_FILES_SQL = f"select key from ({FILES_SQL}) where lang = 'en'"
 
 

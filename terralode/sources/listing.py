@@ -86,6 +86,11 @@ def tail_lines(spark: SparkSession, path: str, n: int = 200) -> DataFrame:
     return last.orderBy("part", "block", "nth")
 
 
+def probe_session(spark: SparkSession) -> DataFrame:
+    """Whether the engine answers: its version, the catalog in use, and a word."""
+    return spark.sql("SELECT version() AS version, current_catalog() AS catalog, 'ok' AS status")
+
+
 def list_tables(spark: SparkSession, schema: str) -> DataFrame:
     """Tables of a schema, as the catalog lists them."""
     return spark.sql(f"SHOW TABLES IN `{schema}`").filter(~F.col("isTemporary")).select("tableName")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terralode.plans.convert import convert_file, convert_new_files, convert_same_layout, read_ledger
-from terralode.plans.ingest import check_fetches, check_selection, newest_datasets, select_resources
+from terralode.plans.ingest import check_fetches, check_selection, landed_datasets, newest_datasets, select_resources
 from terralode.plans.load import created_tables, load_parquets, table_keys
 from terralode.plans.medallion import build_models
 from terralode.operators.quality import GateError
@@ -25,7 +25,7 @@ from terralode.sinks.tables import (
     schema_for,
     split_to_tables,
 )
-from terralode.sources.listing import probe_tables
+from terralode.sources.listing import probe_session, probe_tables
 from terralode.sources.registry import read_tables
 from terralode.sources.scripts import export_all_tables, run_sql_script, spark_statement, statements, user_tables
 from terralode.streaming.incremental import incremental_ingest, on_new_files
@@ -223,6 +223,20 @@ def test_ingest_selection(spark, rows):
         check_fetches(spark.createDataFrame([(500, None)], "status int, error string"))
 
 
+def test_landed_metadata(spark, tmp_path, rows):
+    meta = {"slug": "a", "title": "A", "last_update": "2024-01-03T10:00:00", "resources": [{"format": "csv", "url": "u.csv", "title": "t", "id": 9}], "more": {}}
+    (tmp_path / "a.json").write_text(json.dumps(meta, indent=1))
+    (tmp_path / "b.json").write_text(json.dumps({"slug": "b"}))
+    assert rows(landed_datasets(spark, str(tmp_path)), "slug") == [("a",), ("b",)]
+    one = landed_datasets(spark, str(tmp_path), ["a"])
+    assert rows(select_resources(one), "slug", "url", "ext") == [("a", "u.csv", "csv")]
+
+
+def test_session_probe(spark):
+    row = probe_session(spark).first()
+    assert row["status"] == "ok" and row["version"].startswith("4")
+
+
 def test_stream_takes_each_file_once(spark, tmp_path, rows):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     run = lambda: incremental_ingest(spark, source, target, checkpoint, "id bigint", transform=lambda df: df.filter("id <> 2"), max_files=1)

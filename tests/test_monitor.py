@@ -100,6 +100,12 @@ def test_health(spark, states, files, want):
     assert monitor.health(frame, count, roles).first()["alerts"] == want
 
 
+def test_artifacts(spark, rows):
+    models = spark.createDataFrame([("bronze",), ("silver",), ("bronze",)], "layer string")
+    assert rows(monitor.artifact_kpis(models, None), "has_manifest", "bronze_models", "silver_models") == [(False, 2, 1)]
+    assert rows(monitor.artifact_kpis(models.limit(0), spark.range(1)), "has_manifest", "bronze_models", "silver_models") == [(True, 0, 0)]
+
+
 def test_totals(spark, rows):
     selected = spark.createDataFrame([("a", 2), ("b", 3)], "slug string, resources bigint")
     assert rows(monitor.ingestion_totals(selected), "datasets", "files") == [(2, 5)]

@@ -116,13 +116,13 @@ def null_tokens_to_null(df: DataFrame, tokens: list[str], names: Sequence[str] |
     return df.select([(na_to_null(named(n), tokens) if n in names else named(n)).alias(n) for n in df.columns])
 
 
-def type_columns(df: DataFrame, na_tokens: list[str] = NA_TOKENS) -> DataFrame:
-    """Missing-value texts to null, then every text column to the type its values have.
+def type_columns(df: DataFrame, na_tokens: list[str] = NA_TOKENS, names: Sequence[str] | None = None) -> DataFrame:
+    """Missing-value texts to null, then text columns (all, or the named) to the type their values have.
 
     The types are settled by one pass over the data before this returns; only
     one small row per column reaches the driver.
     """
-    texts = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+    texts = [f.name for f in df.schema if f.dataType.simpleString() == "string" and (names is None or f.name in names)]
     nulled = null_tokens_to_null(df, na_tokens, texts)
     if not texts:
         return nulled

@@ -14,11 +14,11 @@ from terralode.sinks.parquet import append_to_ledger, write_table
 from terralode.sources.archive import read_archives, save_members, stage_members
 from terralode.sources.listing import if_exists, list_keys, relative_key, source_path
 from terralode.sources.registry import (
+    MEMBER_EXTENSIONS,
     PARQUET_EXTENSIONS,
-    TABLE_READERS,
     TEXT_EXTENSIONS,
     must_unpack,
-    read_staged,
+    read_member,
     read_tables,
     stem_of,
 )
@@ -65,15 +65,17 @@ def convert_archives(spark: SparkSession, source: str, keys: list[str], target:
         name = f"{row['key']}!{row['member']}"
         if row["member"] is None:
             whole[row["key"]] = (row["key"], None, False, row["error"])
-        elif row["error"] or row["ext"] not in TABLE_READERS:
+        elif row["error"] or row["ext"] not in MEMBER_EXTENSIONS:
             unread.append((name, None, False, row["error"] or f"no reader for .{row['ext']}"))
         else:
             todo[name] = (row["ext"], row["table"])
 
     def convert(name: str) -> list[str]:
-        ext, table = todo[name]
-        write_table(read_staged(spark, staged, ext, table), f"{target}/{stem_of(table)}.parquet")
-        return [stem_of(table)]
+        written = []
+        for table, df in read_member(spark, members, staged, *todo[name]).items():
+            write_table(df, f"{target}/{table}.parquet")
+            written.append(table)
+        return written
 
     converted = run_each(spark, sorted(todo), convert, workers)
     return converted.unionByName(local_rows(spark, [*whole.values(), *unread], RESULT_SCHEMA))

@@ -39,6 +39,8 @@ MAX_MEMBER_BYTES = 2**31 - 1024
 
 # Archive kinds by extension, and what one compressed file is read with.
 CONTAINERS = ("zip", "kmz", "tar", "tgz")
+# Files that are zips of XML parts; inside another archive they stay one member.
+ZIPPED_DOCUMENTS = ("xlsx", "ods", "docx")
 CODECS = {"gz": gzip.open, "bz2": bz2.open, "xz": lzma.open}
 ARCHIVE_EXTENSIONS = CONTAINERS + tuple(CODECS)
 
@@ -57,7 +59,7 @@ def _contents(name: str, source: BinaryIO) -> Iterator[tuple[str, Callable[[], B
     if kind in CODECS:
         inner = name[: -len(kind) - 1].rsplit("/", 1)[-1]
         yield inner if "." in inner else inner + ".txt", lambda: CODECS[kind](source)
-    elif kind in ("zip", "kmz"):
+    elif kind in ("zip", "kmz", *ZIPPED_DOCUMENTS):
         archive = zipfile.ZipFile(source)
         for info in archive.infolist():
             if not info.is_dir():

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralode.session import shared_dir
 from terralode.sinks.tables import create_schema
-from terralode.sources.archive import read_archives, save_members, stage_members
+from terralode.sources.archive import ZIPPED_DOCUMENTS, read_archives, save_members, stage_members, unpack
+from terralode.sources.dbase import dbf_table, read_dbf
+from terralode.sources.office import document_tables, open_parts, xml_parts
 from terralode.sources.scripts import export_all_tables, run_sql_script
 from terralode.sources.structured import read_geojson, read_json, read_kml, read_xml
 from terralode.sources.tabular import read_csv, read_parquet, read_tsv, read_txt
@@ -28,9 +30,12 @@ TABLE_READERS: dict[str, Reader] = {
     "kml": read_kml,
     "parquet": read_parquet,
     "pq": read_parquet,
+    "dbf": read_dbf,
 }
-TEXT_EXTENSIONS = [ext for ext in TABLE_READERS if ext not in ("parquet", "pq")]
 PARQUET_EXTENSIONS = ["parquet", "pq"]
+TEXT_EXTENSIONS = [ext for ext in TABLE_READERS if ext not in (*PARQUET_EXTENSIONS, "dbf")]
+# What can be read out of an archive.
+MEMBER_EXTENSIONS = [*TABLE_READERS, *ZIPPED_DOCUMENTS]
 ARCHIVES = ("zip", "tar", "tgz", "kmz", "xz", "gz", "bz2")
 # Compressions Hadoop reads by itself when the inner file is text.
 TRANSPARENT = ("gz", "bz2")
@@ -59,6 +64,9 @@ def read_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
         return {stem_of(stem_of(path)): TABLE_READERS[inner](spark, path)}
     if ext == "sql":
         return read_script_tables(spark, path)
+    if ext in ZIPPED_DOCUMENTS:
+        tables = document_tables(open_parts(spark, path), ext)
+        return {name or stem_of(path): df for (_, name), df in tables.items()}
     if ext not in TABLE_READERS:
         raise NoReader(f"no reader for .{ext}")
     return {stem_of(path): TABLE_READERS[ext](spark, path)}
@@ -68,20 +76,22 @@ def read_archive_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """A table per readable member, named by archive and member so that no two collide."""
     members = save_members(read_archives(spark, path), shared_dir(spark, "members"))
     staged = stage_members(members, TEXT_EXTENSIONS, PARQUET_EXTENSIONS)
-    return {
-        stem_of(row["table"]): read_staged(spark, staged, row["ext"], row["table"])
-        for row in readable(members).select("ext", "table").collect()
-    }
-
-
-def readable(members: DataFrame) -> DataFrame:
-    """Saved members some reader takes."""
-    return members.filter(F.col("error").isNull() & F.col("ext").isin(list(TABLE_READERS)))
-
-
-def read_staged(spark: SparkSession, staged: str, ext: str, table: str) -> DataFrame:
-    """The table of one staged member."""
-    return TABLE_READERS[ext](spark, f"{staged}/ext={ext}/table={table}")
+    readable = members.filter(F.col("error").isNull() & F.col("ext").isin(MEMBER_EXTENSIONS))
+    tables: dict[str, DataFrame] = {}
+    for row in readable.select("ext", "table").collect():
+        tables |= read_member(spark, members, staged, row["ext"], row["table"])
+    return tables
+
+
+def read_member(spark: SparkSession, members: DataFrame, staged: str, ext: str, table: str) -> dict[str, DataFrame]:
+    """The tables of one member: a staged file, or one still in the table of members."""
+    if ext in TABLE_READERS and ext != "dbf":
+        return {stem_of(table): TABLE_READERS[ext](spark, f"{staged}/ext={ext}/table={table}")}
+    held = members.filter((F.col("ext") == ext) & (F.col("table") == table)).select(F.col("table").alias("path"), "content")
+    if ext == "dbf":
+        return {stem_of(table): dbf_table(held)}
+    found = document_tables(xml_parts(unpack(held)), ext)
+    return {"_".join(filter(None, (stem_of(table), name))): df for (_, name), df in found.items()}
 
 
 def must_unpack(key: str) -> bool:

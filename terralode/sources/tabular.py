@@ -26,7 +26,7 @@ def unique_names(names: list[str | None], case_sensitive: bool = False) -> list[
     seen: set[str] = set()
     out = []
     for i, raw in enumerate(names):
-        base = (raw or "").lstrip("﻿") or f"Unnamed: {i}"
+        base = (raw or "").lstrip("\ufeff") or f"Unnamed: {i}"
         name, n = base, 0
         while (name if case_sensitive else name.lower()) in seen:
             n += 1

@@ -112,3 +112,18 @@ def test_saved_members_are_read_by_extension(spark, tmp_path):
 def test_no_reader(spark, tmp_path):
     with pytest.raises(NoReader):
         read_tables(spark, str(tmp_path / "plan.dwg"))
+
+
+def test_workbooks_and_dbase_inside_an_archive(spark, tmp_path, rows):
+    from tests.test_dbase import dbf
+    from tests.test_office import workbook
+
+    sheet = '<row r="1"><c r="A1" t="str"><v>k</v></c></row><row r="2"><c r="A2"><v>5</v></c></row>'
+    book = workbook(tmp_path / "b.xlsx", {"One": sheet, "Two": sheet})
+    with open(book, "rb") as f:
+        members = {"in/b.xlsx": f.read(), "t.dbf": dbf([("id", "N", 3, 0)], [b"   1", b"   2"])}
+    (tmp_path / "in.zip").write_bytes(zip_bytes(members))
+    tables = read_tables(spark, str(tmp_path / "in.zip"))
+    assert set(tables) == {"in.zip_in_b_One", "in.zip_in_b_Two", "in.zip_t"}
+    assert rows(tables["in.zip_in_b_Two"]) == [(5,)]
+    assert rows(tables["in.zip_t"]) == [(1,), (2,)]

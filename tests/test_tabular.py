@@ -147,7 +147,7 @@ def test_encoding(spark, tmp_path):
 
 
 def test_byte_order_mark(spark, tmp_path):
-    assert read_csv(spark, put(tmp_path, "data.csv", "﻿id,x\n1,2\n")).columns == ["id", "x"]
+    assert read_csv(spark, put(tmp_path, "data.csv", "\ufeffid,x\n1,2\n")).columns == ["id", "x"]
 
 
 def test_pq_alias(spark, tmp_path):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -81,22 +82,38 @@ def convert_archives(spark: SparkSession, source: str, keys: list[str], target:
     return converted.unionByName(local_rows(spark, [*whole.values(), *unread], RESULT_SCHEMA))
 
 
-def convert_new_files(spark: SparkSession, source: str, target: str, ledger: str, workers: int = 7) -> DataFrame:
-    """Convert what the ledger does not hold yet, then add to it what succeeded.
+def convert_new_files(
+    spark: SparkSession, source: str, target: str, ledger: str, workers: int = 7, files_at_once: int = 1000
+) -> DataFrame:
+    """Convert what the ledger does not hold yet, adding to it what succeeded.
 
-    Plain files are independent jobs run side by side; all archives are opened
-    together by one. An archive that opened is done, whatever its members hold.
+    Files are taken some at a time, and the ledger and the results are written after
+    each lot: a run that breaks off goes on where it stopped, and the driver holds
+    the names of one lot. Plain files are independent jobs run side by side; all
+    archives of a lot are opened together by one. An archive that opened is done,
+    whatever its members hold.
     """
     todo = new_files(list_keys(spark, source), read_ledger(spark, ledger)).orderBy("key")
-    path_of = lambda key: f"{source.rstrip('/')}/{key}"
-    keys = [row["key"] for row in todo.toLocalIterator()]
+    results = shared_dir(spark, "results")
+    local_rows(spark, [], RESULT_SCHEMA).write.parquet(results)
+    keys = (row["key"] for row in todo.toLocalIterator())
+    while lot := list(islice(keys, files_at_once)):
+        rows = convert_lot(spark, source, lot, target, workers)
+        rows.write.mode("append").parquet(results)
+        of_lot = local_rows(spark, [(key,) for key in lot], LEDGER_SCHEMA)
+        done = rows.filter("ok").select("key").join(of_lot, "key", "left_semi")
+        append_to_ledger(ledger_additions(read_ledger(spark, ledger), done), ledger)
+    return spark.read.schema(RESULT_SCHEMA).parquet(results)
+
+
+def convert_lot(spark: SparkSession, source: str, keys: list[str], target: str, workers: int) -> DataFrame:
+    """Convert the files with the given keys."""
     plain = [key for key in keys if not must_unpack(key)]
     archives = [key for key in keys if must_unpack(key)]
-    results = run_each(spark, plain, lambda key: convert_file(spark, path_of(key), target), workers)
+    convert = lambda key: convert_file(spark, f"{source.rstrip('/')}/{key}", target)
+    results = run_each(spark, plain, convert, workers)
     if archives:
         results = results.unionByName(convert_archives(spark, source, archives, target, workers))
-    done = results.filter("ok").select("key").join(local_rows(spark, [(k,) for k in keys], LEDGER_SCHEMA), "key", "left_semi")
-    append_to_ledger(ledger_additions(read_ledger(spark, ledger), done), ledger)
     return results
 
 

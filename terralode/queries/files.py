@@ -4,20 +4,27 @@ from __future__ import annotations
 
 import io
 import lzma
+import struct
 import sys
 import tarfile
 import zipfile
 from collections.abc import Iterator
+from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from terralode.operators.flatten import styled_paragraphs
+from terralode.operators.infer import type_columns
+from terralode.queries.flattening import STYLED_SQL
 from terralode.queries.registry import query, table
 from terralode.session import shared_dir
 from terralode.sinks.parquet import append_to_ledger, write_by_category, write_table
 from terralode.sources.archive import save_members, stage_members, unpack
+from terralode.sources.dbase import dbf_table
 from terralode.sources.listing import list_objects, tail_lines
+from terralode.sources.office import docx_paragraphs, sheet_rows, xlsx_sheets, xml_parts
 from terralode.sources.registry import TABLE_READERS, TEXT_EXTENSIONS
 from terralode.sources.structured import read_geojson_lines, read_json, read_kml, read_xml
 from terralode.sources.tabular import read_csv, read_delimited, read_parquet, read_tsv, read_txt
@@ -234,6 +241,86 @@ def archive_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy(*kept).agg(F.count(F.lit(1)).cast("int").alias("copies"))
 
 
+def pack_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One workbook per batch of customers: numbers as numbers, names inline, segments shared."""
+    for batch in batches:
+        segments = sorted(set(batch["c_mktsegment"]))
+        body = ['<row r="1"><c r="A1" t="str"><v>key</v></c><c r="B1" t="str"><v>name</v></c><c r="D1" t="str"><v>balance</v></c><c r="E1" t="str"><v>segment</v></c></row>']
+        for n, row in enumerate(batch.itertuples(index=False), 2):
+            body.append(
+                f'<row r="{n}"><c r="A{n}"><v>{row.c_custkey}</v></c><c r="B{n}" t="inlineStr"><is><t>{row.c_name}</t></is></c>'
+                f'<c r="D{n}"><v>{row.c_acctbal!r}</v></c><c r="E{n}" t="s"><v>{segments.index(row.c_mktsegment)}</v></c></row>'
+            )
+        parts = {
+            "xl/workbook.xml": '<workbook xmlns:r="r"><sheets><sheet name="customers" r:id="a"/></sheets></workbook>',
+            "xl/_rels/workbook.xml.rels": '<Relationships><Relationship Id="a" Target="worksheets/sheet1.xml"/></Relationships>',
+            "xl/sharedStrings.xml": "<sst>" + "".join(f"<si><t>{s}</t></si>" for s in segments) + "</sst>",
+            "xl/worksheets/sheet1.xml": "<worksheet><sheetData>" + "".join(body) + "</sheetData></worksheet>",
+        }
+        yield pd.DataFrame({"path": [f"in/customers_{batch['c_custkey'].iloc[0]}.xlsx"], "content": [zip_of(parts)]})
+
+
+def zip_of(parts: dict[str, str]) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, text in parts.items():
+            z.writestr(name, text)
+    return out.getvalue()
+
+
+@query("workbook_scan", "select c_custkey as key, c_name as name, c_acctbal as balance, c_mktsegment as segment from customer")
+def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    books = table(spark, sf_dir, "customer").mapInPandas(pack_workbooks, "path string, content binary")
+    rows = sheet_rows(xlsx_sheets(xml_parts(unpack(books)))).filter(F.col("n") > 1)
+    places = {"key": 1, "name": 2, "balance": 4, "segment": 5}
+    return type_columns(rows.select([F.try_element_at("cells", F.lit(i)).alias(name) for name, i in places.items()]))
+
+
+def pack_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One word-processor file per document, a paragraph per line, the first one a heading."""
+    styles = (
+        '<w:styles xmlns:w="w"><w:style w:type="paragraph" w:default="1" w:styleId="N"><w:name w:val="Normal"/></w:style>'
+        '<w:style w:type="paragraph" w:styleId="T"><w:name w:val="Title"/></w:style></w:styles>'
+    )
+    for batch in batches:
+        packed = []
+        for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            body = []
+            for n, line in enumerate(text.split("\n")):
+                mark = '<w:pPr><w:pStyle w:val="T"/></w:pPr>' if n == 0 else ""
+                body.append(f'<w:p>{mark}<w:r><w:t xml:space="preserve">{escape(line)}</w:t></w:r></w:p>')
+            document = f'<w:document xmlns:w="w"><w:body>{"".join(body)}</w:body></w:document>'
+            packed.append((f"in/{doc_id}.docx", zip_of({"word/document.xml": document, "word/styles.xml": styles})))
+        yield pd.DataFrame(packed, columns=["path", "content"])
+
+
+@query("word_document_scan", STYLED_SQL)
+def word_document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").select("doc_id", "text").mapInPandas(pack_documents, "path string, content binary")
+    found = styled_paragraphs(docx_paragraphs(xml_parts(unpack(files))), keep=["archive"])
+    doc_id = F.regexp_extract("archive", "in/([0-9]+)", 1).cast("bigint").alias("doc_id")
+    return found.select(doc_id, "paragraph_number", "text", "style", "char_count", "word_count")
+
+
+def pack_dbase(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One dBase file per batch of parts."""
+    fields = [("KEY", "N", 12), ("NAME", "C", 60), ("SIZE", "N", 6), ("PRICE", "N", 20)]
+    width = 1 + sum(length for _, _, length in fields)
+    described = b"".join(struct.pack("<11sc4xBB14x", n.encode(), k.encode(), length, 0) for n, k, length in fields)
+    for batch in batches:
+        records = b"".join(
+            f" {r.p_partkey:>12}{r.p_name:<60}{r.p_size:>6}{r.p_retailprice!r:>20}".encode() for r in batch.itertuples(index=False)
+        )
+        header = struct.pack("<BBBBIHH20x", 3, 124, 1, 1, len(batch), 33 + len(described), width)
+        content = header + described + b"\r" + records + b"\x1a"
+        yield pd.DataFrame({"path": [f"in/parts_{batch['p_partkey'].iloc[0]}.dbf"], "content": [content]})
+
+
+@query("dbase_scan", 'select p_partkey as "KEY", p_name as "NAME", cast(p_size as bigint) as "SIZE", p_retailprice as "PRICE" from part')
+def dbase_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dbf_table(table(spark, sf_dir, "part").mapInPandas(pack_dbase, "path string, content binary"))
+
+
 @query("incremental_ingest", "select event_id, ts, user_id, event_type, value from events")
 def incremental_ingest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "stream")

@@ -34,9 +34,7 @@ def doc_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.paragraphs(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
-@query(
-    "styled_paragraphs",
-    f"""
+STYLED_SQL = f"""
 with p as (
   select doc_id, unnest(string_split(text, chr(10))) as text,
          generate_subscripts(string_split(text, chr(10)), 1) as n from documents
@@ -44,8 +42,10 @@ with p as (
 select doc_id, cast(n as integer) as paragraph_number, text, case when n = 1 then 'Title' else 'Normal' end as style,
        cast(length(text) as integer) as char_count, {words_sql('text')} as word_count
 from p where {words_sql('text')} > 0
-""",
-)
+"""
+
+
+@query("styled_paragraphs", STYLED_SQL)
 def styled_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = F.transform(
         F.split("text", "\n"),

@@ -274,6 +274,11 @@ def sheet_tables(sheets: DataFrame, na_tokens: list[str] = NA_TOKENS) -> dict[tu
     return tables
 
 
+def sheet_rows(sheets: DataFrame) -> DataFrame:
+    """Rows of many sheets in one frame: file, sheet, row number, and cells by column number."""
+    return sheets.select("archive", "sheet", F.explode("rows").alias("r")).select("archive", "sheet", "r.n", "r.cells")
+
+
 def sheet_table(sheet: DataFrame, names: list[str], last: int, na_tokens: list[str]) -> DataFrame:
     """The rows below the header, those left out of the file counting as blank."""
     by_number = F.map_from_entries(F.transform("rows", lambda r: F.struct(r.getField("n"), r.getField("cells"))))

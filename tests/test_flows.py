@@ -159,6 +159,15 @@ def test_convert_twice_takes_each_file_once(spark, tmp_path, rows):
     assert rows(spark.read.parquet(str(tmp_path / "out" / "people.parquet")), "id", "nom") == [(1, "Éloïse"), (2, "Bob")]
 
 
+def test_convert_in_lots(spark, tmp_path, rows):
+    (tmp_path / "in").mkdir()
+    for i in range(5):
+        (tmp_path / "in" / f"f{i}.csv").write_text(f"id\n{i}\n")
+    results = convert_new_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ledger"), files_at_once=2)
+    assert rows(results, "table", "ok") == [(f"f{i}", True) for i in range(5)]
+    assert read_ledger(spark, str(tmp_path / "ledger")).count() == 5
+
+
 def test_load_then_models(spark, tmp_path, schema, rows):
     files = tmp_path / "parquets_files"
     files.mkdir()

@@ -52,8 +52,12 @@ def describe_files(files: DataFrame, key: str = "key", unknown: str = UNKNOWN[0]
 
 
 def new_files(listing: DataFrame, ledger: DataFrame, key: str = "key") -> DataFrame:
-    """Files not yet in the ledger. Both sides grow with the data, so the join is left to shuffle."""
-    return drop_folder_keys(listing, key).join(ledger.select(key), key, "left_anti")
+    """Files not yet in the ledger.
+
+    Both sides grow with the data, so Spark picks the join by their size. A key the
+    ledger holds many times counts once before it is shuffled.
+    """
+    return drop_folder_keys(listing, key).join(ledger.select(key).distinct(), key, "left_anti")
 
 
 def scan_new_files(listing: DataFrame, ledger: DataFrame, prefix: str = "", key: str = "key") -> DataFrame:
@@ -85,7 +89,7 @@ def route_counts(files: DataFrame, bucket: str = "bucket") -> DataFrame:
 
 def supported_only(files: DataFrame, supported: DataFrame, on: str) -> DataFrame:
     """Files whose ``on`` value is among the supported ones."""
-    return files.join(supported.select(on), on, "left_semi")
+    return files.join(supported.select(on).distinct(), on, "left_semi")
 
 
 def ledger_update(ledger: DataFrame, processed: DataFrame, key: str = "key") -> DataFrame:
@@ -95,7 +99,7 @@ def ledger_update(ledger: DataFrame, processed: DataFrame, key: str = "key") ->
 
 def ledger_additions(ledger: DataFrame, processed: DataFrame, key: str = "key") -> DataFrame:
     """Processed keys the ledger lacks: what to append, without rewriting the ledger."""
-    return processed.select(key).distinct().join(ledger.select(key), key, "left_anti")
+    return processed.select(key).distinct().join(ledger.select(key).distinct(), key, "left_anti")
 
 
 def concat_results(results: Sequence[DataFrame]) -> DataFrame:

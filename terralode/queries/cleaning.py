@@ -230,9 +230,20 @@ def drop_technical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_technical_columns(marked)
 
 
-@query("describe_columns", "select column_name from (describe part)")
+PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+
+
+@query(
+    "describe_columns",
+    "select d.column_name, n.n_values from (describe part) d join ("
+    + " union all ".join(f"select '{c}' as column_name, count({c}) as n_values from part" for c in PART_COLUMNS)
+    + ") n using (column_name)",
+)
 def describe_columns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return describe_columns(table(spark, sf_dir, "part")).select("column_name")
+    part = table(spark, sf_dir, "part")
+    counts = F.array(*[F.struct(F.lit(c).alias("column_name"), F.count(c).alias("n_values")) for c in part.columns])
+    filled = part.agg(counts.alias("c")).select(F.inline("c"))
+    return describe_columns(part).join(filled, "column_name").select("column_name", "n_values")
 
 
 @query(

@@ -143,14 +143,17 @@ def probe_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "column_catalog",
     """
-select 'orders' as table_name, string_agg(column_name, ',') as columns from (describe orders)
-union all select 'events', string_agg(column_name, ',') from (describe events)
+select 'orders' as table_name, string_agg(column_name, ',') as columns, (select count(*) from orders) as row_count from (describe orders)
+union all select 'events', string_agg(column_name, ','), (select count(*) from events) from (describe events)
 """,
 )
 def column_catalog_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    described = None
+    described = counts = None
     for name in ("orders", "events"):
-        one = describe_columns(table(spark, sf_dir, name)).withColumn("table_name", F.lit(name))
+        loaded = table(spark, sf_dir, name)
+        one = describe_columns(loaded).withColumn("table_name", F.lit(name))
+        count = loaded.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
         described = one if described is None else described.unionByName(one)
-    templates = column_catalog(described)
-    return templates.select("table_name", F.array_join("template.column_name", ",").alias("columns"))
+        counts = count if counts is None else counts.unionByName(count)
+    templates = column_catalog(described).join(counts, "table_name")
+    return templates.select("table_name", F.array_join("template.column_name", ",").alias("columns"), "row_count")

@@ -12,10 +12,28 @@ from pyspark.sql.pandas.types import to_arrow_type
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
-def build_session(app_name: str = "terralode", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the library is tuned for; ``conf`` wins over them."""
+# What a shuffle partition should come to, so that a task sorts it in memory.
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MIN_SHUFFLE_PARTITIONS = 200
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions to shuffle an input of this size into; AQE merges them where less arrives, but never splits plain ones."""
+    return max(MIN_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+
+
+def build_session(
+    app_name: str = "terralode", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings the library is tuned for; ``conf`` wins over them.
+
+    ``input_bytes``, the size of the largest table to be shuffled, sets the number
+    of shuffle partitions.
+    """
     settings = {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes or 0)),
         "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -59,7 +59,8 @@ def convert_archives(spark: SparkSession, source: str, keys: list[str], target:
     members = save_members(archives, shared_dir(spark, "members"))
     staged = stage_members(members, TEXT_EXTENSIONS, PARQUET_EXTENSIONS)
     key = relative_key(source, F.col("archive")).alias("key")
-    rows = members.select(key, "member", "ext", "table", "error").collect()
+    first_parts = members.filter("part = 0 or part is null")
+    rows = first_parts.select(key, "member", "ext", "table", "error").collect()
     whole = {key: (key, None, True, None) for key in keys}
     unread, todo = [], {}
     for row in rows:

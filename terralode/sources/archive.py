@@ -25,17 +25,27 @@ from terralode.sources.listing import read_files
 # The functions run in tasks travel with the job: executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MEMBER_SCHEMA = "archive string, member string, size bigint, content binary, error string"
+MEMBER_SCHEMA = "archive string, member string, part int, size bigint, content binary, error string"
 ARROW_SCHEMA = pa.schema(
-    [("archive", pa.string()), ("member", pa.string()), ("size", pa.int64()), ("content", pa.binary()), ("error", pa.string())]
+    [
+        ("archive", pa.string()),
+        ("member", pa.string()),
+        ("part", pa.int32()),
+        ("size", pa.int64()),
+        ("content", pa.binary()),
+        ("error", pa.string()),
+    ]
 )
 # Members are handed back once they come to this many bytes or rows.
 BATCH_BYTES = 32 * 1024 * 1024
 BATCH_ROWS = 4096
 # Archives up to this size come as a value; a larger one is opened by the task and read in place.
 IN_MEMORY_BYTES = 512 * 1024 * 1024
-# A value of the engine's binary type ends here; a larger member is reported.
-MAX_MEMBER_BYTES = 2**31 - 1024
+# A longer text member comes in parts of about this size, each ending with a line.
+PART_BYTES = 64 * 1024 * 1024
+# Members that only make sense whole, and where a value of the binary type ends.
+WHOLE_EXTENSIONS = ("parquet", "pq", "dbf", "xlsx", "ods", "docx")
+MAX_VALUE_BYTES = 2**31 - 1024
 
 # Archive kinds by extension, and what one compressed file is read with.
 CONTAINERS = ("zip", "kmz", "tar", "tgz")
@@ -71,21 +81,37 @@ def _contents(name: str, source: BinaryIO) -> Iterator[tuple[str, Callable[[], B
                 yield info.name, lambda info=info: archive.extractfile(info)
 
 
-def _members(name: str, source: BinaryIO) -> Iterator[tuple[str, bytes | None, str | None]]:
+def _parts(member: str, stream: BinaryIO) -> Iterator[tuple[bytes | None, str | None]]:
+    """Contents of a member: one value, or for a long text several that end with a line."""
+    if _extension(member) in WHOLE_EXTENSIONS:
+        data = stream.read(MAX_VALUE_BYTES + 1)
+        yield (data, None) if len(data) <= MAX_VALUE_BYTES else (None, "too large for one value")
+        return
+    # Bytes are gathered until a line ends; the rest opens the next part.
+    held = stream.read(PART_BYTES)
+    while more := stream.read(PART_BYTES):
+        end = held.rfind(b"\n") + 1
+        if end:
+            yield held[:end], None
+        held = held[end:] + more
+        if len(held) > MAX_VALUE_BYTES:
+            yield None, "a line too large for one value"
+            return
+    yield held, None
+
+
+def _members(name: str, source: BinaryIO) -> Iterator[tuple[str, int, bytes | None, str | None]]:
     """Files of an archive, archives inside it opened in turn; member paths are kept."""
     for member, opened in _contents(name, source):
         with opened() as stream:
             if _extension(member) in ARCHIVE_EXTENSIONS:
                 # A decompressed stream is read through as it comes, a member is held.
                 inner = stream if _extension(name) in CODECS else io.BytesIO(stream.read())
-                for deeper, data, problem in _members(member, inner):
-                    yield f"{member}/{deeper}", data, problem
-                continue
-            data = stream.read(MAX_MEMBER_BYTES + 1)
-        if len(data) > MAX_MEMBER_BYTES:
-            yield member, None, "member too large for one value"
-        else:
-            yield member, data, None
+                for deeper, part, data, problem in _members(member, inner):
+                    yield f"{member}/{deeper}", part, data, problem
+            else:
+                for part, (data, problem) in enumerate(_parts(member, stream)):
+                    yield member, part, data, problem
 
 
 def _open(path: str) -> BinaryIO:
@@ -97,10 +123,10 @@ def _open(path: str) -> BinaryIO:
 def _rows(path: str, content: bytes | None) -> Iterator[tuple]:
     try:
         source = _open(path) if content is None else io.BytesIO(content)
-        for member, data, problem in _members(path, source):
-            yield path, member, None if data is None else len(data), data, problem
+        for member, part, data, problem in _members(path, source):
+            yield path, member, part, None if data is None else len(data), data, problem
     except Exception as problem:  # a broken archive is reported, not fatal
-        yield path, None, None, None, repr(problem)
+        yield path, None, None, None, None, repr(problem)
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +135,7 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             for row in _rows(path.as_py(), content.as_py()):
-                size = row[2] or 0
+                size = row[3] or 0
                 if held and held_bytes + size > BATCH_BYTES or len(held) >= BATCH_ROWS:
                     yield _batch(held)
                     held, held_bytes = [], 0
@@ -128,8 +154,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def unpack(archives: DataFrame) -> DataFrame:
     """Members of archives given as ``(path, content)`` rows.
 
-    A null content has the task open the path itself. A broken archive gives an
-    error row.
+    A null content has the task open the path itself. A long text member gives
+    several rows, numbered by ``part``. A broken archive gives an error row.
     """
     members = archives.select("path", "content").mapInArrow(_unpack, MEMBER_SCHEMA)
     return members.withColumn("ext", file_extension(basename(F.col("member"))))
@@ -163,13 +189,22 @@ def stage_members(members: DataFrame, texts: list[str], parquets: list[str] = ()
     """Write saved members out as files of their own, so the ordinary readers can take them.
 
     Files go to ``ext=<ext>/table=<name>`` under a fresh shared folder. The text
-    sink writes the bytes as they are and ends a file with its line separator; a
-    Parquet file gets its own last four bytes back that way.
+    sink writes the bytes as they are and ends each row with its line separator: a
+    part of a text ends with a line anyway, and a Parquet file gets its own last
+    four bytes back that way.
     """
     staged = shared_dir(members.sparkSession, "staged")
     good = members.filter(F.col("error").isNull())
-    text = good.filter(F.col("ext").isin(list(texts))).select(F.col("content").cast("string").alias("value"), "ext", "table")
-    text.write.mode("append").partitionBy("ext", "table").text(staged)
+    # Cut as bytes: the text may be in any encoding.
+    content, size = F.col("content"), F.length("content")
+    line_end = F.substring(content, size, F.lit(1)) == F.lit(bytearray(b"\n"))
+    line_by_line = F.when(line_end, F.substring(content, F.lit(1), size - 1)).otherwise(content).cast("string")
+    text = good.filter(F.col("ext").isin(list(texts))).select(line_by_line.alias("value"), "ext", "table", "part")
+    # Only a member of several parts must come together in one task, in order.
+    long = [r["table"] for r in text.filter("part > 0").select("table").distinct().collect()]
+    ordered = text.filter(F.col("table").isin(long)).repartition("ext", "table").sortWithinPartitions("ext", "table", "part")
+    for frame in (text.filter(~F.col("table").isin(long)), ordered) if long else (text,):
+        frame.drop("part").write.mode("append").partitionBy("ext", "table").text(staged)
     if parquets:
         body = F.expr(f"cast(substring(content, 1, length(content) - {len(PARQUET_MAGIC)}) as string)")
         binary = good.filter(F.col("ext").isin(list(parquets))).select(body.alias("value"), "ext", "table")

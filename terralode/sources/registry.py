@@ -78,7 +78,7 @@ def read_archive_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     staged = stage_members(members, TEXT_EXTENSIONS, PARQUET_EXTENSIONS)
     readable = members.filter(F.col("error").isNull() & F.col("ext").isin(MEMBER_EXTENSIONS))
     tables: dict[str, DataFrame] = {}
-    for row in readable.select("ext", "table").collect():
+    for row in readable.filter("part = 0").select("ext", "table").collect():
         tables |= read_member(spark, members, staged, row["ext"], row["table"])
     return tables
 

@@ -38,7 +38,8 @@ def unique_names(names: list[str | None], case_sensitive: bool = False) -> list[
 
 def odd_quotes(line: Column) -> Column:
     """Whether a line ends inside a quoted field, so that its record goes on in the next."""
-    return (F.length(line) - F.length(F.translate(line, '"', ""))) % 2 == 1
+    quotes = F.length(line) - F.length(F.translate(line, '"', ""))
+    return line.contains('"') & (quotes % 2 == 1)
 
 
 def text_lines(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
@@ -106,14 +107,17 @@ def line_profile(
     """Column types, lines that end inside quotes, and header lines, from one splittable pass."""
     options = {k: str(v) for k, v in csv_options(sep, encoding, False).items() if k not in ("multiLine", "encoding")}
     lines = text_lines(spark, path, encoding).select("value", (F.col("value") == header).alias("is_header"))
+    # Step by step, so that each value is parsed, compared and judged once.
     parsed = lines.withColumn("r", F.from_csv("value", text_schema(names).toDDL(), options))
-    kinds = parsed.select(
+    values = parsed.select(
         "is_header",
         odd_quotes(F.col("value")).alias("odd"),
-        *[
-            F.when(~F.col("is_header"), value_kind(na_to_null(F.col("r").getField(n), na_tokens))).alias(f"k{i}")
-            for i, n in enumerate(names)
-        ],
+        *[na_to_null(F.col("r").getField(n), na_tokens).alias(f"v{i}") for i, n in enumerate(names)],
+    )
+    kinds = values.select(
+        "is_header",
+        "odd",
+        *[F.when(~F.col("is_header"), value_kind(F.col(f"v{i}"))).alias(f"k{i}") for i in range(len(names))],
     )
     found = kinds.agg(
         kind_counts(names, F.count_if(~F.col("is_header"))).alias("columns"),

@@ -109,6 +109,38 @@ def test_saved_members_are_read_by_extension(spark, tmp_path):
     assert saved.filter("ext = 'csv'").count() == 1
 
 
+def test_staged_bytes_are_the_members(spark, tmp_path):
+    from terralode.sources.archive import stage_members
+
+    latin = "id,nom\n1,José\n".encode("latin-1")
+    (tmp_path / "l.zip").write_bytes(zip_bytes({"a.csv": latin, "b.csv": latin + "2,Noë".encode("latin-1"), "c.csv": b""}))
+    saved = save_members(read_archives(spark, str(tmp_path / "l.zip")), str(tmp_path / "members"))
+    staged = stage_members(saved, ["csv"])
+    got = {r["table"]: bytes(r["content"]) for r in spark.read.format("binaryFile").load(staged).select("table", "content").collect()}
+    assert got == {"l.zip_a.csv": latin, "l.zip_b.csv": latin + "2,Noë\n".encode("latin-1"), "l.zip_c.csv": b"\n"}
+
+
+def test_long_texts_come_in_parts(spark, tmp_path, monkeypatch):
+    from terralode.sources import archive
+
+    monkeypatch.setattr(archive, "PART_BYTES", 1000)
+    lines = [f'{i},"x{i}\ny"' if i % 7 == 0 else f"{i},x{i}" for i in range(3000)]
+    text = ("id,s\n" + "\n".join(lines)).encode()
+    one_line = b"z" * 5000
+    (tmp_path / "long.zip").write_bytes(zip_bytes({"a.csv": text, "b.txt": one_line, "c.parquet": one_line}))
+    (tmp_path / "long.csv.xz").write_bytes(lzma.compress(text))
+    parts = read_archives(spark, str(tmp_path)).orderBy("archive", "member", "part").collect()
+    whole = {}
+    for row in parts:
+        whole.setdefault(row["member"], []).append(bytes(row["content"]))
+    assert len(whole["a.csv"]) > 20 and all(p.endswith(b"\n") for p in whole["a.csv"][:-1])
+    assert b"".join(whole["a.csv"]) == text == b"".join(whole["long.csv"])
+    assert whole["b.txt"] == [one_line] and whole["c.parquet"] == [one_line]
+    df = read_tables(spark, str(tmp_path / "long.csv.xz"))["long.csv.xz_long"]
+    got = sorted(tuple(r) for r in df.collect())
+    assert got == [(i, f"x{i}\ny" if i % 7 == 0 else f"x{i}") for i in range(3000)]
+
+
 def test_no_reader(spark, tmp_path):
     with pytest.raises(NoReader):
         read_tables(spark, str(tmp_path / "plan.dwg"))

@@ -59,18 +59,19 @@ def convert_archives(spark: SparkSession, source: str, keys: list[str], target:
     members = save_members(archives, shared_dir(spark, "members"))
     staged = stage_members(members, TEXT_EXTENSIONS, PARQUET_EXTENSIONS)
     key = relative_key(source, F.col("archive")).alias("key")
-    first_parts = members.filter("part = 0 or part is null")
-    rows = first_parts.select(key, "member", "ext", "table", "error").collect()
+    rows = members.filter("part = 0 or error is not null").select(key, "member", "ext", "table", "error").collect()
     whole = {key: (key, None, True, None) for key in keys}
-    unread, todo = [], {}
+    unread, todo = {}, {}
     for row in rows:
         name = f"{row['key']}!{row['member']}"
         if row["member"] is None:
             whole[row["key"]] = (row["key"], None, False, row["error"])
         elif row["error"] or row["ext"] not in MEMBER_EXTENSIONS:
-            unread.append((name, None, False, row["error"] or f"no reader for .{row['ext']}"))
+            unread[name] = (name, None, False, row["error"] or f"no reader for .{row['ext']}")
         else:
             todo[name] = (row["ext"], row["table"])
+    # A member some part of which could not be read is not converted at all.
+    todo = {name: place for name, place in todo.items() if name not in unread}
 
     def convert(name: str) -> list[str]:
         written = []
@@ -80,7 +81,7 @@ def convert_archives(spark: SparkSession, source: str, keys: list[str], target:
         return written
 
     converted = run_each(spark, sorted(todo), convert, workers)
-    return converted.unionByName(local_rows(spark, [*whole.values(), *unread], RESULT_SCHEMA))
+    return converted.unionByName(local_rows(spark, [*whole.values(), *unread.values()], RESULT_SCHEMA))
 
 
 def convert_new_files(

@@ -76,9 +76,11 @@ def read_archive_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """A table per readable member, named by archive and member so that no two collide."""
     members = save_members(read_archives(spark, path), shared_dir(spark, "members"))
     staged = stage_members(members, TEXT_EXTENSIONS, PARQUET_EXTENSIONS)
-    readable = members.filter(F.col("error").isNull() & F.col("ext").isin(MEMBER_EXTENSIONS))
+    failed = members.filter(F.col("error").isNotNull()).select("member", "error").first()
+    if failed:
+        raise ValueError(f"{path}: {failed['member'] or 'archive'}: {failed['error']}")
     tables: dict[str, DataFrame] = {}
-    for row in readable.filter("part = 0").select("ext", "table").collect():
+    for row in members.filter((F.col("part") == 0) & F.col("ext").isin(MEMBER_EXTENSIONS)).select("ext", "table").collect():
         tables |= read_member(spark, members, staged, row["ext"], row["table"])
     return tables
 

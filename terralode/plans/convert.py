@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections import Counter
 from collections.abc import Callable
 from itertools import islice
 
@@ -13,12 +15,15 @@ from terralode.plans.runner import RESULT_SCHEMA, run_each
 from terralode.session import local_rows, shared_dir
 from terralode.sinks.parquet import append_to_ledger, write_table
 from terralode.sources.archive import read_archives, save_members, stage_members
-from terralode.sources.listing import if_exists, list_keys, relative_key, source_path
+from terralode.sources.listing import if_exists, list_keys, read_files, relative_key, source_path
 from terralode.sources.registry import (
     MEMBER_EXTENSIONS,
     PARQUET_EXTENSIONS,
+    TABLE_READERS,
     TEXT_EXTENSIONS,
+    extension_of,
     must_unpack,
+    output_name,
     read_member,
     read_tables,
     stem_of,
@@ -34,16 +39,16 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return local_rows(spark, [], LEDGER_SCHEMA) if held is None else held
 
 
-def convert_file(spark: SparkSession, source: str, target: str, prefix_with_stem: bool = False) -> list[str]:
+def convert_file(spark: SparkSession, source: str, target: str, prefix_with_stem: bool = True) -> list[str]:
     """Write every table of a file as ``<target>/<name>.parquet``; returns the names.
 
-    ``prefix_with_stem`` puts the file's name before the table's, so that equal
-    table names of two files do not overwrite one another.
+    ``prefix_with_stem`` puts the file's name before that of a sheet or table, so that
+    equal ones of two files do not overwrite one another.
     """
-    written = []
+    written, stem = [], output_name(source)
     for name, df in read_tables(spark, source).items():
-        if prefix_with_stem and name != stem_of(source):
-            name = f"{stem_of(source)}_{name}"
+        if prefix_with_stem and name != stem and not must_unpack(source):
+            name = f"{stem}_{name}"
         write_table(df, f"{target}/{name}.parquet")
         written.append(name)
     return written
@@ -85,7 +90,13 @@ def convert_archives(spark: SparkSession, source: str, keys: list[str], target:
 
 
 def convert_new_files(
-    spark: SparkSession, source: str, target: str, ledger: str, workers: int = 7, files_at_once: int = 1000
+    spark: SparkSession,
+    source: str,
+    target: str,
+    ledger: str,
+    workers: int = 7,
+    files_at_once: int = 1000,
+    same_layout_from: int | None = None,
 ) -> DataFrame:
     """Convert what the ledger does not hold yet, adding to it what succeeded.
 
@@ -93,14 +104,15 @@ def convert_new_files(
     each lot: a run that breaks off goes on where it stopped, and the driver holds
     the names of one lot. Plain files are independent jobs run side by side; all
     archives of a lot are opened together by one. An archive that opened is done,
-    whatever its members hold.
+    whatever its members hold. With ``same_layout_from``, small files whose header
+    that many or more of a lot share are one job too (see ``convert_same_layout``).
     """
     todo = new_files(list_keys(spark, source), read_ledger(spark, ledger)).orderBy("key")
     results = shared_dir(spark, "results")
     local_rows(spark, [], RESULT_SCHEMA).write.parquet(results)
     keys = (row["key"] for row in todo.toLocalIterator())
     while lot := list(islice(keys, files_at_once)):
-        rows = convert_lot(spark, source, lot, target, workers)
+        rows = convert_lot(spark, source, lot, target, workers, same_layout_from)
         rows.write.mode("append").parquet(results)
         of_lot = local_rows(spark, [(key,) for key in lot], LEDGER_SCHEMA)
         done = rows.filter("ok").select("key").join(of_lot, "key", "left_semi")
@@ -108,17 +120,71 @@ def convert_new_files(
     return spark.read.schema(RESULT_SCHEMA).parquet(results)
 
 
-def convert_lot(spark: SparkSession, source: str, keys: list[str], target: str, workers: int) -> DataFrame:
+def convert_lot(
+    spark: SparkSession, source: str, keys: list[str], target: str, workers: int, same_layout_from: int | None = None
+) -> DataFrame:
     """Convert the files with the given keys."""
+    root = source.rstrip("/")
     plain = [key for key in keys if not must_unpack(key)]
     archives = [key for key in keys if must_unpack(key)]
-    convert = lambda key: convert_file(spark, f"{source.rstrip('/')}/{key}", target)
-    results = run_each(spark, plain, convert, workers)
+    together: dict[str, list[str]] = {}
+    if same_layout_from:
+        groups = [g for g in layout_groups(spark, source, plain) if len(g) >= same_layout_from]
+        together = {g[0]: g for g in groups}
+    grouped = {key for group in together.values() for key in group}
+
+    def convert(key: str) -> list[str]:
+        if key not in together:
+            return convert_file(spark, f"{root}/{key}", target)
+        paths = [f"{root}/{k}" for k in together[key]]
+        read = TABLE_READERS[extension_of(key)]
+        convert_same_layout(spark, paths, f"{target}/layout={uuid.uuid4().hex}", read)
+        return [stem_of(k) for k in together[key]]
+
+    # Files of one name write the same table: one at a time, the last one stays.
+    alone = [k for k in plain if k in together or k not in grouped]
+    results = run_each(spark, alone, convert, workers, lane=output_name)
+    if together:
+        results = name_each_file(results, together)
     if archives:
         results = results.unionByName(convert_archives(spark, source, archives, target, workers))
     return results
 
 
+# Files up to this size are looked into for their header when layouts are compared.
+SMALL_FILE_BYTES = 32 * 1024 * 1024
+HEADER_BYTES = 64 * 1024
+DELIMITED = ("csv", "tsv", "txt")
+
+
+def layout_groups(spark: SparkSession, source: str, keys: list[str]) -> list[list[str]]:
+    """Keys of small delimited files by their header line; files of one name are left out."""
+    names = Counter(output_name(key) for key in keys)
+    asked = [key for key in keys if extension_of(key) in DELIMITED and names[output_name(key)] == 1]
+    if not asked:
+        return []
+    small = read_files(spark, [f"{source.rstrip('/')}/{key}" for key in asked]).filter(F.col("length") <= SMALL_FILE_BYTES)
+    start = F.substring("content", 1, HEADER_BYTES).cast("string")
+    header = F.regexp_replace(F.substring_index(start, "\n", 1), "\r$", "")
+    groups: dict[tuple[str, str], list[str]] = {}
+    for row in small.select(relative_key(source, F.col("path")).alias("key"), header.alias("header")).collect():
+        groups.setdefault((extension_of(row["key"]), row["header"]), []).append(row["key"])
+    return [sorted(group) for group in groups.values()]
+
+
+def name_each_file(results: DataFrame, together: dict[str, list[str]]) -> DataFrame:
+    """Results of files converted together, put down under each file's own key."""
+    spark = results.sparkSession
+    table_keys = [(stem_of(k), first, k) for first, group in together.items() for k in group]
+    each = local_rows(spark, table_keys, "table string, key string, own string")
+    ok = results.filter("ok").join(each, ["key", "table"], "left").withColumn("key", F.coalesce("own", "key"))
+    # A failed group failed for every file of it.
+    firsts = each.select("key", "own")
+    failed = results.filter("not ok").join(firsts, "key", "left").withColumn("key", F.coalesce("own", "key"))
+    columns = ["key", "table", "ok", "error"]
+    return ok.select(columns).unionByName(failed.select(columns))
+
+
 def convert_same_layout(
     spark: SparkSession, paths: list[str], target: str, read: Callable[..., DataFrame] = read_csv
 ) -> str:

@@ -14,11 +14,16 @@ RESULT_SCHEMA = "key string, table string, ok boolean, error string"
 
 
 def run_each(
-    spark: SparkSession, items: Iterable[str], job: Callable[[str], list[str]], workers: int = 7
+    spark: SparkSession,
+    items: Iterable[str],
+    job: Callable[[str], list[str]],
+    workers: int = 7,
+    lane: Callable[[str], str] = str,
 ) -> DataFrame:
     """Run ``job(key)`` per key; one result row per table it made, or one with its error.
 
     The jobs share the cluster: Spark schedules their tasks next to one another.
+    Keys of one ``lane`` run one after the other, in order.
     """
 
     def attempt(key: str) -> list[tuple[str, str | None, bool, str | None]]:
@@ -27,6 +32,10 @@ def run_each(
         except Exception as problem:
             return [(key, None, False, f"{type(problem).__name__}: {problem}"[:2000])]
 
+    lanes: dict[str, list[str]] = {}
+    for item in items:
+        lanes.setdefault(lane(item), []).append(item)
+    in_turn = lambda keys: [row for key in keys for row in attempt(key)]
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        rows = [row for found in pool.map(inheritable_thread_target(spark)(attempt), items) for row in found]
+        rows = [row for found in pool.map(inheritable_thread_target(spark)(in_turn), lanes.values()) for row in found]
     return local_rows(spark, rows, RESULT_SCHEMA)

@@ -54,6 +54,11 @@ def stem_of(path: str) -> str:
     return re.sub(r"^(\.*[^.].*)\.[^.]*$", r"\1", path.rstrip("/").rsplit("/", 1)[-1])
 
 
+def output_name(path: str) -> str:
+    """Name of a file's table: the stem, less the inner suffix of a compressed text."""
+    return stem_of(stem_of(path)) if extension_of(path) in TRANSPARENT and not must_unpack(path) else stem_of(path)
+
+
 def read_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The tables of a file by name."""
     ext = extension_of(path)
@@ -61,7 +66,7 @@ def read_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
         return read_archive_tables(spark, path)
     if ext in TRANSPARENT:
         inner = extension_of(stem_of(path)) or "txt"
-        return {stem_of(stem_of(path)): TABLE_READERS[inner](spark, path)}
+        return {output_name(path): TABLE_READERS[inner](spark, path)}
     if ext == "sql":
         return read_script_tables(spark, path)
     if ext in ZIPPED_DOCUMENTS:

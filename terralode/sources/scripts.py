@@ -10,8 +10,17 @@ from terralode.sources.listing import list_tables
 
 # Column types of a script and the types they stand for.
 TYPE_SYNONYMS = {"TEXT": "STRING", "REAL": "DOUBLE", "INTEGER": "BIGINT", "INT": "BIGINT"}
-# Column constraints a table of files does not keep.
-CONSTRAINTS = ["PRIMARY KEY", "AUTOINCREMENT", "UNIQUE", "NOT NULL"]
+# What a table of files does not keep of a column or table definition.
+CONSTRAINTS = [
+    r",\s*(CONSTRAINT\s+\S+\s+)?(PRIMARY\s+KEY|FOREIGN\s+KEY|UNIQUE|CHECK)\s*\([^()]*\)(\s*REFERENCES\s+[^\s(]+\s*\([^()]*\))?",
+    r"\bREFERENCES\s+[^\s(]+\s*\([^()]*\)",
+    r"\bPRIMARY\s+KEY\b",
+    r"\bAUTOINCREMENT\b",
+    r"\bUNIQUE\b",
+    r"\bNOT\s+NULL\b",
+]
+# Statements about the session that wrote the script, of no use here.
+SKIPPED = re.compile(r"(?i)(pragma|begin|commit|end|set|lock|unlock|create\s+(unique\s+)?index)\b")
 
 # A statement: quoted texts, comments and everything else up to a semicolon.
 _STATEMENT = re.compile(r"""(?:'(?:[^']|'')*'|"(?:[^"]|"")*"|--[^\n]*|/\*.*?\*/|[^;'"-]|-)+""", re.S)
@@ -21,7 +30,8 @@ _COMMENT = re.compile(r"""('(?:[^']|'')*'|"(?:[^"]|"")*")|--[^\n]*|/\*.*?\*/""",
 def statements(script: str) -> list[str]:
     """Statements of a script, comments removed, semicolons inside quotes kept."""
     bare = _COMMENT.sub(lambda m: m.group(1) or " ", script)
-    return [s.strip() for s in _STATEMENT.findall(bare) if s.strip()]
+    found = [s.strip() for s in _STATEMENT.findall(bare)]
+    return [s for s in found if s and not SKIPPED.match(s)]
 
 
 def spark_statement(statement: str) -> str:
@@ -29,21 +39,24 @@ def spark_statement(statement: str) -> str:
     if not re.match(r"(?i)create\s+table", statement):
         return statement
     for constraint in CONSTRAINTS:
-        statement = re.sub(r"(?i)\b" + constraint.replace(" ", r"\s+") + r"\b", "", statement)
+        statement = re.sub("(?i)" + constraint, "", statement)
     for name, spark_type in TYPE_SYNONYMS.items():
-        statement = re.sub(rf"(?i)\b{name}\b(?=\s*[,)])", spark_type, statement)
+        statement = re.sub(rf"(?i)\b{name}\b(?=\s*(,|\)|DEFAULT\b))", spark_type, statement)
     return statement if re.search(r"(?i)\busing\b", statement) else statement + " USING parquet"
 
 
 def run_sql_script(spark: SparkSession, script: str, schema: str) -> list[str]:
-    """Run a script's statements in a schema of its own; returns the tables it holds then."""
-    current = spark.catalog.currentDatabase()
-    spark.catalog.setCurrentDatabase(schema)
-    try:
-        for statement in statements(script):
-            spark.sql(spark_statement(statement))
-    finally:
-        spark.catalog.setCurrentDatabase(current)
+    """Run a script's statements in a schema of its own; returns the tables it holds then.
+
+    A session of its own keeps the current schema and the way names are quoted
+    from whatever else runs; the catalog is shared.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.ansi.enabled", "true")
+    session.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
+    session.catalog.setCurrentDatabase(schema)
+    for statement in statements(script):
+        session.sql(spark_statement(statement))
     return user_tables(spark, schema)
 
 

@@ -6,7 +6,6 @@ import zipfile
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from terralode.plans.convert import convert_file, convert_new_files, convert_same_layout, read_ledger
 from terralode.plans.ingest import check_fetches, check_selection, landed_datasets, newest_datasets, select_resources
@@ -54,9 +53,31 @@ def test_script_tables(spark, schema, rows):
     assert dict(tables["products"].dtypes) == {"id": "bigint", "name": "string", "price": "double"}
 
 
+DUMP = """
+PRAGMA foreign_keys=OFF;
+BEGIN TRANSACTION;
+CREATE TABLE IF NOT EXISTS "group" (id INTEGER PRIMARY KEY AUTOINCREMENT, "label" VARCHAR(20) UNIQUE, n INTEGER DEFAULT 0);
+INSERT INTO "group" VALUES(1,'it''s one',5);
+INSERT INTO "group" (id, "label") VALUES (2, 'two');
+CREATE TABLE item(id INT, group_id INTEGER REFERENCES "group"(id), w REAL, PRIMARY KEY (id, group_id), FOREIGN KEY (group_id) REFERENCES "group"(id));
+CREATE INDEX by_group ON item(group_id);
+INSERT INTO item SELECT id * 10, id, 1.5 FROM "group";
+COMMIT;
+"""
+
+
+def test_dump(spark, schema, rows):
+    assert run_sql_script(spark, DUMP, schema) == ["group", "item"]
+    tables = export_all_tables(spark, schema)
+    assert rows(tables["group"], "id", "label", "n") == [(1, "it's one", 5), (2, "two", 0)]
+    assert rows(tables["item"], "id", "group_id", "w") == [(10, 1, 1.5), (20, 2, 1.5)]
+
+
 def test_script_file(spark, tmp_path, rows):
     (tmp_path / "dump.sql").write_text(SCRIPT + "CREATE TABLE empty_table (id INTEGER, data TEXT);")
     names = convert_file(spark, str(tmp_path / "dump.sql"), str(tmp_path / "out"))
+    assert set(names) == {"dump_users", "dump_products", "dump_empty_table"}
+    names = convert_file(spark, str(tmp_path / "dump.sql"), str(tmp_path / "out"), prefix_with_stem=False)
     assert set(names) == {"users", "products", "empty_table"}
     empty = spark.read.parquet(str(tmp_path / "out" / "empty_table.parquet"))
     assert empty.columns == ["id", "data"] and empty.count() == 0
@@ -168,6 +189,23 @@ def test_convert_in_lots(spark, tmp_path, rows):
     assert read_ledger(spark, str(tmp_path / "ledger")).count() == 5
 
 
+def test_files_of_one_layout_are_one_job(spark, tmp_path, schema, rows):
+    (tmp_path / "in").mkdir()
+    for i in range(6):
+        (tmp_path / "in" / f"m{i}.csv").write_text(f"id,v\r\n{i},{i}.5\n")
+    (tmp_path / "in" / "other.csv").write_text("a\n1\n")
+    (tmp_path / "in" / "m0.tsv").write_text("id\tv\n9\t9\n")
+    results = convert_new_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ledger"), same_layout_from=3)
+    want = [(f"m{i}.csv", f"m{i}") for i in range(6)] + [("m0.tsv", "m0"), ("other.csv", "other")]
+    assert rows(results.filter("ok"), "key", "table") == sorted(want)
+    assert results.filter("not ok").count() == 0
+    assert read_ledger(spark, str(tmp_path / "ledger")).count() == 8
+    (folder,) = (tmp_path / "out").glob("layout=*")
+    assert sorted(p.name for p in folder.iterdir() if p.is_dir()) == [f"table=m{i}" for i in range(1, 6)]
+    load_parquets(spark, str(tmp_path / "out"), schema)
+    assert rows(spark.table(quoted(schema, "M3")), "id", "v") == [(3, 3.5)]
+
+
 def test_load_then_models(spark, tmp_path, schema, rows):
     files = tmp_path / "parquets_files"
     files.mkdir()

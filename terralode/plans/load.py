@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terralode.functions.names import has_suffix
+from terralode.functions.names import has_suffix, safe_identifier
 from terralode.plans.runner import run_each
 from terralode.sinks.tables import save_table
 from terralode.sources.listing import list_keys
@@ -37,15 +37,23 @@ def load_parquets(
 ) -> DataFrame:
     """One table per Parquet key, created or replaced, named by the upper-cased stem.
 
-    A key that fails is reported with its error and left out of the tables.
+    A key that fails is reported with its error and left out of the tables; so are
+    keys whose differing names come to the same one in the catalog.
     """
+    listed = table_keys(list_keys(spark, source), formats).orderBy("key")
+    keys = [row["key"] for row in listed.toLocalIterator()]
+    names: dict[str, set[str]] = {}
+    for key in keys:
+        names.setdefault(safe_identifier(table_of(key)), set()).add(table_of(key))
 
     def load(key: str) -> list[str]:
-        df = spark.read.parquet(f"{source.rstrip('/')}/{key}")
-        return [save_table(df, schema, table_of(key))]
+        rivals = names[safe_identifier(table_of(key))]
+        if len(rivals) > 1:
+            raise ValueError(f"tables {sorted(rivals)} would have one name")
+        return [save_table(spark.read.parquet(f"{source.rstrip('/')}/{key}"), schema, table_of(key))]
 
-    keys = table_keys(list_keys(spark, source), formats).orderBy("key")
-    return run_each(spark, (row["key"] for row in keys.toLocalIterator()), load, workers)
+    # Keys of one name replace one another: one at a time, the last one stays.
+    return run_each(spark, keys, load, workers, lane=table_of)
 
 
 def created_tables(results: DataFrame) -> DataFrame:

@@ -227,6 +227,13 @@ def test_load_then_models(spark, tmp_path, schema, rows):
     assert ("silver_file_1", 3) in probed and ("folder", 5) in probed
 
 
+def test_load_refuses_names_that_fall_together(spark, tmp_path, schema, rows):
+    for name in ("a b", "a-b", "c", "C"):
+        write_table(spark.range(1), str(tmp_path / "in" / f"{name}.parquet"))
+    results = load_parquets(spark, str(tmp_path / "in"), schema)
+    assert rows(results, "key", "ok") == [("C.parquet", True), ("a b.parquet", False), ("a-b.parquet", False), ("c.parquet", True)]
+
+
 def test_models_take_any_transform(spark, schema, rows):
     save_table(spark.range(3), schema, "t")
     build_models(spark, manifest(spark, ["t"]), schema, schema, schema, transform=lambda df: df.filter("id > 0"))

@@ -84,16 +84,18 @@ def rich_text(item: Column) -> Column:
 
 
 def column_number(reference: Column) -> Column:
-    """Number of the column a cell reference such as ``AB12`` names."""
-    letters = F.split(F.regexp_replace(reference, "[^A-Z]", ""), "")
-    return F.aggregate(letters, F.lit(0), lambda n, x: n * 26 + F.when(x == "", 0).otherwise(F.ascii(x) - 64))
+    """Number of the column a cell reference such as ``AB12`` names; three letters at most."""
+    at = lambda i: F.ascii(F.substring(reference, i, 1)) - 64
+    one, two, three = at(1), at(2), at(3)
+    return F.when(two < 1, one).when(three < 1, one * 26 + two).otherwise((one * 26 + two) * 26 + three)
 
 
 def whole_number_text(text: Column) -> Column:
     """Number text as a delimited file would spell it: no fraction where there is none."""
     number = text.try_cast("double")
     whole = (number == F.floor(number)) & (F.abs(number) < 2.0**53)
-    return F.when(whole, number.cast("bigint").cast("string")).otherwise(text)
+    plain = text.rlike("^-?[0-9]{1,15}$")
+    return F.when(plain, text).when(whole, number.cast("bigint").cast("string")).otherwise(text)
 
 
 def date_text(serial: Column, date1904: Column) -> Column:
@@ -258,35 +260,52 @@ def ods_sheets(parts: DataFrame) -> DataFrame:
 # --- sheets to tables -----------------------------------------------------------------------
 
 
+def sheet_rows(sheets: DataFrame) -> DataFrame:
+    """Rows of many sheets in one frame: file, sheet, row number, and cells by column number."""
+    return sheets.select("archive", "position", "sheet", F.explode("rows").alias("r")).select(
+        "archive", "position", "sheet", "r.n", "r.cells"
+    )
+
+
+def sheet_shapes(rows: DataFrame) -> DataFrame:
+    """Header, width, last filled row and number of rows up to it, per sheet."""
+    filled = F.size("cells") > 0
+    by_sheet = rows.groupBy("archive", "position", "sheet").agg(
+        F.max(F.when(filled, F.array_max(F.map_keys("cells")))).alias("width"),
+        F.max(F.when(filled, F.col("n"))).alias("last"),
+    )
+    headers = rows.filter("n = 1").select("archive", "position", F.col("cells").alias("header"))
+    return by_sheet.join(headers, ["archive", "position"], "left")
+
+
 def sheet_tables(sheets: DataFrame, na_tokens: list[str] = NA_TOKENS) -> dict[tuple[str, str], DataFrame]:
-    """A table per file and sheet. Only the headers reach the driver."""
-    header = F.get(F.filter("rows", lambda r: r.getField("n") == 1), F.lit(0)).getField("cells")
-    filled = F.filter("rows", lambda r: F.size(r.getField("cells")) > 0)
-    width = F.array_max(F.transform(filled, lambda r: F.array_max(F.map_keys(r.getField("cells")))))
-    last = F.array_max(F.transform(filled, lambda r: r.getField("n")))
-    shapes = sheets.select("archive", "position", "sheet", header.alias("header"), width.alias("width"), last.alias("last"))
+    """A table per file and sheet. The sheets are parsed once; only the headers reach the driver."""
+    spark = sheets.sparkSession
+    path = shared_dir(spark, "rows")
+    parsed = sheet_rows(sheets)
+    parsed.write.partitionBy("archive", "position").parquet(path)
+    rows = spark.read.schema(parsed.schema).parquet(path)
+    shapes = {(r["archive"], r["position"]): r for r in sheet_shapes(rows).collect()}
     tables = {}
-    for shape in shapes.orderBy("archive", "position").collect():
-        head = shape["header"] or {}
-        labels = [(head.get(i) or "").removeprefix(DATE_MARK) for i in range(1, (shape["width"] or 0) + 1)]
-        one = sheets.filter((F.col("archive") == shape["archive"]) & (F.col("position") == shape["position"]))
-        tables[shape["archive"], shape["sheet"]] = sheet_table(one, unique_names(labels), shape["last"] or 0, na_tokens)
+    for sheet in sheets.select("archive", "position", "sheet").orderBy("archive", "position").collect():
+        # A sheet without any row has no shape.
+        shape = shapes.get((sheet["archive"], sheet["position"]))
+        head = (shape and shape["header"]) or {}
+        width, last = (shape["width"] or 0, shape["last"] or 0) if shape else (0, 0)
+        labels = [(head.get(i) or "").removeprefix(DATE_MARK) for i in range(1, width + 1)]
+        own = rows.filter((F.col("archive") == sheet["archive"]) & (F.col("position") == sheet["position"]))
+        tables[sheet["archive"], sheet["sheet"]] = sheet_table(own, unique_names(labels), last, na_tokens)
     return tables
 
 
-def sheet_rows(sheets: DataFrame) -> DataFrame:
-    """Rows of many sheets in one frame: file, sheet, row number, and cells by column number."""
-    return sheets.select("archive", "sheet", F.explode("rows").alias("r")).select("archive", "sheet", "r.n", "r.cells")
-
-
-def sheet_table(sheet: DataFrame, names: list[str], last: int, na_tokens: list[str]) -> DataFrame:
+def sheet_table(rows: DataFrame, names: list[str], last: int, na_tokens: list[str]) -> DataFrame:
     """The rows below the header, those left out of the file counting as blank."""
-    by_number = F.map_from_entries(F.transform("rows", lambda r: F.struct(r.getField("n"), r.getField("cells"))))
-    numbers = F.sequence(F.lit(2), F.lit(last)) if last > 1 else F.array().cast("array<int>")
-    rows = sheet.select(by_number.alias("by_number")).select(
-        F.explode(F.transform(numbers, lambda n: F.try_element_at("by_number", n))).alias("cells")
-    )
-    texts = rows.select([F.try_element_at("cells", F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
+    body = rows.filter((F.col("n") > 1) & (F.col("n") <= last))
+    texts = body.select([F.try_element_at("cells", F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
+    blank = max(last - 1, 0) - body.count()
+    if blank > 0:
+        nulls = [F.lit(None).cast("string").alias(n) for n in names]
+        texts = texts.unionByName(rows.sparkSession.range(blank).select(nulls))
     return type_columns(settle_dates(texts, na_tokens), na_tokens)
 
 

@@ -1,15 +1,26 @@
-"""dBase tables: fixed-width records, cut out by position with column expressions."""
+"""dBase tables: records cut out by their length, fields by their place with column expressions."""
 
 from __future__ import annotations
 
+import struct
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terralode.operators.infer import type_columns
 from terralode.sources.listing import read_files
 
 # Fixed values of the format: where the header keeps what, and how long a field's description is.
-RECORDS_AT, HEADER_LENGTH_AT, RECORD_LENGTH_AT, FIELDS_AT, FIELD_LENGTH = 4, 8, 10, 32, 32
-END_OF_FIELDS, DELETED = 0x0D, "2A"
+RECORDS_AT, HEADER_LENGTH_AT, FIELDS_AT, FIELD_LENGTH, MAX_HEADER = 4, 8, 32, 32, 65535
+END_OF_FIELDS, DELETED = 0x0D, 0x2A
+
+BATCH_RECORDS = 10_000
+
+# The function run in tasks travels with the job: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def byte_at(content: Column, offset: Column | int) -> Column:
@@ -26,6 +37,8 @@ def little_endian(content: Column, offset: int, size: int) -> Column:
 
 def dbf_fields(files: DataFrame) -> DataFrame:
     """One row per field: its place in the record, name, type and length."""
+    # The header is cut off first: every look at a value copies it.
+    files = files.select(F.substring("content", 1, MAX_HEADER).alias("content"))
     content = F.col("content")
     start = lambda i: i * FIELD_LENGTH + FIELDS_AT
     count = ((little_endian(content, HEADER_LENGTH_AT, 2) - FIELDS_AT) / FIELD_LENGTH).cast("int")
@@ -46,16 +59,22 @@ def dbf_fields(files: DataFrame) -> DataFrame:
     return files.select(F.explode(kept).alias("f")).select("f.i", name.alias("name"), "f.kind", "f.length").orderBy("i")
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of fixed length, those marked deleted left out, some thousand at a time."""
+    for batch in batches:
+        for content in batch["content"]:
+            data = content.as_buffer().to_pybytes()
+            count, header, size = struct.unpack_from("<IHH", data, RECORDS_AT)
+            count = min(count, (len(data) - header) // size)
+            for first in range(0, count, BATCH_RECORDS):
+                places = range(header + first * size, header + min(first + BATCH_RECORDS, count) * size, size)
+                records = [data[p : p + size] for p in places if data[p] != DELETED]
+                yield pa.RecordBatch.from_arrays([pa.array(records, type=pa.binary())], names=["record"])
+
+
 def dbf_records(files: DataFrame) -> DataFrame:
     """One row per record that is not marked deleted, as bytes."""
-    content = F.col("content")
-    header, size = little_endian(content, HEADER_LENGTH_AT, 2), little_endian(content, RECORD_LENGTH_AT, 2)
-    whole = F.floor((F.length(content) - header) / size).cast("int")
-    count = F.least(little_endian(content, RECORDS_AT, 4), whole.cast("bigint")).cast("int")
-    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    cut = F.transform(numbers, lambda n: F.substring(content, header + n * size + 1, size))
-    records = files.select(F.explode(cut).alias("record"))
-    return records.filter(F.hex(F.substring("record", 1, 1)) != DELETED)
+    return files.select("content").mapInArrow(_cut, "record binary")
 
 
 def field_text(kind: str, start: int, length: int, encoding: str) -> Column:

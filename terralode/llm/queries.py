@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terralode.llm import byte_bpe, packing, token_counts, url_filters
+from terralode.llm import byte_bpe, language_id, packing, rule_quality, token_counts, url_filters
+from terralode.llm.common import saved
 from terralode.queries.registry import Query, table
 from terralode.session import local_rows
 
@@ -45,6 +46,27 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), byte_bpe.read_spec(BPE_FILE))
 
 
+def fold(n: int):
+    """A document's fold, by a checksum of its id."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(fold(4) != 2))
+    found = language_id.predict_language(docs, model)
+    return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_rule_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = saved(rule_quality.measure(table(spark, sf_dir, "documents")), "measured")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = rule_quality.fit(measured.where(fold(3) != 1).join(labels, "doc_id"))
+    return rule_quality.score(measured, model).select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
+
+
 @query(
     "op9_url_filters",
     r"""

@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terralode.llm import byte_bpe, language_id, packing, rule_quality, token_counts, url_filters
+from terralode.llm import (
+    byte_bpe,
+    circulant_minhash,
+    language_id,
+    packing,
+    projection_forest,
+    rule_quality,
+    token_counts,
+    url_filters,
+)
 from terralode.llm.common import saved
 from terralode.queries.registry import Query, table
 from terralode.session import local_rows
@@ -67,6 +76,16 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_quality.score(measured, model).select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
 
 
+@query("op8_circulant_minhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query("op10_projection_forest")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_forest.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 @query(
     "op9_url_filters",
     r"""

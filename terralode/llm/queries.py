@@ -12,6 +12,7 @@ from terralode.llm import (
     packing,
     projection_forest,
     rule_quality,
+    simhash,
     token_counts,
     url_filters,
 )
@@ -68,6 +69,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query("op4_simhash")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprints; for ids divisible by 50 also how many other documents lie within 3 bits."""
+    prints = saved(simhash.fingerprints(table(spark, sf_dir, "documents")), "prints")
+    asks = (F.col("doc_id") % 50 == 0).alias("asks")
+    near = simhash.near_fingerprints(prints.where(asks), prints.select("fingerprint"))
+    near = near.groupBy(F.col("asked_print").alias("fingerprint")).agg((F.sum("copies") - 1).alias("within_3"))
+    out = prints.join(near, "fingerprint", "left").withColumn("n_near", F.when(asks, F.col("within_3")))
+    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_near")
+
+
 @query("op7_rule_quality")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = saved(rule_quality.measure(table(spark, sf_dir, "documents")), "measured")

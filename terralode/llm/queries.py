@@ -13,6 +13,7 @@ from terralode.llm import (
     projection_forest,
     rule_quality,
     simhash,
+    suffix_dedup,
     token_counts,
     url_filters,
 )
@@ -80,6 +81,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_near")
 
 
+@query("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 @query("op7_rule_quality")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = saved(rule_quality.measure(table(spark, sf_dir, "documents")), "measured")

@@ -20,11 +20,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-RESULT = "row bigint, lang_pred string, score double, bits double"
+FOUND = "lang_pred string, score double, bits double"
 GAP, OTHER = 0, 1  # classes of code points: what is no letter, and letters in no training text
 CODE_POINTS = 0x110000
 
@@ -170,8 +170,10 @@ def parse(blocks: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
     return phrases
 
 
-def predictor(model, block: int, batch_chars: int):
-    def predict(rows: list[int], texts: list[str | None]) -> pa.RecordBatch:
+def predictor(model, block: int, batch_chars: int, at: int, n_out: int):
+    """A task's function: the first ``n_out`` columns, and what is found for the text in column ``at``."""
+
+    def predict(rows: pa.RecordBatch, texts: list[str | None]) -> pa.RecordBatch:
         m = model.value
         n_lang = len(m.languages)
         own = [folded(t or "", m.classes) for t in texts]
@@ -204,35 +206,33 @@ def predictor(model, block: int, batch_chars: int):
             scores.append(float(1 - best / other) if other > 0 else 0.0)
             best_bits.append(float(best))
         return pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(best_bits, pa.float64())],
-            names=["row", "lang_pred", "score", "bits"],
+            [*rows.columns[:n_out], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(best_bits, pa.float64())],
+            names=[*rows.schema.names[:n_out], "lang_pred", "score", "bits"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, size = [], [], 0
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids.append(row)
+            begin, texts, size = 0, [], 0
+            for r, text in enumerate(batch.column(at)):
                 texts.append(text.as_py())
                 size += len(texts[-1] or "")
-                if size >= batch_chars:
-                    yield predict(ids, texts)
-                    ids, texts, size = [], [], 0
-            if ids:
-                yield predict(ids, texts)
+                if size >= batch_chars or r == batch.num_rows - 1:
+                    yield predict(batch.slice(begin, len(texts)), texts)
+                    begin, texts, size = r + 1, [], 0
 
     return run
 
 
-def predict_language(docs: DataFrame, model: Model, block: int = 256, batch_chars: int = 4_000_000) -> DataFrame:
-    """``doc_id, lang_pred, score, bits`` of every row's whole text; lang and source are not looked at.
+def identify(docs: DataFrame, model: Model, keep: list[str], block: int = 256, batch_chars: int = 4_000_000) -> DataFrame:
+    """The columns ``keep`` of every row, and ``lang_pred, score, bits`` of its whole text; no other column is looked at.
 
     ``score``, from 0 to 1, is how much fewer bits the best language needs than the next
     best; ``bits`` is what it needs per character. A null text, or one without any letter,
     is ``und`` with score 0 and null bits; so is every text if nothing was learnt. Of
-    languages that need the same, the first by name wins. Rows are kept one for one.
+    languages that need the same, the first by name wins. Rows are kept one for one; an
+    empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = texts.mapInArrow(predictor(shared, block, batch_chars), RESULT)
-    return found.withColumnRenamed("row", "doc_id")
+    asked = docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias("text_"))
+    schema = T.StructType([*asked.schema.fields[:-1], *T.StructType.fromDDL(FOUND).fields])
+    return asked.mapInArrow(predictor(shared, block, batch_chars, len(keep), len(keep)), schema)

@@ -10,6 +10,7 @@ from terralode.llm import (
     circulant_minhash,
     language_id,
     packing,
+    piece_lattice,
     projection_forest,
     rule_quality,
     simhash,
@@ -25,6 +26,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
@@ -66,7 +68,7 @@ def fold(n: int):
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.where(fold(4) != 2))
-    found = language_id.predict_language(docs, model)
+    found = language_id.identify(docs, model, ["doc_id"])
     return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
@@ -86,9 +88,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+@query("op6_piece_lattice")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's three best segmentations, told by score, pieces and checksum."""
+    found = piece_lattice.encode(table(spark, sf_dir, "documents"), piece_lattice.read_model(PIECE_FILE), 3)
+    return found.select(
+        "doc_id",
+        F.transform("nbest", lambda s: s["score"]).alias("scores"),
+        F.transform("nbest", lambda s: s["n_pieces"]).alias("n_pieces"),
+        F.transform("nbest", lambda s: F.crc32(s["ids"])).alias("ids_crc32"),
+    )
+
+
 @query("op7_rule_quality")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = saved(rule_quality.measure(table(spark, sf_dir, "documents")), "measured")
+    measured = saved(rule_quality.measure(table(spark, sf_dir, "documents"), ["doc_id"]), "measured")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     model = rule_quality.fit(measured.where(fold(3) != 1).join(labels, "doc_id"))
     return rule_quality.score(measured, model).select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")

@@ -50,11 +50,11 @@ STATISTICS = [
 ]
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the statistics of every row's whole text; a null text counts as empty, an empty one has all at 0."""
+def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` and the statistics of every row's whole text; a null text counts as empty, an empty one has all at 0."""
     text = F.col("text_")
-    cut = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text_")).select(
-        "doc_id",
+    cut = docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text_")).select(
+        *keep,
         "text_",
         F.length("text_").alias("n_"),
         F.filter(F.split("text_", r"\s+"), lambda w: w != "").alias("words_"),
@@ -63,7 +63,7 @@ def measure(docs: DataFrame) -> DataFrame:
     )
     n, words, lines, letters = (F.col(c) for c in ("n_", "words_", "lines_", "letters_"))
     return cut.select(
-        "doc_id",
+        *keep,
         n.cast("double").alias("chars"),
         rate(letters, n).alias("letters"),
         rate(kept_length(text, r"[^\p{Lu}]+"), letters).alias("upper"),

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from terralode.llm.common import saved
 
@@ -34,7 +34,7 @@ ODD = np.uint64(0xBF58476D1CE4E5B9)
 MARKER, PLAIN, SPREAD, REPEATED = 0, 1, 2, 3
 PHRASES = "spot bigint, trigger bigint, phrase bigint, doc_id bigint, place bigint, kind int"
 WINDOWS = "w0 bigint, w1 int, doc_id bigint, start bigint"
-KEPT = "doc_id bigint, n_bytes bigint, spans array<struct<begin:bigint,end:bigint>>, kept binary"
+KEPT = "doc_id bigint, n_bytes bigint, spans array<struct<begin:bigint,end:bigint>>, kept {}"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -216,8 +216,8 @@ def window_lister(length: int):
     return run
 
 
-def remover(length: int):
-    """What is left of rows ``doc_id, text, repeated, doubted, first``."""
+def remover(length: int, as_text: bool):
+    """What is left of rows ``doc_id, text, repeated, doubted, first``; further columns are carried along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,30 +244,34 @@ def remover(length: int):
                 room += len(kept[-1])
                 if room >= 4 * GATHER or r == batch.num_rows - 1:
                     kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+                    left = pa.array([k.decode("utf-8", "ignore") for k in kept]) if as_text else pa.array(kept, pa.binary())
+                    rows = batch.slice(begun, len(sizes))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(begun, len(sizes)), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())],
-                        names=["doc_id", "n_bytes", "spans", "kept"],
+                        [rows.column(0), pa.array(sizes, pa.int64()), pa.array(spans, kind), left, *rows.columns[5:]],
+                        names=["doc_id", "n_bytes", "spans", "kept", *rows.schema.names[5:]],
                     )
                     begun, sizes, spans, kept, room = r + 1, [], [], [], 0
 
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
-    """``doc_id, n_bytes, spans, kept``: every row's text as UTF-8 without its repeated bytes.
+def remove_repeats(docs: DataFrame, length: int = 100, keep: list[str] | None = None, as_text: bool = False) -> DataFrame:
+    """``doc_id, n_bytes, spans, kept`` and the columns ``keep``: every row's text as UTF-8 without its repeated bytes.
 
     A byte goes if a run of ``length`` bytes that covers it also starts earlier, in a
     document of a smaller doc_id or before it in its own; overlaps count, runs never
     cross documents, and all is judged on the texts as given. ``spans`` are the maximal
-    runs removed. A null text counts as empty. A row without doc_id is left whole and
+    runs removed; ``as_text`` gives what is left as a string, without the characters that
+    a run cuts through. A null text counts as empty. A row without doc_id is left whole and
     repeats nothing. Rows of one doc_id are taken as one document and must have one
     text. An empty table gives no rows. ``length`` is from 64 to 255.
     """
     if not 2 * TRIGGER <= length <= 255:
         raise ValueError("length is from 64 to 255")
-    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    keep = keep or []
+    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
     known = base.where("doc_id is not null")
-    phrases = known.mapInArrow(phrase_lister(length), PHRASES).repartition("spot")
+    phrases = known.select("doc_id", "text").mapInArrow(phrase_lister(length), PHRASES).repartition("spot")
     same = Window.partitionBy("spot", "trigger", "phrase").orderBy("doc_id", "place")
     group = Window.partitionBy("spot", "trigger")
     judged = (
@@ -294,9 +298,11 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     firsts = windows.mapInArrow(window_lister(length), WINDOWS).groupBy("w0", "w1").agg(F.min(F.struct("doc_id", "start")).alias("m"))
     firsts = firsts.groupBy(F.col("m.doc_id").alias("doc_id")).agg(F.collect_list("m.start").alias("first"))
     found = marks.join(firsts, "doc_id", "left")
-    whole = dealt.join(found.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "repeated", "doubted", "first")
+    whole = dealt.join(found.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "repeated", "doubted", "first", *keep)
     none = [F.lit(None).cast("array<bigint>").alias(c) for c in ("repeated", "doubted", "first")]
-    return whole.union(base.where("doc_id is null").select("doc_id", "text", *none)).mapInArrow(remover(length), KEPT)
+    schema = T.StructType.fromDDL(KEPT.format("string" if as_text else "binary"))
+    schema = T.StructType([*schema.fields, *(base.schema[c] for c in keep)])
+    return whole.union(base.where("doc_id is null").select("doc_id", "text", *none, *keep)).mapInArrow(remover(length, as_text), schema)
 
 
 def digest(kept: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MARK = "▁"
 ENCODED = "doc_id bigint, nbest array<struct<score:double,n_pieces:bigint,ids:binary>>"
-SECTIONS_KEPT = 1 << 18
+SECTIONS_KEPT = 1 << 19
 BATCH_CHARS = 4_000_000
 
 
@@ -46,6 +46,8 @@ class Lattice:
         names = [processor.id_to_piece(i) for i in range(size)]
         plain = [i for i in range(size) if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_unused(i) or processor.is_byte(i))]
         self.pieces = {names[i]: (processor.get_score(i), (i,)) for i in plain}
+        # Every beginning of a piece: its score and ids where it is a piece itself, else empty.
+        self.prefixes = {p[:k]: () for p in self.pieces for k in range(1, len(p))} | self.pieces
         self.byte_ids = {int(names[i][3:5], 16): i for i in range(size) if processor.is_byte(i)}
         self.unknown = (processor.unk_id(), min((processor.get_score(i) for i in plain), default=0.0) - 10.0)
         self.longest = max(map(len, self.pieces), default=1)
@@ -66,22 +68,26 @@ class Lattice:
         return self.unknown[1], (self.unknown[0],)
 
     def forward(self, section: str):
-        """All pieces as (begin, end, score, ids) by begin, and by place the best score before it and its last piece."""
-        pieces, longest, size = self.pieces, self.longest, len(section)
+        """All pieces as (begin, end, score, ids) by begin, and by place the best score before it and its last piece's number."""
+        get, longest, size = self.prefixes.get, self.longest, len(section)
         arcs: list[tuple[int, int, float, tuple[int, ...]]] = []
-        ahead, last = [0.0] + [-math.inf] * size, [None] * (size + 1)
+        ahead, last = [0.0] + [-math.inf] * size, [0] * (size + 1)
         for i in range(size):
             so_far = ahead[i]
+            if section[i] not in self.pieces:
+                score, ids = self.fallback(section[i])
+                if so_far + score > ahead[i + 1]:
+                    ahead[i + 1], last[i + 1] = so_far + score, len(arcs)
+                arcs.append((i, i + 1, score, ids))
             for j in range(i + 1, min(size, i + longest) + 1):
-                hit = pieces.get(section[i:j])
+                hit = get(section[i:j])
                 if hit is None:
-                    if j > i + 1:
-                        continue
-                    hit = self.fallback(section[i])
-                arcs.append((i, j, *hit))
-                if so_far + hit[0] > ahead[j]:
-                    ahead[j] = so_far + hit[0]
-                    last[j] = arcs[-1]
+                    break
+                if hit:
+                    score, ids = hit
+                    if so_far + score > ahead[j]:
+                        ahead[j], last[j] = so_far + score, len(arcs)
+                    arcs.append((i, j, score, ids))
         return arcs, ahead, last
 
     def best(self, section: str) -> tuple[float, bytes, float]:
@@ -93,18 +99,20 @@ class Lattice:
             arcs, ahead, last = self.forward(section)
             ids, at, on_path = [], len(section), set()
             while at:
-                arc = last[at]
-                on_path.add(arc)
-                ids.append(arc[3])
-                at = arc[0]
+                on_path.add(last[at])
+                at, _, _, own = arcs[last[at]]
+                ids.append(own)
             second = -math.inf
             if self.n > 1 and len(arcs) > len(ids):
                 # The second best path has a piece off the best one, and is the best path through that piece.
                 after = [-math.inf] * len(section) + [0.0]
-                for i, j, score, _ in reversed(arcs):
-                    if score + after[j] > after[i]:
-                        after[i] = score + after[j]
-                second = max(ahead[a[0]] + a[2] + after[a[1]] for a in arcs if a not in on_path)
+                for k in range(len(arcs) - 1, -1, -1):
+                    i, j, score, _ = arcs[k]
+                    score += after[j]
+                    if score > after[i]:
+                        after[i] = score
+                    if ahead[i] + score > second and k not in on_path:
+                        second = ahead[i] + score
             flat = array("I", [x for part in reversed(ids) for x in part]).tobytes()
             found = self.first[section] = (ahead[-1], flat, ahead[-1] - second)
         return found

@@ -13,6 +13,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from terralode.llm.common import saved
+
 RUN_BITS = 10  # ids of a run: their number bounds a window's group
 STEP_BITS, STEPS = 16, 3  # runs are ordered level by level, so many at a time
 LANES = 0x100000001  # a bit in each half of a long
@@ -78,7 +80,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     run = F.shiftright("doc_id", RUN_BITS)
     tops = own.where("doc_id is not null").groupBy(run.alias("run")).agg(F.max("doc_id").alias("doc_id"))
     above = following(tops.select(F.col("run").alias("k"), F.col("run").alias("v")))
-    guests = tops.join(above, tops["run"] == above["k"]).select("doc_id", F.col("after").alias("run"))
+    # Written first, so that Spark knows how small it is before it plans to move any text for it.
+    guests = saved(tops.join(above, tops["run"] == above["k"]).select("doc_id", F.col("after").alias("run")), "guests")
     guests = own.join(guests, "doc_id").select("doc_id", "text", "run", F.lit(1).alias("guest"))
     dealt = own.select("doc_id", "text", run.alias("run"), F.lit(0).alias("guest")).unionByName(guests)
     dealt = dealt.withColumn("text_hash", F.xxhash64("text"))
@@ -113,6 +116,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     counted = hashed.groupBy(*keys, "side").agg(*votes(), F.sum("weight").alias("total"))
     prints = counted.select(*keys, "side", F.concat(hex_of("h0"), hex_of("h1")).alias("print"))
     paired = prints.groupBy(*keys).agg(F.max(F.when(F.col("side") == 0, F.col("print"))).alias("fingerprint"), F.max(F.when(F.col("side") == 1, F.col("print"))).alias("edited_fingerprint"))
+    paired = saved(paired, "fingerprints")
     known = paired.select(F.col("doc_id").alias("next_id"), F.col("text_hash").alias("next_hash"), F.col("fingerprint").alias("next_print")).distinct()
     full = paired.join(known, ["next_id", "next_hash"], "left")
     return full.select(

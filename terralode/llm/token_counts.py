@@ -23,7 +23,8 @@ from terralode.llm.common import saved
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNKS = "chunk bigint, pieces array<string>, docs binary, terms binary"
-COUNTED = "chunk bigint, pos int, n int"
+COUNTED = "chunk bigint, counts binary"
+LOT_PIECES = 1 << 19
 RESULT = "doc_id bigint, n_bytes bigint, n_tokens bigint"
 
 
@@ -47,58 +48,99 @@ def from_bytes(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
-def chunk_row(chunk: int, numbers: Numbering, ids: list[int], sizes: list[int], bytes_: list[int], pieces: list[np.ndarray]):
-    """One chunk: its pre-tokens from the most frequent on, and each document's (number, frequency) pairs, numbers as differences."""
-    flat = np.concatenate([*pieces, np.empty(0, np.int32)]).astype(np.int64)
-    total = np.bincount(flat, minlength=len(numbers))
-    order = np.argsort(-total, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    doc = np.repeat(np.arange(len(ids)), sizes)
-    pairs, freq = np.unique(doc * max(1, len(numbers)) + rank[flat], return_counts=True)
-    doc, number = np.divmod(pairs, max(1, len(numbers)))
-    step = np.diff(number, prepend=0)
-    first = np.diff(doc, prepend=-1) != 0
-    step[first] = number[first]
-    names = list(numbers)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([chunk]),
-            pa.array([[names[i] for i in order]], pa.list_(pa.string())),
-            pa.array([to_bytes(doc_id=pa.array(ids, pa.int64()), n_bytes=pa.array(bytes_, pa.int64()), n_terms=np.bincount(doc, minlength=len(ids)))], pa.binary()),
-            pa.array([to_bytes(step=step.astype(np.int32), freq=freq.astype(np.int32))], pa.binary()),
-        ],
-        names=["chunk", "pieces", "docs", "terms"],
-    )
+class Chunk:
+    """Documents gathered for one row of output; their pairs are drawn together lot by lot."""
+
+    def __init__(self, number: int):
+        self.number, self.numbers = number, Numbering()
+        self.ids, self.bytes = [], []
+        self.lot: list[np.ndarray] = []
+        self.lot_pieces = self.gathered = 0
+        self.docs, self.held, self.freqs = [], [], []
+
+    def add(self, doc_id: int, n_bytes: int, pieces: list[str]) -> None:
+        self.ids.append(doc_id)
+        self.bytes.append(n_bytes)
+        self.lot.append(np.fromiter(map(self.numbers.__getitem__, pieces), np.int32, len(pieces)))
+        self.gathered += n_bytes
+        self.lot_pieces += len(pieces)
+        if self.lot_pieces >= LOT_PIECES:
+            self.close_lot()
+
+    def close_lot(self) -> None:
+        """The lot's documents as (document, number, frequency)."""
+        first, width = len(self.ids) - len(self.lot), max(1, len(self.numbers))
+        doc = np.repeat(np.arange(len(self.lot), dtype=np.int64), [len(x) for x in self.lot])
+        pairs, freq = np.unique(doc * width + np.concatenate([*self.lot, np.empty(0, np.int32)]), return_counts=True)
+        doc, number = np.divmod(pairs, width)
+        self.docs.append((doc + first).astype(np.int32))
+        self.held.append(number.astype(np.int32))
+        self.freqs.append(freq.astype(np.int32))
+        self.lot, self.lot_pieces = [], 0
+
+    def row(self) -> pa.RecordBatch:
+        """Pre-tokens from the most frequent on, and each document's pairs in that order, numbers as differences."""
+        self.close_lot()
+        doc, number, freq = (np.concatenate(x) for x in (self.docs, self.held, self.freqs))
+        order = np.argsort(-np.bincount(number, freq, len(self.numbers)), kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        number = rank[number]
+        by = np.lexsort((number, doc))
+        doc, number, freq = doc[by], number[by], freq[by]
+        step = np.diff(number, prepend=np.int32(0))
+        first = np.diff(doc, prepend=np.int32(-1)) != 0
+        step[first] = number[first]
+        pieces = pa.array(self.numbers.keys(), pa.string()).take(pa.array(order))
+        n_terms = np.bincount(doc, minlength=len(self.ids))
+        docs = to_bytes(doc_id=pa.array(self.ids, pa.int64()), n_bytes=pa.array(self.bytes, pa.int64()), n_terms=n_terms)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([self.number]),
+                pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces),
+                pa.array([docs], pa.binary()),
+                pa.array([to_bytes(step=step, freq=freq)], pa.binary()),
+            ],
+            names=["chunk", "pieces", "docs", "terms"],
+        )
 
 
 def chunker(spec, chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, part, serial = ByteBpe(spec.value), TaskContext.get().partitionId(), 0
-        numbers, ids, sizes, bytes_, pieces, gathered = Numbering(), [], [], [], [], 0
+        chunk = Chunk(part << 33)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py() or ""
-                found = bpe.pre_tokens(text)
-                ids.append(doc_id)
-                sizes.append(len(found))
-                bytes_.append(len(text.encode()))
-                pieces.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
-                gathered += bytes_[-1]
-                if gathered >= chunk_bytes:
-                    yield chunk_row(part << 33 | serial, numbers, ids, sizes, bytes_, pieces)
-                    serial, numbers, ids, sizes, bytes_, pieces, gathered = serial + 1, Numbering(), [], [], [], [], 0
-        if ids:
-            yield chunk_row(part << 33 | serial, numbers, ids, sizes, bytes_, pieces)
+                chunk.add(doc_id, len(text.encode()), bpe.pre_tokens(text))
+                if chunk.gathered >= chunk_bytes:
+                    yield chunk.row()
+                    serial += 1
+                    chunk = Chunk(part << 33 | serial)
+        if chunk.ids:
+            yield chunk.row()
 
     return run
 
 
 def counter(spec):
-    """Rows sorted by piece: each run of equal pieces is counted once. Pieces of one token, the rule, give no row."""
+    """Rows sorted by piece: each run of equal pieces is counted once.
+
+    The counts are gathered by chunk and packed. Pieces of one token, the rule, are left out.
+    """
+
+    def packed(chunks: list, places: list, lengths: list) -> pa.RecordBatch:
+        chunk, pos, n = (np.concatenate(x) for x in (chunks, places, lengths))
+        order = np.lexsort((pos, chunk))
+        chunk, pos, n = chunk[order], pos[order], n[order]
+        cut = np.flatnonzero(np.diff(chunk, prepend=-1))
+        ends = np.append(cut[1:], len(chunk))
+        blobs = [to_bytes(step=np.diff(pos[a:b], prepend=np.int32(0)), n=n[a:b]) for a, b in zip(cut, ends)]
+        return pa.RecordBatch.from_arrays([pa.array(chunk[cut]), pa.array(blobs, pa.binary())], names=["chunk", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, last, last_n = ByteBpe(spec.value), None, 0
+        bpe, last, last_n, held = ByteBpe(spec.value), None, 0, 0
+        out: tuple[list, list, list] = ([], [], [])
         for batch in batches:
             piece = batch.column(2).dictionary_encode()
             distinct = piece.dictionary.to_pylist()
@@ -106,8 +148,15 @@ def counter(spec):
             if len(distinct):
                 last, last_n = distinct[-1], int(lengths[-1])
             n = lengths[piece.indices.to_numpy()]
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n)], names=["chunk", "pos", "n"])
-            yield out.filter(pa.array(n != 1))
+            more = n != 1
+            for column, values in zip(out, (batch.column(0).to_numpy(), batch.column(1).to_numpy(), n)):
+                column.append(values[more])
+            held += int(more.sum())
+            if held >= LOT_PIECES:
+                yield packed(*out)
+                out, held = ([], [], []), 0
+        if held:
+            yield packed(*out)
 
     return run
 
@@ -122,13 +171,15 @@ def sum_chunk(counts: pa.Table, chunk: pa.Table) -> pa.Table:
     before = np.concatenate([[0], run])[starts]
     number = run - np.repeat(before, n_terms)
     n = np.ones(int(number.max()) + 1 if len(number) else 0, np.int64)
-    n[counts.column("pos").to_numpy()] = counts.column("n").to_numpy()
+    for blob in counts.column("counts").to_pylist():
+        found = from_bytes(blob)
+        n[np.cumsum(found.column("step").to_numpy())] = found.column("n").to_numpy()
     sums = np.concatenate([[0], np.cumsum(n[number] * terms.column("freq").to_numpy())])
     tokens = sums[starts + n_terms] - sums[starts]
     return pa.table({"doc_id": docs.column("doc_id"), "n_bytes": docs.column("n_bytes"), "n_tokens": pa.array(tokens, pa.int64())})
 
 
-def count_tokens(docs: DataFrame, spec_text: str, limit: int = 1024, chunk_bytes: int = 24 << 20) -> DataFrame:
+def count_tokens(docs: DataFrame, spec_text: str, limit: int = 1024, chunk_bytes: int = 14 << 20) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row of ``docs``.
 
     ``n_tokens`` is what the tokenizers library gives for the whole text, special

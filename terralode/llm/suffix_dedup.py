@@ -5,9 +5,10 @@ leftmost smallest one: the window's trigger. Triggers cut each text into phrases
 starts of the windows that share a trigger, with the bytes around it), the same
 wherever the same bytes stand. Equal phrases are one dictionary entry: all windows of
 its later occurrences are repeated, whatever their number. Only phrases that share a
-trigger with a different phrase can hold further repeats; the suffixes of just these
-entries are brought into order, as far as ``length`` bytes go, and the first place of
-each in the corpus is kept. Suffixes are ordered by a hash of those bytes, as only
+trigger with a different phrase can hold further repeats. They are cut into a few
+stretches, judged the same way by their whole and by the bytes all their windows
+share; the suffixes of the stretches still in doubt are brought into order, as far as
+``length`` bytes go, and the first place of each in the corpus is kept. Suffixes are ordered by a hash of those bytes, as only
 their equality matters.
 """
 
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -32,8 +34,10 @@ HOT = 16  # phrases of one trigger in one lot of texts from which on they are de
 BASE = np.uint64(0x9E3779B97F4A7C15)
 ODD = np.uint64(0xBF58476D1CE4E5B9)
 MARKER, PLAIN, SPREAD, REPEATED = 0, 1, 2, 3
-PHRASES = "spot bigint, trigger bigint, phrase bigint, doc_id bigint, place bigint, kind int"
-WINDOWS = "w0 bigint, w1 int, doc_id bigint, start bigint"
+PARTS = 4
+PHRASES = "spot bigint, phrase bigint, doc_id bigint, place bigint"
+STRETCHES = "inner_hash bigint, whole_hash bigint, doc_id bigint, at bigint, low bigint, n int, skip int, bytes binary"
+WINDOWS = "w0 bigint, w1 int, doc_id bigint, start bigint, n int"
 KEPT = "doc_id bigint, n_bytes bigint, spans array<struct<begin:bigint,end:bigint>>, kept {}"
 
 
@@ -138,23 +142,21 @@ def phrase_lister(length: int):
         again[1:] &= (doc_id[1:] != doc_id[:-1]) | (at[1:] != at[:-1])
         # A repeat within the lot is known at once; of what remains, triggers of many phrases are dealt out by phrase.
         _, group, count = np.unique(trigger[~again], return_inverse=True, return_counts=True)
-        kind = np.where(again, REPEATED, PLAIN).astype(np.int32)
+        kind = np.where(again, REPEATED, PLAIN)
         kind[~again] = np.where(count[group] >= HOT, SPREAD, PLAIN)
         spot = np.where(kind == PLAIN, trigger, mixed(trigger + phrase * BASE))
         spot = np.where(kind == REPEATED, mixed(spot + (doc_id * 1_000_003 + at).view(np.uint64)), spot)
-        place = at << 16 | (at - first) << 8 | (at - last)
+        place = at << 18 | (at - first) << 10 | (at - last) << 2 | kind
         hot = np.unique(trigger[kind == SPREAD])
         zeros = np.zeros(len(hot), np.int64)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate([spot, hot]).view(np.int64)),
-                pa.array(np.concatenate([trigger, hot]).view(np.int64)),
                 pa.array(np.concatenate([phrase.view(np.int64), zeros])),
                 pa.array(np.concatenate([doc_id, zeros])),
-                pa.array(np.concatenate([place, zeros])),
-                pa.array(np.concatenate([kind, np.full(len(hot), MARKER, np.int32)])),
+                pa.array(np.concatenate([place, zeros + MARKER])),
             ],
-            names=["spot", "trigger", "phrase", "doc_id", "place", "kind"],
+            names=["spot", "phrase", "doc_id", "place"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,8 +177,8 @@ def phrase_lister(length: int):
 
 def unpacked(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last window start of packed places."""
-    at = marks >> 16
-    return at - (marks >> 8 & 255), at - (marks & 255)
+    at = marks >> 18
+    return at - (marks >> 10 & 255), at - (marks >> 2 & 255)
 
 
 def spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -185,33 +187,87 @@ def spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
-def window_lister(length: int):
-    """Hashes of the windows of phrases still in doubt, of rows ``doc_id, text, doubted``."""
+def stretch_lister(length: int):
+    """Stretches of the phrases still in doubt, of rows ``doc_id, text, doubted``; a null text is passed over.
+
+    A window starts 0 to ``length - TRIGGER`` bytes before its trigger; a stretch has the windows of one of
+    PARTS ranges of that distance. Its inner bytes lie in each of them, its whole bytes in one or another.
+    """
+    bounds = np.linspace(0, length - TRIGGER + 1, PARTS + 1).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
         for batch in batches:
             for doc_id, text, doubted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-                starts = np.unique(spread(*unpacked(doubted.values.to_numpy())))
-                starts = starts[(starts >= 0) & (starts + length <= len(data))]
-                # In pieces, so that a very long text needs no long sums.
-                for low in range(0, len(data), SEGMENT):
-                    own = starts[np.searchsorted(starts, low) : np.searchsorted(starts, low + SEGMENT)] - low
+                if not text.is_valid or not doubted.is_valid:
+                    continue
+                raw = text.as_py().encode()
+                marks = doubted.values.to_numpy()
+                marks = marks[np.argsort(marks >> 18, kind="stable")]
+                for low in range(0, len(raw), SEGMENT):
+                    own = marks[np.searchsorted(marks >> 18, low) : np.searchsorted(marks >> 18, low + SEGMENT)]
                     if not len(own):
                         continue
-                    rolling.load(data[low : low + SEGMENT + length])
-                    raw = rolling.runs(own, own + length)
-                    other = mixed(rolling.runs(own, own + length // 2) + raw * BASE)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(mixed(raw).view(np.int64)),
-                            pa.array((other >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                            pa.array(np.full(len(own), doc_id, np.int64)),
-                            pa.array(own + low),
-                        ],
-                        names=["w0", "w1", "doc_id", "start"],
-                    )
+                    begin = max(0, low - length)
+                    data = np.frombuffer(raw[begin : low + SEGMENT + length], np.uint8)
+                    rolling.load(data)
+                    at, (first, last) = (own >> 18) - begin, unpacked(own)
+                    for part in range(PARTS):
+                        near, far = bounds[part], bounds[part + 1] - 1
+                        lows, highs = np.maximum(first - begin, at - far), np.minimum(last - begin, at - near)
+                        held = (lows <= highs) & (lows >= 0) & (highs + length <= len(data))
+                        t, lo, hi = at[held], lows[held], highs[held]
+                        if not len(t):
+                            continue
+                        left, right = np.maximum(0, t - far), np.minimum(len(data), t - near + length)
+                        inner = mixed(rolling.runs(t - near, t - far + length) + np.uint64(part + 1) * ODD)
+                        clip = (t - left).astype(np.uint64) * BASE ^ (right - t).astype(np.uint64) * ODD
+                        whole = mixed(rolling.runs(left, right) + clip)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(inner.view(np.int64)),
+                                pa.array(whole.view(np.int64)),
+                                pa.array(np.full(len(t), doc_id, np.int64)),
+                                pa.array(t + begin),
+                                pa.array(lo + begin),
+                                pa.array((hi - lo + 1).astype(np.int32)),
+                                pa.array((lo - left).astype(np.int32)),
+                                pa.array([raw[x:y] for x, y in zip((left + begin).tolist(), (right + begin).tolist())], pa.binary()),
+                            ],
+                            names=["inner_hash", "whole_hash", "doc_id", "at", "low", "n", "skip", "bytes"],
+                        )
+
+    return run
+
+
+def window_lister(length: int):
+    """Of rows ``doc_id, low, n, skip, bytes, shared``: a shared stretch's windows by hash, one row each; another as it is, under a key of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rolling = Rolling()
+        for batch in batches:
+            doc_id, low, n, skip = (batch.column(c).to_numpy() for c in range(4))
+            shared = batch.column(5).to_numpy(zero_copy_only=False)
+            rolling.load(np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8))
+            sizes = pa.compute.binary_length(batch.column(4)).to_numpy().astype(np.int64)
+            begin = np.cumsum(sizes) - sizes + skip
+            own, size = begin[shared], n[shared].astype(np.int64)
+            at = spread(own, own + size - 1) if len(own) else own
+            raw = rolling.runs(at, at + length)
+            other = mixed(rolling.runs(at, at + length // 2) + raw * BASE)
+            alone = ~shared
+            key = mixed((doc_id[alone] * 1_000_003 + low[alone]).view(np.uint64) * ODD)
+            starts = spread(low[shared], low[shared] + size - 1) if len(own) else low[shared]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([mixed(raw), key]).view(np.int64)),
+                    pa.array(np.concatenate([(other >> np.uint64(32)).astype(np.uint32).view(np.int32), np.full(len(key), -1, np.int32)])),
+                    pa.array(np.concatenate([np.repeat(doc_id[shared], size), doc_id[alone]])),
+                    pa.array(np.concatenate([starts, low[alone]])),
+                    pa.array(np.concatenate([np.ones(len(starts), np.int32), n[alone]])),
+                ],
+                names=["w0", "w1", "doc_id", "start", "n"],
+            )
 
     return run
 
@@ -225,6 +281,7 @@ def remover(length: int, as_text: bool):
             for r in range(batch.num_rows):
                 data = (batch.column(1)[r].as_py() or "").encode()
                 repeated, doubted, first = (np.array(batch.column(c)[r].as_py() or [], np.int64) for c in (2, 3, 4))
+                first = spread(first >> 8, (first >> 8) + (first & 255) - 1) if len(first) else first
                 starts = spread(*unpacked(repeated))
                 if len(doubted):
                     starts = np.concatenate([starts, np.setdiff1d(spread(*unpacked(doubted)), first)])
@@ -270,20 +327,20 @@ def remove_repeats(docs: DataFrame, length: int = 100, keep: list[str] | None =
         raise ValueError("length is from 64 to 255")
     keep = keep or []
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
-    known = base.where("doc_id is not null")
-    phrases = known.select("doc_id", "text").mapInArrow(phrase_lister(length), PHRASES).repartition("spot")
-    same = Window.partitionBy("spot", "trigger", "phrase").orderBy("doc_id", "place")
-    group = Window.partitionBy("spot", "trigger")
+    phrases = base.select("doc_id", "text").where("doc_id is not null").mapInArrow(phrase_lister(length), PHRASES).repartition("spot")
+    kind, at = F.col("place").bitwiseAND(F.lit(3)), F.shiftright("place", 18)
+    same = Window.partitionBy("spot", "phrase").orderBy("doc_id", "place")
+    group = Window.partitionBy("spot")
+    real = F.when(kind != MARKER, F.col("phrase"))
     judged = (
-        phrases.withColumn("earliest", F.first(F.struct("doc_id", F.shiftright("place", 16).alias("at"))).over(same))
-        .withColumn("lowest", F.min(F.when(F.col("kind") != MARKER, F.col("phrase"))).over(group))
-        .withColumn("highest", F.max(F.when(F.col("kind") != MARKER, F.col("phrase"))).over(group))
-        .withColumn("marked", F.min("kind").over(group) == MARKER)
-        .where(F.col("kind") != MARKER)
+        phrases.withColumn("earliest", F.first(F.when(kind != MARKER, F.struct("doc_id", at.alias("at"))), ignorenulls=True).over(same))
+        .withColumn("lowest", F.min(real).over(group))
+        .withColumn("highest", F.max(real).over(group))
+        .withColumn("marked", F.min(kind).over(group) == MARKER)
+        .where(kind != MARKER)
     )
-    at = F.struct("doc_id", F.shiftright("place", 16).alias("at"))
-    judged = judged.withColumn("repeated", (F.col("kind") == REPEATED) | (at != F.col("earliest")))
-    doubted = (F.col("kind") == SPREAD) | F.col("marked") | (F.col("lowest") != F.col("highest"))
+    judged = judged.withColumn("repeated", (kind == REPEATED) | (F.struct("doc_id", at.alias("at")) != F.col("earliest")))
+    doubted = (kind == SPREAD) | F.col("marked") | (F.col("lowest") != F.col("highest"))
     marks = (
         judged.where(F.col("repeated") | doubted)
         .groupBy("doc_id")
@@ -293,16 +350,27 @@ def remove_repeats(docs: DataFrame, length: int = 100, keep: list[str] | None =
         )
     )
     marks = saved(marks, "phrases")
-    dealt = known.repartition("doc_id")
-    windows = dealt.join(marks.where("size(doubted) > 0").select("doc_id", "doubted").hint("shuffle_hash"), "doc_id").select("doc_id", "text", "doubted")
-    firsts = windows.mapInArrow(window_lister(length), WINDOWS).groupBy("w0", "w1").agg(F.min(F.struct("doc_id", "start")).alias("m"))
-    firsts = firsts.groupBy(F.col("m.doc_id").alias("doc_id")).agg(F.collect_list("m.start").alias("first"))
+    # The texts are dealt once, for both joins: the first takes no filter that would make it another shuffle.
+    dealt = base.repartition("doc_id")
+    in_doubt = dealt.join(marks.select("doc_id", "doubted").hint("shuffle_hash"), "doc_id", "left").select(
+        "doc_id", F.when(F.size("doubted") > 0, F.struct("text", *keep)).getField("text").alias("text"), "doubted"
+    )
+    stretches = in_doubt.mapInArrow(stretch_lister(length), STRETCHES).repartition("inner_hash")
+    alike = Window.partitionBy("inner_hash", "whole_hash").orderBy("doc_id", "at")
+    inside = Window.partitionBy("inner_hash")
+    new = (
+        stretches.withColumn("earliest", F.first(F.struct("doc_id", "at")).over(alike))
+        .withColumn("shared", F.min("whole_hash").over(inside) != F.max("whole_hash").over(inside))
+        .where(F.struct("doc_id", "at") == F.col("earliest"))
+    )
+    windows = new.select("doc_id", "low", "n", "skip", "bytes", "shared").mapInArrow(window_lister(length), WINDOWS)
+    firsts = windows.groupBy("w0", "w1").agg(F.min(F.struct("doc_id", "start", "n")).alias("m"))
+    firsts = firsts.groupBy(F.col("m.doc_id").alias("doc_id")).agg(F.collect_list(F.shiftleft("m.start", 8).bitwiseOR(F.col("m.n"))).alias("first"))
     found = marks.join(firsts, "doc_id", "left")
     whole = dealt.join(found.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "repeated", "doubted", "first", *keep)
-    none = [F.lit(None).cast("array<bigint>").alias(c) for c in ("repeated", "doubted", "first")]
     schema = T.StructType.fromDDL(KEPT.format("string" if as_text else "binary"))
     schema = T.StructType([*schema.fields, *(base.schema[c] for c in keep)])
-    return whole.union(base.where("doc_id is null").select("doc_id", "text", *none, *keep)).mapInArrow(remover(length, as_text), schema)
+    return whole.mapInArrow(remover(length, as_text), schema)
 
 
 def digest(kept: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ them, the second ranks them, and shifting its argument by k gives coordinate k.
 Documents of the same shingle set are one class with one representative; only
 representatives are compared. In each bucket members are first compared with the
 bucket's smallest one, and what is then known to be connected is not compared again,
-so a large group of near copies costs about one comparison a member; pairs of a bucket
-are only formed between members that are still in different components.
+so a large group of near copies costs a few comparisons a member. In buckets whose
+members are still in different components all are then compared inside the tasks, block
+by block, and only what connects them is written out.
 """
 
 from __future__ import annotations
@@ -127,6 +128,77 @@ def verifier(width: int, percent: int):
     return run
 
 
+def set_lister(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            sets = [shingles(t.as_py(), width, hashes).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "set"])
+
+    return run
+
+
+def shared_shingles(sets: list[np.ndarray], others: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of all of ``sets`` with all of ``others``, by products of their incidence matrices."""
+    left, right = np.concatenate(sets), np.concatenate(others)
+    common = np.intersect1d(left, right)
+    total = np.zeros((len(sets), len(others)), np.float32)
+    rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (sets, others)]
+    for at in range(0, len(common), width):
+        part = common[at : at + width]
+        grids = []
+        for values, row, count in ((left, rows[0], len(sets)), (right, rows[1], len(others))):
+            place = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[place] == values
+            grid = np.zeros((count, len(part)), np.float32)
+            grid[row[hit], place[hit]] = 1
+            grids.append(grid)
+        total += grids[0] @ grids[1].T
+    return total.astype(np.int64)
+
+
+def bucket_comparer(percent: int, tile: int = 256):
+    """All members of a bucket's two blocks against each other, in the task: each member's smallest one reachable here."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        ids, component = (table.column(c).to_numpy() for c in ("id", "component"))
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
+        sizes, root = np.array([len(x) for x in sets]), np.arange(len(ids))
+        for a in range(0, len(ids), tile):
+            for b in range(a, len(ids), tile):
+                if (component[a : a + tile] == component[a]).all() and (component[b : b + tile] == component[a]).all():
+                    continue
+                both = shared_shingles(sets[a : a + tile], sets[b : b + tile])
+                union = sizes[a : a + tile, None] + sizes[None, b : b + tile] - both
+                i, j = np.nonzero(100 * both >= percent * union)
+                i, j = i + a, j + b
+                while len(i):
+                    low = np.minimum(root[i], root[j])
+                    if (root[i] == low).all() and (root[j] == low).all():
+                        break
+                    np.minimum.at(root, i, low)
+                    np.minimum.at(root, j, low)
+                    root = root[root]
+        moved = root != np.arange(len(ids))
+        return pa.table({"a": ids[root[moved]], "b": ids[moved]})
+
+    return compare
+
+
+def compare_buckets(members: DataFrame, sets: DataFrame, percent: int, block_rows: int = 1024) -> DataFrame:
+    """Links ``a, b`` that connect what is alike in the given buckets; a large bucket is cut into blocks, a task for each two."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    blocks = F.ceil(F.col("size") / block_rows).cast("int")
+    dealt = (
+        members.join(sizes, "bucket")
+        .withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select("bucket", F.least("block", "other").alias("b0"), F.greatest("block", "other").alias("b1"), "id", "component")
+    )
+    return dealt.join(sets, "id").groupBy("bucket", "b0", "b1").applyInArrow(bucket_comparer(percent), "a bigint, b bigint")
+
+
 def sizes_fit(a: Column, b: Column, percent: int) -> Column:
     """Without this no intersection is large enough."""
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
@@ -167,31 +239,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         return with_a.select("a", "b", "text_a", "text_b").mapInArrow(verifier(width, percent), "a bigint, b bigint")
 
     members = placed.select("bucket", "id", "n").withColumn("component", F.col("id"))
-    links = tested = found = None
+    tested = found = None
     for step in range(star_rounds + 1):
         # Only buckets with members that are not connected yet.
         open_ = members.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min(F.struct("id", "n", "component")).alias("m")).where("c0 <> c1")
-        if step < star_rounds:
-            pairs = members.join(open_.select("bucket", "m"), "bucket").where("component <> m.component").select(
-                F.col("m.id").alias("a"), F.col("id").alias("b"), F.col("m.n").alias("na"), F.col("n").alias("nb")
-            )
-        else:
-            left = members.join(open_.select("bucket"), "bucket")
-            right = left.select("bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-            pairs = left.select("bucket", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")).join(right, "bucket")
-            pairs = pairs.where("a < b and ca <> cb")
-        pairs = pairs.where(sizes_fit(F.col("na"), F.col("nb"), percent)).select("a", "b")
-        if step == 0 and star_rounds:  # one comparison a member first
-            pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        if step < star_rounds:  # one comparison a member, with the smallest first member of its open buckets
+            pairs = members.join(open_.select("bucket", "m"), "bucket").where("component <> m.component")
+            pairs = pairs.where(sizes_fit(F.col("m.n"), F.col("n"), percent)).select(F.col("m.id").alias("a"), F.col("id").alias("b"))
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = saved(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
+            tested = pairs if tested is None else tested.union(pairs)
+            new = confirm(pairs)
         else:
-            pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        new = confirm(pairs)
-        links = saved(new if links is None else found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(new), "confirmed")
+            rest = saved(members.join(open_.select("bucket"), "bucket"), "open")
+            sets = wanted_texts.join(rest.select("id").distinct(), "id").mapInArrow(set_lister(width), "id bigint, set binary")
+            new = compare_buckets(rest, sets, percent)
+        links = saved(new if found is None else found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(new), "confirmed")
         found = connected_components(links)
+        if step == star_rounds:
+            break
         label = found.withColumnRenamed("component", "label")
         members = saved(
             placed.select("bucket", "id", "n").join(label, "id", "left").select("bucket", "id", "n", F.coalesce("label", "id").alias("component")), "members"

@@ -111,7 +111,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "side",
         F.xxhash64("term").alias("h0"),
         F.xxhash64("term", F.lit(1)).alias("h1"),
-        F.coalesce(F.least(F.length("term"), F.lit(MAX_WEIGHT)), F.lit(0)).cast("bigint").alias("weight"),
+        F.least(F.coalesce(F.length("term"), F.lit(0)), F.lit(MAX_WEIGHT)).cast("bigint").alias("weight"),
     )
     counted = hashed.groupBy(*keys, "side").agg(*votes(), F.sum("weight").alias("total"))
     prints = counted.select(*keys, "side", F.concat(hex_of("h0"), hex_of("h1")).alias("print"))

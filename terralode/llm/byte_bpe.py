@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import sys
+from functools import cached_property
 
 import numpy as np
 from pyspark import cloudpickle
@@ -17,6 +18,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # Code points on whose class (letter, number, space) all Unicode versions since 6 agree; tests compare every one.
 STABLE = "[\x00-ԯ‐-⁤ぁ-ゖ一-龥가-힣]*"
 
+BATCH = 1024
+
 
 def read_spec(path: str) -> str:
     """The text of a tokenizer file: some MB whatever the data, so that it can travel with the tasks."""
@@ -39,7 +42,7 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         spec = json.loads(spec_text)
-        pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        pre = spec.get("pre_tokenizer") or {}
         if spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
             raise ValueError("a byte-level BPE file without normalizer and prefix space is needed")
         added = spec.get("added_tokens") or []
@@ -49,13 +52,14 @@ class ByteBpe:
         self.special = re.compile("|".join(map(re.escape, sorted((t["content"] for t in added), key=len, reverse=True))) or r"(?!)")
         self.stable = re.compile(STABLE)
         self.pattern = regex.compile(PATTERN)
-        self.direct = self._direct(model)
+        self.spec_text = spec_text
 
-    @staticmethod
-    def _direct(model: dict):
-        """The same vocabulary for tiktoken, if its ids follow its merges."""
+    @cached_property
+    def direct(self):
+        """The same vocabulary for tiktoken, if its ids follow its merges; made when ids are first asked for."""
         import tiktoken
 
+        model = json.loads(self.spec_text)["model"]
         back, vocab = byte_of_char(), model["vocab"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         made = [vocab.get(a + b, -1) for a, b in pairs]
@@ -86,4 +90,5 @@ class ByteBpe:
         return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def lengths(self, pieces: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.library.encode_batch(pieces, add_special_tokens=False)]
+        parts = (pieces[i : i + BATCH] for i in range(0, len(pieces), BATCH))  # an encoding takes far more room than its length
+        return [len(e) for part in parts for e in self.library.encode_batch_fast(part, add_special_tokens=False)]

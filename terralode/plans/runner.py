@@ -30,7 +30,7 @@ def run_each(
         try:
             return [(key, table, True, None) for table in job(key)] or [(key, None, True, None)]
         except Exception as problem:
-            return [(key, None, False, f"{type(problem).__name__}: {problem}"[:2000])]
+            return [(key, None, False, f"{type(problem).__name__}: {problem}")]
 
     lanes: dict[str, list[str]] = {}
     for item in items:

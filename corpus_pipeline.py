@@ -62,7 +62,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-# Trained models and suffix order are beyond SQL; the tests hold run() against brute force.
+# Trained models and suffix order are beyond SQL; the stages' operators are tested one by one, the chain has no test yet.
 ORACLE_SQL = None
 
 

@@ -99,3 +99,18 @@ def safe_identifier(name: str) -> str:
 
 def safe_identifier_column(name: Column) -> Column:
     return F.regexp_replace(name, r"[^A-Za-z0-9_]", "_")
+
+
+def unique_names(names: list[str | None], case_sensitive: bool = False) -> list[str]:
+    """Header names made usable: blanks numbered, repeats suffixed."""
+    seen: set[str] = set()
+    out = []
+    for i, raw in enumerate(names):
+        base = (raw or "").lstrip("\ufeff") or f"Unnamed: {i}"
+        name, n = base, 0
+        while (name if case_sensitive else name.lower()) in seen:
+            n += 1
+            name = f"{base}.{n}"
+        seen.add(name if case_sensitive else name.lower())
+        out.append(name)
+    return out

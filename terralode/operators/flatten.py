@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from terralode.functions.cleaning import named
 from terralode.functions.measures import char_count, is_blank, pixel_centre, word_count
+from terralode.functions.names import unique_names
 from terralode.functions.nested import coordinates
 from terralode.operators.clean import attach_constants
 
@@ -88,35 +91,46 @@ def _lit(value: float | Column) -> Column:
     return value if isinstance(value, Column) else F.lit(float(value))
 
 
+# Names (quoted or before a colon) and the type words of a variant schema.
+VARIANT_TOKEN = r"`(?:[^`]|``)*`|\w+(?=:)|OBJECT(?=<)|\bVOID\b|\bVARIANT\b|DECIMAL\((\d+),(\d+)\)"
+TYPE_WORDS = {"OBJECT": "STRUCT", "VOID": "STRING", "VARIANT": "STRING"}
+# A whole number of so many digits always fits a bigint.
+BIGINT_DIGITS = 18
+
+
 def variant_ddl(variant_schema: str) -> str:
-    """A variant schema as a type the JSON reader takes; numbers with a fraction are doubles."""
-    out, depth, i = [], 0, 0
-    text = variant_schema.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
-    while i < len(text):
-        if text.startswith("DECIMAL(", i):
-            end = text.index(")", i)
-            scale = text[i + 8 : end].split(",")[1]
-            out.append("BIGINT" if scale == "0" else "DOUBLE")
-            i = end + 1
-        else:
-            out.append(text[i])
-            i += 1
-    return "".join(out)
+    """A variant schema as a type the JSON reader takes.
+
+    Numbers with a fraction are doubles, whole ones bigint or, where they are
+    longer, decimals. Names stay as they are, also those that read like a type.
+    """
+
+    def translated(token: re.Match) -> str:
+        text, (digits, scale) = token[0], token.groups()
+        if digits is not None:
+            return "DOUBLE" if scale != "0" else "BIGINT" if int(digits) <= BIGINT_DIGITS else text
+        is_name = token.string[token.end() :].startswith(":")
+        return f"`{text}`" if is_name and not text.startswith("`") else TYPE_WORDS.get(text, text)
+
+    return re.sub(VARIANT_TOKEN, translated, variant_schema)
 
 
 def json_objects_to_columns(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
     """One column per key found in a column of JSON objects.
 
-    The keys and types are settled by one aggregate over the whole column.
+    The keys and types are settled by one aggregate over the whole column. A key
+    that is a kept column's name, or another key but for its case, gets a number.
     """
     parsed = F.try_parse_json(named(text))
     found = df.agg(F.schema_of_variant_agg(parsed)).first()[0]
     kept = [named(k) for k in keep]
     if found is None or not found.startswith("OBJECT<") or found == "OBJECT<>":
         return df.select(*kept)
-    return df.select(*kept, F.from_json(named(text), variant_ddl(found)).alias("_fields")).select(
-        *kept, "_fields.*"
-    )
+    schema = T.StructType.fromDDL(variant_ddl(found).removeprefix("STRUCT<").removesuffix(">"))
+    names = unique_names([*keep, *schema.names])[len(keep) :]
+    # A struct is cast field by field, in order: that renames them.
+    renamed = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schema)])
+    return df.select(*kept, F.from_json(named(text), schema).cast(renamed).alias("_fields")).select(*kept, "_fields.*")
 
 
 def geojson_features(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:

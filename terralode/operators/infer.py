@@ -37,34 +37,37 @@ def value_kind(col: Column) -> Column:
     )
 
 
-def kind_counts(names: Sequence[str], n_rows: Column | None = None) -> Column:
-    """Aggregate over kind columns ``k0``, ``k1``...: one struct of counts per named column."""
-    n_rows = F.count(F.lit(1)) if n_rows is None else n_rows
-    return F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("column_name"),
-                n_rows.alias("n_rows"),
-                F.count(f"k{i}").alias("n_values"),
-                F.count_if(F.col(f"k{i}") == BIGINT).alias("n_bigint"),
-                F.count_if(F.col(f"k{i}") <= LONG_DIGITS).alias("n_digits"),
-                F.count_if(F.col(f"k{i}") <= DOUBLE).alias("n_double"),
-                F.count_if(F.col(f"k{i}") == BOOLEAN).alias("n_boolean"),
-            )
-            for i, name in enumerate(names)
-        ]
-    )
+def kind_counts() -> list[Column]:
+    """Aggregates over a kind column ``k``: how many values there are and how many read as each type."""
+    k = F.col("k")
+    return [
+        F.count(k).alias("n_values"),
+        F.count_if(k == BIGINT).alias("n_bigint"),
+        F.count_if(k <= LONG_DIGITS).alias("n_digits"),
+        F.count_if(k <= DOUBLE).alias("n_double"),
+        F.count_if(k == BOOLEAN).alias("n_boolean"),
+    ]
+
+
+def name_at(names: Sequence[str], i: str) -> Column:
+    return F.get(F.array(*[F.lit(n) for n in names]), F.col(i)).alias("column_name")
 
 
-def column_profile(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+def column_profile(df: DataFrame, names: Sequence[str] | None = None, na_tokens: list[str] = ()) -> DataFrame:
     """One row per text column: how many values there are and how many read as each type.
 
-    Each value is looked at once, then one aggregate over one scan counts the
-    kinds, combined before its shuffle.
+    A row's values are taken one under the other, so the plan has one set of
+    expressions however many columns there are. The counts are combined before
+    their shuffle, to a row per column and task.
     """
     names = list(df.columns if names is None else names)
-    kinds = df.select([value_kind(named(name)).alias(f"k{i}") for i, name in enumerate(names)])
-    return kinds.agg(kind_counts(names).alias("columns")).select(F.inline("columns"))
+    values = df.select(F.posexplode(F.array(*[named(name) for name in names])).alias("i", "v"))
+    present = na_to_null(F.col("v"), list(na_tokens)) if na_tokens else F.col("v")
+    kinds = values.select("i", present.alias("v")).select("i", value_kind(F.col("v")).alias("k"), F.lit(1).alias("n"))
+    # A table without rows has its columns too.
+    none = df.sparkSession.range(len(names)).select(F.col("id").cast("int").alias("i"), F.lit(None).cast("int").alias("k"), F.lit(0).alias("n"))
+    counts = kinds.unionByName(none).groupBy("i").agg(F.sum("n").alias("n_rows"), *kind_counts())
+    return counts.select(name_at(names, "i"), *[c for c in counts.columns if c != "i"])
 
 
 def inferred_type() -> Column:
@@ -87,9 +90,9 @@ def inferred_type() -> Column:
     )
 
 
-def infer_types(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+def infer_types(df: DataFrame, names: Sequence[str] | None = None, na_tokens: list[str] = ()) -> DataFrame:
     """Profile of each column with the type it should take."""
-    return column_profile(df, names).withColumn("data_type", inferred_type())
+    return column_profile(df, names, na_tokens).withColumn("data_type", inferred_type())
 
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -112,8 +115,17 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 def null_tokens_to_null(df: DataFrame, tokens: list[str], names: Sequence[str] | None = None) -> DataFrame:
     """Missing-value texts of the named columns to null."""
-    names = df.columns if names is None else names
-    return df.select([(na_to_null(named(n), tokens) if n in names else named(n)).alias(n) for n in df.columns])
+    names = set(df.columns if names is None else names)
+    if not tokens:
+        return df
+    quoted = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in tokens)
+
+    def kept(name: str) -> str:
+        # As text: a table may have a thousand columns, and each token is a call otherwise.
+        col = "`" + name.replace("`", "``") + "`"
+        return f"CASE WHEN NOT ({col} IN ({quoted})) THEN {col} END AS {col}" if name in names else col
+
+    return df.selectExpr(*map(kept, df.columns))
 
 
 def type_columns(df: DataFrame, na_tokens: list[str] = NA_TOKENS, names: Sequence[str] | None = None) -> DataFrame:
@@ -126,5 +138,5 @@ def type_columns(df: DataFrame, na_tokens: list[str] = NA_TOKENS, names: Sequenc
     nulled = null_tokens_to_null(df, na_tokens, texts)
     if not texts:
         return nulled
-    found = {r["column_name"]: r["data_type"] for r in infer_types(nulled, texts).collect()}
+    found = {r["column_name"]: r["data_type"] for r in infer_types(df, texts, na_tokens).collect()}
     return apply_types(nulled, found)

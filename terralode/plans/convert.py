@@ -15,7 +15,7 @@ from terralode.plans.runner import RESULT_SCHEMA, run_each
 from terralode.session import local_rows, shared_dir
 from terralode.sinks.parquet import append_to_ledger, write_table
 from terralode.sources.archive import read_archives, save_members, stage_members
-from terralode.sources.listing import if_exists, list_keys, read_files, relative_key, source_path
+from terralode.sources.listing import if_exists, list_keys, relative_key, source_path
 from terralode.sources.registry import (
     MEMBER_EXTENSIONS,
     PARQUET_EXTENSIONS,
@@ -104,7 +104,7 @@ def convert_new_files(
     each lot: a run that breaks off goes on where it stopped, and the driver holds
     the names of one lot. Plain files are independent jobs run side by side; all
     archives of a lot are opened together by one. An archive that opened is done,
-    whatever its members hold. With ``same_layout_from``, small files whose header
+    whatever its members hold. With ``same_layout_from``, files whose header
     that many or more of a lot share are one job too (see ``convert_same_layout``).
     """
     todo = new_files(list_keys(spark, source), read_ledger(spark, ledger)).orderBy("key")
@@ -151,23 +151,21 @@ def convert_lot(
     return results
 
 
-# Files up to this size are looked into for their header when layouts are compared.
-SMALL_FILE_BYTES = 32 * 1024 * 1024
-HEADER_BYTES = 64 * 1024
 DELIMITED = ("csv", "tsv", "txt")
 
 
 def layout_groups(spark: SparkSession, source: str, keys: list[str]) -> list[list[str]]:
-    """Keys of small delimited files by their header line; files of one name are left out."""
+    """Keys of delimited files by their whole header line; files of one name are left out."""
     names = Counter(output_name(key) for key in keys)
     asked = [key for key in keys if extension_of(key) in DELIMITED and names[output_name(key)] == 1]
     if not asked:
         return []
-    small = read_files(spark, [f"{source.rstrip('/')}/{key}" for key in asked]).filter(F.col("length") <= SMALL_FILE_BYTES)
-    start = F.substring("content", 1, HEADER_BYTES).cast("string")
-    header = F.regexp_replace(F.substring_index(start, "\n", 1), "\r$", "")
+    lines = spark.read.text([f"{source.rstrip('/')}/{key}" for key in asked]).filter("_metadata.file_block_start = 0")
+    first = F.min_by("value", F.monotonically_increasing_id()).alias("header")
+    kept = lines.filter(F.trim("value") != "").select(source_path().alias("path"), "value")
+    headers = kept.groupBy("path").agg(first).select(relative_key(source, F.col("path")).alias("key"), "header")
     groups: dict[tuple[str, str], list[str]] = {}
-    for row in small.select(relative_key(source, F.col("path")).alias("key"), header.alias("header")).collect():
+    for row in headers.collect():
         groups.setdefault((extension_of(row["key"]), row["header"]), []).append(row["key"])
     return [sorted(group) for group in groups.values()]
 

@@ -6,7 +6,6 @@ import bz2
 import gzip
 import io
 import lzma
-import re
 import sys
 import tarfile
 import zipfile
@@ -39,8 +38,6 @@ ARROW_SCHEMA = pa.schema(
 # Members are handed back once they come to this many bytes or rows.
 BATCH_BYTES = 32 * 1024 * 1024
 BATCH_ROWS = 4096
-# Archives up to this size come as a value; a larger one is opened by the task and read in place.
-IN_MEMORY_BYTES = 512 * 1024 * 1024
 # A longer text member comes in parts of about this size, each ending with a line.
 PART_BYTES = 64 * 1024 * 1024
 # Members that only make sense whole, and where a value of the binary type ends.
@@ -54,6 +51,9 @@ ZIPPED_DOCUMENTS = ("xlsx", "ods", "docx")
 CODECS = {"gz": gzip.open, "bz2": bz2.open, "xz": lzma.open}
 ARCHIVE_EXTENSIONS = CONTAINERS + tuple(CODECS)
 
+# File systems a task opens by itself, by the scheme of Spark's path.
+FILE_SYSTEMS = {"file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfs": "abfs", "abfss": "abfss"}
+
 # Last bytes of every Parquet file.
 PARQUET_MAGIC = "PAR1"
 
@@ -81,9 +81,9 @@ def _contents(name: str, source: BinaryIO) -> Iterator[tuple[str, Callable[[], B
                 yield info.name, lambda info=info: archive.extractfile(info)
 
 
-def _parts(member: str, stream: BinaryIO) -> Iterator[tuple[bytes | None, str | None]]:
+def _parts(member: str, stream: BinaryIO, whole: bool) -> Iterator[tuple[bytes | None, str | None]]:
     """Contents of a member: one value, or for a long text several that end with a line."""
-    if _extension(member) in WHOLE_EXTENSIONS:
+    if whole or _extension(member) in WHOLE_EXTENSIONS:
         data = stream.read(MAX_VALUE_BYTES + 1)
         yield (data, None) if len(data) <= MAX_VALUE_BYTES else (None, "too large for one value")
         return
@@ -101,7 +101,11 @@ def _parts(member: str, stream: BinaryIO) -> Iterator[tuple[bytes | None, str |
 
 
 def _members(name: str, source: BinaryIO) -> Iterator[tuple[str, int, bytes | None, str | None]]:
-    """Files of an archive, archives inside it opened in turn; member paths are kept."""
+    """Files of an archive, archives inside it opened in turn; member paths are kept.
+
+    The parts of a workbook or document are XML, which only parses whole: they are never cut.
+    """
+    whole = _extension(name) in ZIPPED_DOCUMENTS
     for member, opened in _contents(name, source):
         with opened() as stream:
             if _extension(member) in ARCHIVE_EXTENSIONS:
@@ -110,14 +114,26 @@ def _members(name: str, source: BinaryIO) -> Iterator[tuple[str, int, bytes | No
                 for deeper, part, data, problem in _members(member, inner):
                     yield f"{member}/{deeper}", part, data, problem
             else:
-                for part, (data, problem) in enumerate(_parts(member, stream)):
+                for part, (data, problem) in enumerate(_parts(member, stream, whole)):
                     yield member, part, data, problem
 
 
+def require_file_system(path: str) -> None:
+    """Refuse a path no task could open, before any job runs."""
+    scheme, colon, _ = path.partition(":")
+    if colon and "/" not in scheme and scheme not in FILE_SYSTEMS:
+        raise ValueError(f"archives cannot be opened on {scheme}: {path}")
+
+
 def _open(path: str) -> BinaryIO:
-    """A file of any file system the session's paths name, read where it lies."""
-    filesystem, place = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
-    return filesystem.open_input_file(place)
+    """A file of any file system in the list, read where it lies, whatever its size and name."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        return open("/" + (rest or path).lstrip("/"), "rb")
+    # Only the store is named by a URI, so that a file's name may hold any character.
+    store, _, key = rest.lstrip("/").partition("/")
+    filesystem, root = fs.FileSystem.from_uri(f"{FILE_SYSTEMS[scheme]}://{store}/")
+    return filesystem.open_input_file(f"{root.rstrip('/')}/{key}")
 
 
 def _rows(path: str, content: bytes | None) -> Iterator[tuple]:
@@ -161,15 +177,15 @@ def unpack(archives: DataFrame) -> DataFrame:
     return members.withColumn("ext", file_extension(basename(F.col("member"))))
 
 
-def unpack_files(files: DataFrame, in_memory: int = IN_MEMORY_BYTES) -> DataFrame:
-    """Members of listed archive files, whatever their size."""
-    small = files.filter(F.col("length") <= in_memory).select("path", "content")
-    large = files.filter(F.col("length") > in_memory).select("path", F.lit(None).cast("binary").alias("content"))
-    return unpack(small.unionByName(large))
+def unpack_files(files: DataFrame) -> DataFrame:
+    """Members of listed archive files. The task opens each and reads it in place, whatever its size."""
+    return unpack(files.select("path", F.lit(None).cast("binary").alias("content")))
 
 
 def read_archives(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """Members of every archive below a path."""
+    for one in [path] if isinstance(path, str) else path:
+        require_file_system(one)
     return unpack_files(read_files(spark, path, glob))
 
 

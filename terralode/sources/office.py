@@ -13,11 +13,11 @@ from terralode.functions.cleaning import NA_TOKENS, na_to_null, named
 from terralode.operators.flatten import styled_paragraphs
 from terralode.operators.infer import type_columns
 from terralode.session import shared_dir
-from terralode.sources.archive import save_members, unpack_files
-from terralode.sources.listing import read_files
+from terralode.sources.archive import read_archives, save_members
 from terralode.sources.tabular import unique_names
 
-XML = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
+# A part that does not parse fails the file rather than reading as empty.
+XML = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false", "mode": "FAILFAST"}
 
 # Built-in number formats that show a date or a time.
 DATE_FORMATS = [*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)]
@@ -48,7 +48,7 @@ def xml_parts(members: DataFrame) -> DataFrame:
 
 
 def open_parts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return xml_parts(unpack_files(read_files(spark, path)))
+    return xml_parts(read_archives(spark, path))
 
 
 def document_tables(parts: DataFrame, ext: str) -> dict[tuple[str, str], DataFrame]:

@@ -18,8 +18,8 @@ from terralode.operators.infer import type_columns
 
 
 def read_json(spark: SparkSession, path: str, lines: bool = False, schema: str | T.StructType | None = None) -> DataFrame:
-    """Records of a JSON array, or one record per line; nested values become JSON text."""
-    reader = spark.read.option("multiLine", not lines)
+    """Records of a JSON array, or one record per line; nested values become JSON text. Broken JSON fails."""
+    reader = spark.read.options(multiLine=not lines, mode="FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     return stringify_objects(reader.json(path))
@@ -40,12 +40,13 @@ def read_xml(
     schema: str | T.StructType | None = None,
     na_tokens: list[str] = NA_TOKENS,
 ) -> DataFrame:
-    """One row per matching element; attributes and child elements become columns."""
+    """One row per matching element; attributes and child elements become columns. A broken element fails."""
     reader = (
         spark.read.format("xml")
         .option("rowTag", row_tag(xpath))
         .option("attributePrefix", "")
         .option("inferSchema", False)
+        .option("mode", "FAILFAST")
     )
     if schema is not None:
         return stringify_objects(reader.schema(schema).load(path))
@@ -58,20 +59,19 @@ def read_geojson(spark: SparkSession, path: str, expand: bool = True) -> DataFra
 
     Geometry stays GeoJSON text; ``expand`` gives every property a column.
     """
-    collections = spark.read.option("multiLine", True).schema(FEATURES_SCHEMA).json(path)
+    collections = spark.read.options(multiLine=True, mode="FAILFAST").schema(FEATURES_SCHEMA).json(path)
     features = describe_geometry(collections.select(F.inline("features")))
     return expand_features(features) if expand else features
 
 
 def read_geojson_lines(spark: SparkSession, path: str, expand: bool = True) -> DataFrame:
     """One feature per line: the form of GeoJSON a large file can be split in."""
-    lines = spark.read.schema("properties string, geometry string").json(path)
+    lines = spark.read.option("mode", "FAILFAST").schema("properties string, geometry string").json(path)
     features = describe_geometry(lines)
     return expand_features(features) if expand else features
 
 
 def read_kml(spark: SparkSession, path: str) -> DataFrame:
     """One row per placemark, whatever its folder."""
-    placemarks = spark.read.format("xml").option("rowTag", "Placemark").schema(KML_SCHEMA).load(path)
+    placemarks = spark.read.format("xml").options(rowTag="Placemark", mode="FAILFAST").schema(KML_SCHEMA).load(path)
     return placemark_rows(placemarks)
-

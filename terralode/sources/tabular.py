@@ -8,34 +8,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from terralode.functions.cleaning import NA_TOKENS, na_to_null, named
+from terralode.functions.names import unique_names
 from terralode.operators.infer import (
     apply_types,
     inferred_type,
     kind_counts,
+    name_at,
     null_tokens_to_null,
     type_columns,
     value_kind,
 )
+from terralode.operators.quality import assert_rows
 
 # Separators looked for in a header line, the likeliest first.
 SEPARATORS = [",", "\t", ";", " ", ":", "|"]
 
 
-def unique_names(names: list[str | None], case_sensitive: bool = False) -> list[str]:
-    """Header names made usable: blanks numbered, repeats suffixed."""
-    seen: set[str] = set()
-    out = []
-    for i, raw in enumerate(names):
-        base = (raw or "").lstrip("\ufeff") or f"Unnamed: {i}"
-        name, n = base, 0
-        while (name if case_sensitive else name.lower()) in seen:
-            n += 1
-            name = f"{base}.{n}"
-        seen.add(name if case_sensitive else name.lower())
-        out.append(name)
-    return out
-
-
 def odd_quotes(line: Column) -> Column:
     """Whether a line ends inside a quoted field, so that its record goes on in the next."""
     quotes = F.length(line) - F.length(F.translate(line, '"', ""))
@@ -43,8 +31,13 @@ def odd_quotes(line: Column) -> Column:
 
 
 def text_lines(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
-    """Lines that are not blank; a delimited reader skips the others too."""
-    return spark.read.option("encoding", encoding).text(path).filter(F.trim("value") != "")
+    """Lines that are not blank; a delimited reader skips the others too. Wrong bytes fail the job."""
+    lines = spark.read.text(path)
+    if encoding.upper() in ("UTF-8", "UTF8"):
+        value = F.validate_utf8("value")
+    else:
+        value = F.decode(F.col("value").cast("binary"), encoding)
+    return lines.select(value.alias("value")).filter(F.trim("value") != "")
 
 
 def first_line(spark: SparkSession, path: str | list[str], encoding: str) -> str | None:
@@ -94,11 +87,16 @@ def read_delimited_text(
     encoding: str = "UTF-8",
     names: list[str] | None = None,
 ) -> DataFrame:
-    """Every column as text, named by the header. Only without ``multi_line`` can a file be split."""
+    """Every column as text, named by the header. Only without ``multi_line`` can a file be split.
+
+    A record with more fields than the header has names fails the job.
+    """
     if names is None:
         names = header_names(spark, path, sep, encoding)[1]
     reader = spark.read.options(**csv_options(sep, encoding, multi_line)).options(header=True, enforceSchema=True)
-    return reader.schema(text_schema(names)).csv(path)
+    spare = unique_names([*names, "_surplus"])[-1]
+    text = reader.schema(text_schema([*names, spare])).csv(path)
+    return assert_rows(text, named(spare).isNull(), f"more fields than names in the header: {path}").drop(spare)
 
 
 def line_profile(
@@ -106,25 +104,25 @@ def line_profile(
 ) -> tuple[dict[str, str], int, int]:
     """Column types, lines that end inside quotes, and header lines, from one splittable pass."""
     options = {k: str(v) for k, v in csv_options(sep, encoding, False).items() if k not in ("multiLine", "encoding")}
-    lines = text_lines(spark, path, encoding).select("value", (F.col("value") == header).alias("is_header"))
-    # Step by step, so that each value is parsed, compared and judged once.
-    parsed = lines.withColumn("r", F.from_csv("value", text_schema(names).toDDL(), options))
-    values = parsed.select(
-        "is_header",
-        odd_quotes(F.col("value")).alias("odd"),
-        *[na_to_null(F.col("r").getField(n), na_tokens).alias(f"v{i}") for i, n in enumerate(names)],
+    value = F.col("value")
+    lines = text_lines(spark, path, encoding).select(
+        (value == header).alias("is_header"),
+        odd_quotes(value).alias("odd"),
+        F.from_csv("value", text_schema(names).toDDL(), options).alias("r"),
     )
-    kinds = values.select(
-        "is_header",
-        "odd",
-        *[F.when(~F.col("is_header"), value_kind(F.col(f"v{i}"))).alias(f"k{i}") for i in range(len(names))],
+    # The values of a line one under the other: the plan does not grow with the columns.
+    fields = F.array(*[F.col("r").getField(n) for n in names])
+    values = lines.select("is_header", "odd", F.posexplode(fields).alias("i", "v"))
+    kinds = values.withColumn("v", na_to_null(F.col("v"), na_tokens)).select(
+        "is_header", "odd", "i", F.when(~F.col("is_header"), value_kind(F.col("v"))).alias("k")
     )
-    found = kinds.agg(
-        kind_counts(names, F.count_if(~F.col("is_header"))).alias("columns"),
+    found = kinds.groupBy("i").agg(
+        F.count_if(~F.col("is_header")).alias("n_rows"),
+        *kind_counts(),
         F.count_if("odd").alias("odd"),
         F.count_if("is_header").alias("headers"),
     )
-    rows = found.select(F.inline("columns"), "odd", "headers").withColumn("data_type", inferred_type()).collect()
+    rows = found.select(name_at(names, "i"), inferred_type().alias("data_type"), "odd", "headers").collect()
     return {r["column_name"]: r["data_type"] for r in rows}, rows[0]["odd"], rows[0]["headers"]
 
 

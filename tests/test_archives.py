@@ -98,7 +98,7 @@ def test_many_members(spark, tmp_path):
 @pytest.mark.parametrize("name", ONE_TABLE)
 def test_archives_too_large_for_a_value_are_opened_in_place(spark, tmp_path, name):
     (tmp_path / name).write_bytes(ONE_TABLE[name])
-    (row,) = unpack_files(read_files(spark, str(tmp_path)), in_memory=0).collect()
+    (row,) = unpack_files(read_files(spark, str(tmp_path))).collect()
     assert row["error"] is None and bytes(row["content"]) == CSV
 
 

@@ -159,6 +159,27 @@ def test_objects_to_columns(spark, rows):
 
 
 def test_variant_ddl():
-    assert variant_ddl("OBJECT<a: DECIMAL(3,1), b: ARRAY<OBJECT<c: DECIMAL(20,0), d: VOID>>>") == (
-        "STRUCT<a: DOUBLE, b: ARRAY<STRUCT<c: BIGINT, d: STRING>>>"
+    assert variant_ddl("OBJECT<a: DECIMAL(3,1), b: ARRAY<OBJECT<c: DECIMAL(18,0), d: VOID>>, `é VOID`: DECIMAL(20,0)>") == (
+        "STRUCT<`a`: DOUBLE, `b`: ARRAY<STRUCT<`c`: BIGINT, `d`: STRING>>, `é VOID`: DECIMAL(20,0)>"
     )
+
+
+def test_geojson_names_like_types_and_kept_columns(spark, tmp_path, rows):
+    properties = {"VARIANTE": "x", "VOID_ID": 7, "big": 12345678901234567890, "lat": 3, "ID": 1, "id": 2}
+    path = put(tmp_path, "d.geojson", features((properties, {"type": "Point", "coordinates": [5, 6]})))
+    df = read_geojson(spark, path)
+    df.write.parquet(str(tmp_path / "out"))
+    (row,) = spark.read.parquet(str(tmp_path / "out")).collect()
+    found = row.asDict()
+    assert (found["VARIANTE"], found["VOID_ID"], int(found["big"])) == ("x", 7, 12345678901234567890)
+    assert (found["lat"], found["lat.1"], found["ID"], found["id.1"]) == (6.0, 3, 1, 2)
+
+
+@pytest.mark.parametrize(
+    ("name", "text"),
+    [("a.json", '[{"a": 1}, {"a": '), ("a.jsonl", '{"a": 1}\n{"a": '), ("a.xml", "<d><record><a>1</a></record><record><a>2</b></record></d>")],
+)
+def test_broken_files_fail(spark, tmp_path, name, text):
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        (df,) = read_tables(spark, put(tmp_path, name, text)).values()
+        df.collect()

@@ -2,6 +2,7 @@
 
 import io
 import math
+import time
 
 import pandas as pd
 import pytest
@@ -146,6 +147,31 @@ def test_encoding(spark, tmp_path):
     assert [tuple(r) for r in df.collect()][0] == ("Éloïse", "Paris")
 
 
+def test_encoded_header(spark, tmp_path):
+    path = put(tmp_path, "data.csv", "prénom,é\nZoé,1\n", "latin-1")
+    assert read_csv(spark, path, encoding="ISO-8859-1").columns == ["prénom", "é"]
+
+
+@pytest.mark.parametrize("text", ["a,b\n1,2\n3,4,LOST\n", 'a,b\n1,"x\ny"\n3,4,LOST\n'])
+def test_surplus_fields_fail(spark, tmp_path, text):
+    with pytest.raises(Exception, match="more fields"):
+        read_csv(spark, put(tmp_path, "data.csv", text)).collect()
+
+
+def test_wrong_bytes_fail(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)utf"):
+        read_csv(spark, put(tmp_path, "data.csv", "a\nMontréal\n", "latin-1")).collect()
+
+
+def test_wide_file(spark, tmp_path):
+    n = 1000
+    text = ",".join(f"c{i}" for i in range(n)) + "\n" + ",".join(str(i) if i % 2 else f"{i}.5" for i in range(n)) + "\n"
+    started = time.monotonic()
+    df = read_csv(spark, put(tmp_path, "wide.csv", text))
+    assert [t for _, t in df.dtypes] == ["double", "bigint"] * (n // 2)
+    assert time.monotonic() - started < 30
+
+
 def test_byte_order_mark(spark, tmp_path):
     assert read_csv(spark, put(tmp_path, "data.csv", "\ufeffid,x\n1,2\n")).columns == ["id", "x"]
 

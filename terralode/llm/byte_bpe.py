@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 import sys
 from functools import cached_property
@@ -38,6 +39,8 @@ class ByteBpe:
     """Ids of texts, special strings inside them taken as the library takes them by default."""
 
     def __init__(self, spec_text: str):
+        # A task has one core: more threads of the library only hold more memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
 

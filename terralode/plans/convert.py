@@ -161,9 +161,9 @@ def layout_groups(spark: SparkSession, source: str, keys: list[str]) -> list[lis
     if not asked:
         return []
     lines = spark.read.text([f"{source.rstrip('/')}/{key}" for key in asked]).filter("_metadata.file_block_start = 0")
-    first = F.min_by("value", F.monotonically_increasing_id()).alias("header")
-    kept = lines.filter(F.trim("value") != "").select(source_path().alias("path"), "value")
-    headers = kept.groupBy("path").agg(first).select(relative_key(source, F.col("path")).alias("key"), "header")
+    kept = lines.filter(F.trim("value") != "").select(source_path().alias("path"), "value", F.monotonically_increasing_id().alias("nth"))
+    first = kept.groupBy("path").agg(F.min_by("value", "nth").alias("header"))
+    headers = first.select(relative_key(source, F.col("path")).alias("key"), "header")
     groups: dict[tuple[str, str], list[str]] = {}
     for row in headers.collect():
         groups.setdefault((extension_of(row["key"]), row["header"]), []).append(row["key"])

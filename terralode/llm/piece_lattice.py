@@ -96,25 +96,37 @@ class Lattice:
         if found is None:
             if len(self.first) >= SECTIONS_KEPT:
                 self.first.clear()
-            arcs, ahead, last = self.forward(section)
-            ids, at, on_path = [], len(section), set()
+            get, longest, size = self.prefixes.get, self.longest, len(section)
+            # By place: the best and the second best score before it, and where the best path's last piece begins and its ids.
+            ahead, second = [0.0] + [-math.inf] * size, [-math.inf] * (size + 1)
+            begin, own = [0] * (size + 1), [()] * (size + 1)
+            for i in range(size):
+                so_far, next_best = ahead[i], second[i]
+                for j in range(i + 1, min(size, i + longest) + 1):
+                    hit = get(section[i:j])
+                    more = hit is not None
+                    if not hit:
+                        if j == i + 1:
+                            hit = self.fallback(section[i])
+                        elif more:
+                            continue
+                        else:
+                            break
+                    score, ids = hit
+                    reached = so_far + score
+                    if reached > ahead[j]:
+                        second[j] = max(ahead[j], next_best + score)
+                        ahead[j], begin[j], own[j] = reached, i, ids
+                    elif reached > second[j]:
+                        second[j] = reached
+                    if not more:
+                        break
+            parts, at = [], size
             while at:
-                on_path.add(last[at])
-                at, _, _, own = arcs[last[at]]
-                ids.append(own)
-            second = -math.inf
-            if self.n > 1 and len(arcs) > len(ids):
-                # The second best path has a piece off the best one, and is the best path through that piece.
-                after = [-math.inf] * len(section) + [0.0]
-                for k in range(len(arcs) - 1, -1, -1):
-                    i, j, score, _ = arcs[k]
-                    score += after[j]
-                    if score > after[i]:
-                        after[i] = score
-                    if ahead[i] + score > second and k not in on_path:
-                        second = ahead[i] + score
-            flat = array("I", [x for part in reversed(ids) for x in part]).tobytes()
-            found = self.first[section] = (ahead[-1], flat, ahead[-1] - second)
+                parts.append(own[at])
+                at = begin[at]
+            flat = array("I", [x for part in reversed(parts) for x in part]).tobytes()
+            found = self.first[section] = (ahead[-1], flat, ahead[-1] - second[-1])
         return found
 
     def search(self, section: str) -> list[tuple[float, bytes]]:

@@ -62,7 +62,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-# Trained models and suffix order are beyond SQL; the stages' operators are tested one by one, the chain has no test yet.
+# Trained models and suffix order are beyond SQL; the stages' operators are tested one by one, the chain is tested against plain Python in tests/llm.
 ORACLE_SQL = None
 
 

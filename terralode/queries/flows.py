@@ -19,6 +19,7 @@ from terralode.queries.files import ORDERS_SQL, orders_as_text, write_delimited
 from terralode.queries.registry import query, table
 from terralode.session import local_rows, shared_dir
 from terralode.sources.registry import read_tables
+from terralode.sources.structured import read_json
 
 
 @query("convert_flow", f"select *, 0 as taken_again from ({ORDERS_SQL})")
@@ -37,6 +38,16 @@ def pq_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tables(spark, path)["part"]
 
 
+@query("json_array_files", "select c_custkey, c_name, c_acctbal, c_mktsegment from customer")
+def json_array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that hold one array each, of up to 1,000 customers."""
+    path = shared_dir(spark, "arrays")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    arrays = rows.groupBy(F.floor(F.col("c_custkey") / 1000)).agg(F.collect_list(F.struct(*rows.columns)).alias("rows"))
+    arrays.select(F.to_json("rows")).write.option("maxRecordsPerFile", 1).text(path)
+    return read_json(spark, path)
+
+
 def fires(gate: Callable[[], DataFrame]) -> bool:
     try:
         gate()

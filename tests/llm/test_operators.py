@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -392,3 +393,46 @@ def test_op1_digest(spark):
     for r in queries.QUERIES["op1_packing"](spark, sf).collect():
         part = [*ids_of(texts[r.doc_id]), 1][r.start : r.start + r.length]
         assert r.ids_crc32 == zlib.crc32(np.array(part, "<u4").tobytes())
+
+
+def hot_vectors(rows, dim, mean, rng):
+    """Unit vectors, a third of them around one centre, a tenth beside another row; the pairs of cosine 0.9 or more."""
+    x = rng.normal(size=(rows, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hot, some = rows // 3, rows // 10
+    x[:hot] = x[0] + rng.normal(size=(hot, dim)) * np.sqrt((1 - mean) / mean / dim)
+    x[hot : hot + some] = x[-some:] + 0.4 * rng.normal(size=(some, dim)) / np.sqrt(dim)
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    y = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    close = y @ y.T >= 0.9
+    np.fill_diagonal(close, False)
+    return x, close
+
+
+def test_near_vectors_of_a_hot_cluster_at_the_defaults(spark):
+    x, close = hot_vectors(6000, 16, 0.93, np.random.default_rng(7))
+    wanted = close.sum(axis=1)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<float>").repartition(4)
+    found = {r.vec_id: r.n_links for r in projection_forest.near_vectors(df).collect()}
+    got = np.array([found[i] for i in range(len(x))])
+    assert (got <= wanted).all() and len(found) == len(x)
+    for part in (slice(0, 2000), slice(2000, None)):
+        assert got[part].sum() >= 0.95 * wanted[part].sum()
+
+
+@pytest.mark.parametrize("dim", [16, 64])
+def test_forest_cut_deep_keeps_pairs_together(dim):
+    x, close = hot_vectors(12_000, dim, 0.915, np.random.default_rng(8))
+    x = projection_forest.unit_rows(pa.array(x.tolist(), pa.list_(pa.float32())), dim)
+    spill = projection_forest.spacing(0.9, dim) / 4
+    forest = projection_forest.fitted(x, 8, 0.9, spill, None, 11)
+    for begin, end in ((0, 100), (4000, 12_000)):
+        i, j = np.nonzero(close[begin:end])
+        i += begin
+        shared = np.zeros(len(i), bool)
+        for tree in forest:
+            projection_forest.together(tree, x[i], x[j], np.arange(len(i)), spill, shared)
+        assert shared.mean() >= 0.95
+    a, b = np.sort(np.random.default_rng(1).integers(0, 40, (2, 30, 6)), axis=2)
+    i, j = (k.ravel() for k in np.indices((30, 30)))
+    assert projection_forest.share_before(a, b, 20)[i, j].tolist() == [bool(set(a[p]) & set(b[q]) & set(range(20))) for p, q in zip(i, j)]

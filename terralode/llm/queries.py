@@ -74,12 +74,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_simhash")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's fingerprints; for ids divisible by 50 also how many other documents lie within 3 bits."""
+    """Every document's fingerprints; for ids divisible by 50 also how many other documents lie within ``simhash.RADIUS`` bits."""
     prints = saved(simhash.fingerprints(table(spark, sf_dir, "documents")), "prints")
     asks = (F.col("doc_id") % 50 == 0).alias("asks")
     near = simhash.near_fingerprints(prints.where(asks), prints.select("fingerprint"))
-    near = near.groupBy(F.col("asked_print").alias("fingerprint")).agg((F.sum("copies") - 1).alias("within_3"))
-    out = prints.join(near, "fingerprint", "left").withColumn("n_near", F.when(asks, F.col("within_3")))
+    near = near.groupBy(F.col("asked_print").alias("fingerprint")).agg((F.sum("copies") - 1).alias("within"))
+    out = prints.join(near, "fingerprint", "left").withColumn("n_near", F.when(asks, F.col("within")))
     return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_near")
 
 

@@ -436,3 +436,40 @@ def test_forest_cut_deep_keeps_pairs_together(dim):
     a, b = np.sort(np.random.default_rng(1).integers(0, 40, (2, 30, 6)), axis=2)
     i, j = (k.ravel() for k in np.indices((30, 30)))
     assert projection_forest.share_before(a, b, 20)[i, j].tolist() == [bool(set(a[p]) & set(b[q]) & set(range(20))) for p, q in zip(i, j)]
+
+
+@pytest.mark.parametrize("radius", [0, 4, 7, 15, 18])
+def test_near_fingerprints_of_wide_radius_equal_brute_force(spark, radius):
+    rng = np.random.default_rng(6)
+    prints = [int.from_bytes(rng.bytes(16), "big") for _ in range(20)] + [(1 << 128) - 1, 0]
+    prints += [p ^ sum(1 << int(b) for b in rng.choice(128, n, replace=False)) for p in prints for n in (1, 4, 5, 8, 14, 15, 16, 18, 19)]
+    df = spark.createDataFrame([(f"{p:032x}",) for p in prints] + [(None,)], "fingerprint string")
+    found = [((r.asked_print, r.fingerprint), r.distance) for r in simhash.near_fingerprints(df, df, radius).collect()]
+    count = collections.Counter(prints)
+    assert len(found) == len(dict(found))
+    assert dict(found) == {(f"{a:032x}", f"{b:032x}"): bin(a ^ b).count("1") for a in count for b in count if bin(a ^ b).count("1") <= radius}
+
+
+def test_near_fingerprints_find_edited_copies(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(3, 11))) for _ in range(5000)]
+    made, pairs = [], 0
+    for _ in range(120):
+        text = rng.choice(vocabulary, rng.integers(100, 400)).tolist()
+        edited = list(text)
+        for at in rng.choice(len(text), max(1, len(text) // 50), replace=False):
+            edited[at] = vocabulary[rng.integers(len(vocabulary))]
+        a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (text, edited))
+        if len(a & b) >= 0.8 * len(a | b):
+            made += [" ".join(text), " ".join(edited)]
+            pairs += 1
+    prints = {r.doc_id: r.fingerprint for r in simhash.fingerprints(spark.createDataFrame(rows_of(made), DOCS)).collect()}
+    df = spark.createDataFrame([(p,) for p in prints.values()], "fingerprint string")
+    found = {(r.asked_print, r.fingerprint) for r in simhash.near_fingerprints(df, df).collect()}
+    assert pairs > 60
+    assert sum((prints[2 * k], prints[2 * k + 1]) in found for k in range(pairs)) >= 0.95 * pairs
+    near = queries.QUERIES["op4_simhash"](spark, "/root/testdata/sf0.001").collect()
+    count = collections.Counter(int(r.fingerprint, 16) for r in near)
+    for r in near:
+        wanted = sum(n for p, n in count.items() if bin(p ^ int(r.fingerprint, 16)).count("1") <= simhash.RADIUS) - 1
+        assert r.n_near == (wanted if r.doc_id % 50 == 0 else None)

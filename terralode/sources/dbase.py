@@ -14,7 +14,7 @@ from terralode.operators.infer import type_columns
 from terralode.sources.listing import read_files
 
 # Fixed values of the format: where the header keeps what, and how long a field's description is.
-RECORDS_AT, HEADER_LENGTH_AT, FIELDS_AT, FIELD_LENGTH, MAX_HEADER = 4, 8, 32, 32, 65535
+RECORDS_AT, HEADER_LENGTH_AT, RECORD_LENGTH_AT, FIELDS_AT, FIELD_LENGTH, MAX_HEADER = 4, 8, 10, 32, 32, 65535
 END_OF_FIELDS, DELETED = 0x0D, 0x2A
 
 BATCH_RECORDS = 10_000
@@ -35,10 +35,18 @@ def little_endian(content: Column, offset: int, size: int) -> Column:
     return sum(parts[1:], parts[0])
 
 
+def layout_of(content: Column) -> Column:
+    """A digest of what the header says of records and fields; empty where there is no header."""
+    head = F.substring(content, 1, MAX_HEADER)
+    described = F.substring(head, F.lit(FIELDS_AT + 1), little_endian(head, HEADER_LENGTH_AT, 2) - FIELDS_AT)
+    return F.coalesce(F.sha2(F.concat(F.substring(head, RECORD_LENGTH_AT + 1, 2), described), 256), F.lit(""))
+
+
 def dbf_fields(files: DataFrame) -> DataFrame:
-    """One row per field: its place in the record, name, type and length."""
+    """One row per layout and field: the layout, the field's place in the record, name, type and length."""
     # The header is cut off first: every look at a value copies it.
-    files = files.select(F.substring("content", 1, MAX_HEADER).alias("content"))
+    files = files.select(layout_of(F.col("content")).alias("layout"), F.substring("content", 1, MAX_HEADER).alias("content"))
+    files = files.groupBy("layout").agg(F.min("content").alias("content"))
     content = F.col("content")
     start = lambda i: i * FIELD_LENGTH + FIELDS_AT
     count = ((little_endian(content, HEADER_LENGTH_AT, 2) - FIELDS_AT) / FIELD_LENGTH).cast("int")
@@ -56,25 +64,26 @@ def dbf_fields(files: DataFrame) -> DataFrame:
     end = F.array_min(F.transform(F.filter(described, lambda f: f["first"] == END_OF_FIELDS), lambda f: f["i"]))
     kept = F.filter(described, lambda f: end.isNull() | (f["i"] < end))
     name = F.regexp_replace(F.col("f.name").cast("string"), "\\x00.*$", "")
-    return files.select(F.explode(kept).alias("f")).select("f.i", name.alias("name"), "f.kind", "f.length").orderBy("i")
+    return files.select("layout", F.explode_outer(kept).alias("f")).select("layout", "f.i", name.alias("name"), "f.kind", "f.length").orderBy("layout", "i")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Records of fixed length, those marked deleted left out, some thousand at a time."""
     for batch in batches:
-        for content in batch["content"]:
+        for path, layout, content in zip(batch["path"], batch["layout"], batch["content"]):
             data = content.as_buffer().to_pybytes()
             count, header, size = struct.unpack_from("<IHH", data, RECORDS_AT)
-            count = min(count, (len(data) - header) // size)
+            if len(data) < header + count * size:
+                raise ValueError(f"{path.as_py()}: {len(data)} bytes, where its header tells of {count} records of {size} after {header}")
             for first in range(0, count, BATCH_RECORDS):
                 places = range(header + first * size, header + min(first + BATCH_RECORDS, count) * size, size)
                 records = [data[p : p + size] for p in places if data[p] != DELETED]
-                yield pa.RecordBatch.from_arrays([pa.array(records, type=pa.binary())], names=["record"])
+                yield pa.RecordBatch.from_arrays([pa.array([layout.as_py()] * len(records), type=pa.string()), pa.array(records, type=pa.binary())], names=["layout", "record"])
 
 
 def dbf_records(files: DataFrame) -> DataFrame:
-    """One row per record that is not marked deleted, as bytes."""
-    return files.select("content").mapInArrow(_cut, "record binary")
+    """One row per record that is not marked deleted, as bytes, with its file's layout. A file shorter than its header says fails."""
+    return files.select("path", layout_of(F.col("content")).alias("layout"), "content").mapInArrow(_cut, "layout string, record binary")
 
 
 def field_text(kind: str, start: int, length: int, encoding: str) -> Column:
@@ -94,15 +103,33 @@ def field_text(kind: str, start: int, length: int, encoding: str) -> Column:
 
 
 def dbf_table(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
-    """The table of dBase files of one layout, given as ``(path, content)``."""
-    records, start = dbf_records(files), 2
-    columns, typed = [], []
-    for field in dbf_fields(files.limit(1)).collect():
-        columns.append(field_text(field["kind"], start, field["length"], encoding).alias(field["name"]))
-        if field["kind"] in ("N", "F", "I", "L"):
-            typed.append(field["name"])
-        start += field["length"]
-    return type_columns(records.select(columns), [], typed)
+    """The table of dBase files, given as ``(path, content)``, each read by its own layout.
+
+    Columns are those of all layouts by name, null where a file has no such field; one that
+    is text in some layout is text. Names that differ only in case are one column.
+    """
+    layouts: dict[str, list] = {}
+    for field in dbf_fields(files).collect():
+        layouts.setdefault(field["layout"], []).append(field)
+    if any(field["name"] is None for fields in layouts.values() for field in fields):
+        raise ValueError("a dBase file without fields")
+    texts: dict[str, list[tuple[str, Column]]] = {}
+    names: dict[str, str] = {}
+    kinds: dict[str, set[str]] = {}
+    for layout, fields in layouts.items():
+        start = 2
+        for field in fields:
+            key = field["name"].lower()
+            names.setdefault(key, field["name"])
+            kinds.setdefault(key, set()).add(field["kind"])
+            texts.setdefault(key, []).append((layout, field_text(field["kind"], start, field["length"], encoding)))
+            start += field["length"]
+    columns = []
+    for key, own in texts.items():
+        text = own[0][1] if len(layouts) == 1 else F.coalesce(*[F.when(F.col("layout") == layout, found) for layout, found in own])
+        columns.append(text.alias(names[key]))
+    typed = [names[key] for key, own in kinds.items() if own <= {"N", "F", "I", "L"}]
+    return type_columns(dbf_records(files).select(columns), [], typed)
 
 
 def read_dbf(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:

@@ -2,6 +2,9 @@
 
 import struct
 
+import pytest
+
+from terralode.sources.dbase import read_dbf
 from terralode.sources.registry import read_tables
 
 
@@ -56,3 +59,20 @@ def test_many_records(spark, tmp_path):
     (tmp_path / "many.dbf").write_bytes(dbf([("id", "N", 8, 0)], [b" " + f"{i:>8}".encode() for i in range(20_000)]))
     df = read_tables(spark, str(tmp_path / "many.dbf"))["many"]
     assert df.agg({"id": "sum"}).first()[0] == sum(range(20_000))
+
+
+def test_files_of_several_layouts_are_each_read_by_their_own(spark, tmp_path):
+    (tmp_path / "a.dbf").write_bytes(dbf([("id", "N", 3, 0), ("nom", "C", 5, 0), ("code", "N", 2, 0)], [b"   1ann   7", b"   2bob   8"]))
+    (tmp_path / "b.dbf").write_bytes(dbf([("nom", "C", 8, 0), ("id", "N", 6, 0), ("code", "C", 3, 0)], [b" caroline     3x1 "]))
+    (tmp_path / "c.dbf").write_bytes(dbf([("nom", "C", 8, 0), ("id", "N", 6, 0), ("code", "C", 3, 0)], [b" dan          4   ", b" eve          5y2 "]))
+    df = read_dbf(spark, str(tmp_path))
+    assert dict(df.dtypes)["id"] == "bigint" and dict(df.dtypes)["code"] == "string"
+    found = [tuple(r) for r in df.select("id", "nom", "code").orderBy("id").collect()]
+    assert [(i, nom, (code or "").strip()) for i, nom, code in found] == [(1, "ann", "7"), (2, "bob", "8"), (3, "caroline", "x1"), (4, "dan", ""), (5, "eve", "y2")]
+
+
+def test_a_file_shorter_than_its_header_says_fails(spark, tmp_path):
+    content = dbf([("id", "N", 8, 0)], [b" " + f"{i:>8}".encode() for i in range(20)])
+    (tmp_path / "short.dbf").write_bytes(content[:-30])
+    with pytest.raises(Exception, match="its header tells of 20 records"):
+        read_dbf(spark, str(tmp_path / "short.dbf")).collect()

@@ -86,12 +86,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     # Written first, so that Spark knows how small it is before it plans to move any text for it.
     guests = saved(tops.join(above, tops["run"] == above["k"]).select("doc_id", F.col("after").alias("run")), "guests")
     guests = own.join(guests, "doc_id").select("doc_id", "text", "run", F.lit(1).alias("guest"))
-    dealt = own.select("doc_id", "text", run.alias("run"), F.lit(0).alias("guest")).unionByName(guests)
-    dealt = dealt.withColumn("text_hash", F.xxhash64("text"))
+    named = own.where("doc_id is not null").select("doc_id", "text", run.alias("run"), F.lit(0).alias("guest"))
+    dealt = named.unionByName(guests).withColumn("text_hash", F.xxhash64("text"))
     order = Window.partitionBy("run").orderBy("guest", F.desc("doc_id"), "text_hash")
     beside = dealt.select(
         "run", "guest", "doc_id", "text_hash", "text", *[F.lead(c).over(order).alias(f"next_{c}") for c in ("doc_id", "text_hash", "text")]
     ).where("guest = 0")
+    # Rows without doc_id have no next document: they pass the window, where they would all be one run.
+    nameless = own.where("doc_id is null").select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    beside = beside.unionByName(nameless, allowMissingColumns=True)
     half = F.floor(F.length("text") / 2).cast("int")
     tail = F.when(F.col("doc_id").isNull(), F.lit("")).otherwise(F.coalesce("next_text", F.lit("")))
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.substring(tail, F.lit(1), half))

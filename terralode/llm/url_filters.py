@@ -117,11 +117,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", salts
     urls = urls.withColumn("point", host_key(F.col("host"))).withColumn("zone", first_labels(F.col("point"), 2))
     urls = urls.withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(salts)).cast("int"))
     dealt = urls.select("zone", "salt").distinct()
-    # Step 1: rules for a last label alone, swept with the domains there are.
-    top = rule_events(rules.where("labels = 1"), first_labels(F.col("key"), 1))
+    # Step 1: rules for a last label alone, swept with the domains there are; those of one label are salted too.
+    top = sweep_points(rule_events(rules.where("labels = 1"), first_labels(F.col("key"), 1)), "zone")
+    top = top.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     own = rules.where("labels > 1")
     zones = dealt.select(F.col("zone").alias("point")).distinct().withColumn("zone", first_labels(F.col("point"), 1))
-    started = as_of(sweep_points(top, "zone"), zones, ["zone"]).select(F.col("point").alias("zone"), F.col("stack").alias("carried"))
+    zones = zones.withColumn("salt", F.pmod(F.xxhash64("point"), F.lit(salts)).cast("int"))
+    started = as_of(top, zones, ["zone", "salt"]).select(F.col("point").alias("zone"), F.col("stack").alias("carried"))
     # Step 2: a domain's own rules on top of those, swept with its URLs.
     points = sweep_points(rule_events(own, first_labels(F.col("key"), 2)), "zone")
     none = F.array().cast(f"array<{RULE}>")

@@ -473,3 +473,13 @@ def test_near_fingerprints_find_edited_copies(spark):
     for r in near:
         wanted = sum(n for p, n in count.items() if bin(p ^ int(r.fingerprint, 16)).count("1") <= simhash.RADIUS) - 1
         assert r.n_near == (wanted if r.doc_id % 50 == 0 else None)
+
+
+def test_domains_of_one_last_label_are_dealt_over_salts(spark, monkeypatch):
+    swept, as_of = [], url_filters.as_of
+    monkeypatch.setattr(url_filters, "as_of", lambda points, asked, keys: swept.append((asked, keys)) or as_of(points, asked, keys))
+    rules = spark.createDataFrame([("block", "com", "/")], "verdict string, host string, path string")
+    pages = spark.createDataFrame([(i, f"http://d{i}.com/x") for i in range(200)], "page_id bigint, url string")
+    assert url_filters.judge_urls(pages, rules, salts=4).where("verdict = 'block'").count() == 200
+    asked, keys = swept[0]
+    assert asked.groupBy(*keys).count().agg(F.max("count")).first()[0] < 100

@@ -6,14 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralode.llm import (
+    benchmark_leaks,
     byte_bpe,
     circulant_minhash,
+    conversation_repair,
     language_id,
     packing,
     piece_lattice,
     projection_forest,
     rule_quality,
     simhash,
+    spelling_variants,
     suffix_dedup,
     token_counts,
     url_filters,
@@ -141,3 +144,39 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = local_rows(spark, URL_RULES, "verdict string, host string, path string")
     return url_filters.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with one of five faults by a checksum of conversation and turn; a null is one space."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))) % 20
+    text, role = space("text"), space("role")
+    return (
+        turns.select("conv_id", "turn", fault.alias("fault"), role.alias("role"), text.alias("text"))
+        .where("fault <> 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+            F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+            F.explode(F.array_repeat(F.lit(0), F.when(F.col("fault") == 3, 2).otherwise(1))).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    broken = damaged(turns)
+    return conversation_repair.digest(broken, conversation_repair.lightest_repairs(broken, turns.select("conv_id")))
+
+
+@query("op12_benchmark_leaks")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks.digest(benchmark_leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(spelling_variants.vocabulary(table(spark, sf_dir, "documents"), damage=True))

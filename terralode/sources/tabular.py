@@ -19,6 +19,7 @@ from terralode.operators.infer import (
     value_kind,
 )
 from terralode.operators.quality import assert_rows
+from terralode.sources.splits import DelimitedLines, read_records
 
 # Separators looked for in a header line, the likeliest first.
 SEPARATORS = [",", "\t", ";", " ", ":", "|"]
@@ -87,28 +88,47 @@ def read_delimited_text(
     encoding: str = "UTF-8",
     names: list[str] | None = None,
 ) -> DataFrame:
-    """Every column as text, named by the header. Only without ``multi_line`` can a file be split.
+    """Every column as text, named by the header. With ``multi_line`` a record may go over several lines.
 
-    A record with more fields than the header has names fails the job.
+    Files are read in splits either way. A record with more fields than the header has
+    names fails the job, and so does a quoted field that does not end.
     """
     if names is None:
         names = header_names(spark, path, sep, encoding)[1]
-    reader = spark.read.options(**csv_options(sep, encoding, multi_line)).options(header=True, enforceSchema=True)
     spare = unique_names([*names, "_surplus"])[-1]
-    text = reader.schema(text_schema([*names, spare])).csv(path)
+    if multi_line:
+        records = read_records(spark, path, DelimitedLines(sep))
+        if records.broken:
+            raise ValueError(f"a quoted field that does not end: {', '.join(records.broken)}")
+        text = parsed_records(records.rows.where("block <> 0 or nth <> 0"), [*names, spare], sep, encoding).select("r.*")
+    else:
+        reader = spark.read.options(**csv_options(sep, encoding, False)).options(header=True, enforceSchema=True)
+        text = reader.schema(text_schema([*names, spare])).csv(path)
     return assert_rows(text, named(spare).isNull(), f"more fields than names in the header: {path}").drop(spare)
 
 
+def parsed_records(records: DataFrame, names: list[str], sep: str, encoding: str) -> DataFrame:
+    """Records with their fields as texts, a struct ``r``. Wrong bytes fail the job."""
+    if encoding.upper() in ("UTF-8", "UTF8"):
+        value = F.validate_utf8(F.col("record").cast("string"))
+    else:
+        value = F.decode("record", encoding)
+    return records.withColumn("r", F.from_csv(value, text_schema(names).toDDL(), text_options(sep)))
+
+
+def text_options(sep: str) -> dict[str, str]:
+    return {k: str(v) for k, v in csv_options(sep, "UTF-8", False).items() if k not in ("multiLine", "encoding")}
+
+
 def line_profile(
     spark: SparkSession, path: str | list[str], sep: str, encoding: str, header: str, names: list[str], na_tokens: list[str]
 ) -> tuple[dict[str, str], int, int]:
     """Column types, lines that end inside quotes, and header lines, from one splittable pass."""
-    options = {k: str(v) for k, v in csv_options(sep, encoding, False).items() if k not in ("multiLine", "encoding")}
     value = F.col("value")
     lines = text_lines(spark, path, encoding).select(
         (value == header).alias("is_header"),
         odd_quotes(value).alias("odd"),
-        F.from_csv("value", text_schema(names).toDDL(), options).alias("r"),
+        F.from_csv("value", text_schema(names).toDDL(), text_options(sep)).alias("r"),
     )
     # The values of a line one under the other: the plan does not grow with the columns.
     fields = F.array(*[F.col("r").getField(n) for n in names])
@@ -138,8 +158,8 @@ def read_delimited(
     """Delimited text with typed columns; ``sep=None`` looks for the separator.
 
     One pass over the lines settles the types and whether any record goes over
-    several lines; only then must a file be read as a whole. A given ``schema``
-    with ``multi_line`` saves that pass.
+    several lines; only then are records cut out first. Files are read in splits
+    either way. A given ``schema`` with ``multi_line`` saves that pass.
     """
     if sep is None:
         sep = sniff_separator(spark, path, encoding)

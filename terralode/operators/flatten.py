@@ -121,13 +121,25 @@ def json_objects_to_columns(df: DataFrame, text: str, keep: Sequence[str] = ())
     The keys and types are settled by one aggregate over the whole column. A key
     that is a kept column's name, or another key but for its case, gets a number.
     """
-    parsed = F.try_parse_json(named(text))
-    found = df.agg(F.schema_of_variant_agg(parsed)).first()[0]
+    return objects_as(df, text, object_schemas(df, text).first()["found"], keep)
+
+
+def object_schemas(df: DataFrame, text: str, by: Sequence[str] = ()) -> DataFrame:
+    """What keys and types a column of JSON objects holds, for each value of the ``by`` columns."""
+    return df.groupBy(*[named(b) for b in by]).agg(F.schema_of_variant_agg(F.try_parse_json(named(text))).alias("found"))
+
+
+def objects_as(df: DataFrame, text: str, found: str | None, keep: Sequence[str] = (), apart: Sequence[str] = ()) -> DataFrame:
+    """The columns of JSON objects of a schema that ``object_schemas`` found, after the kept ones.
+
+    Kept columns named in ``apart`` are no columns of the table: keys of their name stay as they are.
+    """
     kept = [named(k) for k in keep]
     if found is None or not found.startswith("OBJECT<") or found == "OBJECT<>":
         return df.select(*kept)
     schema = T.StructType.fromDDL(variant_ddl(found).removeprefix("STRUCT<").removesuffix(">"))
-    names = unique_names([*keep, *schema.names])[len(keep) :]
+    counted = [k for k in keep if k not in apart]
+    names = unique_names([*counted, *schema.names])[len(counted) :]
     # A struct is cast field by field, in order: that renames them.
     renamed = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schema)])
     return df.select(*kept, F.from_json(named(text), schema).cast(renamed).alias("_fields")).select(*kept, "_fields.*")

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
 from collections import Counter
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
+from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralode.functions.names import table_name
 from terralode.operators.catalog import ledger_additions, new_files
 from terralode.plans.runner import RESULT_SCHEMA, run_each
+from terralode.plans.together import FORMATS, convert_together
 from terralode.session import local_rows, shared_dir
 from terralode.sinks.parquet import append_to_ledger, write_table
 from terralode.sources.archive import read_archives, save_members, stage_members
@@ -19,8 +22,8 @@ from terralode.sources.listing import if_exists, list_keys, relative_key, source
 from terralode.sources.registry import (
     MEMBER_EXTENSIONS,
     PARQUET_EXTENSIONS,
-    TABLE_READERS,
     TEXT_EXTENSIONS,
+    TRANSPARENT,
     extension_of,
     must_unpack,
     output_name,
@@ -78,6 +81,9 @@ def convert_archives(spark: SparkSession, source: str, keys: list[str], target:
     # A member some part of which could not be read is not converted at all.
     todo = {name: place for name, place in todo.items() if name not in unread}
 
+    together, alone = convert_members(spark, staged, todo, target, workers)
+    faulty = {name for name, row in unread.items() if not row[3].startswith("no reader")}
+
     def convert(name: str) -> list[str]:
         written = []
         for table, df in read_member(spark, members, staged, *todo[name]).items():
@@ -85,10 +91,33 @@ def convert_archives(spark: SparkSession, source: str, keys: list[str], target:
             written.append(table)
         return written
 
-    converted = run_each(spark, sorted(todo), convert, workers)
+    converted = run_each(spark, alone, convert, workers).unionByName(local_rows(spark, together, RESULT_SCHEMA))
+    for row in converted.filter("not ok").select("key").collect():
+        faulty.add(row["key"])
+    for name in faulty:
+        archive = name.partition("!")[0]
+        if whole[archive][2]:
+            whole[archive] = (archive, None, False, "a member failed")
     return converted.unionByName(local_rows(spark, [*whole.values(), *unread.values()], RESULT_SCHEMA))
 
 
+def convert_members(
+    spark: SparkSession, staged: str, todo: dict[str, tuple[str, str]], target: str, workers: int
+) -> tuple[list[tuple[str, str | None, bool, str | None]], list[str]]:
+    """Convert the staged text members that are one file each, all of a format at once; and the names of all others."""
+    if not any(ext in FORMATS for ext, _ in todo.values()):
+        return [], sorted(todo)
+    place = F.regexp_extract("key", "^ext=[^/]*/table=([^/]*)/", 1).alias("table")
+    files = list_keys(spark, staged).groupBy(place).agg(F.count("*").alias("n"), F.min("key").alias("key")).where("n = 1").collect()
+    at = {unquote(r["table"]): r["key"] for r in files}
+    names = {at[table]: name for name, (ext, table) in todo.items() if ext in FORMATS and table in at}
+    tables = {key: stem_of(todo[name][1]) for key, name in names.items()}
+    rows, _ = convert_formats(spark, staged, tables, {key: todo[name][0] for key, name in names.items()}, target, workers)
+    done = [(names[key], *rest) for key, *rest in rows]
+    taken = {name for name, *_ in done}
+    return done, sorted(name for name in todo if name not in taken)
+
+
 def convert_new_files(
     spark: SparkSession,
     source: str,
@@ -96,23 +125,22 @@ def convert_new_files(
     ledger: str,
     workers: int = 7,
     files_at_once: int = 1000,
-    same_layout_from: int | None = None,
 ) -> DataFrame:
     """Convert what the ledger does not hold yet, adding to it what succeeded.
 
     Files are taken some at a time, and the ledger and the results are written after
     each lot: a run that breaks off goes on where it stopped, and the driver holds
-    the names of one lot. Plain files are independent jobs run side by side; all
-    archives of a lot are opened together by one. An archive that opened is done,
-    whatever its members hold. With ``same_layout_from``, files whose header
-    that many or more of a lot share are one job too (see ``convert_same_layout``).
+    the names of one lot. All text files of a format are converted by a few jobs, as
+    many as they have layouts (see ``convert_together``); files of other formats are
+    independent jobs run side by side. All archives of a lot are opened together by
+    one. An archive is done, and in the ledger, unless a member failed.
     """
     todo = new_files(list_keys(spark, source), read_ledger(spark, ledger)).orderBy("key")
     results = shared_dir(spark, "results")
     local_rows(spark, [], RESULT_SCHEMA).write.parquet(results)
     keys = (row["key"] for row in todo.toLocalIterator())
     while lot := list(islice(keys, files_at_once)):
-        rows = convert_lot(spark, source, lot, target, workers, same_layout_from)
+        rows = convert_lot(spark, source, lot, target, workers)
         rows.write.mode("append").parquet(results)
         of_lot = local_rows(spark, [(key,) for key in lot], LEDGER_SCHEMA)
         done = rows.filter("ok").select("key").join(of_lot, "key", "left_semi")
@@ -120,67 +148,51 @@ def convert_new_files(
     return spark.read.schema(RESULT_SCHEMA).parquet(results)
 
 
-def convert_lot(
-    spark: SparkSession, source: str, keys: list[str], target: str, workers: int, same_layout_from: int | None = None
-) -> DataFrame:
-    """Convert the files with the given keys."""
+def convert_lot(spark: SparkSession, source: str, keys: list[str], target: str, workers: int) -> DataFrame:
+    """Convert the files with the given keys: all of a format in a few jobs, the others side by side."""
     root = source.rstrip("/")
     plain = [key for key in keys if not must_unpack(key)]
     archives = [key for key in keys if must_unpack(key)]
-    together: dict[str, list[str]] = {}
-    if same_layout_from:
-        groups = [g for g in layout_groups(spark, source, plain) if len(g) >= same_layout_from]
-        together = {g[0]: g for g in groups}
-    grouped = {key for group in together.values() for key in group}
-
-    def convert(key: str) -> list[str]:
-        if key not in together:
-            return convert_file(spark, f"{root}/{key}", target)
-        paths = [f"{root}/{k}" for k in together[key]]
-        read = TABLE_READERS[extension_of(key)]
-        convert_same_layout(spark, paths, f"{target}/layout={uuid.uuid4().hex}", read)
-        return [stem_of(k) for k in together[key]]
-
-    # Files of one name write the same table: one at a time, the last one stays.
-    alone = [k for k in plain if k in together or k not in grouped]
-    results = run_each(spark, alone, convert, workers, lane=output_name)
-    if together:
-        results = name_each_file(results, together)
+    rows, alone = convert_formats(spark, root, {key: output_name(key) for key in plain}, {key: format_of(key) for key in plain}, target, workers)
+    convert = lambda key: convert_file(spark, f"{root}/{key}", target)
+    results = run_each(spark, alone, convert, workers, lane=output_name).unionByName(local_rows(spark, rows, RESULT_SCHEMA))
     if archives:
         results = results.unionByName(convert_archives(spark, source, archives, target, workers))
     return results
 
 
-DELIMITED = ("csv", "tsv", "txt")
-
-
-def layout_groups(spark: SparkSession, source: str, keys: list[str]) -> list[list[str]]:
-    """Keys of delimited files by their whole header line; files of one name are left out."""
-    names = Counter(output_name(key) for key in keys)
-    asked = [key for key in keys if extension_of(key) in DELIMITED and names[output_name(key)] == 1]
-    if not asked:
-        return []
-    lines = spark.read.text([f"{source.rstrip('/')}/{key}" for key in asked]).filter("_metadata.file_block_start = 0")
-    kept = lines.filter(F.trim("value") != "").select(source_path().alias("path"), "value", F.monotonically_increasing_id().alias("nth"))
-    first = kept.groupBy("path").agg(F.min_by("value", "nth").alias("header"))
-    headers = first.select(relative_key(source, F.col("path")).alias("key"), "header")
-    groups: dict[tuple[str, str], list[str]] = {}
-    for row in headers.collect():
-        groups.setdefault((extension_of(row["key"]), row["header"]), []).append(row["key"])
-    return [sorted(group) for group in groups.values()]
-
-
-def name_each_file(results: DataFrame, together: dict[str, list[str]]) -> DataFrame:
-    """Results of files converted together, put down under each file's own key."""
-    spark = results.sparkSession
-    table_keys = [(stem_of(k), first, k) for first, group in together.items() for k in group]
-    each = local_rows(spark, table_keys, "table string, key string, own string")
-    ok = results.filter("ok").join(each, ["key", "table"], "left").withColumn("key", F.coalesce("own", "key"))
-    # A failed group failed for every file of it.
-    firsts = each.select("key", "own")
-    failed = results.filter("not ok").join(firsts, "key", "left").withColumn("key", F.coalesce("own", "key"))
-    columns = ["key", "table", "ok", "error"]
-    return ok.select(columns).unionByName(failed.select(columns))
+def convert_formats(
+    spark: SparkSession, root: str, tables: dict[str, str], formats: dict[str, str], target: str, workers: int
+) -> tuple[list[tuple[str, str | None, bool, str | None]], list[str]]:
+    """Convert the files whose format takes many at once, given by key with their table and format.
+
+    Returns their result rows, and the keys of all others: files that share a table's
+    name, which are taken in turn, and those of a lot whose jobs failed, so that the
+    file at fault is found.
+    """
+    named = Counter(tables.values())
+    many: dict[str, list[str]] = {}
+    for key, ext in formats.items():
+        if named[tables[key]] == 1 and ext in FORMATS:
+            many.setdefault(ext, []).append(key)
+
+    def convert_all(ext: str) -> dict[str, str | None]:
+        try:
+            return convert_together(spark, root, {key: tables[key] for key in many[ext]}, ext, target)
+        except Exception:
+            return {}
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        found = list(pool.map(inheritable_thread_target(spark)(convert_all), many))
+    outcome = {key: error for done in found for key, error in done.items()}
+    rows = [(key, None if error else tables[key], error is None, error) for key, error in outcome.items()]
+    return rows, sorted(key for key in tables if key not in outcome)
+
+
+def format_of(key: str) -> str:
+    """Extension of a file, or of the text a compression Hadoop undoes holds."""
+    ext = extension_of(key)
+    return extension_of(stem_of(key)) if ext in TRANSPARENT else ext
 
 
 def convert_same_layout(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,11 @@ def read_files(spark: SparkSession, path: str | list[str], glob: str | None = No
     return reader.load(path)
 
 
+def literal_path(path: str) -> str:
+    """A path whose name is taken as it is, whatever signs of a pattern it holds."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def relative_key(root: str, path: Column) -> Column:
     """Key of a listed file: its path below the root listed."""
     return F.substring_index(path, root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/", -1)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from terralode.functions.cleaning import NA_TOKENS
+from terralode.functions.cleaning import NA_TOKENS, named
 from terralode.operators.clean import stringify_objects
 from terralode.operators.flatten import (
     KML_SCHEMA,
@@ -28,8 +29,8 @@ def read_json(spark: SparkSession, path: str, lines: bool = False, schema: str |
     that differ only in case get numbers.
     """
     if lines:
-        reader = spark.read.option("mode", "FAILFAST")
-        return stringify_objects((reader if schema is None else reader.schema(schema)).json(path))
+        texts = spark.read.text(path).where(F.trim("value") != "")
+        return json_table(texts.select(F.validate_utf8("value").alias("text")), schema)
     found = read_records(spark, path, JsonElements())
     texts = found.texts()
     if found.single:
@@ -112,12 +113,17 @@ def read_geojson(spark: SparkSession, path: str, expand: bool = True) -> DataFra
 
 
 def feature_table(texts: DataFrame, expand: bool = True) -> DataFrame:
-    """The table of ``text`` rows; what is no feature, as of other members of a collection, is left out."""
-    parsed = texts.select(F.from_json("text", "type string, properties string, geometry string", {"mode": "FAILFAST"}).alias("f"))
-    features = describe_geometry(parsed.where("f.type = 'Feature'").select("f.properties", "f.geometry"))
+    """The table of ``text`` rows, one object each."""
+    features = feature_rows(texts)
     return expand_features(features) if expand else features
 
 
+def feature_rows(texts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Features of ``text`` rows; what is none, as of other members of a collection, is left out."""
+    parsed = texts.select(*keep, F.from_json("text", "type string, properties string, geometry string", {"mode": "FAILFAST"}).alias("f"))
+    return describe_geometry(parsed.where("f.type = 'Feature'").select(*keep, "f.properties", "f.geometry"))
+
+
 def read_geojson_lines(spark: SparkSession, path: str, expand: bool = True) -> DataFrame:
     """One feature per line: the form of GeoJSON a large file can be split in."""
     lines = spark.read.option("mode", "FAILFAST").schema("properties string, geometry string").json(path)
@@ -130,6 +136,6 @@ def read_kml(spark: SparkSession, path: str) -> DataFrame:
     return placemark_table(read_records(spark, path, XmlElements("Placemark")).texts())
 
 
-def placemark_table(texts: DataFrame) -> DataFrame:
-    parsed = texts.select(F.from_xml("text", T.StructType.fromDDL(KML_SCHEMA), {"rowTag": "Placemark", "mode": "FAILFAST"}).alias("p"))
-    return placemark_rows(parsed.select("p.*"))
+def placemark_table(texts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    parsed = texts.select(*map(named, keep), F.from_xml("text", T.StructType.fromDDL(KML_SCHEMA), {"rowTag": "Placemark", "mode": "FAILFAST"}).alias("p"))
+    return placemark_rows(parsed.select(*map(named, keep), "p.*"), keep)

@@ -195,13 +195,12 @@ def test_files_of_one_layout_are_one_job(spark, tmp_path, schema, rows):
         (tmp_path / "in" / f"m{i}.csv").write_text(f"id,v\r\n{i},{i}.5\n")
     (tmp_path / "in" / "other.csv").write_text("a\n1\n")
     (tmp_path / "in" / "m0.tsv").write_text("id\tv\n9\t9\n")
-    results = convert_new_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ledger"), same_layout_from=3)
+    results = convert_new_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ledger"))
     want = [(f"m{i}.csv", f"m{i}") for i in range(6)] + [("m0.tsv", "m0"), ("other.csv", "other")]
     assert rows(results.filter("ok"), "key", "table") == sorted(want)
     assert results.filter("not ok").count() == 0
     assert read_ledger(spark, str(tmp_path / "ledger")).count() == 8
-    (folder,) = (tmp_path / "out").glob("layout=*")
-    assert sorted(p.name for p in folder.iterdir() if p.is_dir()) == [f"table=m{i}" for i in range(1, 6)]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == [*(f"m{i}.parquet" for i in range(6)), "other.parquet"]
     load_parquets(spark, str(tmp_path / "out"), schema)
     assert rows(spark.table(quoted(schema, "M3")), "id", "v") == [(3, 3.5)]
 

@@ -162,6 +162,9 @@ def json_layouts(spark: SparkSession, root: str, keys: list[str], ext: str) -> F
         groups.setdefault(None, []).extend(without)
     made = []
     for found, held in groups.items():
+        if found is not None and not found.startswith("OBJECT<"):
+            errors |= dict.fromkeys(held, ALONE)
+            continue
         mine = given.where(F.col("key").isin(held)).withColumnRenamed("key", KEY)
         made.append(Layout(held, objects_as(mine, column, found, [KEY, *fixed], apart=[KEY])))
     return made, errors

@@ -26,7 +26,7 @@ from terralode.sources.dbase import dbf_table
 from terralode.sources.listing import list_objects, tail_lines
 from terralode.sources.office import docx_paragraphs, sheet_rows, xlsx_sheets, xml_parts
 from terralode.sources.registry import TABLE_READERS, TEXT_EXTENSIONS
-from terralode.sources.structured import read_geojson_lines, read_json, read_kml, read_xml
+from terralode.sources.structured import read_geojson, read_geojson_lines, read_json, read_kml, read_xml
 from terralode.sources.tabular import read_csv, read_delimited, read_parquet, read_tsv, read_txt
 from terralode.streaming.incremental import incremental_ingest, on_new_files
 
@@ -137,9 +137,14 @@ def xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_xml(spark, path)
 
 
-@query("geojson_scan", "select c_custkey as id, c_name as name, 'Point' as geometry_type, c_nationkey * 0.5::double as lon, c_nationkey - 12.25::double as lat from customer")
-def geojson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shared_dir(spark, "geojson")
+POINTS_SQL = """
+select c_custkey as id, c_name as name, 'Point' as geometry_type, c_nationkey * 0.5::double as lon, c_nationkey - 12.25::double as lat,
+       '{"type":"Point","coordinates":[' || c_nationkey * 0.5::double || ',' || c_nationkey - 12.25::double || ']}' as geometry
+from customer
+"""
+
+
+def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature = F.struct(
         F.lit("Feature").alias("type"),
         F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")).alias("properties"),
@@ -148,8 +153,24 @@ def geojson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.array(F.col("c_nationkey") * F.lit(0.5), F.col("c_nationkey") - F.lit(12.25)).alias("coordinates"),
         ).alias("geometry"),
     )
-    table(spark, sf_dir, "customer").select(F.to_json(feature).alias("value")).write.text(path)
-    return read_geojson_lines(spark, path).drop("geometry")
+    return table(spark, sf_dir, "customer").select("c_custkey", F.to_json(feature).alias("value"))
+
+
+@query("geojson_scan", POINTS_SQL)
+def geojson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collections of up to 1,000 features, with members before and after them."""
+    path = shared_dir(spark, "geojson")
+    features = customer_features(spark, sf_dir).groupBy(F.floor(F.col("c_custkey") / 1000)).agg(F.concat_ws(",", F.collect_list("value")).alias("all"))
+    head, tail = '{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"x}"}},"features":[', '],"after":[{"type":"none"}]}'
+    features.select(F.concat(F.lit(head), "all", F.lit(tail)).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return read_geojson(spark, path)
+
+
+@query("geojson_lines_scan", POINTS_SQL)
+def geojson_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "geojson")
+    customer_features(spark, sf_dir).select("value").write.text(path)
+    return read_geojson_lines(spark, path)
 
 
 @query(

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import io
+import sys
+import zipfile
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from terralode.functions.names import safe_identifier
+from terralode.operators.flatten import union_ragged
 from terralode.operators.quality import (
     GateError,
     require_no_failures,
@@ -15,20 +22,79 @@ from terralode.operators.quality import (
     require_value,
 )
 from terralode.plans.convert import convert_new_files
+from terralode.plans.load import load_parquets
 from terralode.queries.files import ORDERS_SQL, orders_as_text, write_delimited
+from terralode.queries.models import fresh_schema
 from terralode.queries.registry import query, table
 from terralode.session import local_rows, shared_dir
+from terralode.sinks.parquet import move_folder
+from terralode.sources.listing import list_keys
 from terralode.sources.registry import read_tables
 from terralode.sources.structured import read_json
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-@query("convert_flow", f"select *, 0 as taken_again from ({ORDERS_SQL})")
+
+def write_files(values: DataFrame, folder: str, ext: str, end: str) -> None:
+    """Each text of a column as a file of its own, its last characters given apart as the text sink's line end."""
+    spark = values.sparkSession
+    staged = shared_dir(spark, "files")
+    values.write.options(maxRecordsPerFile=1, lineSep=end).text(staged)
+    for row in list_keys(spark, staged, "*.txt").collect():
+        move_folder(spark, f"{staged}/{row['key']}", f"{folder}/{row['key'].removesuffix('.txt')}.{ext}")
+
+
+def order_arrays(orders: DataFrame) -> DataFrame:
+    """JSON arrays of up to 1,000 orders, without their last bracket."""
+    of = F.floor(F.col("o_orderkey") / 4000)
+    arrays = orders.groupBy(of).agg(F.to_json(F.collect_list(F.struct(*orders.columns))).alias("value"))
+    return arrays.select(F.expr("substring(value, 1, length(value) - 1)").alias("value"))
+
+
+@query("convert_flow", f"select *, 0 as taken_again, 2 as failed from ({ORDERS_SQL})")
 def convert_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tables of all files of a folder; a second run takes none of them again."""
+    """The tables of all files of a folder: CSV, JSON arrays, XML, zips of CSV and Parquet, and two broken files.
+
+    A second run takes the broken ones again and no other.
+    """
     base = shared_dir(spark, "flow")
-    write_delimited(orders_as_text(spark, sf_dir), f"{base}/in/tabular")
-    again = [convert_new_files(spark, f"{base}/in", f"{base}/out", f"{base}/ledger").count() for _ in range(2)][-1]
-    return spark.read.parquet(f"{base}/out/*.parquet").withColumn("taken_again", F.lit(again))
+    orders = orders_as_text(spark, sf_dir)
+    quarter = lambda n: orders.where(F.col("o_orderkey") % 4 == n)
+    write_delimited(quarter(0), f"{base}/in/tabular")
+    write_files(order_arrays(quarter(1)), f"{base}/in/others", "json", "]")
+    quarter(2).write.format("xml").options(rowTag="record", rootTag="records").save(f"{base}/in/xml")
+    # A zip ends with the length of its comment, two zero bytes.
+    zips = quarter(3).mapInPandas(pack_halves, "path string, content binary")
+    write_files(zips.select(F.expr("cast(substring(content, 1, length(content) - 2) as string)").alias("value")), f"{base}/in/archives", "zip", "\0\0")
+    cut = local_rows(spark, [('[{"o_orderkey": 1}, {"o_orderkey": 2',), ('[{"o_orderkey": "x}',)], "value string")
+    write_files(cut, f"{base}/in/broken", "json", "]")
+    first, again = [convert_new_files(spark, f"{base}/in", f"{base}/out", f"{base}/ledger") for _ in range(2)]
+    counts = [again.where("ok").count(), first.where("not ok").count()]
+    tables = spark.read.parquet(f"{base}/out/*.parquet")
+    return tables.withColumns({"taken_again": F.lit(counts[0]), "failed": F.lit(counts[1])})
+
+
+def pack_halves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One zip per batch of orders, half of them in a CSV and half in a Parquet member."""
+    for batch in batches:
+        out, half = io.BytesIO(), (len(batch) + 1) // 2
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("a/orders.csv", batch[:half].to_csv(index=False))
+            z.writestr("b/orders.parquet", batch[half:].to_parquet(index=False))
+        yield pd.DataFrame({"path": ["in/orders.zip"], "content": [out.getvalue()]})
+
+
+@query("load_flow", f"select *, 0 as failed from ({ORDERS_SQL})")
+def load_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files converted and loaded as tables of a catalog schema, each then read from there."""
+    base = shared_dir(spark, "load")
+    write_delimited(orders_as_text(spark, sf_dir), f"{base}/in")
+    convert_new_files(spark, f"{base}/in", f"{base}/out", f"{base}/ledger")
+    schema, _ = fresh_schema(spark, "load_flow")
+    loaded = load_parquets(spark, f"{base}/out", schema)
+    failed = loaded.where("not ok").count()
+    tables = [spark.table(f"`{schema}`.`{safe_identifier(r['table'])}`") for r in loaded.where("ok").select("table").collect()]
+    return union_ragged(tables).withColumn("failed", F.lit(failed))
 
 
 @query("pq_scan", "select * from part")

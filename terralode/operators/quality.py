@@ -50,7 +50,7 @@ def require_no_failures(results: DataFrame, message: str, ok: str = "ok") -> Dat
     return results
 
 
-def assert_rows(df: DataFrame, condition: Column, message: str) -> DataFrame:
+def assert_rows(df: DataFrame, condition: Column, message: str | Column) -> DataFrame:
     """Lazy form: the job itself fails on the first row that breaks the condition."""
     checked = F.assert_true(condition, F.lit(message))
     return df.withColumn("_checked", checked).filter(F.col("_checked").isNull()).drop("_checked")

@@ -20,10 +20,10 @@ from terralode.operators.infer import type_columns
 from terralode.queries.flattening import STYLED_SQL
 from terralode.queries.registry import query, table
 from terralode.session import shared_dir
-from terralode.sinks.parquet import append_to_ledger, write_by_category, write_table
+from terralode.sinks.parquet import append_to_ledger, move_folder, write_by_category, write_table
 from terralode.sources.archive import save_members, stage_members, unpack
-from terralode.sources.dbase import dbf_table
-from terralode.sources.listing import list_objects, tail_lines
+from terralode.sources.dbase import read_dbf
+from terralode.sources.listing import list_keys, list_objects, tail_lines
 from terralode.sources.office import docx_paragraphs, sheet_rows, xlsx_sheets, xml_parts
 from terralode.sources.registry import TABLE_READERS, TEXT_EXTENSIONS
 from terralode.sources.structured import read_geojson, read_geojson_lines, read_json, read_kml, read_xml
@@ -48,6 +48,15 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", **options) -> str:
     return path
 
 
+def write_files(values: DataFrame, folder: str, ext: str, end: str) -> None:
+    """Each text of a column as a file of its own, its last characters given apart as the text sink's line end."""
+    spark = values.sparkSession
+    staged = shared_dir(spark, "files")
+    values.write.options(maxRecordsPerFile=1, lineSep=end).text(staged)
+    for row in list_keys(spark, staged, "*.txt").collect():
+        move_folder(spark, f"{staged}/{row['key']}", f"{folder}/{row['key'].removesuffix('.txt')}.{ext}")
+
+
 @query("csv_scan", ORDERS_SQL)
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, write_delimited(orders_as_text(spark, sf_dir), shared_dir(spark, "csv")))
@@ -339,7 +348,11 @@ def pack_dbase(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 @query("dbase_scan", 'select p_partkey as "KEY", p_name as "NAME", cast(p_size as bigint) as "SIZE", p_retailprice as "PRICE" from part')
 def dbase_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dbf_table(table(spark, sf_dir, "part").mapInPandas(pack_dbase, "path string, content binary"))
+    path = shared_dir(spark, "dbase")
+    files = table(spark, sf_dir, "part").mapInPandas(pack_dbase, "path string, content binary")
+    # A file ends with the sign for its end.
+    write_files(files.select(F.expr("cast(substring(content, 1, length(content) - 1) as string)").alias("value")), path, "dbf", "\x1a")
+    return read_dbf(spark, path)
 
 
 @query("incremental_ingest", "select event_id, ts, user_id, event_type, value from events")

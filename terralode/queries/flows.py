@@ -23,27 +23,16 @@ from terralode.operators.quality import (
 )
 from terralode.plans.convert import convert_new_files
 from terralode.plans.load import load_parquets
-from terralode.queries.files import ORDERS_SQL, orders_as_text, write_delimited
+from terralode.queries.files import ORDERS_SQL, orders_as_text, write_delimited, write_files
 from terralode.queries.models import fresh_schema
 from terralode.queries.registry import query, table
 from terralode.session import local_rows, shared_dir
-from terralode.sinks.parquet import move_folder
-from terralode.sources.listing import list_keys
 from terralode.sources.registry import read_tables
 from terralode.sources.structured import read_json
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def write_files(values: DataFrame, folder: str, ext: str, end: str) -> None:
-    """Each text of a column as a file of its own, its last characters given apart as the text sink's line end."""
-    spark = values.sparkSession
-    staged = shared_dir(spark, "files")
-    values.write.options(maxRecordsPerFile=1, lineSep=end).text(staged)
-    for row in list_keys(spark, staged, "*.txt").collect():
-        move_folder(spark, f"{staged}/{row['key']}", f"{folder}/{row['key'].removesuffix('.txt')}.{ext}")
-
-
 def order_arrays(orders: DataFrame) -> DataFrame:
     """JSON arrays of up to 1,000 orders, without their last bracket."""
     of = F.floor(F.col("o_orderkey") / 4000)

@@ -125,7 +125,7 @@ def require_file_system(path: str) -> None:
         raise ValueError(f"archives cannot be opened on {scheme}: {path}")
 
 
-def _open(path: str) -> BinaryIO:
+def open_file(path: str) -> BinaryIO:
     """A file of any file system in the list, read where it lies, whatever its size and name."""
     scheme, colon, rest = path.partition(":")
     if not colon or scheme == "file":
@@ -138,7 +138,7 @@ def _open(path: str) -> BinaryIO:
 
 def _rows(path: str, content: bytes | None) -> Iterator[tuple]:
     try:
-        source = _open(path) if content is None else io.BytesIO(content)
+        source = open_file(path) if content is None else io.BytesIO(content)
         for member, part, data, problem in _members(path, source):
             yield path, member, part, None if data is None else len(data), data, problem
     except Exception as problem:  # a broken archive is reported, not fatal

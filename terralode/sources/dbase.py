@@ -1,4 +1,8 @@
-"""dBase tables: records cut out by their length, fields by their place with column expressions."""
+"""dBase tables: records cut out by their length, fields by their place with column expressions.
+
+Records are of one length, so a file is read in ranges of whole records: its header, read
+first, tells how many there are, and each task opens the file at its range.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terralode.operators.infer import type_columns
+from terralode.operators.quality import assert_rows
+from terralode.sources.archive import open_file, require_file_system
 from terralode.sources.listing import read_files
 
 # Fixed values of the format: where the header keeps what, and how long a field's description is.
@@ -18,6 +24,9 @@ RECORDS_AT, HEADER_LENGTH_AT, RECORD_LENGTH_AT, FIELDS_AT, FIELD_LENGTH, MAX_HEA
 END_OF_FIELDS, DELETED = 0x0D, 0x2A
 
 BATCH_RECORDS = 10_000
+# What a task reads of a file at most, rounded to whole records.
+RANGE_BYTES = 64 * 1024 * 1024
+MAX_TASKS = 100_000
 
 # The function run in tasks travels with the job: executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -86,6 +95,71 @@ def dbf_records(files: DataFrame) -> DataFrame:
     return files.select("path", layout_of(F.col("content")).alias("layout"), "content").mapInArrow(_cut, "layout string, record binary")
 
 
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first bytes of each file, opened where it lies."""
+    for batch in batches:
+        heads = []
+        for path in batch["path"].to_pylist():
+            with open_file(path) as file:
+                heads.append(file.read(MAX_HEADER))
+        yield pa.RecordBatch.from_arrays([batch["path"], batch["length"], pa.array(heads, pa.binary())], names=["path", "length", "content"])
+
+
+def file_heads(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``path, length, content`` of every file, the content being its header and at most 64 KB."""
+    for one in [path] if isinstance(path, str) else path:
+        require_file_system(one)
+    return read_files(spark, path).select("path", "length").mapInArrow(_heads, "path string, length bigint, content binary")
+
+
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of ranges of files, those marked deleted left out, some thousand at a time."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            with open_file(row["path"]) as file:
+                file.seek(row["offset"])
+                left, size = row["records"], row["size"]
+                while left:
+                    n = min(left, BATCH_RECORDS)
+                    data = file.read(n * size)
+                    if len(data) < n * size:
+                        raise ValueError(f"{row['path']}: ends before its last record")
+                    records = [data[p : p + size] for p in range(0, len(data), size) if data[p] != DELETED]
+                    yield pa.RecordBatch.from_arrays([pa.array([row["layout"]] * len(records), pa.string()), pa.array(records, pa.binary())], names=["layout", "record"])
+                    left -= n
+
+
+def range_records(heads: DataFrame) -> DataFrame:
+    """As ``dbf_records``, of files given by ``file_heads``: read in ranges, a task for each.
+
+    A file shorter than its header says fails before any record is read.
+    """
+    content = F.col("content")
+    told = heads.select(
+        "path",
+        "length",
+        layout_of(content).alias("layout"),
+        little_endian(content, RECORDS_AT, 4).alias("count"),
+        little_endian(content, HEADER_LENGTH_AT, 2).alias("start"),
+        little_endian(content, RECORD_LENGTH_AT, 2).alias("size"),
+    )
+    short = F.col("size").isNull() | (F.col("length") < F.col("start") + F.col("count") * F.col("size"))
+    says = F.concat_ws("", "path", F.lit(": "), "length", F.lit(" bytes, where its header tells of "), "count", F.lit(" records"))
+    told = assert_rows(told, ~short, says).where("count > 0 and size > 0")
+    step = F.greatest(F.lit(1), F.floor(F.lit(RANGE_BYTES) / F.col("size")))
+    tasks = told.agg(F.sum(F.ceil(F.col("count") / step))).first()[0] or 1
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("count") - 1, step)).alias("first")
+    ranges = told.select("path", "layout", "start", "size", "count", step.alias("step"), first).select(
+        "path",
+        "layout",
+        (F.col("start") + F.col("first") * F.col("size")).alias("offset"),
+        F.least("step", F.col("count") - F.col("first")).alias("records"),
+        "size",
+    )
+    # A number given keeps them apart: ranges are small rows, which would be merged into few tasks.
+    return ranges.repartition(min(int(tasks), MAX_TASKS)).mapInArrow(_ranges, "layout string, record binary")
+
+
 def field_text(kind: str, start: int, length: int, encoding: str) -> Column:
     """Text of one field of a record; null when it holds nothing."""
     raw = F.substring("record", start, length)
@@ -103,13 +177,18 @@ def field_text(kind: str, start: int, length: int, encoding: str) -> Column:
 
 
 def dbf_table(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
-    """The table of dBase files, given as ``(path, content)``, each read by its own layout.
+    """The table of dBase files, given as ``(path, content)``, each read by its own layout."""
+    return fields_table(dbf_fields(files), dbf_records(files), encoding)
+
+
+def fields_table(described: DataFrame, records: DataFrame, encoding: str = "UTF-8") -> DataFrame:
+    """The fields of records by the descriptions of their layouts.
 
     Columns are those of all layouts by name, null where a file has no such field; one that
     is text in some layout is text. Names that differ only in case are one column.
     """
     layouts: dict[str, list] = {}
-    for field in dbf_fields(files).collect():
+    for field in described.collect():
         layouts.setdefault(field["layout"], []).append(field)
     if any(field["name"] is None for fields in layouts.values() for field in fields):
         raise ValueError("a dBase file without fields")
@@ -129,10 +208,11 @@ def dbf_table(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
         text = own[0][1] if len(layouts) == 1 else F.coalesce(*[F.when(F.col("layout") == layout, found) for layout, found in own])
         columns.append(text.alias(names[key]))
     typed = [names[key] for key, own in kinds.items() if own <= {"N", "F", "I", "L"}]
-    return type_columns(dbf_records(files).select(columns), [], typed)
+    return type_columns(records.select(columns), [], typed)
 
 
 def read_dbf(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    return dbf_table(read_files(spark, path).select("path", "content"), encoding)
+    heads = file_heads(spark, path)
+    return fields_table(dbf_fields(heads), range_records(heads), encoding)
 
 

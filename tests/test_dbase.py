@@ -4,6 +4,7 @@ import struct
 
 import pytest
 
+from terralode.sources import dbase
 from terralode.sources.dbase import read_dbf
 from terralode.sources.registry import read_tables
 
@@ -61,6 +62,17 @@ def test_many_records(spark, tmp_path):
     assert df.agg({"id": "sum"}).first()[0] == sum(range(20_000))
 
 
+def test_one_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dbase, "RANGE_BYTES", 1000)
+    records = [(b"*" if i % 7 == 0 else b" ") + f"{i:>8}".encode() for i in range(5_000)]
+    (tmp_path / "big.dbf").write_bytes(dbf([("id", "N", 8, 0)], records))
+    (tmp_path / "small.dbf").write_bytes(dbf([("id", "N", 8, 0)], [b"   900000"]))
+    cut = dbase.range_records(dbase.file_heads(spark, str(tmp_path)))
+    assert cut.rdd.getNumPartitions() == 47
+    df = read_dbf(spark, str(tmp_path))
+    assert sorted(r["id"] for r in df.collect()) == [*(i for i in range(5_000) if i % 7), 900_000]
+
+
 def test_files_of_several_layouts_are_each_read_by_their_own(spark, tmp_path):
     (tmp_path / "a.dbf").write_bytes(dbf([("id", "N", 3, 0), ("nom", "C", 5, 0), ("code", "N", 2, 0)], [b"   1ann   7", b"   2bob   8"]))
     (tmp_path / "b.dbf").write_bytes(dbf([("nom", "C", 8, 0), ("id", "N", 6, 0), ("code", "C", 3, 0)], [b" caroline     3x1 "]))

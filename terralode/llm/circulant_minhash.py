@@ -31,6 +31,10 @@ SIGNED = "doc_id bigint, text_hash bigint, n_shingles bigint, set_key binary, bu
 MIX = np.uint64(0x9E3779B97F4A7C15)
 WHOLE = np.uint64(0xD6E8FEB86659FD93)
 WORDS_KEPT = 1 << 20
+# Parts that members are dealt into where they are joined with their bucket: so many while
+# its size is not known, then one for so many members.
+SALTS = 8
+DEALT_ROWS = 1024
 
 
 class WordHashes(dict):
@@ -142,7 +146,7 @@ def shared_shingles(sets: list[np.ndarray], others: list[np.ndarray], width: int
     """Sizes of the intersections of all of ``sets`` with all of ``others``, by products of their incidence matrices."""
     left, right = np.concatenate(sets), np.concatenate(others)
     common = np.intersect1d(left, right)
-    total = np.zeros((len(sets), len(others)), np.float32)
+    total = np.zeros((len(sets), len(others)), np.int64)
     rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (sets, others)]
     for at in range(0, len(common), width):
         part = common[at : at + width]
@@ -153,8 +157,8 @@ def shared_shingles(sets: list[np.ndarray], others: list[np.ndarray], width: int
             grid = np.zeros((count, len(part)), np.float32)
             grid[row[hit], place[hit]] = 1
             grids.append(grid)
-        total += grids[0] @ grids[1].T
-    return total.astype(np.int64)
+        total += (grids[0] @ grids[1].T).astype(np.int64)
+    return total
 
 
 def bucket_comparer(percent: int, tile: int = 256):
@@ -186,12 +190,24 @@ def bucket_comparer(percent: int, tile: int = 256):
     return compare
 
 
-def compare_buckets(members: DataFrame, sets: DataFrame, percent: int, block_rows: int = 1024) -> DataFrame:
-    """Links ``a, b`` that connect what is alike in the given buckets; a large bucket is cut into blocks, a task for each two."""
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
-    blocks = F.ceil(F.col("size") / block_rows).cast("int")
+def by_bucket(members: DataFrame, told: DataFrame) -> DataFrame:
+    """Members with what is told of their bucket; those of a large one are dealt over several tasks."""
+    parts = lambda size: F.ceil(size / DEALT_ROWS).cast("int")
+    dealt = members.withColumn("part", F.pmod(F.xxhash64("id"), parts(F.col("size"))).cast("int"))
+    copied = told.withColumn("part", F.explode(F.sequence(F.lit(0), parts(F.col("size")) - 1)))
+    return dealt.join(copied.drop("size"), ["bucket", "part"]).drop("part")
+
+
+def compare_buckets(members: DataFrame, sets: DataFrame, percent: int, block_rows: int = 1024, block_bytes: int = 1 << 25) -> DataFrame:
+    """Links ``a, b`` that connect what is alike in the given buckets; a large bucket is cut into blocks, a task for each two.
+
+    A block has about ``block_rows`` members whose sets come to ``block_bytes``, or fewer of either.
+    """
+    held = members.groupBy("bucket").agg(F.first("size").alias("size"), F.count("*").alias("open"), F.sum(8 * F.col("n")).alias("bytes"))
+    held = held.withColumn("blocks", F.ceil(F.greatest(F.col("open") / block_rows, F.col("bytes") / block_bytes)).cast("int")).drop("open", "bytes")
+    blocks = F.col("blocks")
     dealt = (
-        members.join(sizes, "bucket")
+        by_bucket(members, held)
         .withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("bucket", F.least("block", "other").alias("b0"), F.greatest("block", "other").alias("b1"), "id", "component")
@@ -213,8 +229,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     buckets of ``rows`` coordinates; every link is confirmed on the full sets.
     ``component_id`` is the smallest doc_id reachable, ``kept`` marks that document.
     A null or blank text has an empty set and is linked with nothing, and kept. A row
-    without doc_id is linked with nothing and kept, its component null. Rows of one
-    doc_id and text are one document. An empty table gives no rows.
+    without doc_id is linked with nothing and kept, its component null. Links are
+    between shingle sets: rows of one doc_id with differing texts are each linked by
+    their own, and rows of one doc_id and text are one document. An empty table gives no rows.
     """
     text = F.col("text").cast("string")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
@@ -223,14 +240,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         signed.where("n_shingles > 0 and doc_id is not null")
         .groupBy("set_key")
         .agg(F.min(F.struct("doc_id", "text_hash", "n_shingles", "buckets")).alias("r"))
-        .select("set_key", F.col("r.doc_id").alias("id"), "r.text_hash", F.col("r.n_shingles").alias("n"), "r.buckets")
+        .select("set_key", F.monotonically_increasing_id().alias("id"), "r.doc_id", "r.text_hash", F.col("r.n_shingles").alias("n"), "r.buckets")
     )
+    # A class has a number of its own, fixed by being written: a doc_id may stand for several sets.
     classes = saved(classes, "classes")
-    placed = classes.select("id", "n", "text_hash", F.explode("buckets").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("bucket")
-    placed = saved(placed.join(shared, "bucket"), "buckets")
-    wanted = placed.select(F.col("id").alias("doc_id"), "text_hash").distinct()
-    wanted_texts = texts.join(wanted, ["doc_id", "text_hash"]).select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
+    placed = classes.select("id", "n", "doc_id", "text_hash", F.explode("buckets").alias("bucket"))
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = shared.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    placed = saved(placed.join(shared, ["bucket", "part"]).drop("part"), "buckets")
+    wanted = placed.select("id", "doc_id", "text_hash").distinct()
+    wanted_texts = texts.join(wanted, ["doc_id", "text_hash"]).select("id", "text").dropDuplicates(["id"])
     wanted_texts = saved(wanted_texts, "candidates")
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -238,13 +258,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         with_a = with_b.join(wanted_texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
         return with_a.select("a", "b", "text_a", "text_b").mapInArrow(verifier(width, percent), "a bigint, b bigint")
 
-    members = placed.select("bucket", "id", "n").withColumn("component", F.col("id"))
+    members = placed.select("bucket", "size", "id", "n").withColumn("component", F.col("id"))
     tested = found = None
     for step in range(star_rounds + 1):
         # Only buckets with members that are not connected yet.
-        open_ = members.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min(F.struct("id", "n", "component")).alias("m")).where("c0 <> c1")
+        open_ = members.groupBy("bucket").agg(F.first("size").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.min(F.struct("id", "n", "component")).alias("m")).where("c0 <> c1")
         if step < star_rounds:  # one comparison a member, with the smallest first member of its open buckets
-            pairs = members.join(open_.select("bucket", "m"), "bucket").where("component <> m.component")
+            pairs = by_bucket(members, open_.select("bucket", "size", "m")).where("component <> m.component")
             pairs = pairs.where(sizes_fit(F.col("m.n"), F.col("n"), percent)).select(F.col("m.id").alias("a"), F.col("id").alias("b"))
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -252,7 +272,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
             tested = pairs if tested is None else tested.union(pairs)
             new = confirm(pairs)
         else:
-            rest = saved(members.join(open_.select("bucket"), "bucket"), "open")
+            rest = saved(by_bucket(members, open_.select("bucket", "size")), "open")
             sets = wanted_texts.join(rest.select("id").distinct(), "id").mapInArrow(set_lister(width), "id bigint, set binary")
             new = compare_buckets(rest, sets, percent)
         links = saved(new if found is None else found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(new), "confirmed")
@@ -261,9 +281,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
             break
         label = found.withColumnRenamed("component", "label")
         members = saved(
-            placed.select("bucket", "id", "n").join(label, "id", "left").select("bucket", "id", "n", F.coalesce("label", "id").alias("component")), "members"
+            placed.select("bucket", "size", "id", "n").join(label, "id", "left").select("bucket", "size", "id", "n", F.coalesce("label", "id").alias("component")), "members"
         )
-    named = classes.select("set_key", "id").join(found, "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id"))
+    # A component is told by its least doc_id: combined before it is shuffled, and dealt back in parts.
+    linked = found.join(classes.select("id", "doc_id"), "id")
+    least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = least.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    told = found.withColumn("part", F.pmod("id", F.lit(SALTS)).cast("int")).join(least, ["component", "part"]).select("id", "component_id")
+    named = classes.select("set_key", "id", "doc_id").join(told, "id", "left").select("set_key", F.coalesce("component_id", "doc_id").alias("component_id"))
     out = signed.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
     own = F.coalesce("component_id", "doc_id")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(own)

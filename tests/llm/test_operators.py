@@ -483,3 +483,30 @@ def test_domains_of_one_last_label_are_dealt_over_salts(spark, monkeypatch):
     assert url_filters.judge_urls(pages, rules, salts=4).where("verdict = 'block'").count() == 200
     asked, keys = swept[0]
     assert asked.groupBy(*keys).count().agg(F.max("count")).first()[0] < 100
+
+
+@pytest.mark.parametrize("parts, rounds", [(1, 2), (3, 2), (2, 0)])
+def test_one_doc_id_with_two_texts_loses_no_link(spark, parts, rounds):
+    a, b = (" ".join(f"{c}{i}" for i in range(80)) for c in "ab")
+    given = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, "something else"), (1, a), (None, a)]
+    docs = spark.createDataFrame([(i, t, "clash") for i, t in given], "doc_id bigint, text string, bucket string").repartition(parts)
+    found = circulant_minhash.near_duplicates(docs, width=2, star_rounds=rounds).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in found if r.doc_id) == [(1, 1, True)] * 3 + [(2, 1, False), (3, 1, False), (4, 4, True)]
+
+
+def test_long_texts_of_one_bucket_are_compared_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(circulant_minhash, "DEALT_ROWS", 3)
+    rng = np.random.default_rng(4)
+    words = [f"word{i}" for i in range(150_000)]
+    texts = []
+    for n in range(9):  # copies of over 1 MB, each with some words of its own
+        own = list(words)
+        for i in rng.choice(len(own), len(own) // 40, replace=False):
+            own[i] = f"other{n}_{i}"
+        texts.append(" ".join(own))
+    sets = [np.sort(circulant_minhash.shingles(t, 2, circulant_minhash.WordHashes())) for t in texts]
+    members = spark.createDataFrame([(7, 9, i, len(s), i) for i, s in enumerate(sets)], "bucket bigint, size bigint, id bigint, n bigint, component bigint")
+    held = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "id bigint, set binary")
+    links = circulant_minhash.compare_buckets(members, held, 80, block_bytes=3_000_000)
+    found = {r.id: r.component for r in connected_components(links).collect()}
+    assert found == dict.fromkeys(range(9), 0)

@@ -131,11 +131,8 @@ def test_token_counts_without_ids_or_rows(nameless, empty):
 def test_suffix_automaton_phrases_equal_search():
     text = np.array([2, 3, 2, 2, 3, 4, 0, 3, 3, 2, 4, 4, 2, 0] * 3, np.uint8)
     follow = language_id.suffix_automaton(text)
-    table = np.zeros((len(follow) + 1, 6), np.int32)
-    for s, edges in enumerate(follow):
-        for c, t in edges.items():
-            table[s + 1, c] = t + 1
-    model = language_id.Model(["x"], None, None, table, np.array([1], np.int32), np.array([1.0]))
+    moves = np.array([((s + 1) * 6 + c, t + 1) for s, edges in enumerate(follow) for c, t in edges.items()])
+    model = language_id.Model(["x"], None, None, 6, *language_id.hashed(moves[:, 0], moves[:, 1]), np.array([1]), np.array([1.0]))
     rng = np.random.default_rng(0)
     for _ in range(30):
         asked = rng.choice([0, 2, 3, 4, 5], rng.integers(1, 40)).astype(np.uint8)
@@ -510,3 +507,36 @@ def test_long_texts_of_one_bucket_are_compared_in_small_blocks(spark, monkeypatc
     links = circulant_minhash.compare_buckets(members, held, 80, block_bytes=3_000_000)
     found = {r.id: r.component for r in connected_components(links).collect()}
     assert found == dict.fromkeys(range(9), 0)
+
+
+def test_sparse_moves_equal_a_dictionary():
+    rng = np.random.default_rng(5)
+    held = {int(k): int(t) for k, t in zip(rng.integers(0, 4000 * 37, 3000), rng.integers(1, 9000, 3000))}
+    model = language_id.Model([], None, None, 37, *language_id.hashed(np.array(list(held)), np.array(list(held.values()))), np.empty(0), np.empty(0))
+    assert len(model.keys) >= 2 * len(held)
+    states, symbols = rng.integers(0, 4000, (200, 50)), rng.integers(0, 37, (200, 50))
+    want = [[held.get(int(s * 37 + c), 0) for s, c in zip(*row)] for row in zip(states, symbols)]
+    assert (model.move(states, symbols) == want).all()
+    assert (language_id.Model([], None, None, 1, *language_id.hashed(np.empty(0, np.int64), np.empty(0, np.int32)), None, None).move(states, symbols * 0) == 0).all()
+
+
+def test_every_language_and_letter_is_learnt(spark):
+    rng = np.random.default_rng(6)
+    scripts = {f"l{i:02}": "abcdefghijklmnopqrstuvwxyz" for i in range(66)}
+    scripts |= {"han": [chr(0x4E00 + i) for i in range(900)], "hangul": [chr(0xAC00 + i) for i in range(900)]}
+    train, asked = [], []
+    for lang, letters in scripts.items():
+        words = ["".join(rng.choice(list(letters), rng.integers(2, 6))) for _ in range(60)]
+        line = lambda n: " ".join(rng.choice(words, n))
+        train += [(len(train) + i, line(400), lang) for i in range(1 if lang == "l07" else 2)]
+        asked.append((lang, line(60)))
+    model = language_id.fit(spark.createDataFrame(train, "doc_id bigint, text string, lang string"))
+    assert model.languages == sorted(scripts)
+    found = language_id.identify(spark.createDataFrame(asked, "truth string, text string"), model, ["truth"]).collect()
+    assert all(r.truth == r.lang_pred for r in found)
+
+
+def test_samples_are_spread_over_long_documents(spark):
+    docs = spark.createDataFrame([("a" * 50 + "b" * 50 + "c" * 50 + "d" * 50,), ("short",), ("",)], "text string")
+    got = [r[0] for r in docs.select(language_id.passages("text", F.lit(20))).collect()]
+    assert got == ["aaaaa\nbbbbb\nccccc\nddddd", "short", ""]

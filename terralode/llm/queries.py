@@ -172,7 +172,36 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.digest(broken, conversation_repair.lightest_repairs(broken, turns.select("conv_id")))
 
 
-@query("op12_benchmark_leaks")
+@query(
+    "op12_benchmark_leaks",
+    r"""
+  with doc_words as (
+    select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents),
+  item_words as (
+    select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark),
+  windows as (
+    select distinct item_id, least(len(w), 10) as m, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') as win
+    from (select item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as i from item_words where len(w) > 0)),
+  words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from doc_words),
+  runs as (
+    select doc_id, i, list(word) over (partition by doc_id order by i rows between current row and 9 following) as run from words),
+  hits as (
+    select r.doc_id, r.i, x.m, x.item_id
+    from (select doc_id, i, s.m, array_to_string(list_slice(run, 1, s.m), ' ') as win
+          from runs, (select distinct m from windows) s where len(run) >= s.m) r
+    join windows x on r.win = x.win and r.m = x.m),
+  covered as (
+    select doc_id, count(distinct place) as n_hit from (select doc_id, unnest(range(i, i + m)) as place from hits) group by 1),
+  items as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+    from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by 1)
+  select d.doc_id, cast(coalesce(len(w), 0) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+         sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+  from doc_words d left join covered c on d.doc_id = c.doc_id left join items t on d.doc_id = t.doc_id
+""",
+)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks.digest(benchmark_leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
 

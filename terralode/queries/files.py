@@ -182,10 +182,10 @@ def geojson_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_geojson_lines(spark, path)
 
 
-@query(
-    "kml_scan",
-    "select c_name as name, c_mktsegment as description, 'Point' as geometry_type, c_nationkey * 0.5::double as lon, c_nationkey - 12.25::double as lat from customer",
-)
+MARKS_SQL = "select c_name as name, c_mktsegment as description, 'Point' as geometry_type, c_nationkey * 0.5::double as lon, c_nationkey - 12.25::double as lat from customer"
+
+
+@query("kml_scan", MARKS_SQL)
 def kml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "kml")
     place = F.concat_ws(",", F.col("c_nationkey") * F.lit(0.5), F.col("c_nationkey") - F.lit(12.25), F.lit(0))
@@ -196,6 +196,25 @@ def kml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_kml(spark, path).drop("geometry")
 
 
+def pack_marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One KMZ per batch of customers: a zip of one KML file."""
+    for batch in batches:
+        marks = "".join(
+            f"<Placemark><name>{escape(r.c_name)}</name><description>{escape(r.c_mktsegment)}</description>"
+            f"<Point><coordinates>{r.c_nationkey * 0.5},{r.c_nationkey - 12.25},0</coordinates></Point></Placemark>"
+            for r in batch.itertuples(index=False)
+        )
+        content = zip_of({"doc.kml": f"<kml><Document>{marks}</Document></kml>"})
+        yield pd.DataFrame({"path": [f"in/marks_{batch['c_custkey'].iloc[0]}.kmz"], "content": [content]})
+
+
+@query("kmz_scan", MARKS_SQL)
+def kmz_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "customer").mapInPandas(pack_marks, "path string, content binary")
+    staged = stage_members(save_members(unpack(files), shared_dir(spark, "members")), TEXT_EXTENSIONS)
+    return read_kml(spark, f"{staged}/ext=kml/*").drop("geometry")
+
+
 @query("parquet_copy", "select * from events")
 def parquet_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, write_table(table(spark, sf_dir, "events"), shared_dir(spark, "parquet")))

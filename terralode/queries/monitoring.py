@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from terralode.functions.measures import bytes_human
+from terralode.functions.measures import bytes_human, timestamp_text
 from terralode.operators import monitor
 from terralode.operators.catalog import classify_fetches, fetch_report, match_resources
 from terralode.queries.registry import query, table
@@ -366,3 +366,8 @@ def ingestion_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def slowest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.slowest_first(monitor.with_duration(user_tasks(spark, sf_dir)))
+
+
+@query("timestamp_texts", "select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as seen_at from events")
+def timestamp_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", timestamp_text(F.col("ts")).alias("seen_at"))

@@ -172,6 +172,14 @@ def resource_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matched.select("slug", "event_id", "url", "ext", "category", "path")
 
 
+@query("dataset_resources", "select 'customer-' || o_custkey as slug, 'https://host/' || o_orderkey || '.csv' as url, o_orderpriority as format from orders")
+def dataset_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Datasets that hold an array of resources, one row per resource."""
+    url = F.concat(F.lit("https://host/"), F.col("o_orderkey"), F.lit(".csv")).alias("url")
+    held = table(spark, sf_dir, "orders").select(F.concat(F.lit("customer-"), F.col("o_custkey")).alias("slug"), F.struct(url, F.col("o_orderpriority").alias("format")).alias("r"))
+    return catalog.dataset_resources(held.groupBy("slug").agg(F.collect_list("r").alias("resources")))
+
+
 @query("select_datasets", f"select slug, count(*) as resources from ({MATCHED_SQL}) group by slug")
 def select_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.select_datasets(resources_of(table(spark, sf_dir, "events")))

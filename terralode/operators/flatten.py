@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from terralode.functions.cleaning import named
+from terralode.functions.markup import placemark_geometry
 from terralode.functions.measures import char_count, is_blank, pixel_centre, word_count
 from terralode.functions.names import unique_names
 from terralode.functions.nested import coordinates
@@ -23,6 +24,11 @@ def paragraphs(df: DataFrame, text: str = "text", keep: Sequence[str] = (), sep:
     return paragraph_columns(rows, keep)
 
 
+def text_paragraphs(df: DataFrame, items: str = "paragraphs", keep: Sequence[str] = ()) -> DataFrame:
+    """Paragraph rows of documents given as arrays of texts."""
+    return paragraph_columns(df.select(*[named(k) for k in keep], F.posexplode(named(items)).alias("pos", "text")), keep)
+
+
 def paragraph_columns(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Number, text and counts from ``pos`` (0-based) and ``text``, blank paragraphs dropped."""
     return rows.filter(~is_blank(F.col("text"))).select(
@@ -178,8 +184,13 @@ KML_SCHEMA = (
 )
 
 
-def placemark_rows(placemarks: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """KML placemarks as name, description and a GeoJSON geometry."""
+def placemark_rows(placemarks: DataFrame, keep: Sequence[str] = (), text: str = "text") -> DataFrame:
+    """KML placemarks as name, description and a GeoJSON geometry.
+
+    Points, lines and polygons are column expressions. Only the XML of other placemarks, given
+    in ``text``, is walked: collections keep their nesting and order, and a geometry that has no
+    GeoJSON form, such as a track, fails.
+    """
     point = coordinates(F.col("Point.coordinates"))
     line = coordinates(F.col("LineString.coordinates"))
     ring = coordinates(F.col("Polygon.outerBoundaryIs.LinearRing.coordinates"))
@@ -193,6 +204,8 @@ def placemark_rows(placemarks: DataFrame, keep: Sequence[str] = ()) -> DataFrame
         .when(F.col("LineString").isNotNull(), as_json("LineString", line))
         .when(F.col("Polygon").isNotNull(), as_json("Polygon", F.concat(F.array(ring), holes)))
     )
+    is_plain = F.col("Point").isNotNull() | F.col("LineString").isNotNull() | F.col("Polygon").isNotNull()
+    geometry = F.coalesce(geometry, placemark_geometry(F.when(~is_plain, named(text))))
     rows = placemarks.select(*[named(k) for k in keep], "name", "description", geometry.alias("geometry"))
     return describe_geometry(rows)
 

@@ -15,16 +15,16 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terralode.operators.flatten import styled_paragraphs
+from terralode.operators.flatten import styled_paragraphs, text_paragraphs
 from terralode.operators.infer import type_columns
-from terralode.queries.flattening import STYLED_SQL
+from terralode.queries.flattening import PARAGRAPHS_SQL, STYLED_SQL
 from terralode.queries.registry import query, table
 from terralode.session import shared_dir
 from terralode.sinks.parquet import append_to_ledger, move_folder, write_by_category, write_table
 from terralode.sources.archive import save_members, stage_members, unpack
 from terralode.sources.dbase import read_dbf
 from terralode.sources.listing import list_keys, list_objects, tail_lines
-from terralode.sources.office import docx_paragraphs, sheet_rows, xlsx_sheets, xml_parts
+from terralode.sources.office import docx_paragraphs, ods_sheets, odt_paragraphs, sheet_rows, xlsx_sheets, xml_parts
 from terralode.sources.registry import TABLE_READERS, TEXT_EXTENSIONS
 from terralode.sources.structured import read_geojson, read_geojson_lines, read_json, read_kml, read_xml
 from terralode.sources.tabular import read_csv, read_delimited, read_parquet, read_tsv, read_txt
@@ -196,6 +196,46 @@ def kml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_kml(spark, path).drop("geometry")
 
 
+SHAPES_SQL = """
+with c as (select c_custkey, c_name, c_nationkey * 0.5::double as x, c_nationkey - 12.25::double as y from customer),
+s as (select *, '[' || x || ',' || y || ',0.0]' as a, '[' || (x + 1) || ',' || y || ']' as b, '[' || (x + 1) || ',' || (y + 1) || ']' as d from c),
+r as (select *, '[[' || a || ',' || b || ',' || d || ',' || a || '],[' || b || ',' || d || ',' || b || ']]' as rings from s),
+g as (select c_name, '{"type":"Point","coordinates":' || a || '}' as point, '{"type":"LineString","coordinates":[' || a || ',' || b || ']}' as line,
+             '{"type":"Polygon","coordinates":' || rings || '}' as area, rings, a, b, c_custkey % 7 as kind, x, y from r)
+select c_name as name, case when kind < 6 then geometry end as geometry,
+       case kind when 0 then 'Point' when 1 then 'LineString' when 2 then 'Polygon' when 3 then 'MultiPoint' when 4 then 'MultiPolygon' when 5 then 'GeometryCollection' end as geometry_type,
+       case when kind = 0 then x end as lon, case when kind = 0 then y end as lat
+from (select *, case kind when 0 then point when 1 then line when 2 then area
+                          when 3 then '{"type":"MultiPoint","coordinates":[' || a || ',' || b || ']}'
+                          when 4 then '{"type":"MultiPolygon","coordinates":[' || rings || ',' || rings || ']}'
+                          else '{"type":"GeometryCollection","geometries":[' || line || ',{"type":"GeometryCollection","geometries":[' || point || ',' || area || ']},' || point || ']}' end as geometry from g)
+"""
+
+
+def shape_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A placemark per customer: a point, a line, an area, collections of them, nested ones, or nothing."""
+    tag = lambda name, *inner: F.concat(F.lit(f"<{name}>"), *inner, F.lit(f"</{name}>"))
+    x, y = F.col("c_nationkey") * F.lit(0.5), F.col("c_nationkey") - F.lit(12.25)
+    a, b, d = F.concat_ws(",", x, y, F.lit(0)), F.concat_ws(",", x + 1, y), F.concat_ws(",", x + 1, y + 1)
+    places = lambda *p: tag("coordinates", F.concat_ws("\n ", *p))
+    point, line = tag("Point", places(a)), tag("LineString", places(a, b))
+    ring, hole = tag("LinearRing", places(a, b, d, a)), tag("LinearRing", places(b, d, b))
+    area = tag("Polygon", tag("outerBoundaryIs", ring), tag("innerBoundaryIs", hole))
+    many = lambda *g: tag("MultiGeometry", *g)
+    shapes = [point, line, area, many(point, tag("Point", places(b))), many(area, area), many(line, many(point, area), point), F.lit("")]
+    shape = F.element_at(F.array(*shapes), (F.col("c_custkey") % 7 + 1).cast("int"))
+    return table(spark, sf_dir, "customer").select("c_custkey", tag("Placemark", tag("name", F.col("c_name")), shape).alias("value"))
+
+
+@query("kml_shapes_scan", SHAPES_SQL)
+def kml_shapes_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of up to 1,000 placemarks of every kind of geometry, their GeoJSON text compared."""
+    path = shared_dir(spark, "kml")
+    files = shape_marks(spark, sf_dir).groupBy(F.floor(F.col("c_custkey") / 1000)).agg(F.concat_ws("", F.collect_list("value")).alias("all"))
+    files.select(F.concat(F.lit("<kml><Document>"), "all", F.lit("</Document></kml>")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return read_kml(spark, path).drop("description")
+
+
 def pack_marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One KMZ per batch of customers: a zip of one KML file."""
     for batch in batches:
@@ -351,6 +391,54 @@ def word_document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(doc_id, "paragraph_number", "text", "style", "char_count", "word_count")
 
 
+def pack_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One open-document text per document: a paragraph per line, nested in sections and lists, parts of it in spans."""
+    names = "".join(f' xmlns:{n}="urn:oasis:names:tc:opendocument:xmlns:{n}:1.0"' for n in ("office", "text"))
+    for batch in batches:
+        packed = []
+        for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            body = []
+            for n, line in enumerate(text.split("\n")):
+                half = len(line) // 2
+                marked = f"{escape(line[:half])}<text:span><text:a>{escape(line[half:])}</text:a></text:span>"
+                paragraph = f"<text:p>{marked.replace('  ', '<text:s text:c="2"/>')}</text:p>"
+                body.append(f"<text:list><text:list-item>{paragraph}</text:list-item></text:list>" if n % 3 else f"<text:section>{paragraph}</text:section>")
+            content = f"<office:document-content{names}><office:body><office:text><text:h>none</text:h>{''.join(body)}</office:text></office:body></office:document-content>"
+            packed.append((f"in/{doc_id}.odt", zip_of({"content.xml": content})))
+        yield pd.DataFrame(packed, columns=["path", "content"])
+
+
+@query("odt_scan", PARAGRAPHS_SQL)
+def odt_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").select("doc_id", "text").mapInPandas(pack_texts, "path string, content binary")
+    found = text_paragraphs(odt_paragraphs(xml_parts(unpack(files))), keep=["archive"])
+    doc_id = F.regexp_extract("archive", "in/([0-9]+)", 1).cast("bigint").alias("doc_id")
+    return found.select(doc_id, "paragraph_number", "text", "char_count", "word_count")
+
+
+def pack_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One open-document workbook per batch of customers, a column left blank."""
+    names = "".join(f' xmlns:{n}="urn:{n}"' for n in ("office", "table", "text"))
+    said = lambda text: f'<table:table-cell office:value-type="string"><text:p>{escape(text)}</text:p></table:table-cell>'
+    counted = lambda value: f'<table:table-cell office:value-type="float" office:value="{value!r}"/>'
+    blank = '<table:table-cell table:number-columns-repeated="2"/>'
+    for batch in batches:
+        rows = [said("key") + said("name") + blank + said("balance") + said("segment")]
+        for r in batch.itertuples(index=False):
+            rows.append(counted(r.c_custkey) + said(r.c_name) + blank + counted(r.c_acctbal) + said(r.c_mktsegment))
+        body = "".join(f"<table:table-row>{row}</table:table-row>" for row in rows)
+        content = f'<office:document-content{names}><office:body><office:spreadsheet><table:table table:name="customers">{body}</table:table></office:spreadsheet></office:body></office:document-content>'
+        yield pd.DataFrame({"path": [f"in/customers_{batch['c_custkey'].iloc[0]}.ods"], "content": [zip_of({"content.xml": content})]})
+
+
+@query("ods_scan", "select c_custkey as key, c_name as name, c_acctbal as balance, c_mktsegment as segment from customer")
+def ods_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    books = table(spark, sf_dir, "customer").mapInPandas(pack_sheets, "path string, content binary")
+    rows = sheet_rows(ods_sheets(xml_parts(unpack(books)))).filter(F.col("n") > 1)
+    places = {"key": 1, "name": 2, "balance": 5, "segment": 6}
+    return type_columns(rows.select([F.try_element_at("cells", F.lit(i)).alias(name) for name, i in places.items()]))
+
+
 def pack_dbase(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One dBase file per batch of parts."""
     fields = [("KEY", "N", 12), ("NAME", "C", 60), ("SIZE", "N", 6), ("PRICE", "N", 20)]

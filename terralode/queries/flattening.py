@@ -18,9 +18,7 @@ def words_sql(text: str) -> str:
     return f"cast(len(regexp_extract_all({text}, '{WORD_SQL}')) as integer)"
 
 
-@query(
-    "doc_paragraphs",
-    f"""
+PARAGRAPHS_SQL = f"""
 with p as (
   select doc_id, unnest(string_split(text, chr(10))) as text,
          generate_subscripts(string_split(text, chr(10)), 1) as n from documents
@@ -28,8 +26,10 @@ with p as (
 select doc_id, cast(n as integer) as paragraph_number, text, cast(length(text) as integer) as char_count,
        {words_sql('text')} as word_count
 from p where {words_sql('text')} > 0
-""",
-)
+"""
+
+
+@query("doc_paragraphs", PARAGRAPHS_SQL)
 def doc_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.paragraphs(table(spark, sf_dir, "documents"), keep=["doc_id"])
 

@@ -41,13 +41,13 @@ BATCH_ROWS = 4096
 # A longer text member comes in parts of about this size, each ending with a line.
 PART_BYTES = 64 * 1024 * 1024
 # Members that only make sense whole, and where a value of the binary type ends.
-WHOLE_EXTENSIONS = ("parquet", "pq", "dbf", "xlsx", "ods", "docx")
+WHOLE_EXTENSIONS = ("parquet", "pq", "dbf", "xlsx", "ods", "docx", "odt")
 MAX_VALUE_BYTES = 2**31 - 1024
 
 # Archive kinds by extension, and what one compressed file is read with.
 CONTAINERS = ("zip", "kmz", "tar", "tgz")
 # Files that are zips of XML parts; inside another archive they stay one member.
-ZIPPED_DOCUMENTS = ("xlsx", "ods", "docx")
+ZIPPED_DOCUMENTS = ("xlsx", "ods", "docx", "odt")
 CODECS = {"gz": gzip.open, "bz2": bz2.open, "xz": lzma.open}
 ARCHIVE_EXTENSIONS = CONTAINERS + tuple(CODECS)
 

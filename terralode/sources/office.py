@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terralode.functions.cleaning import NA_TOKENS, na_to_null, named
-from terralode.operators.flatten import styled_paragraphs
+from terralode.functions.markup import paragraph_texts
+from terralode.operators.flatten import styled_paragraphs, text_paragraphs
 from terralode.operators.infer import type_columns
 from terralode.session import shared_dir
 from terralode.sources.archive import read_archives, save_members
@@ -57,9 +58,12 @@ def document_tables(parts: DataFrame, ext: str) -> dict[tuple[str, str], DataFra
         return sheet_tables(xlsx_sheets(parts))
     if ext == "ods":
         return sheet_tables(ods_sheets(parts))
-    documents = docx_paragraphs(parts)
+    if ext == "odt":
+        documents, to_rows = odt_paragraphs(parts), text_paragraphs
+    else:
+        documents, to_rows = docx_paragraphs(parts), styled_paragraphs
     names = [row["archive"] for row in documents.select("archive").collect()]
-    return {(name, ""): styled_paragraphs(documents.filter(F.col("archive") == name)) for name in names}
+    return {(name, ""): to_rows(documents.filter(F.col("archive") == name)) for name in names}
 
 
 def part(parts: DataFrame, member: str, schema: str, *columns: Column) -> DataFrame:
@@ -380,3 +384,17 @@ def docx_paragraphs(parts: DataFrame) -> DataFrame:
 def read_docx(spark: SparkSession, path: str) -> DataFrame:
     """One row per paragraph that is not blank, with its style."""
     return styled_paragraphs(docx_paragraphs(open_parts(spark, path)))
+
+
+def odt_paragraphs(parts: DataFrame, own_text_only: bool = False) -> DataFrame:
+    """Open-document texts as arrays of paragraphs, whatever sections, lists, tables or notes hold them.
+
+    Headings are no paragraphs. ``own_text_only`` leaves out what stands in spans and links.
+    """
+    content = parts.filter(F.col("member") == "content.xml")
+    return content.select("archive", paragraph_texts(F.col("xml"), own_text_only).alias("paragraphs"))
+
+
+def read_odt(spark: SparkSession, path: str, own_text_only: bool = False) -> DataFrame:
+    """One row per paragraph that is not blank; the number counts the blank ones too."""
+    return text_paragraphs(odt_paragraphs(open_parts(spark, path), own_text_only))

@@ -137,5 +137,5 @@ def read_kml(spark: SparkSession, path: str) -> DataFrame:
 
 
 def placemark_table(texts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    parsed = texts.select(*map(named, keep), F.from_xml("text", T.StructType.fromDDL(KML_SCHEMA), {"rowTag": "Placemark", "mode": "FAILFAST"}).alias("p"))
-    return placemark_rows(parsed.select(*map(named, keep), "p.*"), keep)
+    parsed = texts.select(*map(named, keep), F.from_xml("text", T.StructType.fromDDL(KML_SCHEMA), {"rowTag": "Placemark", "mode": "FAILFAST"}).alias("p"), F.col("text").alias("_xml"))
+    return placemark_rows(parsed.select(*map(named, keep), "p.*", "_xml"), keep, text="_xml")

@@ -6,7 +6,8 @@ import zipfile
 
 import pytest
 
-from terralode.sources.office import read_docx, read_ods, read_xlsx
+from terralode.sources.office import read_docx, read_ods, read_odt, read_xlsx
+from terralode.sources.registry import read_tables
 
 MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 REL = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
@@ -178,3 +179,36 @@ def test_docx(spark, tmp_path, rows):
         (3, "First linked\t par\nagraph", "Normal", 24, 4),
         (5, "Éloïse", "Normal", 6, 1),
     ]
+
+
+ODF = "".join(f' xmlns:{n}="urn:oasis:names:tc:opendocument:xmlns:{u}:1.0"' for n, u in (("o", "office"), ("t", "text"), ("d", "drawing"), ("tab", "table")))
+
+
+def odt(path, body):
+    return zipped(path, {"content.xml": f"<o:document-content{ODF}><o:body><o:text>{body}</o:text></o:body></o:document-content>"})
+
+
+ODT_BODY = (
+    "<t:h>Heading</t:h><t:p>first</t:p><t:p/><t:section><t:section><t:p>a<t:span>b<t:s t:c='2'/></t:span><t:a>c</t:a><t:tab/>d<t:line-break/>e</t:p></t:section></t:section>"
+    "<t:list><t:list-item><t:p>one &amp; two</t:p><t:list><t:list-item><t:p>deep</t:p></t:list-item></t:list></t:list-item></t:list>"
+    "<tab:table><tab:table-row><tab:table-cell><t:p>cell</t:p></tab:table-cell></tab:table-row></tab:table>"
+    "<t:p>before<t:note><t:note-citation>1</t:note-citation><t:note-body><t:p>a note</t:p></t:note-body></t:note> after</t:p>"
+    "<t:p>x<d:frame><d:text-box><t:p>boxed</t:p></d:text-box>drawn</d:frame>y</t:p>"
+)
+
+
+def test_odt_paragraphs_in_the_order_they_begin(spark, tmp_path, rows):
+    got = rows(read_odt(spark, odt(tmp_path / "d.odt", ODT_BODY)), "paragraph_number", "text", "char_count", "word_count")
+    texts = ["first", "", "ab  c\td\ne", "one & two", "deep", "cell", "before after", "a note", "xy", "boxed"]
+    assert sorted(got) == [(n, t, len(t), len(t.split())) for n, t in enumerate(texts, 1) if t]
+
+
+def test_odt_own_text_only_and_empty(spark, tmp_path):
+    own = read_odt(spark, odt(tmp_path / "d.odt", ODT_BODY), own_text_only=True).orderBy("paragraph_number").collect()
+    assert [r["text"] for r in own][:3] == ["first", "ade", "one & two"]
+    assert read_odt(spark, odt(tmp_path / "e.odt", "")).count() == 0
+
+
+def test_odt_is_converted(spark, tmp_path):
+    (name, df), = read_tables(spark, odt(tmp_path / "d.odt", ODT_BODY)).items()
+    assert name == "d" and df.columns == ["paragraph_number", "text", "char_count", "word_count"] and df.count() == 9

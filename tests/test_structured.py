@@ -183,3 +183,42 @@ def test_broken_files_fail(spark, tmp_path, name, text):
     with pytest.raises(Exception, match="(?i)malformed|parse"):
         (df,) = read_tables(spark, put(tmp_path, name, text)).values()
         df.collect()
+
+
+def kml_file(tmp_path, name, marks):
+    return put(tmp_path, name, f'<kml xmlns="http://www.opengis.net/kml/2.2"><Document>{marks}</Document></kml>')
+
+
+def test_kml_collections_keep_nesting_and_order(spark, tmp_path):
+    at = lambda *p: f"<coordinates>{' '.join(p)}</coordinates>"
+    point, line = f"<Point>{at('1,2')}</Point>", f"<LineString><tessellate>1</tessellate>{at('0,0', '1,x')}</LineString>"
+    area = f"<Polygon><outerBoundaryIs><LinearRing>{at('0,0', '1,0', '1,1', '0,0')}</LinearRing></outerBoundaryIs></Polygon>"
+    many = lambda *g: f"<MultiGeometry>{''.join(g)}</MultiGeometry>"
+    deep = point
+    for _ in range(40):
+        deep = many(deep, line)
+    shapes = {
+        "points": many(point, point), "lines": many(line), "areas": many(area, area), "mixed": many(line, many(point, area), point),
+        "empty": many(), "ring": f"<LinearRing>{at('0,0', '1,1')}</LinearRing>", "bare": f"<Point>{at()}</Point>", "none": "", "deep": deep,
+    }
+    marks = "".join(f"<Placemark><name>{name}</name><!-- <Point> -->{shape}</Placemark>" for name, shape in shapes.items())
+    found = read_kml(spark, kml_file(tmp_path, "m.kml", marks)).collect()
+    got = {r["name"]: r["geometry"] and json.loads(r["geometry"]) for r in found}
+    assert got["points"] == {"type": "MultiPoint", "coordinates": [[1, 2], [1, 2]]}
+    assert got["lines"] == {"type": "MultiLineString", "coordinates": [[[0, 0], [1, None]]]}
+    assert got["areas"]["type"] == "MultiPolygon" and got["areas"]["coordinates"] == [[[[0, 0], [1, 0], [1, 1], [0, 0]]]] * 2
+    assert [g["type"] for g in got["mixed"]["geometries"]] == ["LineString", "GeometryCollection", "Point"]
+    assert [g["type"] for g in got["mixed"]["geometries"][1]["geometries"]] == ["Point", "Polygon"]
+    assert got["empty"] == {"type": "GeometryCollection", "geometries": []}
+    assert got["ring"] == {"type": "LineString", "coordinates": [[0, 0], [1, 1]]} and got["none"] is None
+    inner, depth = got["deep"], 1
+    while inner["geometries"][0]["type"] == "GeometryCollection":
+        inner, depth = inner["geometries"][0], depth + 1
+    assert depth == 40 and [r["geometry_type"] for r in found if r["name"] == "points"] == ["MultiPoint"]
+
+
+@pytest.mark.parametrize("shape", ["<Model><Location/></Model>", "<MultiGeometry><Model/></MultiGeometry>"])
+def test_kml_geometry_without_geojson_form_fails(spark, tmp_path, shape):
+    path = kml_file(tmp_path, "t.kml", f"<Placemark><name>a</name>{shape}</Placemark>")
+    with pytest.raises(Exception, match="no GeoJSON form"):
+        read_kml(spark, path).collect()

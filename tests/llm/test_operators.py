@@ -3,6 +3,8 @@
 import collections
 import hashlib
 import itertools
+import random
+import re
 import zlib
 
 import numpy as np
@@ -540,3 +542,37 @@ def test_samples_are_spread_over_long_documents(spark):
     docs = spark.createDataFrame([("a" * 50 + "b" * 50 + "c" * 50 + "d" * 50,), ("short",), ("",)], "text string")
     got = [r[0] for r in docs.select(language_id.passages("text", F.lit(20))).collect()]
     assert got == ["aaaaa\nbbbbb\nccccc\nddddd", "short", ""]
+
+
+def test_many_path_rules_on_one_host(spark):
+    """10,000 rules of one host, nested and apart, and of domains above it, against brute force."""
+    rng = random.Random(9)
+    parts = ["a", "b", "é", "long", "\U0010ffff", "~"]
+    paths = {"".join(f"/{rng.choice(parts)}" for _ in range(rng.randint(0, 6))) + rng.choice(["", "/", "x"]) for _ in range(6000)}
+    paths |= {f"/p{i}/{i % 7}" for i in range(10_000)}
+    table = {("x.shop.com", p): rng.choice(["allow", "block"]) for p in paths}
+    table |= {(h, p): rng.choice(["allow", "block"]) for h in ("com", "shop.com", "shop.org") for p in rng.sample(sorted(paths), 30)}
+    rules = spark.createDataFrame([(v, h, p) for (h, p), v in table.items()], "verdict string, host string, path string")
+    hosts = ["x.shop.com", "y.x.shop.com", "shop.com", "xx.shop.com", "shop.org", "x.com", "com", "org", "a." * 3000 + "com"]
+    urls = [(i % 1500, f"http://{rng.choice(hosts)}{rng.choice(sorted(paths))}{rng.choice(['', '/q', 'z', '?a', '#b'])}") for i in range(2000)]
+    got = url_filters.judge_urls(spark.createDataFrame(urls, "page_id bigint, url string"), rules).collect()
+    want = []
+    for page_id, url in urls:
+        rest = url.split("://")[1]
+        host = re.split("[/?#]", rest)[0]
+        path = re.split("[?#]", rest[len(host) :])[0]
+        fits = [(len(h + p), h.count("."), h + p, table[h, p]) for h in ("com", "shop.com", "x.shop.com", "shop.org") if host == h or host.endswith("." + h) for p in (path[:n] for n in range(len(path) + 1)) if (h, p) in table]
+        want.append((page_id, host, path, max(fits)[2] if fits else None, max(fits)[3] if fits else "allow"))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_a_hot_domain_is_dealt_by_its_count(spark, monkeypatch):
+    swept, as_of = [], url_filters.as_of
+    monkeypatch.setattr(url_filters, "GROUP_ROWS", 50)
+    monkeypatch.setattr(url_filters, "as_of", lambda points, asked, keys: swept.append((asked, keys)) or as_of(points, asked, keys))
+    rules = spark.createDataFrame([("block", "a.com", "/1"), ("allow", "b.com", "/")], "verdict string, host string, path string")
+    pages = spark.createDataFrame([(i, f"http://a.com/{i}") for i in range(1000)] + [(-1, "http://a.com/1")] * 500 + [(-2, "http://b.com/")], "page_id bigint, url string")
+    assert url_filters.judge_urls(pages, rules).where("verdict = 'block'").count() == 500 + 111
+    asked, keys = swept[0]
+    groups = asked.groupBy(*keys).count().collect()
+    assert len(groups) == 21 and max(r["count"] for r in groups) < 100

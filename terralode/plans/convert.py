@@ -17,8 +17,9 @@ from terralode.plans.runner import RESULT_SCHEMA, run_each
 from terralode.plans.together import FORMATS, convert_together
 from terralode.session import local_rows, shared_dir
 from terralode.sinks.parquet import append_to_ledger, write_table
-from terralode.sources.archive import read_archives, save_members, stage_members
-from terralode.sources.listing import if_exists, list_keys, relative_key, source_path
+from terralode.sources.archive import read_archives, save_members, stage_members, tasks_can_open
+from terralode.sources.folders import list_every_object
+from terralode.sources.listing import if_exists, list_keys, list_objects, literal_path, relative_key, source_path
 from terralode.sources.registry import (
     MEMBER_EXTENSIONS,
     PARQUET_EXTENSIONS,
@@ -63,7 +64,7 @@ def convert_archives(spark: SparkSession, source: str, keys: list[str], target:
     All archives are opened by one job. Each gives a row for itself and one per
     member, whose key is the archive's and the member's.
     """
-    archives = read_archives(spark, [f"{source.rstrip('/')}/{key}" for key in keys])
+    archives = read_archives(spark, [literal_path(f"{source.rstrip('/')}/{key}") for key in keys])
     members = save_members(archives, shared_dir(spark, "members"))
     staged = stage_members(members, TEXT_EXTENSIONS, PARQUET_EXTENSIONS)
     key = relative_key(source, F.col("archive")).alias("key")
@@ -133,14 +134,20 @@ def convert_new_files(
     the names of one lot. All text files of a format are converted by a few jobs, as
     many as they have layouts (see ``convert_together``); files of other formats are
     independent jobs run side by side. All archives of a lot are opened together by
-    one. An archive is done, and in the ledger, unless a member failed.
+    one. An archive is done, and in the ledger, unless a member failed. Every file of the
+    source is listed (on a file system tasks can open); an empty one, and one whose name Spark's readers pass over, gives a
+    result row saying so.
     """
-    todo = new_files(list_keys(spark, source), read_ledger(spark, ledger)).orderBy("key")
+    listed = (list_every_object if tasks_can_open(source) else list_objects)(spark, source).select("key", "size_bytes")
+    todo = new_files(listed, read_ledger(spark, ledger)).orderBy("key")
     results = shared_dir(spark, "results")
     local_rows(spark, [], RESULT_SCHEMA).write.parquet(results)
-    keys = (row["key"] for row in todo.toLocalIterator())
-    while lot := list(islice(keys, files_at_once)):
-        rows = convert_lot(spark, source, lot, target, workers)
+    files = ((row["key"], row["size_bytes"]) for row in todo.toLocalIterator())
+    while of_files := list(islice(files, files_at_once)):
+        refused = {key: why for key, size in of_files if (why := why_refused(key, size))}
+        lot = [key for key, _ in of_files if key not in refused]
+        told = local_rows(spark, [(key, None, False, why) for key, why in refused.items()], RESULT_SCHEMA)
+        rows = convert_lot(spark, source, lot, target, workers).unionByName(told)
         rows.write.mode("append").parquet(results)
         of_lot = local_rows(spark, [(key,) for key in lot], LEDGER_SCHEMA)
         done = rows.filter("ok").select("key").join(of_lot, "key", "left_semi")
@@ -148,6 +155,16 @@ def convert_new_files(
     return spark.read.schema(RESULT_SCHEMA).parquet(results)
 
 
+def why_refused(key: str, size: int) -> str | None:
+    """Why a file cannot be converted, going by its name and size."""
+    name = key.rsplit("/", 1)[-1]
+    if size == 0:
+        return "an empty file"
+    if name.startswith(".") or name.startswith("_") and "=" not in name:
+        return "a name Spark's readers pass over"
+    return None
+
+
 def convert_lot(spark: SparkSession, source: str, keys: list[str], target: str, workers: int) -> DataFrame:
     """Convert the files with the given keys: all of a format in a few jobs, the others side by side."""
     root = source.rstrip("/")

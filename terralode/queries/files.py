@@ -23,6 +23,7 @@ from terralode.session import shared_dir
 from terralode.sinks.parquet import append_to_ledger, move_folder, write_by_category, write_table
 from terralode.sources.archive import save_members, stage_members, unpack
 from terralode.sources.dbase import read_dbf
+from terralode.sources.folders import list_every_object
 from terralode.sources.listing import list_keys, list_objects, tail_lines
 from terralode.sources.office import docx_paragraphs, ods_sheets, odt_paragraphs, sheet_rows, xlsx_sheets, xml_parts
 from terralode.sources.registry import TABLE_READERS, TEXT_EXTENSIONS
@@ -499,6 +500,26 @@ def list_objects_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing.groupBy(folder.alias("category")).agg((F.sum("size_bytes") > 0).alias("has_files"))
 
 
+@query(
+    "list_every_object",
+    """
+select case c_nationkey % 4 when 0 then 'd/_' || c_nationkey || '.txt' when 1 then 'd/.h/.' || c_nationkey || '.txt'
+                            when 2 then 'd/a[' || c_nationkey || '].txt' else 'd/_h/é *' || c_nationkey || '.txt' end as key,
+       cast(sum(strlen(c_name) + 1) as bigint) as size_bytes
+from customer group by c_nationkey
+""",
+)
+def list_every_object_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per nation, of hidden names, in hidden folders, and with signs of a pattern."""
+    root, staged = shared_dir(spark, "names"), shared_dir(spark, "files")
+    table(spark, sf_dir, "customer").select("c_nationkey", "c_name").repartition("c_nationkey").write.partitionBy("c_nationkey").text(staged)
+    for row in list_keys(spark, staged, "*.txt").collect():
+        n = int(row["key"].split("/")[0].removeprefix("c_nationkey="))
+        name = [f"_{n}.txt", f".h/.{n}.txt", f"a[{n}].txt", f"_h/é *{n}.txt"][n % 4]
+        move_folder(spark, f"{staged}/{row['key']}", f"{root}/d/{name}")
+    return list_every_object(spark, root).select("key", "size_bytes")
+
+
 @query("log_tail", "select line from (select event_id || ' ' || event_type as line, event_id from events order by event_id desc limit 200)")
 def log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "log")

@@ -120,9 +120,13 @@ def _members(name: str, source: BinaryIO) -> Iterator[tuple[str, int, bytes | No
 
 def require_file_system(path: str) -> None:
     """Refuse a path no task could open, before any job runs."""
+    if not tasks_can_open(path):
+        raise ValueError(f"tasks cannot open files on {path.partition(':')[0]}: {path}")
+
+
+def tasks_can_open(path: str) -> bool:
     scheme, colon, _ = path.partition(":")
-    if colon and "/" not in scheme and scheme not in FILE_SYSTEMS:
-        raise ValueError(f"archives cannot be opened on {scheme}: {path}")
+    return not colon or "/" in scheme or scheme in FILE_SYSTEMS
 
 
 def open_file(path: str) -> BinaryIO:
@@ -130,10 +134,19 @@ def open_file(path: str) -> BinaryIO:
     scheme, colon, rest = path.partition(":")
     if not colon or scheme == "file":
         return open("/" + (rest or path).lstrip("/"), "rb")
+    filesystem, key = file_store(path)
+    return filesystem.open_input_file(key)
+
+
+def file_store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path and the path's name there."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        return fs.LocalFileSystem(), "/" + (rest or path).lstrip("/")
     # Only the store is named by a URI, so that a file's name may hold any character.
     store, _, key = rest.lstrip("/").partition("/")
     filesystem, root = fs.FileSystem.from_uri(f"{FILE_SYSTEMS[scheme]}://{store}/")
-    return filesystem.open_input_file(f"{root.rstrip('/')}/{key}")
+    return filesystem, f"{root.rstrip('/')}/{key}"
 
 
 def _rows(path: str, content: bytes | None) -> Iterator[tuple]:

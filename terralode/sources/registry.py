@@ -11,6 +11,7 @@ from terralode.session import shared_dir
 from terralode.sinks.tables import create_schema
 from terralode.sources.archive import ZIPPED_DOCUMENTS, read_archives, save_members, stage_members, unpack
 from terralode.sources.dbase import dbf_table, read_dbf
+from terralode.sources.listing import literal_path
 from terralode.sources.office import document_tables, open_parts, xml_parts
 from terralode.sources.scripts import export_all_tables, run_sql_script
 from terralode.sources.structured import read_geojson, read_json, read_kml, read_xml
@@ -60,21 +61,21 @@ def output_name(path: str) -> str:
 
 
 def read_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The tables of a file by name."""
-    ext = extension_of(path)
+    """The tables of a file by name. The path is one file's, taken as it is."""
+    ext, place = extension_of(path), literal_path(path)
     if must_unpack(path):
-        return read_archive_tables(spark, path)
+        return read_archive_tables(spark, place)
     if ext in TRANSPARENT:
         inner = extension_of(stem_of(path)) or "txt"
-        return {output_name(path): TABLE_READERS[inner](spark, path)}
+        return {output_name(path): TABLE_READERS[inner](spark, place)}
     if ext == "sql":
-        return read_script_tables(spark, path)
+        return read_script_tables(spark, place)
     if ext in ZIPPED_DOCUMENTS:
-        tables = document_tables(open_parts(spark, path), ext)
+        tables = document_tables(open_parts(spark, place), ext)
         return {name or stem_of(path): df for (_, name), df in tables.items()}
     if ext not in TABLE_READERS:
         raise NoReader(f"no reader for .{ext}")
-    return {stem_of(path): TABLE_READERS[ext](spark, path)}
+    return {stem_of(path): TABLE_READERS[ext](spark, place)}
 
 
 def read_archive_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:

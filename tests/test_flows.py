@@ -339,3 +339,24 @@ def test_no_reader_is_an_error(spark, tmp_path):
         read_tables(spark, str(tmp_path / "a.rar"))
 
 
+
+
+def test_files_of_odd_names_and_empty_ones_are_not_lost(spark, tmp_path, rows):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name in ("a[1].csv", "b{x}.xml", "_c.csv", ".d.json", "_k=1.csv", "e*.parquet"):
+        (folder / name).write_text("<r><record><id>1</id></record></r>" if name.endswith("xml") else "id\n1\n")
+    (folder / "e*.parquet").unlink()
+    pd.DataFrame({"id": [1]}).to_parquet(folder / "e*.parquet")
+    with zipfile.ZipFile(folder / "z[2].zip", "w") as z:
+        z.writestr("m.csv", "id\n1\n")
+    (folder / "f.csv").write_bytes(b"")
+    run = lambda: convert_new_files(spark, str(folder), str(tmp_path / "out"), str(tmp_path / "ledger"))
+    got = {r["key"]: (r["ok"], r["error"]) for r in run().collect()}
+    passed_over, empty = (False, "a name Spark's readers pass over"), (False, "an empty file")
+    assert got == {
+        **dict.fromkeys(("a[1].csv", "b{x}.xml", "_k=1.csv", "e*.parquet", "z[2].zip", "z[2].zip!m.csv"), (True, None)),
+        "_c.csv": passed_over, ".d.json": passed_over, "f.csv": empty,
+    }
+    assert rows(read_ledger(spark, str(tmp_path / "ledger"))) == sorted([("_k=1.csv",), ("a[1].csv",), ("b{x}.xml",), ("e*.parquet",), ("z[2].zip",)])
+    assert {r["key"] for r in run().collect()} == {"_c.csv", ".d.json", "f.csv"}

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terralode.operators import monitor, quality
+from terralode.sources import folders
 from terralode.sources.listing import list_keys, list_models, list_objects, tail_lines
 
 T0 = dt.datetime(2024, 1, 1, 9)
@@ -175,3 +176,23 @@ def test_tail_of_a_log_read_in_parallel(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == list(range(45_000, 50_000))
+
+
+def test_every_object_is_listed_by_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(folders, "TASK_FOLDERS", 2)
+    names = ["a.csv", "_b.csv", ".c.csv", "d[1].csv", "e *?.csv", "é +%20.csv", "_x/f.csv", ".y/z/g.csv", "k=1/h.csv"]
+    names += [f"deep/{i}/{'x/' * i}i.csv" for i in range(6)]
+    for i, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * i)
+    for marker in ("_SUCCESS", ".a.csv.crc", "_temporary/0/t.csv"):
+        (tmp_path / marker).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / marker).write_bytes(b"")
+    (tmp_path / "empty").mkdir()
+    for path in (str(tmp_path), f"file:{tmp_path}/"):
+        found = folders.list_every_object(spark, path).collect()
+        assert sorted((r["key"], r["size_bytes"]) for r in found) == sorted((n, i) for i, n in enumerate(names))
+        assert all(r["last_modified"] is not None for r in found)
+    assert folders.list_every_object(spark, str(tmp_path / "empty")).count() == 0
+    with pytest.raises(Exception, match="missing"):
+        folders.list_every_object(spark, str(tmp_path / "missing"))

@@ -17,7 +17,7 @@ from terralode.plans.runner import RESULT_SCHEMA, run_each
 from terralode.plans.together import FORMATS, convert_together
 from terralode.session import local_rows, shared_dir
 from terralode.sinks.parquet import append_to_ledger, write_table
-from terralode.sources.archive import read_archives, save_members, stage_members, tasks_can_open
+from terralode.sources.archive import read_archives, save_members, stage_members
 from terralode.sources.folders import list_every_object
 from terralode.sources.listing import if_exists, list_keys, list_objects, literal_path, relative_key, source_path
 from terralode.sources.registry import (
@@ -32,6 +32,7 @@ from terralode.sources.registry import (
     read_tables,
     stem_of,
 )
+from terralode.sources.stores import tasks_can_open
 from terralode.sources.tabular import read_csv
 
 LEDGER_SCHEMA = "key string"

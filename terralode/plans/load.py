@@ -5,14 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from terralode.functions.names import has_suffix, safe_identifier
 from terralode.plans.runner import run_each
-from terralode.sinks.tables import save_table
-from terralode.sources.listing import list_keys
+from terralode.sinks.tables import declare_table, save_table
+from terralode.sources.listing import list_keys, literal_path
 from terralode.sources.registry import stem_of
 
 
+NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
+
+
 def table_keys(listing: DataFrame, formats: Sequence[str] = (".parquet",)) -> DataFrame:
     """Keys that are tables: files with a wanted suffix, or the folders that hold them.
 
@@ -34,10 +38,13 @@ def load_parquets(
     schema: str,
     formats: Sequence[str] = (".parquet",),
     workers: int = 7,
+    in_place: bool = False,
 ) -> DataFrame:
     """One table per Parquet key, created or replaced, named by the upper-cased stem.
 
-    A key that fails is reported with its error and left out of the tables; so are
+    ``in_place`` declares tables over the files where they lie and copies no data, but for
+    tables with nested columns, which are written anew as JSON texts, and for paths with
+    signs of a pattern, which the catalog would not take as they are. A key that fails is reported with its error and left out of the tables; so are
     keys whose differing names come to the same one in the catalog.
     """
     listed = table_keys(list_keys(spark, source), formats).orderBy("key")
@@ -50,7 +57,11 @@ def load_parquets(
         rivals = names[safe_identifier(table_of(key))]
         if len(rivals) > 1:
             raise ValueError(f"tables {sorted(rivals)} would have one name")
-        return [save_table(spark.read.parquet(f"{source.rstrip('/')}/{key}"), schema, table_of(key))]
+        place = f"{source.rstrip('/')}/{key}"
+        rows = spark.read.parquet(literal_path(place))
+        if in_place and literal_path(place) == place and not any(isinstance(f.dataType, NESTED) for f in rows.schema):
+            return [declare_table(rows, place, schema, table_of(key))]
+        return [save_table(rows, schema, table_of(key))]
 
     # Keys of one name replace one another: one at a time, the last one stays.
     return run_each(spark, keys, load, workers, lane=table_of)

@@ -22,7 +22,7 @@ from terralode.sinks.tables import (
     save_table,
     split_to_tables,
 )
-from terralode.sources.listing import probe_tables
+from terralode.sources.listing import described_tables, probe_tables
 from terralode.sources.scripts import export_all_tables, run_sql_script
 
 
@@ -66,6 +66,23 @@ def load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+@query(
+    "load_tables_in_place",
+    """
+select 'customer' as table_name, count(*) as row_count, true as in_place from customer
+union all select 'events', count(*), true from events union all select 'orders', count(*), true from orders
+""",
+)
+def load_tables_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables declared over written files, counted by their footers."""
+    schema, location = fresh_schema(spark, "place")
+    for name in ("orders", "customer", "events"):
+        write_table(table(spark, sf_dir, name), f"{location}/files/{name}.parquet")
+    load_parquets(spark, f"{location}/files", schema, in_place=True)
+    at = described_tables(spark, schema).select("table_name", F.col("place").endswith(F.concat(F.lit("/files/"), "table_name", F.lit(".parquet"))).alias("in_place"))
+    return probe_tables(spark, schema).join(at, "table_name").select(F.lower("table_name").alias("table_name"), "row_count", "in_place")
+
+
 @query("append_by_name", "select c_custkey, c_name, c_acctbal from customer union all select s_suppkey, s_name, s_acctbal from supplier")
 def append_by_name_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, _ = fresh_schema(spark, "append")

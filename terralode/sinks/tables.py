@@ -36,10 +36,23 @@ def save_table(df: DataFrame, schema: str, name: str) -> str:
     """Create or replace a table; a name the catalog would refuse is made safe and kept as a property."""
     safe = safe_identifier(name)
     stringify_objects(df).write.mode("overwrite").format("parquet").saveAsTable(quoted(schema, safe))
+    remember_name(df.sparkSession, schema, safe, name)
+    return safe
+
+
+def declare_table(rows: DataFrame, place: str, schema: str, name: str) -> str:
+    """Create or replace a table over Parquet files where they lie, given as read from there."""
+    spark, safe = rows.sparkSession, safe_identifier(name)
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(schema, safe)}")
+    spark.catalog.createTable(f"{schema}.{safe}", path=place, source="parquet", schema=rows.schema)
+    remember_name(spark, schema, safe, name)
+    return safe
+
+
+def remember_name(spark: SparkSession, schema: str, safe: str, name: str) -> None:
     if safe != name:
         escaped = name.replace("\\", "\\\\").replace("'", "\\'")
-        df.sparkSession.sql(f"ALTER TABLE {quoted(schema, safe)} SET TBLPROPERTIES ('original_name' = '{escaped}')")
-    return safe
+        spark.sql(f"ALTER TABLE {quoted(schema, safe)} SET TBLPROPERTIES ('original_name' = '{escaped}')")
 
 
 def append_by_name(df: DataFrame, schema: str, name: str) -> str:

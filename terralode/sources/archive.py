@@ -13,13 +13,13 @@ from collections.abc import Callable, Iterator
 from typing import BinaryIO
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralode.functions.names import basename, file_extension
 from terralode.session import shared_dir
 from terralode.sources.listing import read_files
+from terralode.sources.stores import file_store, require_file_system
 
 # The functions run in tasks travel with the job: executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -51,9 +51,6 @@ ZIPPED_DOCUMENTS = ("xlsx", "ods", "docx", "odt")
 CODECS = {"gz": gzip.open, "bz2": bz2.open, "xz": lzma.open}
 ARCHIVE_EXTENSIONS = CONTAINERS + tuple(CODECS)
 
-# File systems a task opens by itself, by the scheme of Spark's path.
-FILE_SYSTEMS = {"file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfs": "abfs", "abfss": "abfss"}
-
 # Last bytes of every Parquet file.
 PARQUET_MAGIC = "PAR1"
 
@@ -118,17 +115,6 @@ def _members(name: str, source: BinaryIO) -> Iterator[tuple[str, int, bytes | No
                     yield member, part, data, problem
 
 
-def require_file_system(path: str) -> None:
-    """Refuse a path no task could open, before any job runs."""
-    if not tasks_can_open(path):
-        raise ValueError(f"tasks cannot open files on {path.partition(':')[0]}: {path}")
-
-
-def tasks_can_open(path: str) -> bool:
-    scheme, colon, _ = path.partition(":")
-    return not colon or "/" in scheme or scheme in FILE_SYSTEMS
-
-
 def open_file(path: str) -> BinaryIO:
     """A file of any file system in the list, read where it lies, whatever its size and name."""
     scheme, colon, rest = path.partition(":")
@@ -138,17 +124,6 @@ def open_file(path: str) -> BinaryIO:
     return filesystem.open_input_file(key)
 
 
-def file_store(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path and the path's name there."""
-    scheme, colon, rest = path.partition(":")
-    if not colon or scheme == "file":
-        return fs.LocalFileSystem(), "/" + (rest or path).lstrip("/")
-    # Only the store is named by a URI, so that a file's name may hold any character.
-    store, _, key = rest.lstrip("/").partition("/")
-    filesystem, root = fs.FileSystem.from_uri(f"{FILE_SYSTEMS[scheme]}://{store}/")
-    return filesystem, f"{root.rstrip('/')}/{key}"
-
-
 def _rows(path: str, content: bytes | None) -> Iterator[tuple]:
     try:
         source = open_file(path) if content is None else io.BytesIO(content)

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terralode.operators.infer import type_columns
 from terralode.operators.quality import assert_rows
-from terralode.sources.archive import open_file, require_file_system
+from terralode.sources.archive import open_file
+from terralode.sources.stores import require_file_system
 from terralode.sources.listing import read_files
 
 # Fixed values of the format: where the header keeps what, and how long a field's description is.

@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralode.session import local_rows, shared_dir
-from terralode.sources.archive import file_store, require_file_system
+from terralode.sources.stores import file_store, require_file_system
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 

@@ -6,6 +6,7 @@ import zipfile
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from terralode.plans.convert import convert_file, convert_new_files, convert_same_layout, read_ledger
 from terralode.plans.ingest import check_fetches, check_selection, landed_datasets, newest_datasets, select_resources
@@ -24,7 +25,7 @@ from terralode.sinks.tables import (
     schema_for,
     split_to_tables,
 )
-from terralode.sources.listing import probe_session, probe_tables
+from terralode.sources.listing import described_tables, probe_session, probe_tables
 from terralode.sources.registry import read_tables
 from terralode.sources.scripts import export_all_tables, run_sql_script, spark_statement, statements, user_tables
 from terralode.streaming.incremental import incremental_ingest, on_new_files
@@ -360,3 +361,21 @@ def test_files_of_odd_names_and_empty_ones_are_not_lost(spark, tmp_path, rows):
     }
     assert rows(read_ledger(spark, str(tmp_path / "ledger"))) == sorted([("_k=1.csv",), ("a[1].csv",), ("b{x}.xml",), ("e*.parquet",), ("z[2].zip",)])
     assert {r["key"] for r in run().collect()} == {"_c.csv", ".d.json", "f.csv"}
+
+
+def test_load_in_place_copies_nothing(spark, tmp_path, schema, rows):
+    files = tmp_path / "files"
+    write_table(spark.range(5).withColumn("Été x", F.lit("a")), str(files / "folder.parquet"))
+    for name in ("one-file.parquet", "odd[1].parquet"):
+        pd.DataFrame({"id": [1, 2], "nom": ["a", None]}).to_parquet(files / name)
+    pd.DataFrame({"id": [1], "tags": [["x", "y"]]}).to_parquet(files / "nested.parquet")
+    results = load_parquets(spark, str(files), schema, in_place=True)
+    assert rows(results, "table", "ok") == [("FOLDER", True), ("NESTED", True), ("ODD_1_", True), ("ONE_FILE", True)]
+    places = {r["table_name"]: r["place"] for r in described_tables(spark, schema).collect()}
+    assert {t for t, place in places.items() if "/files/" in place} == {"folder", "one_file"}
+    assert spark.table(quoted(schema, "folder")).columns == ["id", "Été x"] and spark.table(quoted(schema, "FOLDER")).count() == 5
+    assert rows(spark.table(quoted(schema, "nested"))) == [(1, '["x","y"]')]
+    assert all(rows(spark.table(quoted(schema, t))) == [(1, "a"), (2, None)] for t in ("one_file", "odd_1_"))
+    assert rows(probe_tables(spark, schema), "table_name", "row_count") == [("folder", 5), ("nested", 1), ("odd_1_", 2), ("one_file", 2)]
+    load_parquets(spark, str(files), schema, in_place=True)  # again: replaced, the files still there
+    assert spark.table(quoted(schema, "folder")).count() == 5

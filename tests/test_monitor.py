@@ -1,13 +1,14 @@
 """Volume, run history, health and gates."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from terralode.operators import monitor, quality
 from terralode.sources import folders
-from terralode.sources.listing import list_keys, list_models, list_objects, tail_lines
+from terralode.sources.listing import list_keys, list_models, list_objects, probe_tables, tail_lines
 
 T0 = dt.datetime(2024, 1, 1, 9)
 RUNS = "dag_id string, run_id string, state string, start_date timestamp_ntz, end_date timestamp_ntz, execution_date timestamp_ntz"
@@ -196,3 +197,24 @@ def test_every_object_is_listed_by_tasks(spark, tmp_path, monkeypatch):
     assert folders.list_every_object(spark, str(tmp_path / "empty")).count() == 0
     with pytest.raises(Exception, match="missing"):
         folders.list_every_object(spark, str(tmp_path / "missing"))
+
+
+def test_tables_are_probed_by_one_plan(spark, schema, rows, tmp_path):
+    for n in range(6):
+        spark.range(n).write.saveAsTable(f"`{schema}`.t{n}", format="parquet")
+    spark.range(10).withColumn("p", F.col("id") % 3).write.partitionBy("p").saveAsTable(f"`{schema}`.parts", format="parquet")
+    steps = lambda df: len(re.findall(r"[+:]- ", df._jdf.queryExecution().optimizedPlan().toString()))
+    few = steps(probe_tables(spark, schema))
+    spark.range(7).write.csv(str(tmp_path / "c"))
+    spark.sql(f"CREATE TABLE `{schema}`.lines (id bigint) USING csv LOCATION 'file:{tmp_path}/c'")
+    spark.sql(f"CREATE VIEW `{schema}`.seen AS SELECT * FROM `{schema}`.t4")
+    probed = probe_tables(spark, schema)
+    want = [(f"t{n}", n) for n in range(6)] + [("parts", 10), ("lines", 7), ("seen", 4)]
+    assert rows(probed, "table_name", "row_count") == sorted(want, key=repr)
+    assert {r["table_name"] for r in probed.where("bytes > 0 and created <= last_altered").collect()} >= {"t5", "parts", "lines"}
+    for n in range(6, 9):
+        spark.range(n).write.saveAsTable(f"`{schema}`.t{n}", format="parquet")
+    spark.sql(f"DROP VIEW `{schema}`.seen")
+    spark.sql(f"DROP TABLE `{schema}`.lines")
+    assert steps(probe_tables(spark, schema)) == few
+    assert probe_tables(spark, schema, limit=2).count() == 2

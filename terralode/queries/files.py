@@ -147,6 +147,15 @@ def xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_xml(spark, path)
 
 
+@query("xml_scan_xpath", "select s_suppkey, s_name, s_acctbal from supplier")
+def xml_scan_xpath(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records named by another path, the rest of each element beside them."""
+    path = shared_dir(spark, "xml")
+    rows = table(spark, sf_dir, "supplier").select(F.struct("s_suppkey", "s_name", "s_acctbal").alias("party"), F.col("s_nationkey").alias("note"))
+    rows.write.format("xml").options(rowTag="record", rootTag="records").save(path)
+    return read_xml(spark, path, ".//party")
+
+
 POINTS_SQL = """
 select c_custkey as id, c_name as name, 'Point' as geometry_type, c_nationkey * 0.5::double as lon, c_nationkey - 12.25::double as lat,
        '{"type":"Point","coordinates":[' || c_nationkey * 0.5::double || ',' || c_nationkey - 12.25::double || ']}' as geometry

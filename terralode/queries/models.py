@@ -20,6 +20,7 @@ from terralode.sinks.tables import (
     quoted,
     save_manifest,
     save_table,
+    schema_for,
     split_to_tables,
 )
 from terralode.sources.listing import described_tables, probe_tables
@@ -121,6 +122,17 @@ def bronze_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(quoted(schema, "bronze_orders"))
 
 
+@query("silver_with_transform", "select o_custkey, count(*) as orders, max(o_totalprice) as dearest from orders group by 1")
+def silver_with_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A silver layer made by a transform of one's own in place of the cleaning, in a schema of its own."""
+    schema, location = fresh_schema(spark, "custom")
+    silver = create_schema(spark, schema_for(f" {schema}_marts ", schema), f"{location}_marts")
+    save_table(table(spark, sf_dir, "orders"), schema, "orders")
+    by_customer = lambda df: df.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.max("o_totalprice").alias("dearest"))
+    build_models(spark, manifest(spark, ["orders"]), schema, schema_for(None, schema), silver, transform=by_customer)
+    return spark.table(quoted(silver, "silver_orders"))
+
+
 @query("model_counts", "select layer, 2 as models from (select 'bronze' as layer union all select 'silver')")
 def model_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, _ = fresh_schema(spark, "models")

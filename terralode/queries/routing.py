@@ -314,3 +314,10 @@ def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         default="ok",
     )
     return per_user.select("user_id", "events", "errors", F.array_join(verdict, ",").alias("verdict"))
+
+
+@query("without_folder_keys", "select event_type || '/' || event_id as key from events where event_id % 10 <> 0")
+def without_folder_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of a listing less the markers of its folders, which end with a slash."""
+    key = F.concat("event_type", F.lit("/"), "event_id", F.when(F.col("event_id") % 10 == 0, "/").otherwise(""))
+    return catalog.drop_folder_keys(table(spark, sf_dir, "events").select(key.alias("key")))

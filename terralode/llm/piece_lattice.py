@@ -35,6 +35,38 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
+def packed_ids(ids: tuple[int, ...]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    return array("I", ids).tobytes()
+
+
+class Starts(dict):
+    """Pieces by their characters: nodes ``[score, ids, nodes by next character]``, ids empty where no piece ends.
+
+    A first character always has ids, those of its bytes or the unknown piece if need be.
+    """
+
+    def __init__(self, lattice: Lattice):
+        self.fallback = lattice.fallback
+        for piece, (score, ids) in lattice.pieces.items():
+            nodes, node = self, None
+            for k, character in enumerate(piece):
+                if k:
+                    nodes = node[2] = {} if node[2] is None else node[2]
+                node = nodes.get(character)
+                if node is None:
+                    node = nodes[character] = [0.0, b"", None]
+            node[0], node[1] = score, packed_ids(ids)
+        for character in [c for c, node in self.items() if not node[1]]:
+            score, ids = self.fallback(character)
+            self[character][:2] = score, packed_ids(ids)
+
+    def __missing__(self, character: str) -> list:
+        score, ids = self.fallback(character)
+        self[character] = node = [score, packed_ids(ids), None]
+        return node
+
+
 class Lattice:
     """Pieces and scores of a model, and the best paths through sections of text."""
 
@@ -46,17 +78,15 @@ class Lattice:
         names = [processor.id_to_piece(i) for i in range(size)]
         plain = [i for i in range(size) if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_unused(i) or processor.is_byte(i))]
         self.pieces = {names[i]: (processor.get_score(i), (i,)) for i in plain}
-        # Every beginning of a piece: its score and ids where it is a piece itself, else empty.
-        self.prefixes = {p[:k]: () for p in self.pieces for k in range(1, len(p))} | self.pieces
         self.byte_ids = {int(names[i][3:5], 16): i for i in range(size) if processor.is_byte(i)}
         self.unknown = (processor.unk_id(), min((processor.get_score(i) for i in plain), default=0.0) - 10.0)
-        self.longest = max(map(len, self.pieces), default=1)
         # Sections end before a mark unless some piece reaches over such a place.
         crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.pieces)
         self.sections = re.compile(r"(?s).+" if crossing else f"(?s){MARK}*[^{MARK}]+|{MARK}+")
         self.names, self.n = names, n
         self.bytes_of_id = {i: b for b, i in self.byte_ids.items()}
         self.whole_mark = self.fallback(MARK)
+        self.starts = Starts(self)
         self.first: dict[str, tuple[float, bytes, float]] = {}
         self.paths: dict[str, list[tuple[float, bytes]]] = {}
 
@@ -68,27 +98,24 @@ class Lattice:
         return self.unknown[1], (self.unknown[0],)
 
     def forward(self, section: str):
-        """All pieces as (begin, end, score, ids) by begin, and by place the best score before it and its last piece's number."""
-        get, longest, size = self.prefixes.get, self.longest, len(section)
-        arcs: list[tuple[int, int, float, tuple[int, ...]]] = []
-        ahead, last = [0.0] + [-math.inf] * size, [0] * (size + 1)
+        """All pieces as (begin, end, score, ids) by begin, and by place the best score before it."""
+        starts, size = self.starts, len(section)
+        arcs: list[tuple[int, int, float, bytes]] = []
+        ahead = [0.0] + [-math.inf] * size
         for i in range(size):
-            so_far = ahead[i]
-            if section[i] not in self.pieces:
-                score, ids = self.fallback(section[i])
-                if so_far + score > ahead[i + 1]:
-                    ahead[i + 1], last[i + 1] = so_far + score, len(arcs)
-                arcs.append((i, i + 1, score, ids))
-            for j in range(i + 1, min(size, i + longest) + 1):
-                hit = get(section[i:j])
-                if hit is None:
-                    break
-                if hit:
-                    score, ids = hit
+            so_far, j = ahead[i], i + 1
+            score, ids, after = starts[section[i]]
+            while True:
+                if ids:
                     if so_far + score > ahead[j]:
-                        ahead[j], last[j] = so_far + score, len(arcs)
+                        ahead[j] = so_far + score
                     arcs.append((i, j, score, ids))
-        return arcs, ahead, last
+                node = after.get(section[j]) if after is not None and j < size else None
+                if node is None:
+                    break
+                score, ids, after = node
+                j += 1
+        return arcs, ahead
 
     def best(self, section: str) -> tuple[float, bytes, float]:
         """The best path's score and little-endian unsigned 32-bit ids, and how much less the second best scores."""
@@ -96,37 +123,35 @@ class Lattice:
         if found is None:
             if len(self.first) >= SECTIONS_KEPT:
                 self.first.clear()
-            get, longest, size = self.prefixes.get, self.longest, len(section)
+            starts, size = self.starts, len(section)
             # By place: the best and the second best score before it, and where the best path's last piece begins and its ids.
             ahead, second = [0.0] + [-math.inf] * size, [-math.inf] * (size + 1)
-            begin, own = [0] * (size + 1), [()] * (size + 1)
+            begin, own = [0] * (size + 1), [b""] * (size + 1)
             for i in range(size):
-                so_far, next_best = ahead[i], second[i]
-                for j in range(i + 1, min(size, i + longest) + 1):
-                    hit = get(section[i:j])
-                    more = hit is not None
-                    if not hit:
-                        if j == i + 1:
-                            hit = self.fallback(section[i])
-                        elif more:
-                            continue
-                        else:
-                            break
-                    score, ids = hit
-                    reached = so_far + score
-                    if reached > ahead[j]:
-                        second[j] = max(ahead[j], next_best + score)
-                        ahead[j], begin[j], own[j] = reached, i, ids
-                    elif reached > second[j]:
-                        second[j] = reached
-                    if not more:
+                so_far, next_best, j = ahead[i], second[i], i + 1
+                score, ids, after = starts[section[i]]
+                while True:
+                    if ids:
+                        reached, known = so_far + score, ahead[j]
+                        if reached > known:
+                            other = next_best + score
+                            second[j] = known if known > other else other
+                            ahead[j], begin[j], own[j] = reached, i, ids
+                        elif reached > second[j]:
+                            second[j] = reached
+                    if after is None or j == size:
+                        break
+                    node = after.get(section[j])
+                    if node is None:
                         break
+                    score, ids, after = node
+                    j += 1
             parts, at = [], size
             while at:
                 parts.append(own[at])
                 at = begin[at]
-            flat = array("I", [x for part in reversed(parts) for x in part]).tobytes()
-            found = self.first[section] = (ahead[-1], flat, ahead[-1] - second[-1])
+            parts.reverse()
+            found = self.first[section] = (ahead[-1], b"".join(parts), ahead[-1] - second[-1])
         return found
 
     def search(self, section: str) -> list[tuple[float, bytes]]:
@@ -135,8 +160,8 @@ class Lattice:
             return self.paths[section]
         if len(self.paths) >= SECTIONS_KEPT:
             self.paths.clear()
-        arcs, ahead, _ = self.forward(section)
-        ends: list[list[tuple[int, int, float, tuple[int, ...]]]] = [[] for _ in range(len(section) + 1)]
+        arcs, ahead = self.forward(section)
+        ends: list[list[tuple[int, int, float, bytes]]] = [[] for _ in range(len(section) + 1)]
         for arc in arcs:
             ends[arc[1]].append(arc)
         # Of equal paths the one that got furthest goes on, so ties do not widen the search.
@@ -144,11 +169,11 @@ class Lattice:
         while heap and len(found) < self.n:
             _, at, _, done, path = heapq.heappop(heap)
             if at == 0:
-                ids: list[int] = []
+                ids: list[bytes] = []
                 while path is not None:
-                    ids += path[0]
+                    ids.append(path[0])
                     path = path[1]
-                found.append((done, array("I", ids).tobytes()))
+                found.append((done, b"".join(ids)))
                 continue
             for i, _, score, ids_ in ends[at]:
                 serial += 1
@@ -169,11 +194,11 @@ class Lattice:
         if not text:
             return [(0.0, b"")]
         sections = self.split(text)
-        mark = (self.whole_mark[0], array("I", self.whole_mark[1]).tobytes(), math.inf)
-        best = [mark if s is None else self.best(s) for s in sections]
-        total, first = sum(b[0] for b in best), [b[1] for b in best]
+        mark, get = (self.whole_mark[0], packed_ids(self.whole_mark[1]), math.inf), self.first.get
+        best = [get(s) or (mark if s is None else self.best(s)) for s in sections]
+        scores, first, costs = zip(*best)
+        total = sum(scores)
         # Only the n - 1 sections whose second path costs least can differ from the best in an n-best choice.
-        costs = [b[2] for b in best]
         chosen = heapq.nsmallest(self.n - 1, range(len(costs)), key=costs.__getitem__)
         choices: list[tuple[float, tuple[tuple[int, bytes], ...]]] = [(0.0, ())]
         for k in chosen:

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -260,6 +261,24 @@ def every_path(lattice, text):
     return sorted((s for s, _ in found), reverse=True)
 
 
+def test_lattice_pieces_are_walked_by_characters(texts):
+    """No slice of a text is made or hashed to find the pieces that begin at a place."""
+    lattice = piece_lattice.Lattice(piece_lattice.read_model(public_tokenizers.path("piece_bpe_32k.model")), 3)
+    for piece, (score, ids) in lattice.pieces.items():
+        node = lattice.starts[piece[0]]
+        for character in piece[1:]:
+            node = node[2][character]
+        assert node[:2] == [score, piece_lattice.packed_ids(ids)]
+    unseen = "\U0001f9ff"
+    assert unseen not in lattice.pieces
+    assert lattice.starts[unseen] == [lattice.fallback(unseen)[0], piece_lattice.packed_ids(lattice.fallback(unseen)[1]), None]
+    for section in {s for text in texts for s in lattice.split(text or "")} - {None}:
+        score, _, lost = lattice.best(section)
+        paths = lattice.search(section)
+        assert score == pytest.approx(paths[0][0])
+        assert lost == (pytest.approx(paths[0][0] - paths[1][0]) if len(paths) > 1 else math.inf)
+
+
 def test_lattice_n_best_and_round_trip(spark, docs, texts, empty):
     model = piece_lattice.read_model(public_tokenizers.path("piece_bpe_32k.model"))
     lattice = piece_lattice.Lattice(model, 5)

@@ -25,7 +25,7 @@ from terralode.sources.archive import save_members, stage_members, unpack
 from terralode.sources.dbase import read_dbf
 from terralode.sources.folders import list_every_object
 from terralode.sources.listing import list_keys, list_objects, tail_lines
-from terralode.sources.office import docx_paragraphs, ods_sheets, odt_paragraphs, sheet_rows, xlsx_sheets, xml_parts
+from terralode.sources.office import docx_paragraphs, ods_sheets, odt_paragraphs, save_rows, xlsx_sheets, xml_parts
 from terralode.sources.registry import TABLE_READERS, TEXT_EXTENSIONS
 from terralode.sources.structured import read_geojson, read_geojson_lines, read_json, read_kml, read_xml
 from terralode.sources.tabular import read_csv, read_delimited, read_parquet, read_tsv, read_txt
@@ -370,7 +370,7 @@ def zip_of(parts: dict[str, str]) -> bytes:
 @query("workbook_scan", "select c_custkey as key, c_name as name, c_acctbal as balance, c_mktsegment as segment from customer")
 def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     books = table(spark, sf_dir, "customer").mapInPandas(pack_workbooks, "path string, content binary")
-    rows = sheet_rows(xlsx_sheets(xml_parts(unpack(books)))).filter(F.col("n") > 1)
+    rows = save_rows(xlsx_sheets(xml_parts(unpack(books)))).filter(F.col("n") > 1)
     places = {"key": 1, "name": 2, "balance": 4, "segment": 5}
     return type_columns(rows.select([F.try_element_at("cells", F.lit(i)).alias(name) for name, i in places.items()]))
 
@@ -444,7 +444,7 @@ def pack_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 @query("ods_scan", "select c_custkey as key, c_name as name, c_acctbal as balance, c_mktsegment as segment from customer")
 def ods_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     books = table(spark, sf_dir, "customer").mapInPandas(pack_sheets, "path string, content binary")
-    rows = sheet_rows(ods_sheets(xml_parts(unpack(books)))).filter(F.col("n") > 1)
+    rows = save_rows(ods_sheets(xml_parts(unpack(books)))).filter(F.col("n") > 1)
     places = {"key": 1, "name": 2, "balance": 5, "segment": 6}
     return type_columns(rows.select([F.try_element_at("cells", F.lit(i)).alias(name) for name, i in places.items()]))
 

@@ -66,6 +66,12 @@ def document_tables(parts: DataFrame, ext: str) -> dict[tuple[str, str], DataFra
     return {(name, ""): to_rows(documents.filter(F.col("archive") == name)) for name in names}
 
 
+def dealt(parts: DataFrame) -> DataFrame:
+    """Parts over all tasks of a shuffle: XML is small on disk for the time it takes to parse."""
+    n = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return parts.repartition(n, "archive", "member")
+
+
 def part(parts: DataFrame, member: str, schema: str, *columns: Column) -> DataFrame:
     """One part of each file, parsed."""
     parsed = parts.filter(F.col("member") == member).withColumn("x", F.from_xml("xml", schema, XML))
@@ -161,7 +167,7 @@ def xlsx_sheets(parts: DataFrame) -> DataFrame:
         F.col("x.cellXfs.xf").alias("xf"),
     ).select("archive", F.transform("xf", lambda f: F.array_contains(F.col("dates"), f.getField("_numFmtId"))).alias("date_styles"))
     sheets = book.join(targets, ["archive", "id"]).join(strings, "archive", "left").join(styles, "archive", "left")
-    bodies = parts.filter(F.col("member").startswith("xl/worksheets/")).select(
+    bodies = dealt(parts.filter(F.col("member").startswith("xl/worksheets/"))).select(
         "archive", "member", F.from_xml("xml", SHEET_SCHEMA, XML)["sheetData"]["row"].alias("raw")
     )
     cells = lambda row: F.map_from_entries(
@@ -240,25 +246,29 @@ def ods_value(cell: Column) -> Column:
 def ods_sheets(parts: DataFrame) -> DataFrame:
     """One row per sheet, as for a workbook. Repeated blanks at the end of a row or sheet are not spelt out."""
     xml = rewritten(F.col("xml"), ODS_REWRITES)
-    content = parts.filter(F.col("member") == "content.xml").withColumn("x", F.from_xml(xml, ODS_SCHEMA, XML))
+    content = dealt(parts.filter(F.col("member") == "content.xml")).withColumn("x", F.from_xml(xml, ODS_SCHEMA, XML))
     tables = content.select("archive", F.posexplode("x.body.spreadsheet.table").alias("position", "t"))
     cells = lambda row: F.transform(
         row.getField("table-cell"),
         lambda c: F.struct(ods_value(c).alias("v"), c.getField("_number-columns-repeated").alias("times")),
     )
     values = lambda row: repeated(
-        without_tail(cells(row), lambda c: c.getField("v").isNotNull()), "times", lambda c: c.getField("v")
+        without_tail(row.getField("cells"), lambda c: c.getField("v").isNotNull()), "times", lambda c: c.getField("v")
+    )
+    read = F.transform(
+        F.col("t.table-row"), lambda r: F.struct(cells(r).alias("cells"), r.getField("_number-rows-repeated").alias("times"))
     )
     rows = F.transform(
-        F.col("t.table-row"),
-        lambda r: F.struct(F.coalesce(values(r), F.array().cast("array<string>")).alias("v"), r.getField("_number-rows-repeated").alias("times")),
+        "read", lambda r: F.struct(F.coalesce(values(r), F.array().cast("array<string>")).alias("v"), r.getField("times").alias("times"))
     )
-    filled = without_tail(rows, lambda r: F.size(r.getField("v")) > 0)
+    filled = without_tail(F.col("rows"), lambda r: F.size(r.getField("v")) > 0)
     numbered = F.transform(
-        repeated(filled, "times", lambda r: r.getField("v")),
+        repeated(F.col("filled"), "times", lambda r: r.getField("v")),
         lambda v, i: F.struct((i + 1).alias("n"), F.map_from_arrays(F.transform(v, lambda _, j: j + 1), v).alias("cells")),
     )
-    return tables.select("archive", "position", F.col("t._name").alias("sheet"), numbered.alias("rows"))
+    # A column each: an expression that is used twice is worked out twice.
+    steps = tables.select("archive", "position", F.col("t._name").alias("sheet"), read.alias("read")).withColumn("rows", rows)
+    return steps.withColumn("filled", filled).select("archive", "position", "sheet", numbered.alias("rows"))
 
 
 # --- sheets to tables -----------------------------------------------------------------------
@@ -271,6 +281,14 @@ def sheet_rows(sheets: DataFrame) -> DataFrame:
     )
 
 
+def save_rows(sheets: DataFrame, *by: str) -> DataFrame:
+    """Rows of many sheets kept as a table, so that each sheet is parsed once however often they are read."""
+    path = shared_dir(sheets.sparkSession, "rows")
+    parsed = sheet_rows(sheets)
+    parsed.write.partitionBy(*by).parquet(path)
+    return sheets.sparkSession.read.schema(parsed.schema).parquet(path)
+
+
 def sheet_shapes(rows: DataFrame) -> DataFrame:
     """Header, width, last filled row and number of rows up to it, per sheet."""
     filled = F.size("cells") > 0
@@ -284,11 +302,7 @@ def sheet_shapes(rows: DataFrame) -> DataFrame:
 
 def sheet_tables(sheets: DataFrame, na_tokens: list[str] = NA_TOKENS) -> dict[tuple[str, str], DataFrame]:
     """A table per file and sheet. The sheets are parsed once; only the headers reach the driver."""
-    spark = sheets.sparkSession
-    path = shared_dir(spark, "rows")
-    parsed = sheet_rows(sheets)
-    parsed.write.partitionBy("archive", "position").parquet(path)
-    rows = spark.read.schema(parsed.schema).parquet(path)
+    rows = save_rows(sheets, "archive", "position")
     shapes = {(r["archive"], r["position"]): r for r in sheet_shapes(rows).collect()}
     tables = {}
     for sheet in sheets.select("archive", "position", "sheet").orderBy("archive", "position").collect():

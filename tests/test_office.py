@@ -5,8 +5,9 @@ import io
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
-from terralode.sources.office import read_docx, read_ods, read_odt, read_xlsx
+from terralode.sources.office import ods_sheets, read_docx, read_ods, read_odt, read_xlsx, save_rows
 from terralode.sources.registry import read_tables
 
 MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -156,6 +157,18 @@ def test_ods(spark, tmp_path, rows):
 W = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main" xmlns:r="urn:r"'
 
 
+def test_sheets_are_parsed_by_many_tasks_and_once(spark):
+    """Workbooks that lie in one file are dealt over the tasks of a shuffle; their rows are kept."""
+    row = lambda i: f'<table:table-row><table:table-cell office:value-type="float" office:value="{i}"/></table:table-row>'
+    xml = lambda i: f'<d xmlns:office="o" xmlns:table="t"><office:body><office:spreadsheet><table:table table:name="s">{row(i)}</table:table></office:spreadsheet></office:body></d>'
+    parts = spark.createDataFrame([(f"{i}.ods", "content.xml", xml(i)) for i in range(40)], "archive string, member string, xml string").coalesce(1)
+    sheets = ods_sheets(parts)
+    assert sheets.select(F.spark_partition_id()).distinct().count() > 1
+    kept = save_rows(sheets)
+    assert "from_xml" not in kept._jdf.queryExecution().toString()
+    assert sorted((r.archive, r.position, r.sheet, r.n, r.cells) for r in kept.collect()) == sorted((f"{i}.ods", 0, "s", 1, {1: str(i)}) for i in range(40))
+
+
 def test_docx(spark, tmp_path, rows):
     body = (
         '<w:p><w:pPr><w:pStyle w:val="Titre1"/></w:pPr><w:r><w:t>Title</w:t></w:r></w:p>'

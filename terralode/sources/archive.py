@@ -35,8 +35,8 @@ ARROW_SCHEMA = pa.schema(
         ("error", pa.string()),
     ]
 )
-# Members are handed back once they come to this many bytes or rows.
-BATCH_BYTES = 32 * 1024 * 1024
+# Members are handed back once they come to this many bytes or rows: a task holds them, their batch and its copy on the way out.
+BATCH_BYTES = 4 * 1024 * 1024
 BATCH_ROWS = 4096
 # A longer text member comes in parts of about this size, each ending with a line.
 PART_BYTES = 64 * 1024 * 1024

@@ -8,8 +8,10 @@ import tarfile
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 
+from terralode.sources import archive
 from terralode.sources.archive import read_archives, save_members, unpack_files
 from terralode.sources.listing import read_files
 from terralode.sources.registry import NoReader, read_tables
@@ -95,6 +97,17 @@ def test_many_members(spark, tmp_path):
     assert read_archives(spark, str(tmp_path)).select("member").distinct().count() == 5000
 
 
+def test_a_task_holds_few_members():
+    """Members go on in batches of a few MB: all of a task's workers hold them at once."""
+    members = {f"{i}.txt": bytes([i]) * 1_000_000 for i in range(12)}
+    content = zip_bytes(members)
+    given = pa.RecordBatch.from_pydict({"path": ["a.zip", "b.zip"], "content": [content, content]})
+    batches = list(archive._unpack(iter([given])))
+    assert max(b.nbytes for b in batches) < 5_000_000
+    found = [(r["archive"], r["member"], r["content"]) for b in batches for r in b.to_pylist()]
+    assert found == [(a, name, data) for a in ("a.zip", "b.zip") for name, data in members.items()]
+
+
 @pytest.mark.parametrize("name", ONE_TABLE)
 def test_archives_too_large_for_a_value_are_opened_in_place(spark, tmp_path, name):
     (tmp_path / name).write_bytes(ONE_TABLE[name])

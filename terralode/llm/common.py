@@ -12,10 +12,20 @@ from terralode.session import shared_dir
 # Executors need not have the library: its task functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def saved(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows written once to the shared folder and read back: lineage ends there, for any executor to read."""
+    """The rows written once to the shared folder and read back: lineage ends there, for any executor to read.
+
+    The shuffles that made them go with the write; else they take disk until the driver collects its garbage.
+    """
     spark: SparkSession = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -188,7 +188,7 @@ def spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def stretch_lister(length: int):
-    """Stretches of the phrases still in doubt, of rows ``doc_id, text, doubted``; a null text is passed over.
+    """Stretches of the phrases still in doubt, of rows ``doc_id, text, doubted``; a null text and further columns are passed over.
 
     A window starts 0 to ``length - TRIGGER`` bytes before its trigger; a stretch has the windows of one of
     PARTS ranges of that distance. Its inner bytes lie in each of them, its whole bytes in one or another.
@@ -350,11 +350,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, keep: list[str] | None =
         )
     )
     marks = saved(marks, "phrases")
-    # The texts are dealt once, for both joins: the first takes no filter that would make it another shuffle.
+    # The texts are dealt once, for both joins: the first takes no filter and drops no column, which would make it another shuffle.
     dealt = base.repartition("doc_id")
-    in_doubt = dealt.join(marks.select("doc_id", "doubted").hint("shuffle_hash"), "doc_id", "left").select(
-        "doc_id", F.when(F.size("doubted") > 0, F.struct("text", *keep)).getField("text").alias("text"), "doubted"
-    )
+    in_doubt = dealt.join(marks.select("doc_id", "doubted").hint("shuffle_hash"), "doc_id", "left")
+    held = [F.when(F.size("doubted") > 0, F.col(c)).alias(c) for c in ("text", *keep)]
+    in_doubt = in_doubt.select("doc_id", held[0], "doubted", *held[1:])
     stretches = in_doubt.mapInArrow(stretch_lister(length), STRETCHES).repartition("inner_hash")
     alike = Window.partitionBy("inner_hash", "whole_hash").orderBy("doc_id", "at")
     inside = Window.partitionBy("inner_hash")

@@ -1,11 +1,13 @@
 """Each operator against brute force on small tables with nulls, empty and long texts, ties and repeated rows."""
 
 import collections
+import glob
 import hashlib
 import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -18,6 +20,7 @@ from tokenizers import Tokenizer
 from terralode.llm import (
     byte_bpe,
     circulant_minhash,
+    common,
     language_id,
     packing,
     piece_lattice,
@@ -29,6 +32,7 @@ from terralode.llm import (
     token_counts,
     url_filters,
 )
+from terralode.llm.common import saved
 from terralode.llm.components import connected_components
 
 SPEC = byte_bpe.read_spec(public_tokenizers.path("byte_bpe_50k.json"))
@@ -241,6 +245,28 @@ def test_suffix_dedup_edges(nameless, empty, spark):
     assert all(isinstance(r.kept, str) and "�" not in r.kept for r in suffix_dedup.remove_repeats(cut, as_text=True).collect())
 
 
+def test_suffix_dedup_deals_texts_once(docs):
+    out = suffix_dedup.remove_repeats(docs, keep=["lang", "source"], as_text=True)
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+
+
+def test_saved_leaves_no_shuffle(spark):
+    def shuffled():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {p for d in folders for p in glob.glob(f"{d}/*/shuffle_*")}
+
+    before = shuffled()
+    table = saved(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 10).alias("k")).count(), "counts")
+    ended = time.monotonic() + 10
+    while shuffled() - before and time.monotonic() < ended:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert spark.conf.get(common.CLEANUP) == "false"
+    assert sorted(tuple(r) for r in table.collect()) == [(k, 100) for k in range(10)]
+
+
 def every_path(lattice, text):
     mark = piece_lattice.MARK
     section, found = mark + text.replace(" ", mark), []

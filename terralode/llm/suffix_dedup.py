@@ -30,6 +30,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TRIGGER = 32
 SEGMENT = 1 << 20  # a longer text is parsed in pieces that overlap by all that a phrase can reach
 GATHER = 2 << 20
+INDEX_BITS = 22  # of a place in a lot of texts, GATHER or one SEGMENT and its overlaps at most
 HOT = 16  # phrases of one trigger in one lot of texts from which on they are dealt out one by one
 BASE = np.uint64(0x9E3779B97F4A7C15)
 ODD = np.uint64(0xBF58476D1CE4E5B9)
@@ -72,15 +73,17 @@ class Rolling:
 
 
 def leftmost_smallest(values: np.ndarray, width: int) -> np.ndarray:
-    """For each place the index of the leftmost smallest of the next ``width`` values."""
-    best, index, size = values, np.arange(len(values), dtype=np.int32), 1
+    """For each place the index of the leftmost smallest of the next ``width`` values, as far as their upper bits tell.
+
+    The index takes the place of the lower bits, whatever the lot's size: equal windows choose the same place in any lot.
+    """
+    low = np.uint64((1 << INDEX_BITS) - 1)
+    best, size = values & ~low | np.arange(len(values), dtype=np.uint64), 1
     while size < width:
         step = min(size, width - size)
-        later = best[step:] < best[:-step]
-        index = np.where(later, index[step:], index[:-step])
-        best = np.where(later, best[step:], best[:-step])
+        best = np.minimum(best[step:], best[:-step])
         size += step
-    return index
+    return (best & low).astype(np.int32)
 
 
 def parse(texts: list[tuple[int, bytes]], length: int, rolling: Rolling):
@@ -192,50 +195,64 @@ def stretch_lister(length: int):
 
     A window starts 0 to ``length - TRIGGER`` bytes before its trigger; a stretch has the windows of one of
     PARTS ranges of that distance. Its inner bytes lie in each of them, its whole bytes in one or another.
+    The texts are taken in lots of about ``GATHER`` bytes, marks included, each hashed at once.
     """
     bounds = np.linspace(0, length - TRIGGER + 1, PARTS + 1).astype(np.int64)
 
+    def stretches(lot: list[tuple[int, int, pa.Buffer, np.ndarray]], rolling: Rolling) -> pa.RecordBatch:
+        raw = b"".join(x[2] for x in lot)
+        rolling.load(np.frombuffer(raw, np.uint8))
+        sizes = np.array([len(x[2]) for x in lot], np.int64)
+        row = np.repeat(np.arange(len(lot)), [len(x[3]) for x in lot])
+        floor, ceiling = (np.cumsum(sizes) - sizes)[row], np.cumsum(sizes)[row]
+        # From places in a document to places in the lot; no stretch leaves its own text.
+        shift = floor - np.array([x[1] for x in lot], np.int64)[row]
+        doc_id, marks = np.array([x[0] for x in lot], np.int64)[row], np.concatenate([x[3] for x in lot])
+        at = (marks >> 18) + shift
+        first, last = (x + shift for x in unpacked(marks))
+        found = []
+        for part in range(PARTS):
+            near, far = bounds[part], bounds[part + 1] - 1
+            lows, highs = np.maximum(first, at - far), np.minimum(last, at - near)
+            held = np.flatnonzero((lows <= highs) & (lows >= floor) & (highs + length <= ceiling))
+            t, lo, hi = at[held], lows[held], highs[held]
+            left, right = np.maximum(floor[held], t - far), np.minimum(ceiling[held], t - near + length)
+            salt = np.full(1, part + 1, np.uint64) * ODD
+            inner = mixed(rolling.runs(t - near, t - far + length) + salt)
+            clip = (t - left).astype(np.uint64) * BASE ^ (right - t).astype(np.uint64) * ODD
+            whole = mixed(rolling.runs(left, right) + clip)
+            back, n, skip = shift[held], (hi - lo + 1).astype(np.int32), (lo - left).astype(np.int32)
+            found.append((inner.view(np.int64), whole.view(np.int64), doc_id[held], t - back, lo - back, n, skip, left, right))
+        *columns, left, right = (np.concatenate(x) for x in zip(*found))
+        cut = pa.array([raw[x:y] for x, y in zip(left.tolist(), right.tolist())], pa.binary())
+        names = ["inner_hash", "whole_hash", "doc_id", "at", "low", "n", "skip", "bytes"]
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns), cut], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
         for batch in batches:
+            lot, size = [], 0
             for doc_id, text, doubted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 if not text.is_valid or not doubted.is_valid:
                     continue
-                raw = text.as_py().encode()
-                marks = doubted.values.to_numpy()
-                marks = marks[np.argsort(marks >> 18, kind="stable")]
+                raw, marks = text.as_buffer(), doubted.values.to_numpy()
+                if len(raw) > SEGMENT:
+                    marks = np.sort(marks)
                 for low in range(0, len(raw), SEGMENT):
-                    own = marks[np.searchsorted(marks >> 18, low) : np.searchsorted(marks >> 18, low + SEGMENT)]
+                    own = marks
+                    if len(raw) > SEGMENT:
+                        own = marks[np.searchsorted(marks, low << 18) : np.searchsorted(marks, low + SEGMENT << 18)]
                     if not len(own):
                         continue
                     begin = max(0, low - length)
-                    data = np.frombuffer(raw[begin : low + SEGMENT + length], np.uint8)
-                    rolling.load(data)
-                    at, (first, last) = (own >> 18) - begin, unpacked(own)
-                    for part in range(PARTS):
-                        near, far = bounds[part], bounds[part + 1] - 1
-                        lows, highs = np.maximum(first - begin, at - far), np.minimum(last - begin, at - near)
-                        held = (lows <= highs) & (lows >= 0) & (highs + length <= len(data))
-                        t, lo, hi = at[held], lows[held], highs[held]
-                        if not len(t):
-                            continue
-                        left, right = np.maximum(0, t - far), np.minimum(len(data), t - near + length)
-                        inner = mixed(rolling.runs(t - near, t - far + length) + np.uint64(part + 1) * ODD)
-                        clip = (t - left).astype(np.uint64) * BASE ^ (right - t).astype(np.uint64) * ODD
-                        whole = mixed(rolling.runs(left, right) + clip)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(inner.view(np.int64)),
-                                pa.array(whole.view(np.int64)),
-                                pa.array(np.full(len(t), doc_id, np.int64)),
-                                pa.array(t + begin),
-                                pa.array(lo + begin),
-                                pa.array((hi - lo + 1).astype(np.int32)),
-                                pa.array((lo - left).astype(np.int32)),
-                                pa.array([raw[x:y] for x, y in zip((left + begin).tolist(), (right + begin).tolist())], pa.binary()),
-                            ],
-                            names=["inner_hash", "whole_hash", "doc_id", "at", "low", "n", "skip", "bytes"],
-                        )
+                    part = raw.slice(begin, min(len(raw), low + SEGMENT + length) - begin)
+                    if lot and size + len(part) + own.nbytes > GATHER:
+                        yield stretches(lot, rolling)
+                        lot, size = [], 0
+                    lot.append((doc_id, begin, part, own))
+                    size += len(part) + own.nbytes
+            if lot:
+                yield stretches(lot, rolling)
 
     return run
 
@@ -272,42 +289,64 @@ def window_lister(length: int):
     return run
 
 
+def listed(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The row of each value of a column of lists, and the values; a null list has none."""
+    return np.repeat(np.arange(len(column)), column.value_lengths().fill_null(0).to_numpy()), column.flatten().to_numpy()
+
+
 def remover(length: int, as_text: bool):
     """What is left of rows ``doc_id, text, repeated, doubted, first``; further columns are carried along."""
 
+    def lot(rows: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [t.as_buffer() if t.is_valid else b"" for t in rows.column(1)]
+        sizes = np.array([len(t) for t in texts], np.int64)
+        # One byte apart, so that no run of starts goes over into the next text.
+        base = np.cumsum(sizes + 1) - sizes - 1
+        (again, repeated), (unsure, doubted), (new, first) = (listed(rows.column(c)) for c in (2, 3, 4))
+        ranges = [(again, *unpacked(repeated)), (unsure, *unpacked(doubted)), (new, first >> 8, (first >> 8) + (first & 255) - 1)]
+        cut = []
+        for row, low, high in ranges:
+            high = np.minimum(high, sizes[row] - length)
+            held = low <= high
+            cut.append(((low + base[row])[held], (high + base[row])[held] + 1))
+        edges = np.unique(np.concatenate([x for pair in cut for x in pair]))
+        inside = []
+        for low, past in cut:
+            depth = np.zeros(len(edges), np.int64)
+            np.add.at(depth, np.searchsorted(edges, low), 1)
+            np.subtract.at(depth, np.searchsorted(edges, past), 1)
+            inside.append(np.cumsum(depth) > 0)
+        starts = np.flatnonzero(inside[0] | inside[1] & ~inside[2])
+        low, high = edges[starts], edges[starts + 1] - 1
+        opens = np.flatnonzero(low - np.concatenate([[-length - 1], high[:-1]])[: len(low)] > length)
+        begin, end = low[opens], high[np.append(opens[1:], len(low))[: len(opens)] - 1] + length
+        row = np.searchsorted(base, begin, "right") - 1
+        begin, end = begin - base[row], end - base[row]
+        bounds = np.searchsorted(row, np.arange(len(texts) + 1))
+        kept, gone = [], list(zip(begin.tolist(), end.tolist()))
+        for text, x, y in zip(texts, bounds[:-1].tolist(), bounds[1:].tolist()):
+            data, parts, done = memoryview(text), [], 0
+            for b, e in gone[x:y]:
+                parts.append(data[done:b])
+                done = e
+            kept.append(b"".join([*parts, data[done:]]))
+        spans = pa.StructArray.from_arrays([pa.array(begin), pa.array(end)], names=["begin", "end"])
+        left = pa.array([k.decode("utf-8", "ignore") for k in kept]) if as_text else pa.array(kept, pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [rows.column(0), pa.array(sizes), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), spans), left, *rows.columns[5:]],
+            names=["doc_id", "n_bytes", "spans", "kept", *rows.schema.names[5:]],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, spans, kept, room, begun = [], [], [], 0, 0
-            for r in range(batch.num_rows):
-                data = (batch.column(1)[r].as_py() or "").encode()
-                repeated, doubted, first = (np.array(batch.column(c)[r].as_py() or [], np.int64) for c in (2, 3, 4))
-                first = spread(first >> 8, (first >> 8) + (first & 255) - 1) if len(first) else first
-                starts = spread(*unpacked(repeated))
-                if len(doubted):
-                    starts = np.concatenate([starts, np.setdiff1d(spread(*unpacked(doubted)), first)])
-                starts = np.unique(starts)
-                starts = starts[starts + length <= len(data)]
-                new = np.flatnonzero(np.diff(starts, prepend=-length - 1) > length)
-                begin = starts[new]
-                end = starts[np.append(new[1:], len(starts)) - 1] + length if len(starts) else begin
-                parts, at = [], 0
-                for b, e in zip(begin.tolist(), end.tolist()):
-                    parts.append(data[at:b])
-                    at = e
-                parts.append(data[at:])
-                sizes.append(len(data))
-                spans.append([{"begin": b, "end": e} for b, e in zip(begin.tolist(), end.tolist())])
-                kept.append(b"".join(parts))
-                room += len(kept[-1])
-                if room >= 4 * GATHER or r == batch.num_rows - 1:
-                    kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-                    left = pa.array([k.decode("utf-8", "ignore") for k in kept]) if as_text else pa.array(kept, pa.binary())
-                    rows = batch.slice(begun, len(sizes))
-                    yield pa.RecordBatch.from_arrays(
-                        [rows.column(0), pa.array(sizes, pa.int64()), pa.array(spans, kind), left, *rows.columns[5:]],
-                        names=["doc_id", "n_bytes", "spans", "kept", *rows.schema.names[5:]],
-                    )
-                    begun, sizes, spans, kept, room = r + 1, [], [], [], 0
+            sizes = pa.compute.binary_length(batch.column(1)).fill_null(0).to_numpy().astype(np.int64)
+            sizes += 8 * sum(batch.column(c).value_lengths().fill_null(0).to_numpy().astype(np.int64) for c in (2, 3, 4))
+            begun, room = 0, 0
+            for r, size in enumerate(sizes.tolist(), 1):
+                room += size
+                if room >= 4 * GATHER or r == batch.num_rows:
+                    yield lot(batch.slice(begun, r - begun))
+                    begun, room = r, 0
 
     return run
 

@@ -245,6 +245,47 @@ def test_suffix_dedup_edges(nameless, empty, spark):
     assert all(isinstance(r.kept, str) and "�" not in r.kept for r in suffix_dedup.remove_repeats(cut, as_text=True).collect())
 
 
+def test_suffix_dedup_hands_texts_on_in_lots(monkeypatch):
+    """The tasks' work is per lot, not per text: thousands of short texts cost a few batches and hashings."""
+    loads = []
+    load = suffix_dedup.Rolling.load
+    monkeypatch.setattr(suffix_dedup.Rolling, "load", lambda self, data: (loads.append(len(data)), load(self, data))[1])
+    texts = [f"{i:04d} {PASSAGE}" for i in range(2000)]
+    starts = len(texts[0]) - 100
+    found = list(suffix_dedup.parse([(i, t.encode()) for i, t in enumerate(texts)], 100, suffix_dedup.Rolling()))
+    _, _, doc, at, first, last = found
+    marks = [[int(a << 18 | a - f << 10 | a - e << 2) for a, f, e in zip(at[doc == i], first[doc == i], last[doc == i])] for i in range(2000)]
+    ids = pa.array(range(2000))
+    loads.clear()
+    rows = pa.RecordBatch.from_arrays([ids, pa.array(texts), pa.array(marks, pa.list_(pa.int64()))], names=["doc_id", "text", "doubted"])
+    stretches = list(suffix_dedup.stretch_lister(100)(iter([rows])))
+    assert len(stretches) == len(loads) == 1
+    covered = collections.Counter()
+    for r in stretches[0].to_pylist():
+        covered[r["doc_id"]] += r["n"]
+        assert r["bytes"] == texts[r["doc_id"]].encode()[r["low"] - r["skip"] :][: len(r["bytes"])]
+    assert set(covered.values()) == {starts + 1} and len(covered) == 2000
+
+    none = pa.nulls(2000, pa.list_(pa.int64()))
+    rows = pa.RecordBatch.from_arrays([ids, pa.array(texts), rows.column(2), none, none], names=["doc_id", "text", "repeated", "doubted", "first"])
+    left = pa.Table.from_batches(suffix_dedup.remover(100, False)(iter([rows])))
+    assert left["kept"].to_pylist() == [b""] * 2000
+    assert left["spans"].to_pylist() == [[{"begin": 0, "end": len(texts[0])}]] * 2000
+
+
+def test_suffix_dedup_remover_keeps_texts_apart():
+    """Runs that end with one text and begin with the next stay two, places beyond a text count for nothing."""
+    marks = [[5 << 18 | 5 << 10 | 0 << 2], [9 << 18 | 9 << 10 | 0 << 2, 300 << 18], None, [], [7 << 18]]
+    texts = ["x" * 105, "é" * 60, None, "", "z" * 99]
+    first = [None, [3 << 8 | 2], None, None, None]
+    kind = pa.list_(pa.int64())
+    columns = [pa.array(range(5)), pa.array(texts), pa.array([marks[0], *[None] * 4], kind), pa.array([None, *marks[1:]], kind), pa.array(first, kind)]
+    rows = pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "repeated", "doubted", "first"])
+    (left,) = suffix_dedup.remover(100, False)(iter([rows]))
+    assert left["spans"].to_pylist() == [[{"begin": 0, "end": 105}], [{"begin": 0, "end": 109}], [], [], []]
+    assert [len(k) for k in left["kept"].to_pylist()] == [0, 11, 0, 0, 99]
+
+
 def test_suffix_dedup_deals_texts_once(docs):
     out = suffix_dedup.remove_repeats(docs, keep=["lang", "source"], as_text=True)
     out.collect()

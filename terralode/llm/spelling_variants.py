@@ -9,6 +9,9 @@ collected: pairs that fail the proof never leave the join.
 
 Neighbours that no word reduces to are left out before the join by a bit table of the
 reduced vocabulary, of a fixed largest size; it only saves work.
+
+All joins are merge joins by hint. Spark would size their tables by compressed files, and the
+neighbours as if each word stayed one row, and so broadcast what the driver cannot hold.
 """
 
 from __future__ import annotations
@@ -238,7 +241,7 @@ def near_words(words: DataFrame, n_words: int, symbols: int | None = None) -> Da
     held = coded.select("code", F.col("word").alias("near"), F.col("n").alias("near_n"))
     sized = F.abs(F.char_length("word") - F.char_length("near")) <= 1
     one_edit = F.levenshtein("word", "near", 1) == 1
-    return around.join(held, "code").where(sized & one_edit).select("word", "n", "near", "near_n")
+    return around.join(held.hint("merge"), "code").where(sized & one_edit).select("word", "n", "near", "near_n")
 
 
 def roots(forms: DataFrame, max_rounds: int = 40) -> DataFrame:
@@ -250,7 +253,8 @@ def roots(forms: DataFrame, max_rounds: int = 40) -> DataFrame:
     ways = saved(forms.select("word", F.col("form").alias("root")), "ways")
     for _ in range(max_rounds):
         there = ways.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        moved = saved(ways.join(there, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "ways")
+        followed = ways.join(there.hint("merge"), "root", "left")
+        moved = saved(followed.select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "ways")
         ways = moved.select("word", "root")
         if moved.where("moved").isEmpty():
             return ways
@@ -277,8 +281,8 @@ def group_variants(words: DataFrame, times: int = 2, symbols: int | None = None)
     last = roots(forms)
     near = found.select("word", "n_near")
     return (
-        words.join(near, "word", "left")
-        .join(forms, "word", "left")
-        .join(last, "word", "left")
+        words.join(near.hint("merge"), "word", "left")
+        .join(forms.hint("merge"), "word", "left")
+        .join(last.hint("merge"), "word", "left")
         .select("word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), "form_n")
     )

@@ -255,6 +255,30 @@ def test_variants_equal_brute_force(spark, symbols):
     assert got == plain_variants(words)
 
 
+def test_variants_broadcast_no_table(spark, monkeypatch):
+    words = {"".join(letters) + "e": 3 + 40 * (letters[0] == letters[1]) for letters in itertools.product("abcé", repeat=4)}
+    given = spark.createDataFrame(list(words.items()), "word string, n bigint")
+    plans, saved = [], spelling_variants.saved
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def planned(df, purpose):
+        plans.append(plan(df))
+        return saved(df, purpose)
+
+    monkeypatch.setattr(spelling_variants, "saved", planned)
+    result = spelling_variants.group_variants(given)
+    plans.append(plan(result))
+    got = {tuple(r) for r in result.collect()}
+    plans.append(plan(result))
+    joins = [p.count("Join [") for p in plans]
+    assert joins[:5] == [0, 0, 1, 0, 1]  # words, coded, found, ways, the first round
+    assert joins[-2] == 3
+    assert not [p for p in plans if "Broadcast" in p]
+    assert got == plain_variants(words)
+
+
 def test_neighbours_of_reduced_words_each_once():
     rnd = random.Random(10)
     for positions in (1, 2, 50):
